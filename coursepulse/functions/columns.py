@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -41,7 +42,8 @@ def ln_or_null(x: Column) -> Column:
 
 def entropy_term(p: Column, base: float = 2.0) -> Column:
     """``-p log_base p`` with ``0 log 0 = 0``."""
-    return F.when(p > 0, -p * F.log(F.lit(float(base)), p)).otherwise(F.lit(0.0))
+    logp = F.log2(p) if base == 2.0 else F.ln(p) / F.lit(math.log(base))
+    return F.when(p > 0, -p * logp).otherwise(F.lit(0.0))
 
 
 def band_average(col: Column) -> Column:

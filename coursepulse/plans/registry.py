@@ -20,8 +20,23 @@ TRAIN_IN = "('2013B', '2013J', '2014B')"
 
 @dataclass
 class Entry:
+    name: str
     fn: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
+    body: str | None
+
+    @property
+    def sql(self) -> str | None:
+        """Oracle SQL; double outputs rounded to 6 digits (half away from zero, as Spark's round)."""
+        if not self.body:
+            return None
+        from coursepulse.plans.output_doubles import OUTPUT_DOUBLES
+
+        sql = with_mapping(self.body)
+        doubles = OUTPUT_DOUBLES.get(self.name, [])
+        if not doubles:
+            return sql
+        repl = ", ".join(f'round("{c}", 6) AS "{c}"' for c in doubles)
+        return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
 
 
 REGISTRY: dict[str, Entry] = {}
@@ -37,7 +52,7 @@ def query(name: str, sql: str | None = None, rounded: bool = True):
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
-        REGISTRY[name] = Entry(run, with_mapping(sql) if sql else None)
+        REGISTRY[name] = Entry(name, run, sql)
         return fn
 
     return deco

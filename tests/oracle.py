@@ -56,6 +56,8 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
         res["status"] = "rows-only"
         return res
     con = con or duck(sf_dir)
+    if s_rows and any(isinstance(v, float) for v in s_rows[0]) and "round(" not in sql[:200]:
+        res["warn"] = "doubles not rounded in SQL"
     rel = con.sql(sql)
     d_cols = list(rel.columns)
     d_rows = rel.fetchall()
@@ -77,13 +79,43 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
     return res
 
 
+def write_doubles(sf_dir: str) -> int:
+    """Regenerate coursepulse/plans/output_doubles.py from the Spark output schemas."""
+    from pyspark.sql import types as T
+
+    from coursepulse.plans.registry import load_all
+    from coursepulse.session import get_spark
+
+    spark = get_spark("local[8]")
+    out = {}
+    for name, e in load_all().items():
+        if not e.body:
+            continue
+        schema = e.fn(spark, sf_dir).schema
+        d = [f.name for f in schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+        if d:
+            out[name] = d
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                        "coursepulse", "plans", "output_doubles.py")
+    with open(path, "w") as fh:
+        fh.write('"""Double-typed output columns of each registered query (generated by tests/oracle.py --doubles)."""\n\n')
+        fh.write("OUTPUT_DOUBLES: dict[str, list[str]] = {\n")
+        for k in sorted(out):
+            fh.write(f"    {k!r}: {out[k]!r},\n")
+        fh.write("}\n")
+    print(f"wrote {len(out)} entries")
+    return 0
+
+
 def main(argv: list[str]) -> int:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from coursepulse.plans.registry import load_all
     from coursepulse.session import get_spark
 
     sf_dir = argv[0] if argv and os.path.isdir(argv[0]) else "/root/testdata/sf0.01"
-    names = [a for a in argv if not os.path.isdir(a)]
+    names = [a for a in argv if not os.path.isdir(a) and not a.startswith("--")]
+    if "--doubles" in argv:
+        return write_doubles(sf_dir)
     spark = get_spark("local[8]")
     reg = load_all()
     con = duck(sf_dir)
