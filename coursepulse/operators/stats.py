@@ -155,6 +155,7 @@ def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int
             per: dict = {}
             for r in hist:
                 per.setdefault(r["rid"], []).append((r["b"], r["n"], r["bmin"], r["bmax"]))
+            finals = []
             for s in open_:
                 need = s["rank"] - s["below"]
                 acc = 0
@@ -162,14 +163,25 @@ def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int
                     if acc + n > need:
                         if bmin == bmax:
                             s["value"] = bmin
-                        elif n <= final_rows:
-                            cond = group_cond(s["g"]) & F.col("x").between(F.lit(bmin), F.lit(bmax))
-                            vals = sorted(r[0] for r in data.where(cond).select("x").collect())
-                            s["value"] = vals[need - acc]
                         else:
                             s["lo"], s["hi"], s["below"] = bmin, bmax, s["below"] + acc
+                            if n <= final_rows:
+                                finals.append(s)
                         break
                     acc += n
+            if finals:
+                # read every small final bucket of this round in one job
+                fr = list(dict.fromkeys((s["g"], s["lo"], s["hi"]) for s in finals))
+                fid = {r: i for i, r in enumerate(fr)}
+                tags = F.filter(F.array(*[
+                    F.when(group_cond(g) & F.col("x").between(F.lit(lo), F.lit(hi)), F.lit(i))
+                    for (g, lo, hi), i in fid.items()]), lambda e: e.isNotNull())
+                got: dict = {}
+                for r in data.select("x", F.explode(tags).alias("fid")).collect():
+                    got.setdefault(r["fid"], []).append(r["x"])
+                for s in finals:
+                    vals = sorted(got.get(fid[(s["g"], s["lo"], s["hi"])], []))
+                    s["value"] = vals[s["rank"] - s["below"]]
         return [s["value"] for s in state]
     finally:
         data.unpersist()
@@ -208,12 +220,13 @@ def anova_groups(df: DataFrame, metrics: Sequence[str], group: str) -> DataFrame
     g = long.groupBy("metric", group).agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"),
                                           F.var_samp("v").alias("var"))
     w = Window.partitionBy("metric")
-    g = (g.withColumn("N", F.sum("n").over(w)).withColumn("k", F.count(F.lit(1)).over(w))
-         .withColumn("grand", F.sum(F.col("n") * F.col("mean")).over(w) / F.col("N")))
+    g = (g.withColumn("n_all", F.sum("n").over(w)).withColumn("k_groups", F.count(F.lit(1)).over(w))
+         .withColumn("grand", F.sum(F.col("n") * F.col("mean")).over(w) / F.col("n_all")))
+    k, n_all = F.first("k_groups"), F.first("n_all")
     out = g.groupBy("metric").agg(
-        (F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)) / (F.first("k") - 1)).alias("msb"),
-        (F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))) / (F.first("N") - F.first("k"))).alias("msw"),
-        (F.first("k") - 1).cast("long").alias("df_between"), (F.first("N") - F.first("k")).cast("long").alias("df_within"))
+        (F.sum(F.col("n") * F.pow(F.col("mean") - F.col("grand"), 2)) / (k - 1)).alias("msb"),
+        (F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))) / (n_all - k)).alias("msw"),
+        (k - 1).cast("long").alias("df_between"), (n_all - k).cast("long").alias("df_within"))
     return out.select("metric", safe_div(F.col("msb"), F.col("msw")).alias("f_stat"), "df_between", "df_within")
 
 
