@@ -1,9 +1,9 @@
-"""Consecutive row numbers in key order without moving all rows to one task.
+"""Order-dependent running values without moving all rows into one task.
 
-``row_number() OVER (ORDER BY key)`` without a partition runs in a single task. Instead the rows
-are range-partitioned and sorted on the key, the partitions are written to the shared checkpoint
-folder (so both passes see the same partitions), the per-partition row counts (one small row per
-partition) give each partition its offset, and a per-partition pass adds offset + position.
+``row_number() OVER (ORDER BY key)`` or a running sum without a partition runs in a single task.
+Instead the rows are range-partitioned and sorted on the key and written to the shared checkpoint
+folder (so every later pass sees the same partitions); the per-partition totals (one small row per
+partition) give each partition its offset, and a per-partition pass adds offset + running value.
 """
 
 from __future__ import annotations
@@ -11,33 +11,62 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coursepulse.session import cut_lineage
 
 
-def number_rows(df: DataFrame, order_cols: Sequence[str], out_col: str = "row_number",
-                partitions: int | None = None) -> DataFrame:
-    """Add ``out_col`` = 0-based position of each row in ``order_cols`` order (ties: input order)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
-    counts = ranged.groupBy(F.spark_partition_id().alias("pid")).count().collect()
-    offsets, acc = {}, 0
-    for r in sorted(counts, key=lambda r: r["pid"]):
-        offsets[r["pid"]] = acc
-        acc += r["count"]
-    schema = T.StructType(ranged.schema.fields + [T.StructField(out_col, T.LongType(), False)])
-
-    def add_position(batches):
-        from pyspark import TaskContext
-
-        pos = offsets.get(TaskContext.get().partitionId(), 0)
+def _ranged(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
+    """Range-partitioned, sorted copy in the checkpoint folder; ``__pid`` stores the range index
+    (a stored value, so it stays right when the frame is later unioned or re-numbered)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return cut_lineage(ranged.withColumn("__pid", F.spark_partition_id()))
+
+
+def running_sums(df: DataFrame, order: Sequence[Column | str], values: Sequence[str],
+                 prefix: str = "cum_", count_col: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Add ``{prefix}{v}`` = sum of ``v`` over all rows up to and including this one in ``order``
+    (and ``count_col`` = 0-based position, when given). Ties keep their sorted-partition order."""
+    ranged = _ranged(df, order, partitions)
+    aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(v).alias(v) for v in values]
+    totals = ranged.groupBy("__pid").agg(*aggs).collect()
+    offsets, acc = {}, {"__n": 0, **{v: 0 for v in values}}
+    for r in sorted(totals, key=lambda r: r["__pid"]):
+        offsets[r["__pid"]] = dict(acc)
+        for k in acc:
+            acc[k] += r[k] or 0
+    fields = [f for f in ranged.schema.fields if f.name != "__pid"]
+    types = {f.name: f.dataType for f in fields}
+    out_fields = fields + [T.StructField(f"{prefix}{v}", T.DoubleType() if isinstance(types[v], (T.DoubleType, T.FloatType))
+                                         else T.LongType(), True) for v in values]
+    if count_col:
+        out_fields.append(T.StructField(count_col, T.LongType(), False))
+    schema = T.StructType(out_fields)
+
+    def add(batches):
+        state = None
         for pdf in batches:
-            pdf[out_col] = pd.Series(range(pos, pos + len(pdf)), index=pdf.index, dtype="int64")
-            pos += len(pdf)
+            if state is None and len(pdf):
+                state = dict(offsets.get(int(pdf["__pid"].iloc[0]), {"__n": 0, **{v: 0 for v in values}}))
+            if state is None:
+                continue
+            pdf = pdf.drop(columns="__pid")
+            for v in values:
+                cum = pdf[v].fillna(0).cumsum() + state[v]
+                state[v] = cum.iloc[-1] if len(cum) else state[v]
+                pdf[f"{prefix}{v}"] = cum
+            if count_col:
+                pdf[count_col] = pd.Series(range(state["__n"], state["__n"] + len(pdf)), index=pdf.index, dtype="int64")
+            state["__n"] += len(pdf)
             yield pdf
 
-    return ranged.mapInPandas(add_position, schema)
+    return ranged.mapInPandas(add, schema)
+
+
+def number_rows(df: DataFrame, order_cols: Sequence[str], out_col: str = "row_number",
+                partitions: int | None = None) -> DataFrame:
+    """Add ``out_col`` = 0-based position of each row in ``order_cols`` order."""
+    return running_sums(df, order_cols, [], count_col=out_col, partitions=partitions)

@@ -1 +1,227 @@
-"""Checked queries (to be filled)."""
+"""Checked queries: metrics over a scored table (M11-M14, oracle-checked) and the model flows
+(PCA, feature pipeline, tuned forests / boosted trees, importance: rows-only checks)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from coursepulse.operators import model as mdl
+from coursepulse.operators.clicks import clicks_before_first_assessment
+from coursepulse.operators.split import train_test_split
+from coursepulse.plans import feature_pool as fp
+from coursepulse.plans import flows
+from coursepulse.plans.registry import query
+from coursepulse.schema import K3
+from coursepulse.sources.fixture import fixture_tables
+
+K3J = "code_module, code_presentation, id_student"
+THRESHOLDS = mdl.threshold_grid()
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return fixture_tables(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- deterministic scored table
+def effort_scored(raw: dict[str, DataFrame], term: str = "2014J") -> DataFrame:
+    """Scored table of one term from a fixed rule: score = logistic of the z-scored effort in [0, 32]
+    (0 without clicks), prediction = score > 0.5; label = Fail vs Pass / Distinction."""
+    test = {k: v for k, v in raw.items()}
+    test["student_info"] = raw["student_info"].where(F.col("code_presentation") == term)
+    test["student_vle"] = raw["student_vle"].where(F.col("code_presentation") == term)
+    fd = fp.get_response(test, [["Pass", "Distinction"], ["Fail"]], response_name="label")
+    fd.update(fp.get_effort(test, 0, 32))
+    x = fd.merge().data.withColumn("effort", F.coalesce(F.col("effort"), F.lit(0)).cast("double"))
+    mu = x.agg(F.avg("effort")).scalar()
+    sd = x.agg(F.stddev_samp("effort")).scalar()
+    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("effort") - mu) / sd))
+    return x.select(*K3, "label", s.alias("score"),
+                    F.when(s > 0.5, F.lit(1.0)).otherwise(F.lit(0.0)).alias("prediction"))
+
+
+SCORED = f"""
+r AS (SELECT {K3J}, CASE WHEN final_result = 'Fail' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label
+  FROM student_info WHERE code_presentation = '2014J' AND final_result IN ('Pass', 'Distinction', 'Fail')),
+e AS (SELECT {K3J}, sum(sum_click) FILTER (WHERE date BETWEEN 0 AND 32) AS effort FROM student_vle
+  WHERE code_presentation = '2014J' GROUP BY ALL),
+x AS (SELECT r.code_module, r.code_presentation, r.id_student, r.label, CAST(COALESCE(e.effort, 0) AS DOUBLE) AS effort
+  FROM r LEFT JOIN e USING ({K3J})),
+st AS (SELECT avg(effort) AS mu, stddev_samp(effort) AS sd FROM x),
+sc AS (SELECT {K3J}, label, 1 / (1 + exp(-(effort - mu) / sd)) AS score FROM x, st),
+scored AS (SELECT *, CASE WHEN score > 0.5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS prediction FROM sc)"""
+
+
+@query("m11_scored_table", SCORED + "\nSELECT * FROM scored")
+def m11_scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deterministic scored table the metric operators are checked on."""
+    return effort_scored(_raw(spark, sf_dir))
+
+
+@query("m11_classification_metrics", SCORED + """,
+cnt AS (SELECT sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp,
+  sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS fp,
+  sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS fn FROM scored),
+rk AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rnk FROM scored),
+auc AS (SELECT (sum(rnk) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+  / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)) AS auc FROM rk)
+SELECT COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0) AS precision, COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0) AS recall,
+ COALESCE(CAST(2 * tp AS DOUBLE) / NULLIF(2 * tp + fp + fn, 0), 0) AS f1, CAST(auc AS DOUBLE) AS auc FROM cnt, auc""")
+def m11_classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall, F1 of class 1 and AUC (rank sum with averaged ties) of the scored table."""
+    return mdl.classification_metrics(effort_scored(_raw(spark, sf_dir)))
+
+
+@query("m12_roc_points", SCORED + """,
+bys AS (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+  FROM scored GROUP BY score),
+tot AS (SELECT sum(pos) AS p, sum(neg) AS n FROM bys),
+pts AS (SELECT score AS threshold, CAST(sum(neg) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT n FROM tot) AS fpr,
+  CAST(sum(pos) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT p FROM tot) AS tpr FROM bys)
+SELECT * FROM pts UNION ALL SELECT (SELECT max(score) FROM scored) + 1, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""")
+def m12_roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC points at every distinct score plus the origin (threshold = highest score + 1)."""
+    sc = effort_scored(_raw(spark, sf_dir))
+    pts = mdl.roc_points(sc)
+    top = sc.agg(F.max("score")).scalar() + F.lit(1.0)
+    return pts.withColumn("threshold", F.when(F.col("threshold") == float("inf"), top).otherwise(F.col("threshold")))
+
+
+@query("m13_confusion_matrix", SCORED + """,
+grid AS (SELECT CAST(a AS DOUBLE) AS label, CAST(b AS DOUBLE) AS prediction FROM (VALUES (0), (1)) x(a), (VALUES (0), (1)) y(b))
+SELECT g.label, g.prediction, CAST(count(s.label) AS BIGINT) AS n FROM grid g
+LEFT JOIN scored s ON s.label = g.label AND s.prediction = g.prediction GROUP BY g.label, g.prediction""")
+def m13_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2 x 2 confusion counts of the scored table (zeros kept)."""
+    return mdl.confusion_matrix(effort_scored(_raw(spark, sf_dir)))
+
+
+_TLIST = "[" + ", ".join(f"CAST('{t!r}' AS DOUBLE)" for t in THRESHOLDS) + "]"
+_F1 = SCORED + f""",
+th AS (SELECT unnest({_TLIST}) AS threshold),
+cnt AS (SELECT th.threshold, count(*) FILTER (WHERE s.score > th.threshold AND s.label = 1) AS tp,
+  count(*) FILTER (WHERE s.score > th.threshold AND s.label = 0) AS fp,
+  count(*) FILTER (WHERE NOT (s.score > th.threshold) AND s.label = 1) AS fn FROM th, scored s GROUP BY th.threshold),
+f1t AS (SELECT threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+  COALESCE(CAST(2 * tp AS DOUBLE) / NULLIF(2 * tp + fp + fn, 0), 0) AS f1 FROM cnt)"""
+
+
+@query("m14_threshold_f1", _F1 + "\nSELECT * FROM f1t")
+def m14_threshold_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 of class 1 when predicting score > t for the 99 accumulated thresholds 0, 0.01, ..."""
+    return mdl.threshold_f1(effort_scored(_raw(spark, sf_dir)))
+
+
+@query("m14_best_threshold", _F1 + "\nSELECT * FROM f1t ORDER BY f1 DESC, threshold LIMIT 1")
+def m14_best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first threshold with the best F1."""
+    return mdl.best_threshold(mdl.threshold_f1(effort_scored(_raw(spark, sf_dir))))
+
+
+# ---------------------------------------------------------------- model flows (rows-only)
+def _shares_wide(raw: dict[str, DataFrame]) -> tuple[DataFrame, list[str]]:
+    train, _ = train_test_split(raw)
+    acts = flows.activity_values(raw["vle"])
+    eng = flows.engagement(train["student_vle"], train["vle"], 30, activities=acts)
+    return eng, acts
+
+
+@query("m3_pca_activity_shares")
+def m3_pca_activity_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PCA(10) of the per-segment activity shares of the training terms: explained variance."""
+    eng, acts = _shares_wide(_raw(spark, sf_dir))
+    _, var, _ = mdl.pca_fit(eng.na.fill(0.0, subset=acts), acts, 10)
+    return var
+
+
+@query("m3_pca_loadings")
+def m3_pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loadings of the first four components (absolute values: the sign is free)."""
+    eng, acts = _shares_wide(_raw(spark, sf_dir))
+    _, _, load = mdl.pca_fit(eng.na.fill(0.0, subset=acts), acts, 10)
+    return load.where(F.col("component") <= 4).withColumn("loading", F.abs("loading"))
+
+
+def segment_one_table(raw: dict[str, DataFrame], segment_days: int = 7) -> tuple[DataFrame, list[str], list[str]]:
+    """Wide table of segment 1 for the first-assessment flow: clicks before the first assessment,
+    demographics x engagement, segments <= 1, registration added (labelled rows)."""
+    clicks = clicks_before_first_assessment(raw["student_vle"], raw["assessments"])
+    info, groups = flows.demographics(raw["student_info"])
+    acts = flows.activity_values(raw["vle"])
+    eng = flows.engagement(clicks, raw["vle"], segment_days, activities=acts)
+    data = flows.merge_and_process(info, eng).where(F.col(flows.SEG) <= 1)
+    reg = raw["student_registration"].drop("date_unregistration")
+    data = data.join(reg, K3, "left")
+    invariant = ["num_of_prev_attempts", "studied_credits", "imd_band", "age_band", "date_registration"] + \
+        [c for cols in groups.values() for c in cols]
+    seg = flows.temporal_segment(data, 1, invariant)
+    resource = [f"t1_{a}" for a in acts]
+    daily = [f"t1_day_{d}" for d in range(1, segment_days + 1)]
+    return seg, resource, daily
+
+
+@query("m4_block_pca")
+def m4_block_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment-1 table with 4 resource components and up to 20 daily components (other columns kept)."""
+    seg, resource, daily = segment_one_table(_raw(spark, sf_dir))
+    keep = [c for c in seg.columns if c not in set(resource) | set(daily)]
+    filled = seg.na.fill(0.0, subset=resource + daily)
+    _, out = mdl.block_pca(filled, {"rescourse_pca": (resource, 4), "click_date_pca": (daily, 20)}, keep)
+    return out
+
+
+def _flagship_sets(spark: SparkSession, sf_dir: str):
+    raw = _raw(spark, sf_dir)
+    train, test = train_test_split(raw)
+    tr = fp.build_features(train)
+    te = fp.build_features(test)
+    feats = [c for c in tr.columns if c not in K3 and c != "responce" and c in te.columns]
+    return tr.na.fill(0), te.na.fill(0), feats
+
+
+@query("m5_feature_pipeline")
+def m5_feature_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impute, standardise, PCA components next to the k best features, fitted on the training terms."""
+    tr, te, feats = _flagship_sets(spark, sf_dir)
+    pipe = mdl.feature_pipeline(feats, "responce").fit(tr)
+    from pyspark.ml.functions import vector_to_array
+    return pipe.transform(te).select(*K3, vector_to_array("features").alias("features"))
+
+
+_TUNED: dict = {}
+
+
+def tuned_forest(spark: SparkSession, sf_dir: str):
+    """Forest tuned on the training terms (fitted once per session and data folder)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _TUNED:
+        return _TUNED[key]
+    tr, te, feats = _flagship_sets(spark, sf_dir)
+    tr = mdl.balanced_weights(mdl.assemble(tr, feats), "responce").withColumn("fold", mdl.fold_column(K3))
+    cv = mdl.tune(mdl.forest("responce"), tr, {"numTrees": (100, 200), "maxDepth": (10, 30)}, label="responce")
+    _TUNED[key] = (cv, te, feats)
+    return _TUNED[key]
+
+
+@query("m8_forest_grid_search")
+def m8_forest_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Random forest (balanced, 10 rows per leaf) tuned over trees x depth with 5 folds: mean F1 per grid point."""
+    cv, _, _ = tuned_forest(spark, sf_dir)
+    rows = [(int(pm[cv.getEstimator().numTrees]), int(pm[cv.getEstimator().maxDepth]), float(m))
+            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    return spark.createDataFrame(rows, "num_trees long, max_depth long, mean_f1 double")
+
+
+@query("m10_feature_importance")
+def m10_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-10 feature importances of the tuned forest (a top-k report)."""
+    cv, _, feats = tuned_forest(spark, sf_dir)
+    return mdl.feature_importance(cv.bestModel, feats, 10)
+
+
+@query("m11_forest_test_metrics")
+def m11_forest_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision, recall, F1 and AUC of the tuned forest on the test term."""
+    cv, te, feats = tuned_forest(spark, sf_dir)
+    scored = mdl.score(cv.bestModel, mdl.assemble(te, feats), "responce", K3)
+    return mdl.classification_metrics(scored)
