@@ -15,10 +15,26 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > 1).withColumnRenamed("count", "n")
 
 
+_UNIQUE = "_coursepulse_unique_keys"
+
+
+def known_unique(df: DataFrame, keys: Sequence[str]) -> bool:
+    """True when ``keys`` were already checked unique on this frame."""
+    return tuple(keys) in getattr(df, _UNIQUE, set())
+
+
+def mark_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    setattr(df, _UNIQUE, getattr(df, _UNIQUE, set()) | {tuple(keys)})
+
+
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise :class:`DuplicateIndex` if a key repeats (one job; stops at the first duplicate)."""
+    """Raise :class:`DuplicateIndex` if a key repeats (one job; stops at the first duplicate).
+    The verdict is remembered on the frame, so a table is checked once."""
+    if known_unique(df, keys):
+        return
     if duplicate_keys(df, keys).limit(1).count() > 0:
         raise DuplicateIndex(list(keys))
+    mark_unique(df, keys)
 
 
 def merge_with_indicator(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",

@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import null_safe_isin
-from coursepulse.functions.dims import bounded_broadcast
+from coursepulse.functions.dims import bounded_broadcast, mark_bounded, row_bound
 from coursepulse.schema import TEST_TERMS, TRAIN_TERMS
 
 
 def assessment_ids(assessments: DataFrame, terms: Sequence[str], negate: bool = False) -> DataFrame:
+    """Distinct assessment ids of the given terms (at most as many rows as ``assessments``)."""
     mask = null_safe_isin(F.col("code_presentation"), terms)
-    return assessments.where(~mask if negate else mask).select("id_assessment").distinct()
+    out = assessments.where(~mask if negate else mask).select("id_assessment").distinct()
+    bound = row_bound(assessments)
+    return mark_bounded(out, bound) if bound is not None else out
 
 
 def train_test_split_df(df: DataFrame, assessments: DataFrame | None = None,
@@ -30,7 +33,7 @@ def train_test_split_df(df: DataFrame, assessments: DataFrame | None = None,
         raise ValueError("the training terms cannot be missing")
     if "code_presentation" in df.columns:
         mask = null_safe_isin(F.col("code_presentation"), train_years)
-        return df.where(mask), df.where(~mask)
+        return _keep_bound(df.where(mask), df), _keep_bound(df.where(~mask), df)
     if "id_assessment" not in df.columns:
         raise ValueError("table has neither a term nor an assessment id column")
     if assessments is None:
@@ -39,6 +42,11 @@ def train_test_split_df(df: DataFrame, assessments: DataFrame | None = None,
     return df.join(ids, "id_assessment", "left_semi"), df.join(ids, "id_assessment", "left_anti")
 
 
+def _keep_bound(child: DataFrame, parent: DataFrame) -> DataFrame:
+    bound = row_bound(parent)
+    return mark_bounded(child, bound) if bound is not None else child
+
+
 def train_test_split(raw: dict[str, DataFrame], train_years: Sequence[str] | None = TRAIN_TERMS
                      ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Split every table of the container (tables without a term go by assessment id)."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from coursepulse.operators import checks, clicks, regularity
 from coursepulse.operators.encode import CategoricalData, NumericData, OrdinalData, response_column
-from coursepulse.operators.features import Feature, FeatureDict
+from coursepulse.operators.features import DuplicateIndex, Feature, FeatureDict
 from coursepulse.schema import (CATEGORICAL_BATCH, K3, KEYS, NUMERIC_BATCH, ORDINAL_BATCH,
                                 ORDINAL_ORDERS, REGULARITY_PREFIX, RESPONSE, TIME_METRICS)
 
@@ -42,16 +42,22 @@ def get_feature_batch(raw: dict[str, DataFrame], feature_list: Sequence[tuple[st
     assigned = [(t, c, preprocessors[min(len(preprocessors) - 1, i)]) for i, (t, c) in enumerate(feature_list)]
     for table in dict.fromkeys(t for t, _, _ in assigned):
         df = raw[table]
-        if check_keys:
-            checks.assert_unique_keys(df, KEYS[table])
+        keys = KEYS[table]
         mine = [(c, p) for t, c, p in assigned if t == table]
         num = [(c, p) for c, p in mine if isinstance(p, NumericData)]
-        if num:
-            # one aggregate for every numeric column of this table
-            aggs = []
-            for c, _ in num:
-                aggs += [F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd")]
+        check = check_keys and not checks.known_unique(df, keys)
+        # one pass per table: key uniqueness and the statistics of every numeric column
+        aggs = []
+        if check:
+            aggs += [F.count(F.lit(1)).alias("__rows"), F.count_distinct(*keys).alias("__keys")]
+        for c, _ in num:
+            aggs += [F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd")]
+        if aggs:
             row = df.agg(*aggs).first()
+            if check:
+                if row["__rows"] != row["__keys"]:
+                    raise DuplicateIndex(list(keys))
+                checks.mark_unique(df, keys)
             for c, p in num:
                 p.params[c] = {"mu": row[f"{c}__mu"], "std": row[f"{c}__sd"]}
         cat = [(c, p) for c, p in mine if isinstance(p, CategoricalData)]
@@ -143,10 +149,13 @@ def build_features(raw: dict[str, DataFrame], targets=(("Pass", "Distinction"),
                    start: int = 0, end: int = 32, check_keys: bool = True) -> DataFrame:
     """Response, numeric / categorical / ordinal batches, time regularity and effort, merged on K3."""
     fd = get_response(raw, targets)
-    for part in (get_numeric_features_batch(raw, check_keys=check_keys),
-                 get_categorical_features_batch(raw, check_keys=check_keys),
-                 get_ordinal_features_batch(raw, check_keys=check_keys),
-                 get_time_regularity(raw, start, end),
-                 get_effort(raw, start, end)):
+    # the three predefined batches fitted together: one statistics pass and one top-values pass
+    # per source table (each batch keeps its own preprocessors, as when fitted one by one)
+    num, cat = NumericData(), CategoricalData()
+    ordinal = [OrdinalData(list(ORDINAL_ORDERS[t, c])) for t, c in ORDINAL_BATCH]
+    batch = get_feature_batch(raw, NUMERIC_BATCH + CATEGORICAL_BATCH + ORDINAL_BATCH,
+                              [num] * len(NUMERIC_BATCH) + [cat] * len(CATEGORICAL_BATCH) + ordinal,
+                              check_keys=check_keys)
+    for part in (batch, get_time_regularity(raw, start, end), get_effort(raw, start, end)):
         fd.update(part)
     return merge_features(fd)

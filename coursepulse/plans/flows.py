@@ -1,9 +1,8 @@
 """Composite flows of the legacy pipeline: demographics, engagement per segment, wide segments.
 
 Engagement plan: the joined clicks are aggregated once to (student, segment, day, activity) with
-partial aggregation, then repartitioned on (student, segment). Every later step (effort, activity
-shares, day shares, summaries, runs, the pivots and the joins between them) groups or windows on
-a superset of that key, so no further shuffle is needed and each group holds at most
+partial aggregation, then repartitioned on (student, segment). The later grouping steps use that
+key (or a superset), so no further shuffle is needed, and each group holds at most
 ``segment_days x #activities`` rows, however many clicks a student has.
 """
 
@@ -11,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursepulse.functions.columns import band_average, entropy_term, ln_or_null, safe_div
+from coursepulse.functions.columns import band_average, ln_or_null
 from coursepulse.functions.dims import bounded_broadcast
 from coursepulse.operators import checks
 from coursepulse.operators.clicks import SITE_KEY
@@ -85,50 +84,55 @@ def engagement(student_vle: DataFrame, vle: DataFrame, segment_days: int = 30, m
 
     Activity shares ignore clicks of unknown sites (NULL if a segment has only those); day shares
     and summaries use all clicks. Segments above ``max_segment`` are dropped.
+
+    After the base aggregate and its repartition on (K3, segment), two grouping steps on that key
+    build the segment's day list (at most ``segment_days`` entries, each with its activity
+    counts); every output column is an expression over that bounded list, so there is no further
+    shuffle and no join between partial results.
     """
     n = segment_days
     acts = list(activities) if activities is not None else activity_values(vle)
     base = segment_base(student_vle, vle, n)
-    day = base.groupBy(*KS, DAY).agg(F.sum("c").alias("c"))
-    stu = Window.partitionBy(*KS)
-    day = (day.withColumn("total", F.sum("c").over(stu))
-           .withColumn("p", F.col("c") / F.col("total"))
-           .withColumn("k", F.count(F.lit(1)).over(stu)))
+    per_day = base.groupBy(*KS, DAY).agg(
+        F.sum("c").alias("dc"),
+        F.collect_list(F.when(F.col("activity_type").isNotNull(), F.struct("activity_type", "c"))).alias("acts"))
+    seg = (per_day.groupBy(*KS).agg(F.array_sort(F.collect_list(F.struct(DAY, "dc", "acts"))).alias("days"))
+           .where(F.col(SEG) < max_segment + 1))
     mu = 1.0 / n
-    # gaps-and-islands over the active days of the segment (each present day has clicks > 0)
-    order = Window.partitionBy(*KS).orderBy(DAY)
-    day = (day.withColumn("island", F.col(DAY) - F.row_number().over(order))
-           .withColumn("gap_before", F.col(DAY) - F.coalesce(F.lag(DAY).over(order), F.lit(0)) - 1))
-    islands = day.groupBy(*KS, "island").agg(F.count(F.lit(1)).alias("run"))
-    longest_ones = islands.groupBy(*KS).agg(F.max("run").alias("longest_ones"))
-    s2 = F.sum(F.pow(F.col("p") - mu, 2)) + (F.lit(n) - F.first("k")) * mu ** 2
-    s4 = F.sum(F.pow(F.col("p") - mu, 4)) + (F.lit(n) - F.first("k")) * mu ** 4
-    kurt_num = F.lit(float(n * (n + 1) * (n - 1))) * F.col("s4")
-    kurt_den = F.lit(float((n - 2) * (n - 3))) * F.col("s2") * F.col("s2")
+    e = F.expr
+    seg = seg.select(
+        *KS, "days",
+        e("aggregate(days, CAST(0 AS BIGINT), (s, x) -> s + x.dc)").alias("sum_click"),
+        e("flatten(transform(days, x -> x.acts))").alias("flat"))
+    seg = seg.select(
+        *KS, "days", "sum_click", "flat",
+        e("transform(days, x -> CAST(x.dc AS DOUBLE) / sum_click)").alias("p"),
+        e("aggregate(flat, CAST(0 AS BIGINT), (s, y) -> s + y.c)").alias("known"))
+    k = "size(days)"
+    s2 = f"(aggregate(p, 0D, (s, x) -> s + pow(x - {mu!r}D, 2)) + ({n} - {k}) * pow({mu!r}D, 2))"
+    s4 = f"(aggregate(p, 0D, (s, x) -> s + pow(x - {mu!r}D, 4)) + ({n} - {k}) * pow({mu!r}D, 4))"
     adj = 3.0 * (n - 1) ** 2 / ((n - 2) * (n - 3))
-    summary = day.groupBy(*KS).agg(
-        F.first("total").alias("sum_click"),
-        F.max("p").alias("peak"),
-        ((F.sum(F.col("p") * F.col("p")) - F.lit(mu)) / F.lit(float(n - 1))).alias("var"),
-        s2.alias("s2"), s4.alias("s4"),
-        F.greatest(F.max("gap_before"), F.lit(n) - F.max(DAY)).alias("longest_zeros"),
-        F.sum(entropy_term(F.col("p"))).alias("entropy"),
-        *[F.sum(F.when(F.col(DAY) == d, F.col("p"))).alias(f"day_{d}") for d in range(1, n + 1)],
-    )
-    summary = summary.select(
-        *KS, "sum_click", *[F.coalesce(F.col(f"day_{d}"), F.lit(0.0)).alias(f"day_{d}") for d in range(1, n + 1)],
-        "peak", ln_or_null(F.col("var")).alias("variation"),
-        F.when(F.col("s2") <= 1e-14, F.lit(0.0)).otherwise(safe_div(kurt_num, kurt_den) - F.lit(adj)).alias("kurtosis"),
-        "longest_zeros", "entropy",
-    ).join(longest_ones, KS, "left")
-    act = base.where(F.col("activity_type").isNotNull()).groupBy(*KS, "activity_type").agg(F.sum("c").alias("c"))
-    act = act.withColumn("share", F.col("c") / F.sum("c").over(stu))
-    wide = act.groupBy(*KS).pivot("activity_type", acts).agg(F.first("share"))
-    wide = wide.select(*KS, *[F.coalesce(F.col(f"`{a}`"), F.lit(0.0)).alias(a) for a in acts])
-    out = summary.join(wide, KS, "left").where(F.col(SEG) < max_segment + 1)
-    cols = [*KS, "sum_click", *acts, *[f"day_{d}" for d in range(1, n + 1)],
-            "peak", "variation", "kurtosis", "longest_zeros", "longest_ones", "entropy"]
-    return out.select(*cols)
+    kurt = (f"CASE WHEN {s2} <= 1e-14 THEN 0D ELSE "
+            f"{float(n * (n + 1) * (n - 1))!r}D * {s4} / ({float((n - 2) * (n - 3))!r}D * {s2} * {s2}) - {adj!r}D END")
+    var = f"(aggregate(p, 0D, (s, x) -> s + x * x) - {mu!r}D) / {float(n - 1)!r}D"
+    runs = ("aggregate(days, named_struct('prev', CAST(-1 AS BIGINT), 'run', 0, 'best', 0), (st, x) -> "
+            "named_struct('prev', x.temperal_seq, 'run', CASE WHEN x.temperal_seq = st.prev + 1 THEN st.run + 1 ELSE 1 END, "
+            "'best', greatest(st.best, CASE WHEN x.temperal_seq = st.prev + 1 THEN st.run + 1 ELSE 1 END))).best")
+    gaps = (f"greatest(aggregate(days, named_struct('prev', CAST(0 AS BIGINT), 'best', CAST(0 AS BIGINT)), (st, x) -> "
+            f"named_struct('prev', x.temperal_seq, 'best', greatest(st.best, x.temperal_seq - st.prev - 1))).best, "
+            f"{n} - element_at(days, -1).temperal_seq)")
+    day_map = "map_from_arrays(transform(days, x -> x.temperal_seq), p)"
+    cols = [*KS, F.col("sum_click"),
+            *[e(f"try_divide(CAST(aggregate(filter(flat, y -> y.activity_type = '{a}'), CAST(0 AS BIGINT), "
+                f"(s, y) -> s + y.c) AS DOUBLE), CAST(NULLIF(known, 0) AS DOUBLE))").alias(a) for a in acts],
+            *[e(f"coalesce(try_element_at({day_map}, CAST({d} AS BIGINT)), 0D)").alias(f"day_{d}") for d in range(1, n + 1)],
+            F.array_max("p").alias("peak"),
+            ln_or_null(e(var)).alias("variation"),
+            e(kurt).alias("kurtosis"),
+            e(gaps).cast("long").alias("longest_zeros"),
+            e(runs).cast("long").alias("longest_ones"),
+            e("-aggregate(p, 0D, (s, x) -> s + x * log2(x))").alias("entropy")]
+    return seg.select(*cols)
 
 
 # ---------------------------------------------------------------- H9: info x engagement

@@ -2,7 +2,7 @@
 
 No click data ships with the project, so the seven tables are derived from the generated
 star-schema tables (customer, nation, part, lineitem, orders, events) by fixed rules. The
-same rules are written as SQL for the DuckDB oracle in ``coursepulse.plans.oracle``.
+same rules are written as SQL for the DuckDB oracle in ``coursepulse.plans.mapping_sql``.
 """
 
 from __future__ import annotations
@@ -47,13 +47,38 @@ def _term(key: Column) -> Column:
     return _pick(key, TERMS)
 
 
+# Columns of the generated tables that the mapping reads, with their stored types. Reading with a
+# given schema skips the schema-discovery job and prunes the other columns at the scan.
+SOURCE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "part": "p_partkey BIGINT, p_size INT",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE, l_discount DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, value DOUBLE",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+# row counts of small derived tables, checked once per data folder and session
+_CHECKED: dict[tuple[str, str, str], int] = {}
+
+
+def _checked_bound(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, max_rows: int) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count()
+    return mark_bounded(df, _CHECKED[key])
 
 
 def student_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
-    n = bounded_broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"), 10_000)
+    nation = _checked_bound(spark, sf_dir, "nation", _read(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
+                            10_000)
+    n = bounded_broadcast(nation, 10_000)
     key = F.col("c_custkey")
     edu = None
     for seg, label in EDUCATION_BY_SEGMENT.items():
@@ -133,13 +158,14 @@ def student_vle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part")
     key = F.col("p_partkey")
-    return p.where(key < 60).select(
+    out = p.where(key < 60).select(
         _module(key).alias("code_module"),
         _term(key).alias("code_presentation"),
         key.cast("long").alias("id_assessment"),
         F.when(key % 17 == 0, F.lit(None).cast("long")).otherwise(10 + F.col("p_size")).cast("long").alias("date"),
         F.lit(10.0).alias("weight"),
     )
+    return _checked_bound(spark, sf_dir, "assessments", out, 1_000_000)
 
 
 def student_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
