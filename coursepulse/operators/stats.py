@@ -103,6 +103,20 @@ def activity_date_profile(clicks_sites: DataFrame, info: DataFrame, outcome: str
         outcome, "activity_type", "date", (F.col("mean_clicks") / F.col("tot")).alias("share"))
 
 
+def sample_kurtosis(col: str) -> F.Column:
+    """Bias-corrected excess kurtosis (pandas' definition) as an aggregate expression.
+
+    From Spark's population excess kurtosis g2 over n values:
+    G2 = ((n + 1) g2 + 6) (n - 1) / ((n - 2) (n - 3)); 0 for a constant column, NULL below 4 values.
+    """
+    x = F.col(col).cast("double")
+    n = F.count(x).cast("double")
+    g2 = F.kurtosis(x)
+    g = ((n + 1) * g2 + 6) * (n - 1) / ((n - 2) * (n - 3))
+    return (F.when(n < 4, F.lit(None).cast("double"))
+            .when(F.var_pop(x) <= 1e-28, F.lit(0.0)).otherwise(g))
+
+
 # ---------------------------------------------------------------- E30: histograms
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Counts in ``bins`` equal-width bins of [lo, hi) (values at ``hi`` in the last bin)."""
