@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coursepulse.functions.dims import DEFAULT_MAX_ROWS, row_bound
 from coursepulse.operators.features import DuplicateIndex
 
 
@@ -43,7 +44,16 @@ def merge_with_indicator(left: DataFrame, right: DataFrame, on: Sequence[str], h
     lf, rf = "__in_left", "__in_right"
     l2 = left.withColumn(lf, F.lit(True))
     r2 = right.withColumn(rf, F.lit(True))
-    j = l2.join(r2, list(on), "full_outer" if how == "outer" else how)
+    bound = row_bound(right)
+    if how == "outer" and bound is not None and bound <= DEFAULT_MAX_ROWS:
+        # full outer join with a small right side: the large side is never shuffled on the key
+        # (one key may hold a large share of it); right rows without a match come from an anti
+        # join against the large side's distinct keys
+        matched = l2.join(F.broadcast(r2), list(on), "left")
+        unmatched = r2.join(left.select(*on).distinct(), list(on), "left_anti")
+        j = matched.unionByName(unmatched, allowMissingColumns=True)
+    else:
+        j = l2.join(r2, list(on), "full_outer" if how == "outer" else how)
     ind = (F.when(F.col(lf).isNotNull() & F.col(rf).isNotNull(), "both")
            .when(F.col(lf).isNotNull(), "left_only").otherwise("right_only"))
     return j.withColumn(name, ind).drop(lf, rf)

@@ -184,3 +184,15 @@ def activity_daily(student_vle: DataFrame, vle: DataFrame, how: str = "left") ->
     return (clicks_with_sites(student_vle, vle, how)
             .groupBy(*K3, "date", "activity_type")
             .agg(F.sum("sum_click").alias("sum_click")))
+
+
+def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``left LEFT JOIN right`` for a right side with many (possibly very skewed) rows per key.
+
+    Written as an inner join (whose skewed partitions adaptive execution can split on either
+    side) plus the left rows without a match (anti join against the right side's distinct keys,
+    which partial aggregation makes small). A plain left join cannot split the right side.
+    """
+    inner = left.join(right, list(on), "inner")
+    unmatched = left.join(right.select(*on).distinct(), list(on), "left_anti")
+    return inner.unionByName(unmatched, allowMissingColumns=True)

@@ -44,19 +44,25 @@ def activity_matrix(maps: DataFrame, activities: Sequence[str] = ACTIVITIES) ->
 def entropy_base(student_vle: DataFrame, vle: DataFrame, assessments: DataFrame, info: DataFrame,
                  registration: DataFrame, unregistered_by: int = 7) -> DataFrame:
     """Clicks up to the first assessment (no early withdrawals), summed per (K3, date, activity) with
-    the mean assessment date and mean outcome code (Pass/Distinction 0, Fail 1, Withdrawn 2)."""
+    the mean assessment date and mean outcome code (Pass/Distinction 0, Fail 1, Withdrawn 2).
+
+    The per-course test date comes through a broadcast join and the clicks are aggregated before
+    the per-student attributes are joined, so the student-key join sees at most one row per
+    (student, day, activity); the per-student filter commutes with the aggregation.
+    """
     first = bounded_broadcast(first_assessment(assessments)).withColumnRenamed(
         "first_assessment_date", "date_assessment")
     outcome = F.create_map(*[x for k, v in PASS_FAIL_WITHDRAWN.items() for x in (F.lit(k), F.lit(v))])
     reg = info.join(registration.select(*K3, "date_unregistration"), K3, "inner").select(
         *K3, "date_unregistration", F.try_element_at(outcome, F.col("final_result")).alias("final_result"))
-    j = clicks_with_sites(student_vle, vle, "left").join(first, K2, "left").join(reg, K3, "left")
-    keep = (F.col("date") <= F.col("date_assessment")) & \
-        ~F.coalesce(F.col("date_unregistration") <= unregistered_by, F.lit(False))
-    return (j.where(keep & F.col("activity_type").isNotNull())
-            .groupBy(*K3, "date", "activity_type")
-            .agg(F.avg("date_assessment").alias("date_assessment"), F.sum("sum_click").alias("sum_click"),
-                 F.avg("final_result").alias("final_result")))
+    agg = (clicks_with_sites(student_vle, vle, "left").join(first, K2, "left")
+           .where((F.col("date") <= F.col("date_assessment")) & F.col("activity_type").isNotNull())
+           .groupBy(*K3, "date", "activity_type")
+           .agg(F.avg("date_assessment").alias("date_assessment"), F.sum("sum_click").alias("sum_click")))
+    keep = ~F.coalesce(F.col("date_unregistration") <= unregistered_by, F.lit(False))
+    return (agg.join(reg, K3, "left").where(keep)
+            .select(*K3, "date", "activity_type", "date_assessment", "sum_click",
+                    F.col("final_result").cast("double").alias("final_result")))
 
 
 def joint_distribution(base: DataFrame, ignore_neg_date: bool = True,

@@ -96,8 +96,12 @@ def mean_daily_curve(dense: DataFrame, info: DataFrame, value: str = "sum_click"
 
 def activity_date_profile(clicks_sites: DataFrame, info: DataFrame, outcome: str = "final_result") -> DataFrame:
     """Mean clicks per (outcome, activity, day), normalised to sum 1 within each outcome."""
-    j = clicks_sites.join(info.select(*K3, outcome), K3, "inner")
-    m = j.groupBy(outcome, "activity_type", "date").agg(F.avg("sum_click").alias("mean_clicks"))
+    # mean over click rows = sum / count: both are summed per student first, so the student-key
+    # join reads one row per (student, activity, day) instead of every click
+    per = clicks_sites.groupBy(*K3, "activity_type", "date").agg(
+        F.sum("sum_click").alias("s"), F.count(F.lit(1)).alias("c"))
+    j = per.join(info.select(*K3, outcome), K3, "inner")
+    m = j.groupBy(outcome, "activity_type", "date").agg((F.sum("s") / F.sum("c")).alias("mean_clicks"))
     tot = m.groupBy(outcome).agg(F.sum("mean_clicks").alias("tot"))
     return m.join(bounded_broadcast(tot, 10_000), outcome).select(
         outcome, "activity_type", "date", (F.col("mean_clicks") / F.col("tot")).alias("share"))

@@ -1,6 +1,7 @@
 """Double-typed output columns of each registered query (generated by tests/oracle.py --doubles)."""
 
 OUTPUT_DOUBLES: dict[str, list[str]] = {
+    'a6_feature_table_sink': ['responce', 'regularity_indicator_pwd'],
     'd15_merge_inner': ['responce'],
     'd15_merge_outer': ['responce'],
     'e17_pre_test_aggregate': ['date_assessment', 'final_result'],
@@ -24,6 +25,7 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'e29_activity_date_profile': ['share'],
     'e30_consistency_quartiles': ['q', 'value'],
     'e8_activity_shares': ['share'],
+    'e9_day_shares': ['share'],
     'f10_procrastination': ['proc1', 'proc2', 'proc3'],
     'f10_procrastination_range': ['proc1', 'proc2', 'proc3'],
     'f10_procrastination_third_test': ['proc1', 'proc2', 'proc3'],
@@ -32,12 +34,16 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'f1_time_regularity_shifted': ['regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_ws2', 'regularity_indicator_ws3', 'regularity_indicator_fwd'],
     'f7_activity_regularity': ['concentration', 'consistency'],
     'f7_activity_regularity_range': ['concentration', 'consistency'],
+    'g10_outcome_maps': ['fail_vs_pass'],
     'g11_band_average': ['imd_band', 'age_band'],
     'g13_demographics': ['responce', 'imd_band', 'age_band'],
+    'g15_fill_zero': ['regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_ws2', 'regularity_indicator_ws3', 'regularity_indicator_fwd'],
+    'g15_impute_mean': ['regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_fwd'],
     'g1_numeric_batch': ['value'],
     'g9_response': ['responce'],
     'g9_response_keep_other': ['result_group'],
     'h3_merge_response_effort': ['responce'],
+    'h4_response_column': ['responce'],
     'h5_build_features': ['responce', 'num_of_prev_attempts', 'studied_credits', 'date_registration', 'regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_ws2', 'regularity_indicator_ws3', 'regularity_indicator_fwd'],
     'h6_temporal_segment': ['responce', 't1_peak', 't1_entropy', 't2_peak', 't2_entropy'],
     'h6_temporal_segment_0': ['responce', 't0_peak', 't0_entropy'],

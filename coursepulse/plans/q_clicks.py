@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import day_in_segment, segment_of
+from coursepulse.functions.dims import mark_bounded, row_bound
 from coursepulse.operators import checks, clicks
 from coursepulse.operators.features import Feature
 from coursepulse.operators.numbering import number_rows
@@ -129,7 +130,8 @@ FROM student_vle s FULL OUTER JOIN vle v ON s.code_module = v.code_module AND s.
 def d3_full_outer_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks FULL OUTER sites with the merge indicator, counted."""
     raw = _raw(spark, sf_dir)
-    j = checks.merge_with_indicator(raw["student_vle"], raw["vle"].select(*clicks.SITE_KEY, "activity_type"),
+    sites = raw["vle"].select(*clicks.SITE_KEY, "activity_type")
+    j = checks.merge_with_indicator(raw["student_vle"], mark_bounded(sites, row_bound(raw["vle"])),
                                     clicks.SITE_KEY, "outer")
     return checks.indicator_counts(j)
 
@@ -165,7 +167,7 @@ def d8_students_clicks_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-withdrawn students LEFT clicks LEFT sites (students without clicks kept once)."""
     raw = _raw(spark, sf_dir)
     st = raw["student_info"].where(F.col("final_result") != "Withdrawn").select(*K3)
-    j = st.join(raw["student_vle"].select(*K3, "date", "id_site", "sum_click"), K3, "left")
+    j = clicks.left_join_many(st, raw["student_vle"].select(*K3, "date", "id_site", "sum_click"), K3)
     return clicks.clicks_with_sites(j, raw["vle"], "left").select(*K3, "date", "id_site", "sum_click", "activity_type")
 
 

@@ -331,3 +331,79 @@ def h3_merge_response_effort(spark: SparkSession, sf_dir: str) -> DataFrame:
     fd = fp.get_response(raw, [["Pass", "Distinction"], ["Fail"]])
     fd.update(fp.get_effort(raw, 0, 32))
     return fd.merge().data
+
+
+# ---------------------------------------------------------------- G10 / G15 / H4 / A6
+@query("g10_outcome_maps", f"""
+SELECT {K3S},
+ CASE final_result WHEN 'Fail' THEN CAST(1 AS DOUBLE) WHEN 'Withdrawn' THEN NULL ELSE CAST(0 AS DOUBLE) END AS fail_vs_pass,
+ CAST(CASE final_result WHEN 'Withdrawn' THEN 0 WHEN 'Fail' THEN 1 ELSE 2 END AS BIGINT) AS three_level,
+ CASE final_result WHEN 'Distinction' THEN 'Pass' ELSE final_result END AS outcome_group,
+ CAST(CASE final_result WHEN 'Withdrawn' THEN 2 WHEN 'Fail' THEN 1 ELSE 0 END AS BIGINT) AS pass_fail_withdrawn
+FROM student_info""")
+def g10_outcome_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four fixed outcome maps of the legacy flows (an unknown label raises)."""
+    from coursepulse.schema import FAIL_VS_PASS, OUTCOME_GROUP, PASS_FAIL_WITHDRAWN, THREE_LEVEL
+    si = fixture_tables(spark, sf_dir)["student_info"]
+    return si.select(*K3, encode.map_outcome("final_result", FAIL_VS_PASS).cast("double").alias("fail_vs_pass"),
+                     encode.map_outcome("final_result", THREE_LEVEL).cast("long").alias("three_level"),
+                     encode.map_outcome("final_result", OUTCOME_GROUP).alias("outcome_group"),
+                     encode.map_outcome("final_result", PASS_FAIL_WITHDRAWN).cast("long").alias("pass_fail_withdrawn"))
+
+
+_REG_COLS = ("regularity_indicator_pwd", "regularity_indicator_ws1", "regularity_indicator_ws2",
+             "regularity_indicator_ws3", "regularity_indicator_fwd")
+
+
+@query("g15_fill_zero", _FLAG_SQL + f"""
+SELECT si.code_module, si.code_presentation, si.id_student,
+ {", ".join(f"COALESCE(round(r.{m}, 6), 0) AS regularity_indicator_{m}" for m in ("pwd", "ws1", "ws2", "ws3", "fwd"))},
+ CAST(COALESCE(r.effort, 0) AS BIGINT) AS effort
+FROM si LEFT JOIN r_all r ON r.code_module = si.code_module AND r.code_presentation = si.code_presentation
+ AND r.id_student = si.id_student WHERE final_result IN ('Pass', 'Distinction', 'Fail')""")
+def g15_fill_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table of the training terms with missing click features set to 0."""
+    df = fp.build_features(_train(spark, sf_dir))
+    return encode.fill_zero(df.select(*K3, *_REG_COLS, "effort"))
+
+
+@query("g15_impute_mean", _FLAG_SQL + f""",
+f AS (SELECT si.code_module, si.code_presentation, si.id_student, {", ".join(f"r.{m}" for m in ("pwd", "ws1", "fwd"))}
+ FROM si LEFT JOIN r_all r ON r.code_module = si.code_module AND r.code_presentation = si.code_presentation
+ AND r.id_student = si.id_student WHERE final_result IN ('Pass', 'Distinction', 'Fail'))
+SELECT {K3S}, {", ".join(f"COALESCE({m}, (SELECT avg({m}) FROM f)) AS regularity_indicator_{m}" for m in ("pwd", "ws1", "fwd"))}
+FROM f""")
+def g15_impute_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing regularity values replaced by the column mean (one aggregate for all columns)."""
+    cols = ["regularity_indicator_pwd", "regularity_indicator_ws1", "regularity_indicator_fwd"]
+    df = fp.build_features(_train(spark, sf_dir)).select(*K3, *cols)
+    return encode.fill_mean(df, cols)
+
+
+@query("h4_response_column", f"""
+SELECT {K3S}, CASE WHEN final_result IN ('Pass', 'Distinction') THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS responce
+FROM student_info WHERE code_presentation IN {TRAIN_IN} AND final_result IN ('Pass', 'Distinction', 'Fail')""")
+def h4_response_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """y of the X / y split of the merged feature table (the first value column)."""
+    from coursepulse.operators.features import split_xy
+    _, y = split_xy(fp.build_features(_train(spark, sf_dir)), K3)
+    return y
+
+
+@query("a6_feature_table_sink", _FLAG_SQL + f"""
+SELECT si.code_module, si.code_presentation, si.id_student,
+ CASE WHEN final_result IN ('Pass', 'Distinction') THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS responce,
+ r.effort, round(r.pwd, 6) AS regularity_indicator_pwd
+FROM si LEFT JOIN r_all r ON r.code_module = si.code_module AND r.code_presentation = si.code_presentation
+ AND r.id_student = si.id_student WHERE final_result IN ('Pass', 'Distinction', 'Fail')""")
+def a6_feature_table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table written as parquet partitioned by term (in the shared checkpoint folder) and read back."""
+    import os
+    import uuid
+
+    from coursepulse.session import ensure_checkpoint_dir
+    from coursepulse.sources.sinks import write_feature_table
+    df = fp.build_features(_train(spark, sf_dir)).select(*K3, "responce", "effort", "regularity_indicator_pwd")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"feature-table-{uuid.uuid4().hex}")
+    write_feature_table(df, path)
+    return spark.read.parquet(path).select(*K3, "responce", "effort", "regularity_indicator_pwd")

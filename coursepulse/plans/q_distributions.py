@@ -263,3 +263,17 @@ ent AS (SELECT * FROM ej JOIN ed USING ({K3J}) JOIN ea USING ({K3J}))"""
 def e21_entropies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joint, day and activity entropy (base 2) of each student's pre-test clicks, with outcome code."""
     return dist.entropies(_bft(spark, sf_dir))
+
+
+@query("e9_day_shares", f"""
+j AS (SELECT s.code_module, s.code_presentation, s.id_student, CAST(ceil(s.date / CAST(7 AS DOUBLE)) AS BIGINT) AS temperal_seg,
+  CAST(s.date - (ceil(s.date / CAST(7 AS DOUBLE)) - 1) * 7 AS BIGINT) AS temperal_seq, s.sum_click FROM student_vle s),
+d AS (SELECT {K3J}, temperal_seg, temperal_seq, sum(sum_click) AS c FROM j GROUP BY ALL)
+SELECT {K3J}, temperal_seg, temperal_seq, CAST(c AS DOUBLE) / sum(c) OVER (PARTITION BY {K3J}, temperal_seg) AS share FROM d""")
+def e9_day_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of clicks per day inside each (student, 7-day segment), long form (days with clicks)."""
+    from pyspark.sql import Window
+    raw = _raw(spark, sf_dir)
+    base = flows.segment_base(raw["student_vle"], raw["vle"], SEG_DAYS)
+    d = base.groupBy(*flows.KS, flows.DAY).agg(F.sum("c").alias("c"))
+    return d.select(*flows.KS, flows.DAY, (F.col("c") / F.sum("c").over(Window.partitionBy(*flows.KS))).alias("share"))
