@@ -236,11 +236,11 @@ def threshold_f1(scored: DataFrame, thresholds: Sequence[float] | None = None) -
     dense = ks.join(F.broadcast(per), "k", "left").na.fill(0, ["pos", "neg"])
     above = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     suffix = dense.select((F.col("k") - 1).alias("i"), F.sum("pos").over(above).alias("tp"),
-                          F.sum("neg").over(above).alias("fp"))
-    n_pos = scored.agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("long")).scalar()
+                          F.sum("neg").over(above).alias("fp"),
+                          F.sum("pos").over(Window.partitionBy()).alias("n_pos"))
     grid = spark.createDataFrame([(i, float(t)) for i, t in enumerate(ts)], "i long, threshold double")
     g = grid.join(F.broadcast(suffix), "i", "inner")
-    tp, fp = F.col("tp"), F.col("fp")
+    tp, fp, n_pos = F.col("tp"), F.col("fp"), F.col("n_pos")
     f1 = F.coalesce(safe_div((2 * tp).cast("double"), (2 * tp + fp + (n_pos - tp)).cast("double")), F.lit(0.0))
     return g.select("threshold", tp.alias("tp"), fp.alias("fp"), f1.alias("f1"))
 

@@ -33,9 +33,8 @@ def effort_scored(raw: dict[str, DataFrame], term: str = "2014J") -> DataFrame:
     fd = fp.get_response(test, [["Pass", "Distinction"], ["Fail"]], response_name="label")
     fd.update(fp.get_effort(test, 0, 32))
     x = fd.merge().data.withColumn("effort", F.coalesce(F.col("effort"), F.lit(0)).cast("double"))
-    mu = x.agg(F.avg("effort")).scalar()
-    sd = x.agg(F.stddev_samp("effort")).scalar()
-    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("effort") - mu) / sd))
+    st = x.agg(F.struct(F.avg("effort").alias("mu"), F.stddev_samp("effort").alias("sd"))).scalar()
+    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("effort") - st["mu"]) / st["sd"]))
     return x.select(*K3, "label", s.alias("score"),
                     F.when(s > 0.5, F.lit(1.0)).otherwise(F.lit(0.0)).alias("prediction"))
 

@@ -187,16 +187,68 @@ def student_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class _LazyTables(dict):
+    """Table container that builds each view on first access (analysis of unused views skipped)."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name):
+        if name not in self._builders:
+            raise KeyError(name)
+        value = self._builders[name]()
+        self[name] = value
+        return value
+
+    def _all(self):
+        for name in self._builders:
+            self[name]  # noqa: B018 - builds the view
+        return self
+
+    def keys(self):
+        return dict.keys(self._all())
+
+    def items(self):
+        return dict.items(self._all())
+
+    def values(self):
+        return dict.values(self._all())
+
+    def __iter__(self):
+        return iter(dict.keys(self._all()))
+
+    def __len__(self):
+        return len(self._builders)
+
+    def __contains__(self, name):
+        return name in self._builders
+
+    def get(self, name, default=None):
+        return self[name] if name in self._builders else default
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All seven cohort tables over the generated parquet at ``sf_dir`` (lazy)."""
-    info = student_info(spark, sf_dir)
-    crs = courses(info)
-    return {
+    """All seven cohort tables over the generated parquet at ``sf_dir`` (lazy; each view is
+    analysed on first use)."""
+    cache: dict[str, DataFrame] = {}
+
+    def info():
+        if "info" not in cache:
+            cache["info"] = student_info(spark, sf_dir)
+        return cache["info"]
+
+    def crs():
+        if "courses" not in cache:
+            cache["courses"] = courses(info())
+        return cache["courses"]
+
+    return _LazyTables({
         "courses": crs,
-        "assessments": assessments(spark, sf_dir),
+        "assessments": lambda: assessments(spark, sf_dir),
         "student_info": info,
-        "student_registration": student_registration(info),
-        "student_assessment": student_assessment(spark, sf_dir),
-        "vle": vle(spark, sf_dir, crs),
-        "student_vle": student_vle(spark, sf_dir),
-    }
+        "student_registration": lambda: student_registration(info()),
+        "student_assessment": lambda: student_assessment(spark, sf_dir),
+        "vle": lambda: vle(spark, sf_dir, crs()),
+        "student_vle": lambda: student_vle(spark, sf_dir),
+    })
