@@ -70,7 +70,8 @@ def joint_distribution(base: DataFrame, ignore_neg_date: bool = True,
     """Dense joint distribution of a student's clicks over days x activities (zeros included).
 
     Days run from min(0, first day) to int(mean assessment date); activities are the ones present
-    in ``base`` (or the given list). One row per (K3, date, activity_type) with the share ``p``.
+    in ``base`` (or the given list). One row per (K3, date, activity_type) with the cell's clicks
+    (0 for an empty cell), the student's total and the share ``p = clicks / student_clicks``.
     """
     src = base.where(F.col("date") >= 0) if ignore_neg_date else base
     acts = list(activities) if activities is not None else sorted(
@@ -86,18 +87,20 @@ def joint_distribution(base: DataFrame, ignore_neg_date: bool = True,
     grid = grid.select(*K3, "tot", "m", F.col("date").cast("long").alias("date"),
                        F.explode(F.array(*[F.lit(a) for a in acts])).alias("activity_type"))
     key = F.concat_ws("|", F.col("date").cast("string"), F.col("activity_type"))
-    return grid.select(*K3, "date", "activity_type",
-                       (F.coalesce(F.try_element_at("m", key), F.lit(0)) / F.col("tot")).alias("p"))
+    c = F.coalesce(F.try_element_at("m", key), F.lit(0)).cast("long")
+    return grid.select(*K3, "date", "activity_type", c.alias("clicks"), F.col("tot").cast("long").alias("student_clicks"),
+                       (c / F.col("tot")).alias("p"))
 
 
 def marginal_by_activity(joint: DataFrame) -> DataFrame:
-    """Sum of the joint over the days (per activity)."""
-    return joint.groupBy(*K3, "activity_type").agg(F.sum("p").alias("p"))
+    """Sum of the joint over the days (per activity), as summed clicks over the student's total."""
+    return joint.groupBy(*K3, "activity_type").agg(
+        (F.sum("clicks") / F.max("student_clicks")).alias("p"))
 
 
 def marginal_by_date(joint: DataFrame) -> DataFrame:
-    """Sum of the joint over the activities (per day)."""
-    return joint.groupBy(*K3, "date").agg(F.sum("p").alias("p"))
+    """Sum of the joint over the activities (per day), as summed clicks over the student's total."""
+    return joint.groupBy(*K3, "date").agg((F.sum("clicks") / F.max("student_clicks")).alias("p"))
 
 
 def flatten_joint(joint: DataFrame) -> DataFrame:
@@ -116,11 +119,11 @@ def entropies(base: DataFrame, ignore_neg_date: bool = True) -> DataFrame:
     src = src.where(F.col("date") <= F.col("date_assessment").cast("long"))
     src = src.repartition(*K3)
     tot = Window.partitionBy(*K3)
-    cells = src.withColumn("p", F.col("sum_click") / F.sum("sum_click").over(tot))
+    cells = src.withColumn("tot", F.sum("sum_click").over(tot)).withColumn("p", F.col("sum_click") / F.col("tot"))
     joint = cells.groupBy(*K3).agg(F.sum(entropy_term(F.col("p"))).alias("entropy_joint"),
                                    F.avg("final_result").alias("result"))
-    by_date = cells.groupBy(*K3, "date").agg(F.sum("p").alias("p")).groupBy(*K3).agg(
+    by_date = cells.groupBy(*K3, "date").agg((F.sum("sum_click") / F.max("tot")).alias("p")).groupBy(*K3).agg(
         F.sum(entropy_term(F.col("p"))).alias("entropy_date"))
-    by_act = cells.groupBy(*K3, "activity_type").agg(F.sum("p").alias("p")).groupBy(*K3).agg(
+    by_act = cells.groupBy(*K3, "activity_type").agg((F.sum("sum_click") / F.max("tot")).alias("p")).groupBy(*K3).agg(
         F.sum(entropy_term(F.col("p"))).alias("entropy_acty"))
     return joint.join(by_date, K3).join(by_act, K3).select(*K3, "entropy_joint", "entropy_date", "entropy_acty", "result")

@@ -223,21 +223,22 @@ acts AS (SELECT DISTINCT activity_type FROM src),
 grid AS (SELECT per.*, g.date, a.activity_type FROM per
   JOIN (SELECT range AS date FROM range(-400, 400)) g ON g.date BETWEEN per.d0 AND per.d1 CROSS JOIN acts a),
 joint AS (SELECT grid.code_module, grid.code_presentation, grid.id_student, grid.date, grid.activity_type,
+  CAST(COALESCE(src.sum_click, 0) AS BIGINT) AS clicks, CAST(grid.tot AS BIGINT) AS student_clicks,
   CAST(COALESCE(src.sum_click, 0) AS DOUBLE) / grid.tot AS p FROM grid LEFT JOIN src USING ({K3J}, date, activity_type))"""
 
 
-@query("e18_joint_distribution", _JOINT + f"\nSELECT {K3J}, CAST(date AS BIGINT) AS date, activity_type, p FROM joint")
+@query("e18_joint_distribution", _JOINT + f"\nSELECT {K3J}, CAST(date AS BIGINT) AS date, activity_type, clicks, student_clicks, p FROM joint")
 def e18_joint_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense day x activity distribution of every student's pre-test clicks (all students in one job)."""
     return dist.joint_distribution(_bft(spark, sf_dir))
 
 
-@query("e19_marginal_by_activity", _JOINT + f"\nSELECT {K3J}, activity_type, sum(p) AS p FROM joint GROUP BY ALL")
+@query("e19_marginal_by_activity", _JOINT + f"\nSELECT {K3J}, activity_type, CAST(sum(clicks) AS DOUBLE) / max(student_clicks) AS p FROM joint GROUP BY ALL")
 def e19_marginal_by_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dist.marginal_by_activity(dist.joint_distribution(_bft(spark, sf_dir)))
 
 
-@query("e19_marginal_by_date", _JOINT + f"\nSELECT {K3J}, CAST(date AS BIGINT) AS date, sum(p) AS p FROM joint GROUP BY ALL")
+@query("e19_marginal_by_date", _JOINT + f"\nSELECT {K3J}, CAST(date AS BIGINT) AS date, CAST(sum(clicks) AS DOUBLE) / max(student_clicks) AS p FROM joint GROUP BY ALL")
 def e19_marginal_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dist.marginal_by_date(dist.joint_distribution(_bft(spark, sf_dir)))
 
@@ -252,10 +253,13 @@ def e20_flatten_joint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ENT = _BFT + f""",
 src AS (SELECT * FROM bft WHERE date >= 0),
-cells AS (SELECT *, CAST(sum_click AS DOUBLE) / sum(sum_click) OVER (PARTITION BY {K3J}) AS p FROM src),
+cells AS (SELECT *, sum(sum_click) OVER (PARTITION BY {K3J}) AS t,
+  CAST(sum_click AS DOUBLE) / sum(sum_click) OVER (PARTITION BY {K3J}) AS p FROM src),
 ej AS (SELECT {K3J}, -sum(p * log2(p)) AS entropy_joint, avg(final_result) AS result FROM cells GROUP BY ALL),
-ed AS (SELECT {K3J}, -sum(p * log2(p)) AS entropy_date FROM (SELECT {K3J}, date, sum(p) AS p FROM cells GROUP BY ALL) GROUP BY ALL),
-ea AS (SELECT {K3J}, -sum(p * log2(p)) AS entropy_acty FROM (SELECT {K3J}, activity_type, sum(p) AS p FROM cells GROUP BY ALL) GROUP BY ALL),
+ed AS (SELECT {K3J}, -sum(p * log2(p)) AS entropy_date FROM (SELECT {K3J}, date,
+  CAST(sum(sum_click) AS DOUBLE) / max(t) AS p FROM cells GROUP BY ALL) GROUP BY ALL),
+ea AS (SELECT {K3J}, -sum(p * log2(p)) AS entropy_acty FROM (SELECT {K3J}, activity_type,
+  CAST(sum(sum_click) AS DOUBLE) / max(t) AS p FROM cells GROUP BY ALL) GROUP BY ALL),
 ent AS (SELECT * FROM ej JOIN ed USING ({K3J}) JOIN ea USING ({K3J}))"""
 
 
