@@ -36,6 +36,15 @@ def _top_values(df: DataFrame, cols: Sequence[str], n: int, allowed: dict[str, l
     return out
 
 
+def extract_column(raw: dict[str, DataFrame], table: str, column: str, check_keys: bool = True) -> DataFrame:
+    """One column of a table with the table's key columns; the key must be unique."""
+    df = raw[table]
+    keys = KEYS[table]
+    if check_keys:
+        checks.assert_unique_keys(df, keys)
+    return df.select(*keys, column)
+
+
 def get_feature_batch(raw: dict[str, DataFrame], feature_list: Sequence[tuple[str, str]],
                       preprocessors: Sequence, check_keys: bool = True) -> FeatureDict:
     """Extract, fit and encode each (table, column); the last preprocessor repeats for the rest."""

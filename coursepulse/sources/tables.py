@@ -20,20 +20,19 @@ def _names(names: Iterable[str] | None) -> list[str]:
 
 
 def load_csv_tables(spark: SparkSession, path: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """Read the public data set's CSV files (header row, fixed schema) into a dict of lazy tables.
+    """Read the public data set's CSV files into a dict of lazy tables (``names`` selects a subset).
 
-    ``names`` selects a subset; all seven tables are read by default.
+    The column names come from the header row (files may hold a subset of the columns, in any
+    order); the types come from the fixed schema, never from inference. Empty fields are NULL
+    and a value that does not parse as its type becomes NULL.
     """
     out = {}
     for name in _names(names):
-        out[name] = (
-            spark.read.schema(SCHEMAS[name])
-            .option("header", True)
-            .option("mode", "FAILFAST")
-            .option("nullValue", "")
-            .option("enforceSchema", False)
-            .csv(os.path.join(path, CSV_FILES[name]))
-        )
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(os.path.join(path, CSV_FILES[name]))
+        types = {f.name: f.dataType for f in SCHEMAS[name].fields}
+        cols = [F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in types if c in raw.columns]
+        extra = [F.col(f"`{c}`") for c in raw.columns if c not in types]
+        out[name] = raw.select(*cols, *extra)
     return out
 
 
