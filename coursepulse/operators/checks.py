@@ -16,16 +16,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > 1).withColumnRenamed("count", "n")
 
 
-_UNIQUE = "_coursepulse_unique_keys"
+UNIQUE_ATTR = "_coursepulse_unique_keys"
 
 
 def known_unique(df: DataFrame, keys: Sequence[str]) -> bool:
     """True when ``keys`` were already checked unique on this frame."""
-    return tuple(keys) in getattr(df, _UNIQUE, set())
+    return tuple(keys) in getattr(df, UNIQUE_ATTR, set())
 
 
 def mark_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    setattr(df, _UNIQUE, getattr(df, _UNIQUE, set()) | {tuple(keys)})
+    setattr(df, UNIQUE_ATTR, getattr(df, UNIQUE_ATTR, set()) | {tuple(keys)})
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:

@@ -43,7 +43,12 @@ def train_test_split_df(df: DataFrame, assessments: DataFrame | None = None,
 
 
 def _keep_bound(child: DataFrame, parent: DataFrame) -> DataFrame:
+    """A row filter keeps the parent's row bound and its checked unique keys."""
+    from coursepulse.operators import checks
+
     bound = row_bound(parent)
+    for keys in getattr(parent, checks.UNIQUE_ATTR, set()):
+        checks.mark_unique(child, keys)
     return mark_bounded(child, bound) if bound is not None else child
 
 

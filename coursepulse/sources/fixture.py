@@ -12,7 +12,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursepulse.functions.dims import bounded_broadcast, mark_bounded
+from coursepulse.functions.dims import bounded_broadcast, mark_bounded, row_bound
 
 # --- fixed values of the mapping -------------------------------------------------------------------
 MODULES = ["AAA", "BBB", "CCC"]  # by key % 3
@@ -74,6 +74,41 @@ def _checked_bound(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, m
     return mark_bounded(df, _CHECKED[key])
 
 
+# small dimension views (at most a few hundred rows by construction or by check), materialised
+# once per data folder and session as local relations: later plans embed them instead of
+# recomputing them from the large tables they are derived from
+_SMALL: dict[tuple[str, str, str], DataFrame] = {}
+SMALL_ROWS = 100_000
+
+
+_UNIQUE_CHECKED: dict[tuple[str, str, str], bool] = {}
+
+
+def _checked_unique(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """Check the table key once per data folder and session; the verdict is kept on the frame."""
+    from coursepulse.operators import checks
+    from coursepulse.schema import KEYS
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    if key not in _UNIQUE_CHECKED:
+        checks.assert_unique_keys(df, KEYS[name])
+        _UNIQUE_CHECKED[key] = True
+    checks.mark_unique(df, KEYS[name])
+    return df
+
+
+def _materialised(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    if key not in _SMALL:
+        df = build()
+        bound = row_bound(df)
+        if bound is None or bound > SMALL_ROWS:
+            return df
+        rows = df.limit(SMALL_ROWS + 1).collect()
+        _SMALL[key] = mark_bounded(spark.createDataFrame(rows, df.schema), len(rows))
+    return _SMALL[key]
+
+
 def student_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     nation = _checked_bound(spark, sf_dir, "nation", _read(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
@@ -235,20 +270,19 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     def info():
         if "info" not in cache:
-            cache["info"] = student_info(spark, sf_dir)
+            cache["info"] = _checked_unique(spark, sf_dir, "student_info", student_info(spark, sf_dir))
         return cache["info"]
 
     def crs():
-        if "courses" not in cache:
-            cache["courses"] = courses(info())
-        return cache["courses"]
+        return _materialised(spark, sf_dir, "courses", lambda: courses(info()))
 
     return _LazyTables({
         "courses": crs,
-        "assessments": lambda: assessments(spark, sf_dir),
+        "assessments": lambda: _materialised(spark, sf_dir, "assessments", lambda: assessments(spark, sf_dir)),
         "student_info": info,
-        "student_registration": lambda: student_registration(info()),
+        "student_registration": lambda: _checked_unique(spark, sf_dir, "student_registration",
+                                                        student_registration(info())),
         "student_assessment": lambda: student_assessment(spark, sf_dir),
-        "vle": lambda: vle(spark, sf_dir, crs()),
+        "vle": lambda: _materialised(spark, sf_dir, "vle", lambda: vle(spark, sf_dir, crs())),
         "student_vle": lambda: student_vle(spark, sf_dir),
     })
