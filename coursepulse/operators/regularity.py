@@ -66,15 +66,23 @@ WS3_TERM = ("(1.0D - aggregate(zip_with({a}, {b}, (p, q) -> CASE WHEN p + q > 0
 
 
 def time_regularity(daily: DataFrame, start: int, end: int,
-                    metrics: Sequence[str] = TIME_METRICS, prefix: str = REGULARITY_PREFIX) -> DataFrame:
-    """Time-regularity metrics per student with any click (NULL when no click is in the window)."""
+                    metrics: Sequence[str] = TIME_METRICS, prefix: str = REGULARITY_PREFIX,
+                    with_effort: bool = False) -> DataFrame:
+    """Time-regularity metrics per student with any click (NULL when no click is in the window).
+
+    ``with_effort`` also returns the clicks inside the window (``effort``) from the same aggregate.
+    """
     unknown = set(metrics) - set(TIME_METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
     n_days = end - start + 1
     seq = F.collect_list(F.when(in_window(start, end), F.struct(
         (F.col("date") - F.lit(start)).alias("t"), F.col("sum_click").cast("double").alias("w"))))
-    g = daily.groupBy(*K3).agg(seq.alias("seq"))
+    aggs = [seq.alias("seq")]
+    if with_effort:
+        inside = F.sum(F.when(in_window(start, end), F.col("sum_click")))
+        aggs.append(F.coalesce(inside, F.lit(0)).cast("long").alias("effort"))
+    g = daily.groupBy(*K3).agg(*aggs)
     g = g.withColumn("m", F.expr("map_from_entries(transform(seq, x -> struct(x.t, x.w)))"))
     g = g.withColumn("weeks", F.expr("array_sort(array_distinct(transform(seq, x -> x.t div 7)))"))
     g = g.withColumn("n", F.size("weeks"))
@@ -94,7 +102,8 @@ def time_regularity(daily: DataFrame, start: int, end: int,
                 f"pow(aggregate(seq, CAST(0 AS DOUBLE), (s, x) -> s + sin(2 * pi() * x.t / 7)), 2)) "
                 f"/ {float(n_days)!r}D END"),
     }
-    return g.select(*K3, *[F.expr(exprs[m]).alias(f"{prefix}{m}") for m in metrics])
+    extra = ["effort"] if with_effort else []
+    return g.select(*K3, *[F.expr(exprs[m]).alias(f"{prefix}{m}") for m in metrics], *extra)
 
 
 def _resolve_end(clicks: DataFrame, assessments: DataFrame | None, using_testing_dates: int,

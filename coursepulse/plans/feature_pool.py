@@ -165,6 +165,15 @@ def build_features(raw: dict[str, DataFrame], targets=(("Pass", "Distinction"),
     batch = get_feature_batch(raw, NUMERIC_BATCH + CATEGORICAL_BATCH + ORDINAL_BATCH,
                               [num] * len(NUMERIC_BATCH) + [cat] * len(CATEGORICAL_BATCH) + ordinal,
                               check_keys=check_keys)
-    for part in (batch, get_time_regularity(raw, start, end), get_effort(raw, start, end)):
-        fd.update(part)
+    fd.update(batch)
+    # regularity and effort come from one aggregate of the daily clicks per student, so they
+    # fuse into one select and one join with the student rows
+    daily = clicks.daily_clicks(raw["student_vle"])
+    reg = regularity.time_regularity(daily, start, end, TIME_METRICS, with_effort=True)
+    click_feats = FeatureDict()
+    for m in TIME_METRICS:
+        name = REGULARITY_PREFIX + m
+        click_feats[name] = Feature(name, keys=K3, source=reg, columns=[F.col(name)])
+    click_feats["effort"] = Feature("effort", keys=K3, source=reg, columns=[F.col("effort")])
+    fd.update(click_feats)
     return merge_features(fd)
