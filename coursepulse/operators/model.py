@@ -191,19 +191,31 @@ def roc_auc(scored: DataFrame) -> DataFrame:
                             (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
 
 
-def roc_points(scored: DataFrame) -> DataFrame:
-    """ROC points at every distinct score (descending thresholds) plus the origin."""
+def roc_points(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
+    """ROC points at the distinct scores (descending thresholds) plus the origin (threshold inf).
+
+    ``drop_intermediate`` keeps, as scikit-learn does, only the first and last point and the
+    points where the curve bends (a non-zero second difference of the false or true positives);
+    the neighbours are found by an equi-join on the point's position, not by a global window.
+    """
     by = _by_score(scored).withColumn("desc_key", -F.col("score"))
-    cum = running_sums(by, ["desc_key"], ["pos", "neg"])
-    tot = scored.agg(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("P"),
-                     F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).alias("N"))
-    p_all, n_all = tot.select("P").scalar(), tot.select("N").scalar()
-    pts = cum.select(F.col("score").alias("threshold"),
-                     safe_div(F.col("cum_neg").cast("double"), n_all.cast("double")).alias("fpr"),
-                     safe_div(F.col("cum_pos").cast("double"), p_all.cast("double")).alias("tpr"))
+    cum = running_sums(by, ["desc_key"], ["pos", "neg"], count_col="i")
+    tot = scored.agg(F.struct(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("P"),
+                              F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).alias("N"),
+                              F.countDistinct("score").alias("M"))).scalar()
+    pts = cum.select("i", F.col("score").alias("threshold"), F.col("cum_neg").alias("fps"), F.col("cum_pos").alias("tps"))
+    if drop_intermediate:
+        prev = pts.select((F.col("i") + 1).alias("i"), F.col("fps").alias("f0"), F.col("tps").alias("t0"))
+        nxt = pts.select((F.col("i") - 1).alias("i"), F.col("fps").alias("f2"), F.col("tps").alias("t2"))
+        j = pts.join(prev, "i", "left").join(nxt, "i", "left")
+        bend = ((F.col("f0") - 2 * F.col("fps") + F.col("f2")) != 0) | ((F.col("t0") - 2 * F.col("tps") + F.col("t2")) != 0)
+        keep = (tot["M"] <= 2) | F.col("f0").isNull() | F.col("f2").isNull() | bend
+        pts = j.where(keep).select("i", "threshold", "fps", "tps")
+    out = pts.select("threshold", safe_div(F.col("fps").cast("double"), tot["N"].cast("double")).alias("fpr"),
+                     safe_div(F.col("tps").cast("double"), tot["P"].cast("double")).alias("tpr"))
     origin = scored.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"),
                                                  F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return origin.unionByName(pts)
+    return origin.unionByName(out)
 
 
 def confusion_matrix(scored: DataFrame) -> DataFrame:

@@ -21,9 +21,28 @@ from coursepulse.schema import K3
 
 
 # ---------------------------------------------------------------- B14
-def sample_per_outcome(df: DataFrame, col: str, fraction: float, seed: int = 0) -> DataFrame:
-    """Stratified Bernoulli sample with the same fraction in every class (seeded)."""
-    return df.where(F.rand(seed) < F.lit(fraction))
+def sample_per_outcome(df: DataFrame, col: str, fraction: float, seed: int = 0,
+                       keys: Sequence[str] | None = None) -> DataFrame:
+    """Stratified sample with exactly ``round(fraction * n_class)`` rows of every class (as pandas'
+    ``sample(frac=)`` per class), reproducible for a seed.
+
+    Each row gets a uniform number from a hash of its key columns and the seed; the class's
+    k-th smallest number is found with the distributed order statistic, and rows at or below it
+    are kept. Nothing per class is collected; only one threshold per class reaches the driver.
+    """
+    keys = list(keys) if keys else list(df.columns)
+    u = F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)).cast("double") \
+        / F.lit(float(1 << 53))
+    x = df.withColumn("__u", u)
+    counts = x.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).collect()
+    targets = [((r[col],), round(fraction * r["n"]) - 1) for r in counts if round(fraction * r["n"]) > 0]
+    if not targets:
+        return df.limit(0)
+    cuts = order_statistics(x, "__u", targets, by=[col])
+    thr = None
+    for ((g,), _), t in zip(targets, cuts):
+        thr = F.when(F.col(col) == g, F.lit(t)) if thr is None else thr.when(F.col(col) == g, F.lit(t))
+    return x.where(F.col("__u") <= thr).drop("__u")
 
 
 # ---------------------------------------------------------------- E23-E25

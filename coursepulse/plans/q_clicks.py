@@ -86,10 +86,11 @@ def b13_pass_clicks_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("b14_sample_per_outcome")
 def b14_sample_per_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded 10 % sample of the students of each outcome (a sampling operator: rows only)."""
+    """Seeded 10 % sample of the students of each outcome, exact size per outcome (a sampling
+    operator: rows only)."""
     from coursepulse.operators.stats import sample_per_outcome
     si = _raw(spark, sf_dir)["student_info"]
-    return sample_per_outcome(si, "final_result", 0.1, seed=7)
+    return sample_per_outcome(si, "final_result", 0.1, seed=7, keys=K3)
 
 
 @query("b15_subject_numbers", f"""

@@ -75,11 +75,14 @@ def m11_classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 bys AS (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
   FROM scored GROUP BY score),
 tot AS (SELECT sum(pos) AS p, sum(neg) AS n FROM bys),
-pts AS (SELECT score AS threshold, CAST(sum(neg) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT n FROM tot) AS fpr,
-  CAST(sum(pos) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT p FROM tot) AS tpr FROM bys)
+cum AS (SELECT score, sum(neg) OVER (ORDER BY score DESC) AS fps, sum(pos) OVER (ORDER BY score DESC) AS tps FROM bys),
+nb AS (SELECT *, lag(fps) OVER (ORDER BY score DESC) AS f0, lead(fps) OVER (ORDER BY score DESC) AS f2,
+  lag(tps) OVER (ORDER BY score DESC) AS t0, lead(tps) OVER (ORDER BY score DESC) AS t2 FROM cum),
+pts AS (SELECT score AS threshold, CAST(fps AS DOUBLE) / (SELECT n FROM tot) AS fpr, CAST(tps AS DOUBLE) / (SELECT p FROM tot) AS tpr
+  FROM nb WHERE (SELECT count(*) FROM bys) <= 2 OR f0 IS NULL OR f2 IS NULL OR f0 - 2 * fps + f2 <> 0 OR t0 - 2 * tps + t2 <> 0)
 SELECT * FROM pts UNION ALL SELECT (SELECT max(score) FROM scored) + 1, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""")
 def m12_roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ROC points at every distinct score plus the origin (threshold = highest score + 1)."""
+    """ROC curve points (bends only, as scikit-learn's default) plus the origin (threshold = highest score + 1)."""
     sc = effort_scored(_raw(spark, sf_dir))
     pts = mdl.roc_points(sc)
     top = sc.agg(F.max("score")).scalar() + F.lit(1.0)

@@ -77,3 +77,13 @@ def test_hot_student_engagement(spark):
     assert eng[2]["longest_zeros"] == 11 and eng[2]["peak"] == 1.0
     eff = {r["id_student"]: r["effort"] for r in clicks.effort(clicks.daily_clicks(cl), 1, 14).collect()}
     assert eff == {1: 3000, 2: 5, 3: 2}
+
+
+def test_stratified_sample_exact_sizes(spark):
+    df = spark.createDataFrame([(i, "abc"[i % 3] if i % 10 else "a") for i in range(2000)], "id long, g string")
+    s = stats.sample_per_outcome(df, "g", 0.1, seed=3, keys=["id"])
+    got = {r["g"]: r["count"] for r in s.groupBy("g").count().collect()}
+    want = {r["g"]: round(0.1 * r["count"]) for r in df.groupBy("g").count().collect()}
+    assert got == want
+    again = stats.sample_per_outcome(df, "g", 0.1, seed=3, keys=["id"])
+    assert sorted(r["id"] for r in s.collect()) == sorted(r["id"] for r in again.collect())
