@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from coursepulse.operators import distributions as dist
 from coursepulse.plans import flows
 from coursepulse.plans.registry import query
-from coursepulse.plans.sql_parts import K3S
 from coursepulse.schema import K3
 from coursepulse.sources.fixture import fixture_tables
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,5 +149,3 @@ def f11_outcome_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         *K3, "pwd", "ws1", "ws2", "ws3", "fwd", "final_result", "concentration", "consistency",
         "proc1", "proc2", "proc3", "group")
 
-
-LOG2_19 = math.log2(19)
