@@ -209,3 +209,12 @@ def m1_anova_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m2_pairwise_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pearson correlation of every pair of the ten metrics over pairwise-complete rows."""
     return stats.pairwise_corr(outcome_metrics(_raw(spark, sf_dir)), METRICS)
+
+
+@query("e26_daily_wide")
+def e26_daily_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily clicks per student, one zero-filled column per day of the log (wide form; its column
+    names depend on the day range, so it is checked by rows; e26_dense_daily is the long form)."""
+    raw = _raw(spark, sf_dir)
+    lo, hi = raw["student_vle"].agg(F.min("date"), F.max("date")).first()
+    return stats.daily_wide(clicks.daily_clicks(raw["student_vle"]), lo, hi)
