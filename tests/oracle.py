@@ -116,7 +116,12 @@ def main(argv: list[str]) -> int:
     names = [a for a in argv if not os.path.isdir(a) and not a.startswith("--")]
     if "--doubles" in argv:
         return write_doubles(sf_dir)
-    spark = get_spark("local[8]")
+    if os.environ.get("COURSEPULSE_PLAIN_SESSION"):
+        # a session with Spark's defaults only, as an external driver may create it
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = get_spark("local[8]")
     reg = load_all()
     con = duck(sf_dir)
     failed = 0
