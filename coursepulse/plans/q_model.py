@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,7 +201,11 @@ def tuned_forest(spark: SparkSession, sf_dir: str):
         return _TUNED[key]
     tr, te, feats = _flagship_sets(spark, sf_dir)
     tr = mdl.balanced_weights(mdl.assemble(tr, feats), "responce").withColumn("fold", mdl.fold_column(K3))
+    # the 20 fits of the grid read the same assembled training rows: keep them (memory, then disk)
+    # instead of re-running the feature plan for every fold
+    tr = tr.select(*K3, "responce", "weight", "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
     cv = mdl.tune(mdl.forest("responce"), tr, {"numTrees": (100, 200), "maxDepth": (10, 30)}, label="responce")
+    tr.unpersist()
     _TUNED[key] = (cv, te, feats)
     return _TUNED[key]
 
