@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursepulse.functions.columns import entropy_term
 from coursepulse.functions.dims import bounded_broadcast
 from coursepulse.operators.clicks import clicks_with_sites, first_assessment
 from coursepulse.schema import ACTIVITIES, K2, K3, PASS_FAIL_WITHDRAWN
@@ -112,18 +111,29 @@ def flatten_joint(joint: DataFrame) -> DataFrame:
 def entropies(base: DataFrame, ignore_neg_date: bool = True) -> DataFrame:
     """Joint, day and activity entropy (base 2) per student and the mean outcome code.
 
-    Zero cells of the dense joint add nothing to an entropy, so the sparse clicks suffice; one
-    repartition on the student key serves the three aggregates and their joins.
+    Zero cells of the dense joint add nothing to an entropy, so the sparse clicks suffice. Two
+    groupings on the student key build each student's day list (at most one entry per day, each
+    with its activity counts); the three entropies are expressions over that bounded list, so
+    there is no join between partial results and, on input already partitioned by the student
+    key (as ``entropy_base`` returns it), no further shuffle.
     """
     src = base.where(F.col("date") >= 0) if ignore_neg_date else base
     src = src.where(F.col("date") <= F.col("date_assessment").cast("long"))
-    src = src.repartition(*K3)
-    tot = Window.partitionBy(*K3)
-    cells = src.withColumn("tot", F.sum("sum_click").over(tot)).withColumn("p", F.col("sum_click") / F.col("tot"))
-    joint = cells.groupBy(*K3).agg(F.sum(entropy_term(F.col("p"))).alias("entropy_joint"),
-                                   F.avg("final_result").alias("result"))
-    by_date = cells.groupBy(*K3, "date").agg((F.sum("sum_click") / F.max("tot")).alias("p")).groupBy(*K3).agg(
-        F.sum(entropy_term(F.col("p"))).alias("entropy_date"))
-    by_act = cells.groupBy(*K3, "activity_type").agg((F.sum("sum_click") / F.max("tot")).alias("p")).groupBy(*K3).agg(
-        F.sum(entropy_term(F.col("p"))).alias("entropy_acty"))
-    return joint.join(by_date, K3).join(by_act, K3).select(*K3, "entropy_joint", "entropy_date", "entropy_acty", "result")
+    per_day = src.groupBy(*K3, "date").agg(
+        F.sum("sum_click").alias("dc"),
+        F.collect_list(F.struct(F.col("activity_type").alias("a"), F.col("sum_click").alias("c"))).alias("acts"),
+        F.max("final_result").alias("fr"))
+    stu = per_day.groupBy(*K3).agg(F.collect_list(F.struct("dc", "acts")).alias("days"), F.max("fr").alias("result"))
+    e = F.expr
+    stu = stu.select(*K3, "days", "result",
+                     e("aggregate(days, CAST(0 AS BIGINT), (s, x) -> s + x.dc)").alias("tot"),
+                     e("flatten(transform(days, x -> x.acts))").alias("flat"))
+    plogp = "CAST({v} AS DOUBLE) / tot * log2(CAST({v} AS DOUBLE) / tot)"
+    act_sum = "aggregate(filter(flat, y -> y.a = a), CAST(0 AS BIGINT), (s2, y) -> s2 + y.c)"
+    return stu.select(
+        *K3,
+        e(f"-aggregate(flat, 0D, (s, y) -> s + {plogp.format(v='y.c')})").alias("entropy_joint"),
+        e(f"-aggregate(days, 0D, (s, x) -> s + {plogp.format(v='x.dc')})").alias("entropy_date"),
+        e(f"-aggregate(array_distinct(transform(flat, y -> y.a)), 0D, (s, a) -> s + {plogp.format(v=act_sum)})")
+        .alias("entropy_acty"),
+        F.col("result").cast("double").alias("result"))
