@@ -200,9 +200,9 @@ def roc_points(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     """
     by = _by_score(scored).withColumn("desc_key", -F.col("score"))
     cum = running_sums(by, ["desc_key"], ["pos", "neg"], count_col="i")
-    tot = scored.agg(F.struct(F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("P"),
-                              F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).alias("N"),
-                              F.countDistinct("score").alias("M"))).scalar()
+    # totals from the checkpointed per-score rows, not from another pass over the scored table
+    tot = cum.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+                           F.count(F.lit(1)).alias("M"))).scalar()
     pts = cum.select("i", F.col("score").alias("threshold"), F.col("cum_neg").alias("fps"), F.col("cum_pos").alias("tps"))
     if drop_intermediate:
         prev = pts.select((F.col("i") + 1).alias("i"), F.col("fps").alias("f0"), F.col("tps").alias("t0"))

@@ -332,8 +332,10 @@ def pairwise_corr(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
             ok = F.col(a).isNotNull() & F.col(b).isNotNull()
             aggs.append(F.corr(F.when(ok, F.col(a)), F.when(ok, F.col(b))).alias(f"{a}|{b}"))
     row = df.agg(*aggs)
-    pairs = [F.struct(F.lit(c.split("|")[0]).alias("m1"), F.lit(c.split("|")[1]).alias("m2"),
-                      F.col(f"`{c}`").alias("r")) for c in row.columns]
-    long = row.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
-    mirror = long.where(F.col("m1") != F.col("m2")).select(F.col("m2").alias("m1"), F.col("m1").alias("m2"), "r")
-    return long.unionByName(mirror)
+    pairs = []
+    for c in row.columns:
+        a, b = c.split("|")
+        pairs.append(F.struct(F.lit(a).alias("m1"), F.lit(b).alias("m2"), F.col(f"`{c}`").alias("r")))
+        if a != b:  # the matrix is symmetric: both orders from the same aggregate
+            pairs.append(F.struct(F.lit(b).alias("m1"), F.lit(a).alias("m2"), F.col(f"`{c}`").alias("r")))
+    return row.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")

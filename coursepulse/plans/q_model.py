@@ -84,9 +84,9 @@ pts AS (SELECT score AS threshold, CAST(fps AS DOUBLE) / (SELECT n FROM tot) AS
 SELECT * FROM pts UNION ALL SELECT (SELECT max(score) FROM scored) + 1, CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)""")
 def m12_roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ROC curve points (bends only, as scikit-learn's default) plus the origin (threshold = highest score + 1)."""
-    sc = effort_scored(_raw(spark, sf_dir))
-    pts = mdl.roc_points(sc)
-    top = sc.agg(F.max("score")).scalar() + F.lit(1.0)
+    pts = mdl.roc_points(effort_scored(_raw(spark, sf_dir)))
+    # the first finite threshold is the highest score
+    top = pts.where(F.col("threshold") < float("inf")).agg(F.max("threshold")).scalar() + F.lit(1.0)
     return pts.withColumn("threshold", F.when(F.col("threshold") == float("inf"), top).otherwise(F.col("threshold")))
 
 
