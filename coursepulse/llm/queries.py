@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from coursepulse.llm import exact_dedup, packing, quality, toxicity
+from coursepulse.llm.shipping import ship_package
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
@@ -37,7 +39,7 @@ ORACLE_SQL = {
     "op1_quality_rules": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM d),
-n AS (SELECT r, doc_id, text, w, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+n AS (SELECT r, doc_id, text, w, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
              length(regexp_replace(text, '\P{L}', '', 'g')) AS letters,
              length(regexp_replace(text, '\P{Lu}', '', 'g')) AS capitals FROM w),
