@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coursepulse.llm import exact_dedup, packing, quality, toxicity
+from coursepulse.llm import exact_dedup, jaccard_join, packing, quality, toxicity
 from coursepulse.llm.shipping import ship_package
 
 
@@ -33,7 +33,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_exact_dedup, op9_toxicity)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    return jaccard_join.join_documents(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_exact_dedup, op9_toxicity,
+                                   op10_jaccard_join)}
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -66,5 +72,19 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS cp,
 g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY t ORDER BY cp DESC, doc_id) AS keep_id,
              count(*) OVER (PARTITION BY t) AS group_size FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
+""",
+    "op10_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM g
+      UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b)
+SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """,
 }
