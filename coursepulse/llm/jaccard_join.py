@@ -7,10 +7,13 @@ when ``d <= 0.25``. Copies share one set and are joined as one class.
 Pivots and regions. Unrelated texts all lie at distance 1 from each other, so documents alone tell
 nothing apart at the top level; there the pivots are one-shingle sets. A set is nearest to the pivots
 of its own shingles; ties go to the rarer shingle, then to the smaller hash. Two sets within 0.25
-share one of their ``n - ceil(0.75 n) + 1`` nearest pivots, so replicating a set to that many pivots
-is a window that loses no link. In a pivot's cell the sets are cut into runs of sizes that can link
-(the triangle inequality against the empty and the full set is a bound on sizes), and the
-smallest class of a run becomes the pivot of a region that holds the run: regions are what is shuffled.
+share one of their ``n - ceil(0.75 n) + 1`` nearest pivots, and ``1 + s`` of them where each set has
+``s`` more. A set is replicated to that many pivots (``s`` is a tenth of its size), a window that loses
+no link. In a pivot's cell the sets are cut into runs of sizes that can link (distances to the empty
+and the full set bound sizes), and the smallest class of a run names the region that the run joins.
+A set that shares fewer than ``1 + s`` of its cells with any other set links with nothing, and a set
+may leave the regions that it shares fewest cells with, ``s / 2`` cells in all: two linked sets still
+meet in a cell that neither has left. What is left is shuffled with whole sets.
 
 Within a region the join recurses with documents as pivots: a pivot's distances to all members are
 computed exactly, members within 0.25 link to it and form its Voronoi region, and the next pivot is
@@ -37,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from coursepulse.llm.components import components
@@ -45,9 +49,9 @@ from coursepulse.llm.words import offsets_and_bytes, sliced, split_words, text_a
 
 WIDTH, PERCENT = 5, 75
 TEXT_SLICE = 16 << 20
-COMMON_ROWS = 32          # sets that make a shingle common
+COMMON_ROWS = 6           # sets that make a shingle common
 MAX_COMMON = 1_000_000    # common shingles sent to the tasks: 16 MB at most
-CELL_ROWS = 1_000_000     # pivot entries handled in one task
+CELL_ROWS = 2_000_000     # pivot entries handled in one task
 REGION_ROWS = 3_000       # members of a region joined in one task
 BROADCAST_ROWS = 500_000  # class ids sent to the tasks: 8 MB at most; beyond, a shuffle join
 
@@ -105,8 +109,18 @@ def _key(c: bytes) -> int:
     return int.from_bytes(c[:8], "little", signed=True)
 
 
-def prefix_size(n):
-    return n - (PERCENT * n + 99) // 100 + 1
+def spare(n):
+    """Pivots a set of ``n`` elements is replicated to beyond the least number."""
+    return n // 10
+
+
+def least_spare(n):
+    """A lower bound of ``spare`` for the set itself and for every set that it can link with."""
+    return ((PERCENT * n + 99) // 100) // 10
+
+
+def window_size(n):
+    return min(n, n - (PERCENT * n + 99) // 100 + 1 + spare(n))
 
 
 # --- passes over the documents -------------------------------------------------------------------
@@ -149,7 +163,7 @@ def _cells(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], buckets: int)
                 if c is None or c in seen:
                     continue
                 seen.add(c)
-                p = prefix_size(len(s))
+                p = window_size(len(s))
                 if len(hashes):
                     at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
                     often = hashes[at] == s
@@ -182,7 +196,7 @@ def _cells(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], buckets: int)
 
 
 def _regions_of_bucket(table: pa.Table) -> pa.Table:
-    """``(pivot, member)``: each run of linkable sizes in a cell with its smallest class as pivot."""
+    """``(pivot, member, size, cells)``: each run of linkable sizes in a cell, named by its smallest class."""
     raw = b"".join(table.column("entries").to_pylist())
     e = np.frombuffer(raw, dtype=[("shingle", "<u8"), ("key", "<i8"), ("size", "<i4")])
     order = np.argsort(e["shingle"], kind="stable")
@@ -193,17 +207,21 @@ def _regions_of_bucket(table: pa.Table) -> pa.Table:
     shared[:-1] |= same
     e = e[order[shared]]
     e = e[np.lexsort((e["key"], e["size"], e["shingle"]))]
-    pivot = member = np.zeros(0, np.int64)
+    e = e[np.append(True, e[1:] != e[:-1])] if len(e) else e  # the same class from several tasks
+    out = np.zeros(0, dtype=[("pivot", "<i8"), ("member", "<i8"), ("size", "<i4")])
+    times = np.zeros(0, np.int64)
     if len(e):
         size = e["size"].astype(np.int64)
         new = np.ones(len(e), bool)
         new[1:] = (e["shingle"][1:] != e["shingle"][:-1]) | (100 * size[:-1] < PERCENT * size[1:])
         first = np.flatnonzero(new)
-        low = np.minimum.reduceat(e["key"], first)
-        pivot = np.repeat(low, np.diff(np.append(first, len(e))))
-        pairs = np.unique(np.stack([pivot, e["key"]], axis=1)[pivot != e["key"]], axis=0)
-        pivot, member = pairs[:, 0], pairs[:, 1]
-    return pa.table({"pivot": pa.array(pivot, pa.int64()), "member": pa.array(member, pa.int64())})
+        run = np.diff(np.append(first, len(e)))
+        alone = np.repeat(run == 1, run)
+        rows = np.zeros(len(e), out.dtype)
+        rows["pivot"], rows["member"], rows["size"] = np.repeat(np.minimum.reduceat(e["key"], first), run), e["key"], e["size"]
+        out, times = np.unique(rows[~alone], return_counts=True)
+    return pa.table({"pivot": pa.array(out["pivot"].astype(np.int64)), "member": pa.array(out["member"].astype(np.int64)),
+                     "size": pa.array(out["size"].astype(np.int64)), "cells": pa.array(times.astype(np.int64))})
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -353,7 +371,9 @@ def _solve(rows: DataFrame) -> DataFrame:
 
 def _solve_large(rows: DataFrame, sizes: DataFrame, region_rows: int) -> DataFrame:
     """Links of regions with more members than a task takes: rows ``pivot, key, class, set``."""
-    pivots = rows.where("pivot = key").select("pivot", F.col("class").alias("pivot_class"), F.col("set").alias("pivot_set"))
+    first = rows.groupBy("pivot").agg(F.min("key").alias("key"))  # the namesake may have left the region
+    pivots = (rows.join(first, ["pivot", "key"]).select("pivot", F.col("class").alias("pivot_class"), F.col("set").alias("pivot_set"))
+              .dropDuplicates(["pivot"]))
     compared = rows.select("pivot", "class", "set").join(pivots, "pivot").select("pivot", "class", "set", "pivot_class", "pivot_set")
     compared, _ = written(compared.mapInArrow(
         _compare_with_pivot, "pivot long, class binary, set binary, pivot_class binary, near boolean"), "large-regions")
@@ -387,23 +407,29 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order = np.argsort(hashes)
     often = (hashes[order], common["sets"].to_numpy(np.int64)[order])
 
-    entries = rows.agg(F.sum(F.expr(f"n - floor(({PERCENT} * n + 99) / 100) + 1"))).first()[0] or 0
-    buckets = max(1, -(-int(entries) // CELL_ROWS))
+    bound = rows.agg(F.sum(F.expr(f"n - floor(({PERCENT} * n + 99) / 100) + 1 + floor(n / 10)"))).first()[0] or 0
+    buckets = max(1, -(-int(bound) // CELL_ROWS))
     cells = _cells(src, often, buckets)
-    found = cells.groupBy("bucket").applyInArrow(_regions_of_bucket, "pivot long, member long")
-    pairs, _ = written(found.distinct(), "jaccard-regions")
-
-    # a region's members, its pivot among them; each class's smallest document stands for it
-    in_region = pairs.select("pivot", F.col("member").alias("key")).unionAll(
-        pairs.select("pivot", F.col("pivot").alias("key")).distinct())
+    met = (cells.groupBy("bucket").applyInArrow(_regions_of_bucket, "pivot long, member long, size long, cells long")
+           .groupBy("pivot", "member", "size").agg(F.sum("cells").alias("cells")))
+    mine = W.partitionBy("member", "size")  # a set has at most as many regions as elements
+    left = F.expr(f"floor(floor(({PERCENT} * size + 99) / 100) / 10)")
+    in_region = (met.withColumn("total", F.sum("cells").over(mine))
+                 .withColumn("upto", F.sum("cells").over(mine.orderBy("cells", "pivot")))
+                 .where((F.col("total") > left) & (F.col("upto") > F.floor(left / 2)))
+                 .select("pivot", F.col("member").alias("key")))
+    in_region, _ = written(in_region, "jaccard-regions")
+
+    # each class's smallest document stands for it
     classes, _ = written(rows.where("class is not null").groupBy("class", "key").agg(F.min("doc_id").alias("low")),
                          "jaccard-classes")
+    sizes = in_region.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
+    in_region = in_region.join(sizes.where("n > 1").select("pivot"), "pivot", "left_semi")
     ids, _ = written(classes.join(in_region.select("key").distinct(), "key").select(F.col("low").alias("doc_id")).distinct(),
                      "jaccard-candidates")
     few = ids.count() <= BROADCAST_ROWS
     sets = _sets(src.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text"))
     members = in_region.join(sets, "key")
-    sizes = in_region.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
     large, _ = written(sizes.where(F.col("n") > region_rows), "large-region-sizes")
     if large.isEmpty():
         links = _solve(members.select(F.col("pivot").alias("region"), "class", "set"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coursepulse.llm import exact_dedup, jaccard_join, packing, quality, toxicity
+from coursepulse.llm import chat, exact_dedup, jaccard_join, line_dedup, packing, pieces, quality, toxicity
 from coursepulse.llm.shipping import ship_package
 
 
@@ -23,11 +24,40 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document under merge-dropout, and what they decode to."""
+    back = pieces.decode(pieces.encode(_read(spark, sf_dir, "documents")))
+    return back.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       F.char_length("decoded").cast("long").alias("decoded_chars"),
+                       (F.col("decoded") == F.col("text")).alias("lossless"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group and verdict of every document."""
     return exact_dedup.exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later copies of repeated line runs."""
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_deleted", F.char_length("text").cast("long").alias("kept_chars"),
+        F.sha2("text", 256).alias("text_sha256"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, formatted and read back; conversation -7 holds control strings."""
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    back = chat.read_back(chat.format_paths(chat.chain(turns.unionByName(control))))
+    digest = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return back.select(F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(digest, 256).alias("turns_sha256"), F.char_length("loss_text").cast("long").alias("loss_chars"),
+                       F.sha2("loss_text", 256).alias("loss_sha256"),
+                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated toxicity score of every document."""
     return toxicity.scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -38,8 +68,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_best_fit_packing, op4_exact_dedup, op9_toxicity,
-                                   op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_best_fit_packing, op3_sentencepiece, op4_exact_dedup, op7_line_dedup, op8_chat_formatting,
+    op9_toxicity, op10_jaccard_join)}
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -86,5 +117,16 @@ e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b)
 SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id
 FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+""",
+    "op8_chat_formatting": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+f AS (SELECT *, '<|' || replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '|', '&bar;') || '|>' || chr(10)
+             || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '|', '&bar;') || '<|end|>' || chr(10) AS t FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length(t))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
 """,
 }
