@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursepulse.llm import chat, exact_dedup, jaccard_join, line_dedup, packing, pieces, quality, toxicity
+from coursepulse.llm import chat, exact_dedup, html, jaccard_join, line_dedup, packing, pieces, quality, toxicity, warc
+from coursepulse.llm.scratch import scratch_path
 from coursepulse.llm.shipping import ship_package
 
 
@@ -37,6 +38,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_read(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(_read(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to WARC archives in the shared folder and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(_read(spark, sf_dir, "pages"), path)
+    return warc.read_archive(spark, path).select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated line runs."""
     return line_dedup.dedup_lines(_read(spark, sf_dir, "documents")).select(
@@ -69,7 +85,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_best_fit_packing, op3_sentencepiece, op4_exact_dedup, op7_line_dedup, op8_chat_formatting,
+    op1_quality_rules, op2_best_fit_packing, op3_sentencepiece, op4_exact_dedup, op5_html_extraction,
+    op6_warc, op7_line_dedup, op8_chat_formatting,
     op9_toxicity, op10_jaccard_join)}
 
 ORACLE_SQL = {
@@ -128,5 +145,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(length(t))::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id
+""",
+    "op6_warc": r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+                  coalesce(html, '') AS html FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+FROM q
 """,
 }
