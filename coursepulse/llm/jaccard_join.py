@@ -48,10 +48,11 @@ from coursepulse.llm.scratch import written
 from coursepulse.llm.words import offsets_and_bytes, sliced, split_words, text_array
 
 WIDTH, PERCENT = 5, 75
-TEXT_SLICE = 16 << 20
+TEXT_SLICE = 6 << 20
+COUNTED_AT_ONCE = 3_000_000  # shingles of a task whose sets are counted together
 COMMON_ROWS = 6           # sets that make a shingle common
 MAX_COMMON = 1_000_000    # common shingles sent to the tasks: 16 MB at most
-CELL_ROWS = 2_000_000     # pivot entries handled in one task
+CELL_ROWS = 1_500_000     # pivot entries handled in one task
 REGION_ROWS = 3_000       # members of a region joined in one task
 BROADCAST_ROWS = 500_000  # class ids sent to the tasks: 8 MB at most; beyond, a shuffle join
 
@@ -127,24 +128,36 @@ def window_size(n):
 
 def _classes(docs: DataFrame) -> DataFrame:
     """Rows of documents (``doc_id, class, key, n``) and, beside them, shingles that several sets of a
-    slice share (``shingle, sets``)."""
+    task share (``shingle, sets``)."""
+
+    def shared(sets: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+        shingle, times = np.unique(np.concatenate(sets), return_counts=True)
+        shingle, times = shingle[times > 1], times[times > 1]
+        m = len(shingle)
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(m, kind), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+             pa.array(shingle.view(np.int64)), pa.array(times.astype(np.int64))], names=names)
+
+    names = ["doc_id", "class", "key", "n", "shingle", "sets"]
 
     def run(batches):
+        held, seen, kind = [], set(), None
         for b in sliced(batches, 1, TEXT_SLICE):
-            sets = list(shingle_sets(text_array(b.column(1))))
-            names = [set_class(s) for s in sets]
-            one_each = list({c: s for c, s in zip(names, sets) if c}.values())
-            shingle, times = (np.unique(np.concatenate(one_each), return_counts=True) if one_each
-                              else (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-            shingle, times = shingle[times > 1], times[times > 1]
-            n, m = len(sets), len(shingle)
-            cols = [pa.concat_arrays([b.column(0), pa.nulls(m, b.column(0).type)]),
-                    pa.array([*names, *[None] * m], pa.binary()),
-                    pa.array([*(c and _key(c) for c in names), *[None] * m], pa.int64()),
-                    pa.array(np.concatenate([[len(s) for s in sets], np.zeros(m)]).astype(np.int64)),
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(shingle.view(np.int64))]),
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(times.astype(np.int64))])]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "class", "key", "n", "shingle", "sets"])
+            sets, kind = list(shingle_sets(text_array(b.column(1)))), b.column(0).type
+            classes = [set_class(s) for s in sets]
+            n = len(sets)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(classes, pa.binary()), pa.array([c and _key(c) for c in classes], pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
+            for c, s in zip(classes, sets):  # copies count once
+                if c and c not in seen:
+                    seen.add(c)
+                    held.append(s)
+            if sum(map(len, held)) > COUNTED_AT_ONCE:
+                yield shared(held, kind)
+                held, seen = [], set()
+        if held:
+            yield shared(held, kind)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, class binary, key long, n long, shingle long, sets long")
