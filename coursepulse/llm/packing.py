@@ -35,7 +35,7 @@ from coursepulse.llm.words import offsets_and_bytes, sliced, text_array
 
 CAPACITY = 4096
 END_ID = 1
-TEXT_SLICE = 16 << 20
+TEXT_SLICE = 8 << 20
 CLASS_ROWS = 100_000  # pieces of one length numbered in one group
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), in the order of their places

@@ -31,7 +31,7 @@ DROPOUT = 0.1
 SEED = 20_240_301
 VARIANTS = 8
 MARK = "▁"
-TEXT_SLICE = 16 << 20
+TEXT_SLICE = 8 << 20
 
 _C1, _C2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
