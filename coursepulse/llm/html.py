@@ -204,7 +204,8 @@ def _counts(pages: DataFrame) -> DataFrame:
 
 def importance(counts: DataFrame) -> DataFrame:
     """``host, path, m, importance`` of the nodes of all style trees (host ``*``: all hosts' tree)."""
-    each = counts.groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages"))
+    # written, as four steps read it and pages are parsed once
+    each, _ = written(counts.groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages")), "style-counts")
     each = each.unionByName(each.groupBy("path", "kind", "feature").agg(F.sum("pages").alias("pages")).withColumn("host", F.lit("*")))
     nodes = each.where("kind = 'n'").select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("pages").alias("m"))
     f = each.where("kind <> 'n'").join(nodes, (each["host"] == nodes["h"]) & (each["path"] == nodes["p"])).drop("h", "p")
