@@ -11,8 +11,8 @@ gaps and against the total length, and joined; then the chunked framing is decod
 checked against its digest. A group is one page, so its size is the page's.
 
 Files are written with Spark's text writer, whose line separator is the empty lines that end a
-record, and read whole as binary files of at most ``records_per_file`` records; both work on any
-file system that Spark can write to.
+record, compressed with gzip, and read whole as binary files of at most ``records_per_file`` records;
+both work on any file system that Spark can write to.
 
 Defined results: a null html is an empty payload; null urls and ids are written empty and read as
 null; control characters in urls are percent-encoded; rows that repeat the id that a group's
@@ -22,6 +22,7 @@ response has are responses too; other columns are ignored; an empty table gives
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -114,7 +115,8 @@ def write_archive(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, s
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     records = dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    records.write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).text(path)
+    records.write.option("lineSep", _END).option("maxRecordsPerFile", records_per_file).option(
+        "compression", "gzip").text(path)
 
 
 # --- reading ---------------------------------------------------------------------------------------
@@ -193,7 +195,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             for content in b.column(0):
                 rows: list[tuple] = []
                 size = 0
-                for f, block in parse_records(content.as_buffer().to_pybytes()):
+                data = content.as_buffer().to_pybytes()
+                for f, block in parse_records(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                     number, total = f.get("warc-segment-number"), f.get("warc-segment-total-length")
                     rows.append((f.get("warc-segment-origin-id") or f.get("warc-record-id"), f.get("warc-type"),
                                  f.get("warc-target-uri") or None, _hex(f.get("warc-payload-digest")), f.get("warc-refers-to"),
