@@ -8,7 +8,7 @@ Pivots and regions. Unrelated texts all lie at distance 1 from each other, so do
 nothing apart at the top level; there the pivots are one-shingle sets. A set is nearest to the pivots
 of its own shingles; ties go to the rarer shingle, then to the smaller hash. Two sets within 0.25
 share one of their ``n - ceil(0.75 n) + 1`` nearest pivots, and ``1 + s`` of them where each set has
-``s`` more. A set is replicated to that many pivots (``s`` is a tenth of its size), a window that loses
+``s`` more. A set is replicated to that many pivots (``s`` is a twentieth of its size), a window that loses
 no link. In a pivot's cell the sets are cut into runs of sizes that can link (distances to the empty
 and the full set bound sizes), and the smallest class of a run names the region that the run joins.
 A set that shares fewer than ``1 + s`` of its cells with any other set links with nothing, and a set
@@ -44,14 +44,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from coursepulse.llm.components import components
-from coursepulse.llm.scratch import written
+from coursepulse.llm.scratch import remove, written
 from coursepulse.llm.words import offsets_and_bytes, sliced, split_words, text_array
 
 WIDTH, PERCENT = 5, 75
+SPARE = 20                # a set's window has one pivot for so many elements beyond the least number
 TEXT_SLICE = 6 << 20
 COUNTED_AT_ONCE = 3_000_000  # shingles of a task whose sets are counted together
-COMMON_ROWS = 6           # sets that make a shingle common
-MAX_COMMON = 1_000_000    # common shingles sent to the tasks: 16 MB at most
+COMMON_ROWS = 2           # sets of a task that make a shingle common
+MAX_COMMON = 1_000_000    # common shingles sent to the tasks: 12 MB at most
 CELL_ROWS = 1_500_000     # pivot entries handled in one task
 REGION_ROWS = 3_000       # members of a region joined in one task
 BROADCAST_ROWS = 500_000  # class ids sent to the tasks: 8 MB at most; beyond, a shuffle join
@@ -112,12 +113,12 @@ def _key(c: bytes) -> int:
 
 def spare(n):
     """Pivots a set of ``n`` elements is replicated to beyond the least number."""
-    return n // 10
+    return n // SPARE
 
 
 def least_spare(n):
     """A lower bound of ``spare`` for the set itself and for every set that it can link with."""
-    return ((PERCENT * n + 99) // 100) // 10
+    return ((PERCENT * n + 99) // 100) // SPARE
 
 
 def window_size(n):
@@ -405,6 +406,22 @@ def _solve_large(rows: DataFrame, sizes: DataFrame, region_rows: int) -> DataFra
     return inner.unionAll(compared.where("near").select(F.col("pivot_class").alias("a"), F.col("class").alias("b")))
 
 
+def _common(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of most sets, ``MAX_COMMON`` at most, sorted by hash, and how many sets have them."""
+    table, path = written(counted.where(F.col("sets") >= COMMON_ROWS), "common-shingles")
+    least, total = COMMON_ROWS, 0
+    for r in table.groupBy("sets").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("sets")).collect():  # a row per count
+        total += r["n"]
+        if total > MAX_COMMON:
+            least = r["sets"] + 1
+            break
+    got = table.where(F.col("sets") >= least).toArrow()
+    remove(table.sparkSession, path)
+    hashes, sets = (got.column(c).to_numpy().astype(np.int64) for c in ("shingle", "sets"))
+    order = np.argsort(hashes.view(np.uint64))
+    return hashes.view(np.uint64)[order], sets.astype(np.int32)[order]
+
+
 # --- the operator --------------------------------------------------------------------------------
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -414,19 +431,14 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     table, _ = written(_classes(src), "shingle-classes")
     rows = table.where("shingle is null").select("doc_id", "class", "key", "n")
-    common = (table.where("shingle is not null").groupBy("shingle").agg(F.sum("sets").alias("sets"))
-              .where(F.col("sets") >= COMMON_ROWS).orderBy(F.desc("sets"), "shingle").limit(MAX_COMMON).toPandas())
-    hashes = common["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    often = (hashes[order], common["sets"].to_numpy(np.int64)[order])
-
-    bound = rows.agg(F.sum(F.expr(f"n - floor(({PERCENT} * n + 99) / 100) + 1 + floor(n / 10)"))).first()[0] or 0
+    often = _common(table.where("shingle is not null").groupBy("shingle").agg(F.sum("sets").alias("sets")))
+    bound = rows.agg(F.sum(F.expr(f"n - floor(({PERCENT} * n + 99) / 100) + 1 + floor(n / {SPARE})"))).first()[0] or 0
     buckets = max(1, -(-int(bound) // CELL_ROWS))
     cells = _cells(src, often, buckets)
     met = (cells.groupBy("bucket").applyInArrow(_regions_of_bucket, "pivot long, member long, size long, cells long")
            .groupBy("pivot", "member", "size").agg(F.sum("cells").alias("cells")))
     mine = W.partitionBy("member", "size")  # a set has at most as many regions as elements
-    left = F.expr(f"floor(floor(({PERCENT} * size + 99) / 100) / 10)")
+    left = F.expr(f"floor(floor(({PERCENT} * size + 99) / 100) / {SPARE})")
     in_region = (met.withColumn("total", F.sum("cells").over(mine))
                  .withColumn("upto", F.sum("cells").over(mine.orderBy("cells", "pivot")))
                  .where((F.col("total") > left) & (F.col("upto") > F.floor(left / 2)))
