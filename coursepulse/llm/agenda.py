@@ -62,13 +62,13 @@ def merge_all(symbols: np.ndarray, offs: np.ndarray, table: PairTable,
     ``skip(left, right, place)`` masks candidates that are not to be merged; ``place`` is the index
     in the given ``symbols`` of the first symbol that the left one has grown from.
     """
-    full = symbols.astype(np.int64).copy()
+    full = symbols.astype(np.int32)
     dead = np.zeros(len(full), bool)
     keep = np.diff(offs) > 1
     size = np.diff(offs)[keep]
     if not len(size):
-        return full, offs
-    place = np.repeat(offs[:-1][keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return full.astype(np.int64), offs
+    place = (np.repeat(offs[:-1][keep] - (np.cumsum(size) - size), size) + np.arange(size.sum())).astype(np.int32)
     sym = full[place]
 
     def look(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,4 +116,4 @@ def merge_all(symbols: np.ndarray, offs: np.ndarray, table: PairTable,
         if len(at):
             rank[at], to[at] = look(at)
     left = np.cumsum(~dead)
-    return full[~dead], np.concatenate([[0], left])[offs]
+    return full[~dead].astype(np.int64), np.concatenate([[0], left])[offs]

@@ -29,13 +29,16 @@ from coursepulse.llm.words import offsets_and_bytes, rows_of, sliced, text_array
 
 DROPOUT = 0.1
 SEED = 20_240_301
-VARIANTS = 8
+VARIANTS = 4
 MARK = "▁"
-TEXT_SLICE = 8 << 20
+TEXT_SLICE = 4 << 20
 
 _C1, _C2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
+_K = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)  # odd
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _C1
     x = (x ^ (x >> np.uint64(33))) * _C2
@@ -141,15 +144,16 @@ class PieceModel:
         sym[np.repeat(ends[:-1] + marks - (np.cumsum(chars) - chars), chars) + np.arange(chars.sum())] = self.symbols(points)
         skip = None
         if dropout > 0:
-            row = rows_of(ends)
+            row = rows_of(ends).astype(np.int32)
             # a word is known by its symbols, wherever and with whatever others it is encoded
-            place = np.arange(len(sym)) - ends[row]
-            part = np.concatenate([[np.uint64(0)], np.cumsum(keyed(7, sym, place))])
-            name = keyed(seed, (part[ends[1:]] - part[ends[:-1]]).view(np.int64), variants).view(np.int64)
+            place = (np.arange(len(sym)) - ends[row]).astype(np.uint64)
+            part = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(sym.view(np.uint64) * _K[0] + place * _K[1]))])
+            name = keyed(seed, (part[ends[1:]] - part[ends[:-1]]).view(np.int64), variants)
             limit = np.uint64(min(int(dropout * 2.0 ** 64), 2 ** 64 - 1))
 
             def skip(left, right, at):
-                return keyed(seed, name[row[at]], place[at], left, right) < limit
+                pair = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+                return _mixed(name[row[at]] + place[at] * _K[2] + pair * _K[3]) < limit
 
         ids, ends = merge_all(sym, ends, self.table, skip)
         return self.with_bytes(ids, ends)
@@ -216,10 +220,11 @@ def _model(path: str) -> PieceModel:
 
 def encode(docs: DataFrame, model_path: str | None = None, dropout: float = DROPOUT, seed: int = SEED,
            variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, n_pieces, ids`` (little-endian unsigned 32-bit)."""
+    """``doc_id, text_sha256, n_pieces, ids`` (little-endian unsigned 32-bit; the digest is of the text)."""
     path = model_path or default_model()
-    src = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"),
-                      F.xxhash64(docs[id_col]).alias("name"))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    src = docs.select(docs[id_col].alias("doc_id"), text.alias("text"), F.xxhash64(docs[id_col]).alias("name"),
+                      F.sha2(text, 256).alias("text_sha256"))
 
     def run(batches):
         model = _model(path)
@@ -227,11 +232,11 @@ def encode(docs: DataFrame, model_path: str | None = None, dropout: float = DROP
             ids, offs = model.encode(text_array(b.column(1)), np.asarray(b.column(2)), dropout, seed, variants)
             col = pa.Array.from_buffers(pa.large_binary(), len(offs) - 1, [
                 None, pa.py_buffer((offs * 4).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.diff(offs)), col],
-                                             names=["doc_id", "text", "n_pieces", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(np.diff(offs)), col],
+                                             names=["doc_id", "text_sha256", "n_pieces", "ids"])
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(run, f"doc_id {kind}, text string, n_pieces long, ids binary")
+    return src.mapInArrow(run, f"doc_id {kind}, text_sha256 string, n_pieces long, ids binary")
 
 
 def decode(encoded: DataFrame, model_path: str | None = None, ids_col: str = "ids", out: str = "decoded") -> DataFrame:

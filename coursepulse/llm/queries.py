@@ -28,9 +28,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document under merge-dropout, and what they decode to."""
     back = pieces.decode(pieces.encode(_read(spark, sf_dir, "documents")))
-    return back.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    digest = F.sha2("decoded", 256)
+    return back.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), digest.alias("decoded_sha256"),
                        F.char_length("decoded").cast("long").alias("decoded_chars"),
-                       (F.col("decoded") == F.col("text")).alias("lossless"))
+                       (digest == F.col("text_sha256")).alias("lossless"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
