@@ -35,7 +35,7 @@ from coursepulse.llm.words import offsets_and_bytes, sliced, text_array
 
 CAPACITY = 4096
 END_ID = 1
-TEXT_SLICE = 8 << 20
+TEXT_SLICE = 3 << 20
 CLASS_ROWS = 100_000  # pieces of one length numbered in one group
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), in the order of their places
@@ -122,7 +122,7 @@ class WordTokenizer:
         word = np.asarray(d.indices)
         n = np.diff(ends)[word]
         upto = np.concatenate([[0], np.cumsum(n)])
-        where = np.repeat(ends[word] - upto[:-1], n) + np.arange(upto[-1])
+        where = np.repeat((ends[word] - upto[:-1]).astype(np.int32), n) + np.arange(upto[-1], dtype=np.int32)
         return pool.astype(np.uint32)[where], upto[offs]
 
 

@@ -44,6 +44,7 @@ def sliced(batches, column: str | int, max_bytes: int = SLICE_BYTES) -> Iterator
             to = max(at + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(at, to - at)
             at = to
+            pa.default_memory_pool().release_unused()
 
 
 def split_words(a: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
