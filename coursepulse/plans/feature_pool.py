@@ -46,14 +46,22 @@ def extract_column(raw: dict[str, DataFrame], table: str, column: str, check_key
 
 
 def get_feature_batch(raw: dict[str, DataFrame], feature_list: Sequence[tuple[str, str]],
-                      preprocessors: Sequence, check_keys: bool = True) -> FeatureDict:
-    """Extract, fit and encode each (table, column); the last preprocessor repeats for the rest."""
+                      preprocessors: Sequence, check_keys: bool = True, refit: bool = True) -> FeatureDict:
+    """Extract, fit and encode each (table, column); the last preprocessor repeats for the rest.
+
+    With ``refit=False`` preprocessors that were fitted before (on the training split) keep their
+    parameters and only encode; a column that one has not seen is an error.
+    """
     assigned = [(t, c, preprocessors[min(len(preprocessors) - 1, i)]) for i, (t, c) in enumerate(feature_list)]
     for table in dict.fromkeys(t for t, _, _ in assigned):
         df = raw[table]
         keys = KEYS[table]
         mine = [(c, p) for t, c, p in assigned if t == table]
-        num = [(c, p) for c, p in mine if isinstance(p, NumericData)]
+        if not refit:
+            unseen = [c for c, p in mine if c not in p.params]
+            if unseen:
+                raise ValueError(f"preprocessors are not fitted for {unseen}")
+        num = [(c, p) for c, p in mine if refit and isinstance(p, NumericData)]
         check = check_keys and not checks.known_unique(df, keys)
         # one pass per table: key uniqueness and the statistics of every numeric column
         aggs = []
@@ -69,8 +77,8 @@ def get_feature_batch(raw: dict[str, DataFrame], feature_list: Sequence[tuple[st
                 checks.mark_unique(df, keys)
             for c, p in num:
                 p.params[c] = {"mu": row[f"{c}__mu"], "std": row[f"{c}__sd"]}
-        cat = [(c, p) for c, p in mine if isinstance(p, CategoricalData)]
-        ordi = [(c, p) for c, p in mine if isinstance(p, OrdinalData)]
+        cat = [(c, p) for c, p in mine if refit and isinstance(p, CategoricalData)]
+        ordi = [(c, p) for c, p in mine if refit and isinstance(p, OrdinalData)]
         if cat or ordi:
             n = max([p.most_common for _, p in cat] + [1])
             tops = _top_values(df, [c for c, _ in cat + ordi], n, {c: p.order for c, p in ordi})
@@ -154,17 +162,28 @@ def merge_features(fd: FeatureDict, names: Sequence[str] | None = None) -> DataF
     return merged.data.select(*first.keys, *order)
 
 
+def new_preprocessors() -> list:
+    """Unfitted preprocessors of the merged feature table, one for each column of its three batches."""
+    num, cat = NumericData(), CategoricalData()
+    ordinal = [OrdinalData(list(ORDINAL_ORDERS[t, c])) for t, c in ORDINAL_BATCH]
+    return [num] * len(NUMERIC_BATCH) + [cat] * len(CATEGORICAL_BATCH) + ordinal
+
+
 def build_features(raw: dict[str, DataFrame], targets=(("Pass", "Distinction"), ("Fail",)),
-                   start: int = 0, end: int = 32, check_keys: bool = True) -> DataFrame:
-    """Response, numeric / categorical / ordinal batches, time regularity and effort, merged on K3."""
+                   start: int = 0, end: int = 32, check_keys: bool = True,
+                   preprocessors: Sequence | None = None, refit: bool = True) -> DataFrame:
+    """Response, numeric / categorical / ordinal batches, time regularity and effort, merged on K3.
+
+    ``preprocessors`` (from :func:`new_preprocessors`) are fitted in place; given again with
+    ``refit=False`` they encode another split with the parameters of the first, so both splits have
+    the same columns on the same scale.
+    """
     fd = get_response(raw, targets)
     # the three predefined batches fitted together: one statistics pass and one top-values pass
     # per source table (each batch keeps its own preprocessors, as when fitted one by one)
-    num, cat = NumericData(), CategoricalData()
-    ordinal = [OrdinalData(list(ORDINAL_ORDERS[t, c])) for t, c in ORDINAL_BATCH]
     batch = get_feature_batch(raw, NUMERIC_BATCH + CATEGORICAL_BATCH + ORDINAL_BATCH,
-                              [num] * len(NUMERIC_BATCH) + [cat] * len(CATEGORICAL_BATCH) + ordinal,
-                              check_keys=check_keys)
+                              list(preprocessors) if preprocessors else new_preprocessors(),
+                              check_keys=check_keys, refit=refit)
     fd.update(batch)
     # regularity and effort come from one aggregate of the daily clicks per student, so they
     # fuse into one select and one join with the student rows

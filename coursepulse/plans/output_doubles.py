@@ -45,6 +45,7 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'h3_merge_response_effort': ['responce'],
     'h4_response_column': ['responce'],
     'h5_build_features': ['responce', 'num_of_prev_attempts', 'studied_credits', 'date_registration', 'regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_ws2', 'regularity_indicator_ws3', 'regularity_indicator_fwd'],
+    'h5_build_features_test': ['responce', 'num_of_prev_attempts', 'studied_credits', 'date_registration', 'regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_ws2', 'regularity_indicator_ws3', 'regularity_indicator_fwd'],
     'h6_temporal_segment': ['responce', 't1_peak', 't1_entropy', 't2_peak', 't2_entropy'],
     'h6_temporal_segment_0': ['responce', 't0_peak', 't0_entropy'],
     'h8_engagement': ['forumng', 'homepage', 'oucontent', 'quiz', 'resource', 'url', 'day_1', 'day_2', 'day_3', 'day_4', 'day_5', 'day_6', 'day_7', 'peak', 'variation', 'kurtosis', 'entropy'],

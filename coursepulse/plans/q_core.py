@@ -202,8 +202,8 @@ si AS (SELECT * FROM student_info WHERE code_presentation IN {TRAIN_IN}),
 {ordinal_mode_cte('m3', 'si', 'age_band', _ORD['age_band'])}"""
 
 
-def _ord_expr(col: str, mode: str) -> str:
-    return (f"CAST(COALESCE((SELECT o.idx FROM {order_values(_ORD[col])} WHERE o.v = si.{col}), "
+def _ord_expr(col: str, mode: str, rows: str = "si") -> str:
+    return (f"CAST(COALESCE((SELECT o.idx FROM {order_values(_ORD[col])} WHERE o.v = {rows}.{col}), "
             f"(SELECT idx FROM {mode})) AS BIGINT) AS {col}")
 
 
@@ -280,10 +280,14 @@ def g14_label_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- H3 / H5: merged feature table
-_FLAG_SQL = f"""
+def _flag_ctes(terms: str) -> str:
+    """Rows ``xi, xr, sv`` of ``terms`` and the encoders' statistics of the training terms."""
+    return f"""
 si AS (SELECT * FROM student_info WHERE code_presentation IN {TRAIN_IN}),
 sr AS (SELECT * FROM student_registration WHERE code_presentation IN {TRAIN_IN}),
-sv AS (SELECT * FROM student_vle WHERE code_presentation IN {TRAIN_IN}),
+xi AS (SELECT * FROM student_info WHERE code_presentation IN {terms}),
+xr AS (SELECT * FROM student_registration WHERE code_presentation IN {terms}),
+sv AS (SELECT * FROM student_vle WHERE code_presentation IN {terms}),
 st1 AS (SELECT avg(num_of_prev_attempts) AS mu1, stddev_samp(num_of_prev_attempts) AS sd1,
   avg(studied_credits) AS mu2, stddev_samp(studied_credits) AS sd2 FROM si),
 st2 AS (SELECT avg(date_registration) AS mu3, stddev_samp(date_registration) AS sd3 FROM sr),
@@ -294,23 +298,31 @@ st2 AS (SELECT avg(date_registration) AS mu3, stddev_samp(date_registration) AS
 {regularity_ctes('sv', 0, 32)}"""
 
 
-@query("h5_build_features", _FLAG_SQL + f"""
-SELECT si.code_module, si.code_presentation, si.id_student,
+_FLAG_SQL = _flag_ctes(TRAIN_IN)
+
+
+def _flag_sql(terms: str) -> str:
+    """The merged feature table of ``terms``, encoded with the statistics of the training terms."""
+    return _flag_ctes(terms) + f"""
+SELECT xi.code_module, xi.code_presentation, xi.id_student,
  CASE WHEN final_result IN ('Pass', 'Distinction') THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS responce,
  round((COALESCE(CAST(num_of_prev_attempts AS DOUBLE), mu1) - mu1) / NULLIF(sd1, 0), 6) AS num_of_prev_attempts,
  round((COALESCE(CAST(studied_credits AS DOUBLE), mu2) - mu2) / NULLIF(sd2, 0), 6) AS studied_credits,
- round((COALESCE(CAST(sr.date_registration AS DOUBLE), mu3) - mu3) / NULLIF(sd3, 0), 6) AS date_registration,
+ round((COALESCE(CAST(xr.date_registration AS DOUBLE), mu3) - mu3) / NULLIF(sd3, 0), 6) AS date_registration,
  CASE WHEN gender IN (SELECT v FROM tg) THEN gender END AS gender_onehot,
  CASE WHEN region IN (SELECT v FROM tr) THEN region END AS region_onehot,
  CASE WHEN disability IN (SELECT v FROM td) THEN disability END AS disability_onehot,
- {_ord_expr('highest_education', 'm1')}, {_ord_expr('imd_band', 'm2')}, {_ord_expr('age_band', 'm3')},
+ {_ord_expr('highest_education', 'm1', 'xi')}, {_ord_expr('imd_band', 'm2', 'xi')}, {_ord_expr('age_band', 'm3', 'xi')},
  round(r.pwd, 6) AS regularity_indicator_pwd, round(r.ws1, 6) AS regularity_indicator_ws1,
  round(r.ws2, 6) AS regularity_indicator_ws2, round(r.ws3, 6) AS regularity_indicator_ws3,
  round(r.fwd, 6) AS regularity_indicator_fwd, r.effort
-FROM si CROSS JOIN st1 CROSS JOIN st2
-LEFT JOIN sr ON sr.code_module = si.code_module AND sr.code_presentation = si.code_presentation AND sr.id_student = si.id_student
-LEFT JOIN r_all r ON r.code_module = si.code_module AND r.code_presentation = si.code_presentation AND r.id_student = si.id_student
-WHERE final_result IN ('Pass', 'Distinction', 'Fail')""")
+FROM xi CROSS JOIN st1 CROSS JOIN st2
+LEFT JOIN xr ON xr.code_module = xi.code_module AND xr.code_presentation = xi.code_presentation AND xr.id_student = xi.id_student
+LEFT JOIN r_all r ON r.code_module = xi.code_module AND r.code_presentation = xi.code_presentation AND r.id_student = xi.id_student
+WHERE final_result IN ('Pass', 'Distinction', 'Fail')"""
+
+
+@query("h5_build_features", _flag_sql(TRAIN_IN))
 def h5_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: response + numeric / categorical / ordinal batches + time regularity + effort,
     fitted and merged on the training terms (one-hot shown collapsed)."""
@@ -318,6 +330,16 @@ def h5_build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_one_hot(df, ["gender", "region", "disability"])
 
 
+@query("h5_build_features_test", _flag_sql("('2014J')"))
+def h5_build_features_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table of the test term, encoded with the parameters fitted on the training terms."""
+    train, test = train_test_split(fixture_tables(spark, sf_dir))
+    fitted = fp.new_preprocessors()
+    fp.build_features(train, preprocessors=fitted)
+    df = fp.build_features(test, preprocessors=fitted, refit=False)
+    return collapse_one_hot(df, ["gender", "region", "disability"])
+
+
 @query("h3_merge_response_effort", f"""
 sv AS (SELECT * FROM student_vle),
 {regularity_ctes('sv', 0, 32)}

@@ -145,7 +145,7 @@ def m3_pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.where(F.col("component") <= 4).withColumn("loading", F.abs("loading"))
 
 
-def segment_one_table(raw: dict[str, DataFrame], segment_days: int = 7) -> tuple[DataFrame, list[str], list[str]]:
+def segment_one_table(raw: dict[str, DataFrame], segment_days: int = 30) -> tuple[DataFrame, list[str], list[str]]:
     """Wide table of segment 1 for the first-assessment flow: clicks before the first assessment,
     demographics x engagement, segments <= 1, registration added (labelled rows)."""
     clicks = clicks_before_first_assessment(raw["student_vle"], raw["assessments"])
@@ -176,9 +176,10 @@ def m4_block_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _flagship_sets(spark: SparkSession, sf_dir: str):
     raw = _raw(spark, sf_dir)
     train, test = train_test_split(raw)
-    tr = fp.build_features(train)
-    te = fp.build_features(test)
-    feats = [c for c in tr.columns if c not in K3 and c != "responce" and c in te.columns]
+    fitted = fp.new_preprocessors()
+    tr = fp.build_features(train, preprocessors=fitted)
+    te = fp.build_features(test, preprocessors=fitted, refit=False)
+    feats = [c for c in tr.columns if c not in K3 and c != "responce"]
     return tr.na.fill(0), te.na.fill(0), feats
 
 
