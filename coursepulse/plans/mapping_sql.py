@@ -58,14 +58,14 @@ assessments AS (
   CAST(p_partkey AS BIGINT) AS id_assessment,
   CAST(CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE 10 + p_size END AS BIGINT) AS date,
   CAST(10 AS DOUBLE) AS weight
- FROM part WHERE p_partkey < 60
+ FROM part
 ),
 student_assessment AS (
  SELECT CAST(l_partkey AS BIGINT) AS id_assessment, CAST(o_custkey AS BIGINT) AS id_student,
   CAST(min(l_quantity) AS BIGINT) AS date_submitted, CAST(0 AS BIGINT) AS is_banked,
   round(CAST(100 AS DOUBLE) - CAST(500 AS DOUBLE) * avg(l_discount), 2) AS score
  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
- WHERE l_partkey < 60 AND l_partkey % 12 = o_custkey % 12
+ WHERE l_partkey % 12 = o_custkey % 12
  GROUP BY l_partkey, o_custkey
 )"""
 

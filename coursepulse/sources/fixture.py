@@ -193,7 +193,7 @@ def student_vle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part")
     key = F.col("p_partkey")
-    out = p.where(key < 60).select(
+    out = p.select(
         _module(key).alias("code_module"),
         _term(key).alias("code_presentation"),
         key.cast("long").alias("id_assessment"),
@@ -204,8 +204,7 @@ def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def student_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem").where(F.col("l_partkey") < 60).select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_discount")
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (
         li.join(o, li.l_orderkey == o.o_orderkey, "inner")
