@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import safe_div
@@ -149,9 +149,34 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int, by: Sequ
 
 
 # ---------------------------------------------------------------- E22 / E30: exact quantiles
+_WIDE = 1e6
+
+
+def _bucket(x: Column, lo: float, hi: float, buckets: int) -> Column:
+    """Bucket of ``x`` in [lo, hi], rising with x. Ranges over many orders of magnitude are cut at
+    equal steps of the logarithm (negative values below zero below positive ones), so that the
+    number of rounds follows the number of digits and not the range."""
+    most = max(abs(lo), abs(hi))
+    least = min(v for v in (abs(lo), abs(hi)) if v > 0)
+    if lo < 0 < hi or lo == 0 or hi == 0 or most / least > _WIDE:
+        tiny = 5e-324
+        top, bottom = math.log(most), math.log(tiny)
+        half = buckets // 2
+        size = F.greatest(F.abs(x), F.lit(tiny))
+        step = F.least(F.floor((F.log(size) - F.lit(bottom)) / F.lit((top - bottom) / (half - 1))), F.lit(half - 1)) + 1
+        if lo >= 0 or hi <= 0:  # one sign: steps between the ends alone
+            near = min(abs(lo), abs(hi)) or tiny
+            bottom = math.log(near)
+            step = F.greatest(F.lit(0), F.least(F.floor((F.log(size) - F.lit(bottom)) / F.lit((top - bottom) / (half - 1))),
+                                                F.lit(half - 1))) + 1
+        return F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * step)
+    width = hi / buckets - lo / buckets
+    return F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
+
+
 def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int]], by: Sequence[str] = (),
-                     buckets: int = 512, final_rows: int = 10_000, max_rounds: int = 60) -> list:
-    """Values of ``col`` (NULLs ignored) at 0-based ranks, per ``by`` group.
+                     buckets: int = 512, final_rows: int = 10_000) -> list:
+    """Values of ``col`` (NULL and NaN ignored) at 0-based ranks, per ``by`` group.
 
     ``targets`` is a list of (group values, rank); the result lists the value of each target.
     Each round emits every row at most once per distinct open value range that contains it
@@ -159,7 +184,7 @@ def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int
     every target.
     """
     by = list(by)
-    data = df.select(*by, F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    data = df.select(*by, F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def group_cond(g):
@@ -172,17 +197,13 @@ def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int
                for r in data.groupBy(*by).agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
         state = [{"g": tuple(g), "rank": int(k), "lo": rng[tuple(g)][0], "hi": rng[tuple(g)][1],
                   "below": 0, "value": None} for g, k in targets]
-        for _ in range(max_rounds):
-            open_ = [s for s in state if s["value"] is None]
-            if not open_:
-                break
+        while open_ := [s for s in state if s["value"] is None]:
+            before = [(s["lo"], s["hi"]) for s in open_]
             ranges = list(dict.fromkeys((s["g"], s["lo"], s["hi"]) for s in open_))
             rid = {r: i for i, r in enumerate(ranges)}
             entries = []
             for (g, lo, hi), i in rid.items():
-                width = (hi - lo) / buckets
-                b = F.lit(0) if hi == lo else F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)),
-                                                      F.lit(buckets - 1))
+                b = F.lit(0) if hi == lo else _bucket(F.col("x"), lo, hi, buckets)
                 entries.append(F.when(group_cond(g) & F.col("x").between(F.lit(lo), F.lit(hi)),
                                       F.struct(F.lit(i).alias("rid"), b.cast("long").alias("b"))))
             hits = F.filter(F.array(*entries), lambda e: e.isNotNull())
@@ -219,6 +240,8 @@ def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int
                 for s in finals:
                     vals = sorted(got.get(fid[(s["g"], s["lo"], s["hi"])], []))
                     s["value"] = vals[s["rank"] - s["below"]]
+            if [(s["lo"], s["hi"]) for s in open_] == before and all(s["value"] is None for s in open_):
+                raise ArithmeticError(f"ranks of {col} cannot be narrowed further")
         return [s["value"] for s in state]
     finally:
         data.unpersist()
@@ -227,7 +250,7 @@ def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Quantiles with linear interpolation (pandas default) per ``by`` group: (by..., q, value)."""
     by = list(by)
-    counts = df.where(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).groupBy(*by).agg(F.count(F.lit(1)).alias("n")).collect()
     targets, plan = [], []
     for r in counts:
         g = tuple(r[c] for c in by)

@@ -18,13 +18,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("COURSEPULSE_SHUFFLE_PARTITIONS", "8"))
+    # AQE merges small shuffle partitions but never makes more: the number is the cluster's unless given
+    parts = shuffle_partitions or os.environ.get("COURSEPULSE_SHUFFLE_PARTITIONS")
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(int(parts)))
     spark = (
         builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -39,8 +41,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The folder comes from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a scratch folder is set.
+    The folder comes from ``spark.checkpoint.dir``. Where it is not set, a local session (tests) gets
+    a scratch folder; on a cluster that is an error, as executors do not share a machine's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="coursepulse-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

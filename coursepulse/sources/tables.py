@@ -19,18 +19,30 @@ def _names(names: Iterable[str] | None) -> list[str]:
     return chosen
 
 
-def load_csv_tables(spark: SparkSession, path: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+def _typed(name: str, col: str, kind, bad_values: str):
+    """The column as its type; a value that does not parse raises, or becomes NULL if so asked."""
+    value = F.col(f"`{col}`").try_cast(kind)
+    if bad_values == "null":
+        return value.alias(col)
+    message = F.concat(F.lit(f"{name}.{col}: not a {kind.simpleString()}: "), F.col(f"`{col}`"))
+    return F.when(F.col(f"`{col}`").isNotNull() & value.isNull(), F.raise_error(message).cast(kind)).otherwise(value).alias(col)
+
+
+def load_csv_tables(spark: SparkSession, path: str, names: Iterable[str] | None = None,
+                    bad_values: str = "raise") -> dict[str, DataFrame]:
     """Read the public data set's CSV files into a dict of lazy tables (``names`` selects a subset).
 
     The column names come from the header row (files may hold a subset of the columns, in any
-    order); the types come from the fixed schema, never from inference. Empty fields are NULL
-    and a value that does not parse as its type becomes NULL.
+    order); the types come from the fixed schema, never from inference. Empty fields are NULL. A
+    value that does not parse as its type raises when it is read; ``bad_values="null"`` makes it NULL.
     """
+    if bad_values not in ("raise", "null"):
+        raise ValueError("bad_values is 'raise' or 'null'")
     out = {}
     for name in _names(names):
         raw = spark.read.option("header", True).option("inferSchema", False).csv(os.path.join(path, CSV_FILES[name]))
         types = {f.name: f.dataType for f in SCHEMAS[name].fields}
-        cols = [F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in types if c in raw.columns]
+        cols = [_typed(name, c, types[c], bad_values) for c in types if c in raw.columns]
         extra = [F.col(f"`{c}`") for c in raw.columns if c not in types]
         out[name] = raw.select(*cols, *extra)
     return out
