@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import day_in_segment, not_true, segment_of
@@ -103,8 +103,13 @@ def effort(daily: DataFrame, start: int, end: int) -> DataFrame:
 
 def test_schedule(assessments: DataFrame, max_n: int = 3) -> DataFrame:
     """First ``max_n`` assessment dates per course, ascending (NULL dates left out)."""
-    dates = F.slice(F.array_sort(F.collect_list("date")), 1, max_n)
-    out = assessments.groupBy(*K2).agg(dates.alias("dates"))
+    # equal dates are counted before the shuffle, and a course's list holds max_n dates at most
+    days = assessments.groupBy(*K2, "date").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy(*K2).orderBy(F.asc_nulls_last("date"))) - F.col("n")
+    kept = F.when(F.col("date").isNotNull() & (F.col("earlier") < max_n), F.struct(
+        F.col("date"), F.array_repeat("date", F.least("n", F.lit(max_n) - F.col("earlier")).cast("int")).alias("same")))
+    firsts = days.withColumn("earlier", earlier).groupBy(*K2).agg(F.array_sort(F.collect_list(kept)).alias("firsts"))
+    out = firsts.select(*K2, F.flatten(F.col("firsts.same")).alias("dates"))
     bound = row_bound(assessments)
     return mark_bounded(out, bound) if bound is not None else out
 

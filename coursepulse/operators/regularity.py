@@ -124,10 +124,10 @@ def activity_regularity(student_vle: DataFrame, vle: DataFrame, assessments: Dat
                         activities: Sequence[str] = ACTIVITIES) -> DataFrame:
     """``concentration`` and ``consistency`` per student over clicks in [start, end]."""
     clicks = clicks_with_sites(student_vle.where(F.col("date") >= 0), vle, "inner")
-    base = clicks.groupBy(*K3, "date", "activity_type").agg(F.sum("sum_click").alias("c"))
-    base, start, end = _resolve_end(base, assessments, using_testing_dates, user_defined_range)
-    base = base.where((F.col("date") >= start) & (F.col("date") <= end))
-    base = base.where(F.col("activity_type").isin(list(activities))).select(*K3, "date", "activity_type", "c")
+    # days after the end are cut by the small schedule before anything is shuffled
+    inside, start, end = _resolve_end(clicks, assessments, using_testing_dates, user_defined_range)
+    inside = inside.where((F.col("date") >= start) & (F.col("date") <= end) & F.col("activity_type").isin(list(activities)))
+    base = inside.groupBy(*K3, "date", "activity_type").agg(F.sum("sum_click").alias("c"))
     k = len(activities)
     # one repartition on the student key serves all three windows below
     base = base.repartition(*K3)

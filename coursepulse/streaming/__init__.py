@@ -31,8 +31,11 @@ def daily_clicks_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start_daily_clicks(spark: SparkSession, path: str, checkpoint: str, query_name: str = "daily_clicks",
-                       sink: str = "memory", foreach_batch=None) -> StreamingQuery:
-    """Start the daily-base stream (update mode). ``checkpoint`` must be a shared folder on a cluster."""
+                       sink: str | None = None, foreach_batch=None) -> StreamingQuery:
+    """Start the daily-base stream (update mode) into a ``sink`` format or a ``foreach_batch`` function;
+    one of them must be named. ``checkpoint`` must be a shared folder on a cluster."""
+    if sink is None and foreach_batch is None:
+        raise ValueError("name a sink or a foreach_batch function")
     w = (daily_clicks_stream(spark, path).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint).queryName(query_name))
     if foreach_batch is not None:

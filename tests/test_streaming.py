@@ -17,7 +17,8 @@ def test_stream_matches_batch(spark):
     # two arrivals of click files
     clicks.where(F.col("date") < 10).write.parquet(os.path.join(src, "part1"))
     clicks.where(F.col("date") >= 10).write.parquet(os.path.join(src, "part2"))
-    q = start_daily_clicks(spark, os.path.join(src, "*"), os.path.join(root, "ckpt"), query_name="daily_test")
+    q = start_daily_clicks(spark, os.path.join(src, "*"), os.path.join(root, "ckpt"), query_name="daily_test",
+                           sink="memory")
     try:
         q.processAllAvailable()
         got = spark.sql("SELECT * FROM daily_test")
