@@ -1,9 +1,11 @@
 """Broadcast only sides whose size is bounded, with a shuffle join beyond the bound.
 
 A dimension side (courses, sites, schedules) is broadcast when its row count is proven to be at
-most ``max_rows``: either a bound is declared where the table is built (e.g. one row per course by
-construction), or a ``limit(max_rows + 1).count()`` check is run once and remembered on the frame.
-Above the bound the frame is returned as is and Spark plans a shuffle join.
+most ``max_rows`` and its rows, by the types of their columns, to take at most ``MAX_BYTES``: either a
+bound is declared where the table is built (e.g. one row per course by construction), or a
+``limit(rows + 1).count()`` check is run once and remembered on the frame. Strings and nested values
+have no fixed width; their stored length is measured with the count. Above the bound the frame is
+returned as is and Spark plans a shuffle join.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 1_000_000
+MAX_BYTES = 256 * 1024 * 1024
 
 _ATTR = "_coursepulse_row_bound"
 
@@ -26,14 +29,28 @@ def row_bound(df: DataFrame) -> int | None:
     return getattr(df, _ATTR, None)
 
 
+def _fixed_width(df: DataFrame) -> int:
+    return 8 * len(df.columns) + 32
+
+
+def _measured(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """Rows (at most ``max_rows + 1``) and bytes of those rows."""
+    var = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields
+           if f.dataType.typeName() in ("string", "binary", "array", "map", "struct")]
+    width = sum(var, F.lit(_fixed_width(df)).cast("long"))
+    row = df.select(width.alias("w")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum("w")).first()
+    return row[0], row[1] or 0
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows and ``MAX_BYTES``, else ``df`` unchanged."""
     bound = row_bound(df)
     if bound is None:
-        n = df.limit(max_rows + 1).count()
-        mark_bounded(df, n)
-        bound = n
+        bound, size = _measured(df, max_rows)
+        if bound <= max_rows:
+            mark_bounded(df, bound)
+        if size > MAX_BYTES:
+            return df
     if bound <= max_rows:
-        out = F.broadcast(df)
-        return mark_bounded(out, bound)
+        return mark_bounded(F.broadcast(df), bound)
     return df

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from coursepulse.functions.dims import DEFAULT_MAX_ROWS, row_bound
 from coursepulse.operators.features import DuplicateIndex
+from coursepulse.operators.split import IN_TEST, IN_TRAIN, with_sides
+from coursepulse.schema import TRAIN_TERMS
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -64,23 +66,17 @@ def indicator_counts(df: DataFrame, name: str = "_merge") -> DataFrame:
     return df.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
 
 
-def split_completeness(tables: dict[str, DataFrame], train: dict[str, DataFrame],
-                       test: dict[str, DataFrame]) -> DataFrame:
-    """Per table: total rows, train rows, test rows (train + test must equal total)."""
-    parts = []
-    for name in tables:
-        parts.append(tables[name].select(F.lit(name).alias("table_name"), F.lit(1).alias("t"),
-                                         F.lit(0).alias("a"), F.lit(0).alias("b")))
-        parts.append(train[name].select(F.lit(name).alias("table_name"), F.lit(0).alias("t"),
-                                        F.lit(1).alias("a"), F.lit(0).alias("b")))
-        parts.append(test[name].select(F.lit(name).alias("table_name"), F.lit(0).alias("t"),
-                                       F.lit(0).alias("a"), F.lit(1).alias("b")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("table_name").agg(
-        F.sum("t").cast("long").alias("n_total"), F.sum("a").cast("long").alias("n_train"),
-        F.sum("b").cast("long").alias("n_test"))
+def split_completeness(tables: dict[str, DataFrame], train_terms: Sequence[str] = TRAIN_TERMS,
+                       test_terms: Sequence[str] | None = None) -> DataFrame:
+    """Per table: total, train and test rows, counted in one scan of the table (without
+    ``test_terms`` train + test must equal total)."""
+    out = None
+    for name, df in tables.items():
+        part = with_sides(df, tables.get("assessments"), train_terms, test_terms).agg(
+            F.count(F.lit(1)).alias("n_total"), F.count_if(IN_TRAIN).alias("n_train"),
+            F.count_if(IN_TEST).alias("n_test")).withColumn("table_name", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def rows_sum_to_one(cols: Sequence[str], tol: float = 1e-9) -> Column:

@@ -162,33 +162,37 @@ def score(model, df: DataFrame, label: str = "label", keys: Sequence[str] = ())
 
 
 # ---------------------------------------------------------------- M11-M14 on a scored table
-def classification_metrics(scored: DataFrame) -> DataFrame:
-    """Precision, recall, F1 of class 1 and ROC AUC (ties averaged) in one row."""
-    y, p = F.col("label"), F.col("prediction")
-    counts = scored.agg(F.sum(F.when((y == 1) & (p == 1), 1).otherwise(0)).alias("tp"),
-                        F.sum(F.when((y == 0) & (p == 1), 1).otherwise(0)).alias("fp"),
-                        F.sum(F.when((y == 1) & (p == 0), 1).otherwise(0)).alias("fn"))
-    auc = roc_auc(scored)
-    prec = F.coalesce(safe_div(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
-    rec = F.coalesce(safe_div(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
-    f1 = F.coalesce(safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), F.lit(0.0))
-    return counts.select(prec.cast("double").alias("precision"), rec.cast("double").alias("recall"),
-                         f1.cast("double").alias("f1"), auc.scalar().alias("auc"))
+def _by_score(scored: DataFrame) -> DataFrame:
+    """One row per distinct score: positives and negatives, and those of them predicted as 1."""
+    y, p = F.col("label") == 1, F.col("prediction") == 1
+    aggs = {"pos": F.count_if(y), "neg": F.count_if(~y)}
+    if "prediction" in scored.columns:
+        aggs |= {"tp": F.count_if(y & p), "fp": F.count_if(~y & p)}
+    return scored.groupBy("score").agg(*[a.alias(n) for n, a in aggs.items()])
 
 
-def _by_score(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("score").agg(
-        F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("long").alias("pos"),
-        F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).cast("long").alias("neg"))
+def _auc(cum: DataFrame) -> F.Column:
+    # negatives strictly below this score = running sum of negatives minus this score's own
+    term = F.col("pos") * (F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("pos") * F.col("neg")
+    return safe_div(F.sum(term).cast("double"), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc")
+
+
+def classification_metrics(scored: DataFrame) -> DataFrame:
+    """Precision, recall, F1 of class 1 and ROC AUC (ties averaged) in one row, all of them from the
+    running sums over the distinct scores (one pass over the scored table)."""
+    cum = running_sums(_by_score(scored), ["score"], ["neg"])
+    tot = cum.agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("pos").alias("pos"), _auc(cum))
+    tp, fp, pos = F.col("tp"), F.col("fp"), F.col("pos")
+    zero = F.lit(0.0)
+    return tot.select(F.coalesce(safe_div(tp, tp + fp), zero).cast("double").alias("precision"),
+                      F.coalesce(safe_div(tp, pos), zero).cast("double").alias("recall"),
+                      F.coalesce(safe_div(2 * tp, pos + tp + fp), zero).cast("double").alias("f1"), "auc")
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
     """AUC = P(score of a positive > score of a negative) + 0.5 P(equal), from per-score counts."""
-    cum = running_sums(_by_score(scored), ["score"], ["neg", "pos"])
-    # negatives strictly below this score = running sum of negatives minus this score's own
-    term = F.col("pos") * (F.col("cum_neg") - F.col("neg")) + F.lit(0.5) * F.col("pos") * F.col("neg")
-    return cum.agg(safe_div(F.sum(term).cast("double"),
-                            (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
+    cum = running_sums(_by_score(scored.select("label", "score")), ["score"], ["neg"])
+    return cum.agg(_auc(cum))
 
 
 def roc_points(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
@@ -198,7 +202,7 @@ def roc_points(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     points where the curve bends (a non-zero second difference of the false or true positives);
     the neighbours are found by an equi-join on the point's position, not by a global window.
     """
-    by = _by_score(scored).withColumn("desc_key", -F.col("score"))
+    by = _by_score(scored.select("label", "score")).withColumn("desc_key", -F.col("score"))
     cum = running_sums(by, ["desc_key"], ["pos", "neg"], count_col="i")
     # totals from the checkpointed per-score rows, not from another pass over the scored table
     tot = cum.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
@@ -239,9 +243,9 @@ def threshold_f1(scored: DataFrame, thresholds: Sequence[float] | None = None) -
     spark = scored.sparkSession
     arr = F.array(*[F.lit(float(t)) for t in ts])
     k = F.size(F.filter(arr, lambda t: F.col("score") > t))
-    per = scored.groupBy(k.alias("k")).agg(
-        F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).cast("long").alias("pos"),
-        F.sum(F.when(F.col("label") == 1, 0).otherwise(1)).cast("long").alias("neg"))
+    # rows are counted per distinct score first, so the thresholds are compared once a score
+    per = _by_score(scored.select("label", "score")).groupBy(k.alias("k")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     # k takes at most len(ts) + 1 values: densify over that fixed range, then suffix sums over
     # those few rows give the positives / negatives predicted at each threshold
     ks = spark.range(len(ts) + 1).withColumnRenamed("id", "k")

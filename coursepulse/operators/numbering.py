@@ -21,8 +21,8 @@ from coursepulse.session import cut_lineage
 def _ranged(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
     """Range-partitioned, sorted copy in the checkpoint folder; ``__pid`` stores the range index
     (a stored value, so it stays right when the frame is later unioned or re-numbered)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without a given number, adaptive execution merges small ranges
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
     return cut_lineage(ranged.withColumn("__pid", F.spark_partition_id()))
 
 

@@ -1,9 +1,7 @@
 """Composite flows of the legacy pipeline: demographics, engagement per segment, wide segments.
 
-Engagement plan: the joined clicks are aggregated once to (student, segment, day, activity) with
-partial aggregation, then repartitioned on (student, segment). The later grouping steps use that
-key (or a superset), so no further shuffle is needed, and each group holds at most
-``segment_days x #activities`` rows, however many clicks a student has.
+Engagement plan: clicks per day and per activity are conditional sums of one grouping on (student,
+segment); a group is one row of fixed width, however many clicks a student has.
 """
 
 from __future__ import annotations
@@ -83,56 +81,64 @@ def engagement(student_vle: DataFrame, vle: DataFrame, segment_days: int = 30, m
     """Per (K3, segment): clicks, activity shares, day shares ``day_1..day_n`` and their summaries.
 
     Activity shares ignore clicks of unknown sites (NULL if a segment has only those); day shares
-    and summaries use all clicks. Segments above ``max_segment`` are dropped.
+    and summaries use all clicks. Segments above ``max_segment`` are dropped before the shuffle.
 
-    After the base aggregate and its repartition on (K3, segment), two grouping steps on that key
-    build the segment's day list (at most ``segment_days`` entries, each with its activity
-    counts); every output column is an expression over that bounded list, so there is no further
-    shuffle and no join between partial results.
+    Clicks per day and per activity are conditional sums of one grouping on (K3, segment), so the
+    click log is reduced by partial aggregation and shuffled once; the summaries are expressions
+    over the day columns of a row.
     """
     n = segment_days
     acts = list(activities) if activities is not None else activity_values(vle)
-    base = segment_base(student_vle, vle, n)
-    per_day = base.groupBy(*KS, DAY).agg(
-        F.sum("c").alias("dc"),
-        F.collect_list(F.when(F.col("activity_type").isNotNull(), F.struct("activity_type", "c"))).alias("acts"))
-    seg = (per_day.groupBy(*KS).agg(F.array_sort(F.collect_list(F.struct(DAY, "dc", "acts"))).alias("days"))
-           .where(F.col(SEG) < max_segment + 1))
+    days = range(1, n + 1)
+    sites = bounded_broadcast(vle.select(*SITE_KEY, "activity_type"))
+    seg = F.ceil(F.col("date") / F.lit(float(n))).cast("long")
+    c = F.col("sum_click")
+    wide = (
+        student_vle.where(seg < max_segment + 1)
+        .join(sites, SITE_KEY, "left")
+        .select(*K3, seg.alias(SEG), (F.col("date") - (seg - 1) * n).alias(DAY), "activity_type", "sum_click")
+        .groupBy(*KS).agg(
+            F.sum(c).alias("sum_click"),
+            F.sum(F.when(F.col("activity_type").isNotNull(), c)).alias("__known"),
+            *[F.sum(F.when(F.col("activity_type") == a, c)).alias(f"__a{i}") for i, a in enumerate(acts)],
+            *[F.sum(F.when(F.col(DAY) == d, c)).alias(f"__d{d}") for d in days])
+    )
+    share = [F.try_divide(F.col(f"__d{d}").cast("double"), F.col("sum_click").cast("double")) for d in days]
+    wide = wide.withColumn("__p", F.array(*share))  # NULL on days without a click
     mu = 1.0 / n
-    e = F.expr
-    seg = seg.select(
-        *KS, "days",
-        e("aggregate(days, CAST(0 AS BIGINT), (s, x) -> s + x.dc)").alias("sum_click"),
-        e("flatten(transform(days, x -> x.acts))").alias("flat"))
-    seg = seg.select(
-        *KS, "days", "sum_click", "flat",
-        e("transform(days, x -> CAST(x.dc AS DOUBLE) / sum_click)").alias("p"),
-        e("aggregate(flat, CAST(0 AS BIGINT), (s, y) -> s + y.c)").alias("known"))
-    k = "size(days)"
-    s2 = f"(aggregate(p, 0D, (s, x) -> s + pow(x - {mu!r}D, 2)) + ({n} - {k}) * pow({mu!r}D, 2))"
-    s4 = f"(aggregate(p, 0D, (s, x) -> s + pow(x - {mu!r}D, 4)) + ({n} - {k}) * pow({mu!r}D, 4))"
+
+    def total(of) -> F.Column:
+        return F.aggregate("__p", F.lit(0.0), lambda s, x: s + of(F.coalesce(x, F.lit(0.0))))
+
+    def longest(clicked: bool) -> F.Column:
+        start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+        def step(s, x):
+            run = F.when(x.isNotNull() if clicked else x.isNull(), s["run"] + 1).otherwise(0)
+            return F.struct(run.alias("run"), F.greatest(s["best"], run).alias("best"))
+
+        return F.aggregate("__p", start, step)["best"].cast("long")
+
+    # the fourth-power sum and the squares as columns: the kurtosis uses the squares three times
+    wide = wide.withColumns({"__s2": total(lambda x: F.pow(x - mu, F.lit(2))),
+                             "__s4": total(lambda x: F.pow(x - mu, F.lit(4)))})
+    s2, s4 = F.col("__s2"), F.col("__s4")
     adj = 3.0 * (n - 1) ** 2 / ((n - 2) * (n - 3))
-    kurt = (f"CASE WHEN {s2} <= 1e-14 THEN 0D ELSE "
-            f"{float(n * (n + 1) * (n - 1))!r}D * {s4} / ({float((n - 2) * (n - 3))!r}D * {s2} * {s2}) - {adj!r}D END")
-    var = f"(aggregate(p, 0D, (s, x) -> s + x * x) - {mu!r}D) / {float(n - 1)!r}D"
-    runs = ("aggregate(days, named_struct('prev', CAST(-1 AS BIGINT), 'run', 0, 'best', 0), (st, x) -> "
-            "named_struct('prev', x.temperal_seq, 'run', CASE WHEN x.temperal_seq = st.prev + 1 THEN st.run + 1 ELSE 1 END, "
-            "'best', greatest(st.best, CASE WHEN x.temperal_seq = st.prev + 1 THEN st.run + 1 ELSE 1 END))).best")
-    gaps = (f"greatest(aggregate(days, named_struct('prev', CAST(0 AS BIGINT), 'best', CAST(0 AS BIGINT)), (st, x) -> "
-            f"named_struct('prev', x.temperal_seq, 'best', greatest(st.best, x.temperal_seq - st.prev - 1))).best, "
-            f"{n} - element_at(days, -1).temperal_seq)")
-    day_map = "map_from_arrays(transform(days, x -> x.temperal_seq), p)"
-    cols = [*KS, F.col("sum_click"),
-            *[e(f"try_divide(CAST(aggregate(filter(flat, y -> y.activity_type = '{a}'), CAST(0 AS BIGINT), "
-                f"(s, y) -> s + y.c) AS DOUBLE), CAST(NULLIF(known, 0) AS DOUBLE))").alias(a) for a in acts],
-            *[e(f"coalesce(try_element_at({day_map}, CAST({d} AS BIGINT)), 0D)").alias(f"day_{d}") for d in range(1, n + 1)],
-            F.array_max("p").alias("peak"),
-            ln_or_null(e(var)).alias("variation"),
-            e(kurt).alias("kurtosis"),
-            e(gaps).cast("long").alias("longest_zeros"),
-            e(runs).cast("long").alias("longest_ones"),
-            e("-aggregate(p, 0D, (s, x) -> s + x * log2(x))").alias("entropy")]
-    return seg.select(*cols)
+    kurt = F.when(s2 <= 1e-14, F.lit(0.0)).otherwise(
+        F.lit(float(n * (n + 1) * (n - 1))) * s4 / (F.lit(float((n - 2) * (n - 3))) * s2 * s2) - adj)
+    var = (total(lambda x: x * x) - mu) / float(n - 1)
+    known = F.nullif(F.col("__known"), F.lit(0)).cast("double")
+    return wide.select(
+        *KS, "sum_click",
+        *[F.try_divide(F.when(F.col("__known").isNotNull(), F.coalesce(F.col(f"__a{i}"), F.lit(0))).cast("double"),
+                       known).alias(a) for i, a in enumerate(acts)],
+        *[F.coalesce(F.get("__p", F.lit(d - 1)), F.lit(0.0)).alias(f"day_{d}") for d in days],
+        F.array_max("__p").alias("peak"),
+        ln_or_null(var).alias("variation"),
+        kurt.alias("kurtosis"),
+        longest(False).alias("longest_zeros"),
+        longest(True).alias("longest_ones"),
+        (-total(lambda x: F.when(x > 0, x * F.log2(x)).otherwise(0.0))).alias("entropy"))
 
 
 # ---------------------------------------------------------------- H9: info x engagement

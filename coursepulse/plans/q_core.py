@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import band_average
 from coursepulse.operators import checks, encode
-from coursepulse.operators.split import legacy_split, train_test_split
+from coursepulse.operators.split import train_test_split
 from coursepulse.plans import feature_pool as fp
 from coursepulse.plans.registry import query
 from coursepulse.plans.sql_parts import (K3S, TRAIN_IN, order_values, ordinal_mode_cte, regularity_ctes,
                                          top_values_cte)
-from coursepulse.schema import K3, ORDINAL_ORDERS, TABLES
+from coursepulse.schema import K3, ORDINAL_ORDERS, TABLES, TEST_TERMS
 from coursepulse.sources.fixture import fixture_tables
 
 
@@ -114,9 +114,7 @@ _SPLIT_SQL = " UNION ALL ".join(
 @query("c1_split_counts", _SPLIT_SQL)
 def c1_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split every table by term (assessment ids for tables without a term); counts per side."""
-    raw = fixture_tables(spark, sf_dir)
-    train, test = train_test_split(raw)
-    return checks.split_completeness(raw, train, test)
+    return checks.split_completeness(fixture_tables(spark, sf_dir))
 
 
 _LEGACY_SQL = " UNION ALL ".join(
@@ -132,17 +130,7 @@ _LEGACY_SQL = " UNION ALL ".join(
 @query("c4_legacy_split_counts", _LEGACY_SQL)
 def c4_legacy_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Legacy split with explicit test terms: rows per side for every table."""
-    raw = fixture_tables(spark, sf_dir)
-    parts = []
-    for t in TABLES:
-        tr, te = legacy_split(raw[t], raw["assessments"])
-        parts.append(tr.select(F.lit(t).alias("table_name"), F.lit(1).alias("a"), F.lit(0).alias("b")))
-        parts.append(te.select(F.lit(t).alias("table_name"), F.lit(0).alias("a"), F.lit(1).alias("b")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("table_name").agg(F.sum("a").cast("long").alias("n_train"),
-                                         F.sum("b").cast("long").alias("n_test"))
+    return checks.split_completeness(fixture_tables(spark, sf_dir), test_terms=TEST_TERMS).drop("n_total")
 
 
 # ---------------------------------------------------------------- G: encoders on the training terms

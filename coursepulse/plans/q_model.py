@@ -14,6 +14,7 @@ from coursepulse.plans import feature_pool as fp
 from coursepulse.plans import flows
 from coursepulse.plans.registry import query
 from coursepulse.schema import K3
+from coursepulse.session import cut_lineage
 from coursepulse.sources.fixture import fixture_tables
 
 K3J = "code_module, code_presentation, id_student"
@@ -34,8 +35,10 @@ def effort_scored(raw: dict[str, DataFrame], term: str = "2014J") -> DataFrame:
     fd = fp.get_response(test, [["Pass", "Distinction"], ["Fail"]], response_name="label")
     fd.update(fp.get_effort(test, 0, 32))
     x = fd.merge().data.withColumn("effort", F.coalesce(F.col("effort"), F.lit(0)).cast("double"))
-    st = x.agg(F.struct(F.avg("effort").alias("mu"), F.stddev_samp("effort").alias("sd"))).scalar()
-    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("effort") - st["mu"]) / st["sd"]))
+    # the mean, the deviation and every metric read the one row per student, not the click log again
+    x = cut_lineage(x.select(*K3, "label", "effort"))
+    mu, sd = x.agg(F.avg("effort"), F.stddev_samp("effort")).first()
+    s = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.try_divide(F.col("effort") - F.lit(mu).cast("double"), F.lit(sd).cast("double"))))
     return x.select(*K3, "label", s.alias("score"),
                     F.when(s > 0.5, F.lit(1.0)).otherwise(F.lit(0.0)).alias("prediction"))
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursepulse.functions.dims import bounded_broadcast, mark_bounded, row_bound
+from coursepulse.operators import checks
+from coursepulse.schema import KEYS
 
 # --- fixed values of the mapping -------------------------------------------------------------------
 MODULES = ["AAA", "BBB", "CCC"]  # by key % 3
@@ -63,57 +65,25 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCE_SCHEMAS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-# row counts of small derived tables, checked once per data folder and session
-_CHECKED: dict[tuple[str, str, str], int] = {}
+# The course and site views have a few hundred rows by construction. One container (one call of
+# ``fixture_tables``) reads them once and its plans embed them; nothing is kept across calls, so a
+# later call sees the folder's present content.
+SMALL_ROWS = 1_000
+NATION_ROWS = 10_000
 
 
-def _checked_bound(spark: SparkSession, sf_dir: str, name: str, df: DataFrame, max_rows: int) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count()
-    return mark_bounded(df, _CHECKED[key])
-
-
-# small dimension views (at most a few hundred rows by construction or by check), materialised
-# once per data folder and session as local relations: later plans embed them instead of
-# recomputing them from the large tables they are derived from
-_SMALL: dict[tuple[str, str, str], DataFrame] = {}
-SMALL_ROWS = 100_000
-
-
-_UNIQUE_CHECKED: dict[tuple[str, str, str], bool] = {}
-
-
-def _checked_unique(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """Check the table key once per data folder and session; the verdict is kept on the frame."""
-    from coursepulse.operators import checks
-    from coursepulse.schema import KEYS
-
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    if key not in _UNIQUE_CHECKED:
-        checks.assert_unique_keys(df, KEYS[name])
-        _UNIQUE_CHECKED[key] = True
-    checks.mark_unique(df, KEYS[name])
-    return df
-
-
-def _materialised(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    if key not in _SMALL:
-        df = build()
-        bound = row_bound(df)
-        if bound is None or bound > SMALL_ROWS:
-            return df
-        rows = df.limit(SMALL_ROWS + 1).collect()
-        _SMALL[key] = mark_bounded(spark.createDataFrame(rows, df.schema), len(rows))
-    return _SMALL[key]
+def _embedded(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df``, declared to have at most ``SMALL_ROWS`` rows, as rows held in the plan."""
+    bound = row_bound(df)
+    if bound is None or bound > SMALL_ROWS:
+        return df
+    rows = df.limit(SMALL_ROWS + 1).collect()
+    return mark_bounded(spark.createDataFrame(rows, df.schema), len(rows))
 
 
 def student_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
-    nation = _checked_bound(spark, sf_dir, "nation", _read(spark, sf_dir, "nation").select("n_nationkey", "n_name"),
-                            10_000)
-    n = bounded_broadcast(nation, 10_000)
+    n = bounded_broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_ROWS)
     key = F.col("c_custkey")
     edu = None
     for seg, label in EDUCATION_BY_SEGMENT.items():
@@ -193,14 +163,13 @@ def student_vle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _read(spark, sf_dir, "part")
     key = F.col("p_partkey")
-    out = p.select(
+    return p.select(
         _module(key).alias("code_module"),
         _term(key).alias("code_presentation"),
         key.cast("long").alias("id_assessment"),
         F.when(key % 17 == 0, F.lit(None).cast("long")).otherwise(10 + F.col("p_size")).cast("long").alias("date"),
         F.lit(10.0).alias("weight"),
     )
-    return _checked_bound(spark, sf_dir, "assessments", out, 1_000_000)
 
 
 def student_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,23 +234,26 @@ class _LazyTables(dict):
 def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All seven cohort tables over the generated parquet at ``sf_dir`` (lazy; each view is
     analysed on first use)."""
-    cache: dict[str, DataFrame] = {}
+    tables = _LazyTables({})
 
     def info():
-        if "info" not in cache:
-            cache["info"] = _checked_unique(spark, sf_dir, "student_info", student_info(spark, sf_dir))
-        return cache["info"]
-
-    def crs():
-        return _materialised(spark, sf_dir, "courses", lambda: courses(info()))
-
-    return _LazyTables({
-        "courses": crs,
-        "assessments": lambda: _materialised(spark, sf_dir, "assessments", lambda: assessments(spark, sf_dir)),
+        df = student_info(spark, sf_dir)
+        checks.assert_unique_keys(df, KEYS["student_info"])
+        return df
+
+    def registration():
+        # one row per row of student_info with the same key, which is checked there
+        df = student_registration(tables["student_info"])
+        checks.mark_unique(df, KEYS["student_registration"])
+        return df
+
+    tables._builders.update({
+        "courses": lambda: _embedded(spark, courses(student_info(spark, sf_dir))),
+        "assessments": lambda: assessments(spark, sf_dir),
         "student_info": info,
-        "student_registration": lambda: _checked_unique(spark, sf_dir, "student_registration",
-                                                        student_registration(info())),
+        "student_registration": registration,
         "student_assessment": lambda: student_assessment(spark, sf_dir),
-        "vle": lambda: _materialised(spark, sf_dir, "vle", lambda: vle(spark, sf_dir, crs())),
+        "vle": lambda: _embedded(spark, vle(spark, sf_dir, tables["courses"])),
         "student_vle": lambda: student_vle(spark, sf_dir),
     })
+    return tables
