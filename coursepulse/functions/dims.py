@@ -29,6 +29,12 @@ def row_bound(df: DataFrame) -> int | None:
     return getattr(df, _ATTR, None)
 
 
+def narrowed(df: DataFrame, *cols: str) -> DataFrame:
+    """``df.select(cols)`` with the row bound of ``df``."""
+    out, bound = df.select(*cols), row_bound(df)
+    return out if bound is None else mark_bounded(out, bound)
+
+
 def _fixed_width(df: DataFrame) -> int:
     return 8 * len(df.columns) + 32
 
@@ -47,10 +53,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFr
     bound = row_bound(df)
     if bound is None:
         bound, size = _measured(df, max_rows)
-        if bound <= max_rows:
-            mark_bounded(df, bound)
-        if size > MAX_BYTES:
+        if bound > max_rows or size > MAX_BYTES:
             return df
+        mark_bounded(df, bound)
     if bound <= max_rows:
         return mark_bounded(F.broadcast(df), bound)
     return df

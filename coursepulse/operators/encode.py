@@ -57,10 +57,18 @@ def fill_zero(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.na.fill(0, subset=list(cols) if cols else None)
 
 
-def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Missing values replaced by the column mean (one aggregate for all columns)."""
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    return df.na.fill({c: row[c] for c in cols if row[c] is not None})
+def column_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    """Mean of each column that has a value (one aggregate for all columns)."""
+    row = df.agg(*[F.avg(f"`{c}`").alias(c) for c in cols]).first()
+    return {c: row[c] for c in cols if row[c] is not None}
+
+
+def fill_mean(df: DataFrame, cols: Sequence[str], means: dict[str, float] | None = None) -> DataFrame:
+    """Missing values replaced by the column mean, or by the given ``means`` of another split (as
+    doubles; a column without a mean keeps its NULLs)."""
+    means = column_means(df, cols) if means is None else means
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(means[c]).cast("double"))
+                           for c in cols if c in means})
 
 
 # ---------------------------------------------------------------- categorical

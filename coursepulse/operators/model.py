@@ -12,14 +12,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (PCA, Imputer, StandardScaler, UnivariateFeatureSelector,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import safe_div
@@ -61,20 +62,24 @@ def pca_fit(df: DataFrame, cols: Sequence[str], k: int, center: bool = True):
     return model, var, load
 
 
-def block_pca(df: DataFrame, blocks: dict[str, tuple[Sequence[str], int]], keep: Sequence[str]) -> tuple[Pipeline, DataFrame]:
-    """Replace each block of columns by its first components (``{block}{i}``), other columns kept."""
+def block_pca(df: DataFrame, blocks: dict[str, tuple[Sequence[str], int]]) -> PipelineModel:
+    """Centred PCA of each block of columns, fitted on ``df`` (applied by :func:`apply_block_pca`)."""
     stages = []
     for name, (cols, k) in blocks.items():
         stages += [VectorAssembler(inputCols=list(cols), outputCol=f"__{name}_x", handleInvalid="keep"),
                    StandardScaler(inputCol=f"__{name}_x", outputCol=f"__{name}_c", withMean=True, withStd=False),
                    PCA(k=min(k, len(cols)), inputCol=f"__{name}_c", outputCol=f"__{name}_p")]
-    model = Pipeline(stages=stages).fit(df)
-    out = model.transform(df)
-    cols = list(keep)
-    for name, (c, k) in blocks.items():
+    return Pipeline(stages=stages).fit(df)
+
+
+def apply_block_pca(model: PipelineModel, df: DataFrame, blocks: dict[str, tuple[Sequence[str], int]]) -> DataFrame:
+    """``df`` with each block of columns replaced by its components (``{block}{i}``), other columns kept."""
+    replaced = {c for cols, _ in blocks.values() for c in cols}
+    out = [F.col(f"`{c}`") for c in df.columns if c not in replaced]
+    for name, (cols, k) in blocks.items():
         arr = vector_to_array(F.col(f"__{name}_p"))
-        cols += [arr[i].alias(f"{name}{i + 1}") for i in range(min(k, len(c)))]
-    return model, out.select(*cols)
+        out += [arr[i].alias(f"{name}{i + 1}") for i in range(min(k, len(cols)))]
+    return model.transform(df).select(*out)
 
 
 def feature_pipeline(features: Sequence[str], label: str, max_features: int = 100) -> Pipeline:
@@ -127,6 +132,19 @@ def boosted(label: str = "label", seed: int = 7) -> GBTClassifier:
     return GBTClassifier(labelCol=label, featuresCol="features", minInstancesPerNode=10, seed=seed)
 
 
+def in_few_partitions(df: DataFrame, rows_per_partition: int = 20_000) -> DataFrame:
+    """Training rows kept (memory, then disk) in partitions of about ``rows_per_partition`` rows.
+
+    A tree fit runs one job a level over these rows, so many small partitions cost more than the work.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    parts = -(-df.count() // rows_per_partition) or 1
+    out = df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    df.unpersist()
+    return out
+
+
 def tune(estimator, df: DataFrame, grid: dict, label: str = "label", fold_col: str = "fold",
          folds: int = 5, parallelism: int = 4) -> CrossValidator:
     """Grid search with the given folds, scored by the F1 of class 1; returns the fitted CV model."""
@@ -146,7 +164,7 @@ def best_of(models: dict) -> tuple[str, object, float]:
 
 def feature_importance(model, features: Sequence[str], top: int | None = 10) -> DataFrame:
     """Importances named by feature, largest first (top ``top``)."""
-    spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     imp = model.featureImportances.toArray()
     df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
     df = df.orderBy(F.desc("importance"), F.asc("feature"))

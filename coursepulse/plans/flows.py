@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import band_average, ln_or_null
-from coursepulse.functions.dims import bounded_broadcast
+from coursepulse.functions.dims import bounded_broadcast, narrowed
 from coursepulse.operators import checks
 from coursepulse.operators.clicks import SITE_KEY
 from coursepulse.operators.encode import map_outcome
@@ -59,7 +59,7 @@ def demographics(student_info: DataFrame, outcome_map: dict = FAIL_VS_PASS,
 # ---------------------------------------------------------------- H8: engagement per segment
 def segment_base(student_vle: DataFrame, vle: DataFrame, segment_days: int = 30) -> DataFrame:
     """Clicks with their site, aggregated to (K3, segment, day-in-segment, activity), partitioned on (K3, segment)."""
-    sites = bounded_broadcast(vle.select(*SITE_KEY, "activity_type"))
+    sites = bounded_broadcast(narrowed(vle, *SITE_KEY, "activity_type"))
     seg = F.ceil(F.col("date") / F.lit(float(segment_days))).cast("long")
     return (
         student_vle.join(sites, SITE_KEY, "left")
@@ -90,7 +90,7 @@ def engagement(student_vle: DataFrame, vle: DataFrame, segment_days: int = 30, m
     n = segment_days
     acts = list(activities) if activities is not None else activity_values(vle)
     days = range(1, n + 1)
-    sites = bounded_broadcast(vle.select(*SITE_KEY, "activity_type"))
+    sites = bounded_broadcast(narrowed(vle, *SITE_KEY, "activity_type"))
     seg = F.ceil(F.col("date") / F.lit(float(n))).cast("long")
     c = F.col("sum_click")
     wide = (

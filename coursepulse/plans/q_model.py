@@ -3,17 +3,17 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursepulse.operators import model as mdl
 from coursepulse.operators.clicks import clicks_before_first_assessment
-from coursepulse.operators.split import train_test_split
+from coursepulse.operators.encode import column_means, fill_mean
+from coursepulse.operators.split import legacy_split, train_test_split
 from coursepulse.plans import feature_pool as fp
 from coursepulse.plans import flows
 from coursepulse.plans.registry import query
-from coursepulse.schema import K3
+from coursepulse.schema import K3, RESPONSE
 from coursepulse.session import cut_lineage
 from coursepulse.sources.fixture import fixture_tables
 
@@ -166,16 +166,120 @@ def segment_one_table(raw: dict[str, DataFrame], segment_days: int = 30) -> tupl
     return seg, resource, daily
 
 
+def first_assessment_sets(raw: dict[str, DataFrame], segment_days: int = 30
+                          ) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Training and test rows of the first-assessment flow and the names of their features.
+
+    The segment-1 table is split by term; the two PCA blocks (4 resource and 20 daily components) and
+    the column means are fitted on the training terms and applied to both sides. A feature without
+    any training value is left out, as an imputer does.
+    """
+    seg, resource, daily = segment_one_table(raw, segment_days)
+    train, test = legacy_split(seg.na.fill(0.0, subset=resource + daily), raw["assessments"])
+    train = cut_lineage(train)
+    blocks = {"rescourse_pca": (resource, 4), "click_date_pca": (daily, 20)}
+    pca = mdl.block_pca(train, blocks)
+    train, test = (mdl.apply_block_pca(pca, x, blocks) for x in (train, test))
+    names = [c for c in train.columns if c not in {*K3, RESPONSE}]
+    means = column_means(train, names)
+    feats = [c for c in names if c in means]
+    return (*(fill_mean(x.select(*K3, RESPONSE, *[F.col(f"`{c}`") for c in feats]), feats, means)
+              for x in (train, test)), feats)
+
+
 @query("m4_block_pca")
 def m4_block_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segment-1 table with 4 resource components and up to 20 daily components (other columns kept)."""
-    seg, resource, daily = segment_one_table(_raw(spark, sf_dir))
-    keep = [c for c in seg.columns if c not in set(resource) | set(daily)]
-    filled = seg.na.fill(0.0, subset=resource + daily)
-    _, out = mdl.block_pca(filled, {"rescourse_pca": (resource, 4), "click_date_pca": (daily, 20)}, keep)
+    """Segment-1 table of both splits with 4 resource and 20 daily components fitted on the training terms."""
+    train, test, _ = first_assessment_sets(_raw(spark, sf_dir))
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+# students with a click in days 1..30 before the course's first assessment and a known outcome
+_SEGMENT_ONE = f"""
+fa AS (SELECT code_module, code_presentation, min(date) AS first_date FROM assessments GROUP BY ALL),
+s1 AS (SELECT DISTINCT {K3J} FROM student_vle s JOIN fa USING (code_module, code_presentation)
+  WHERE s.date < fa.first_date AND s.date BETWEEN 1 AND 30),
+lab AS (SELECT {K3J}, CASE WHEN final_result = 'Fail' THEN 1 ELSE 0 END AS y FROM student_info
+  WHERE final_result IN ('Pass', 'Distinction', 'Fail')),
+seg1 AS (SELECT {K3J}, y, CASE WHEN code_presentation = '2014J' THEN 'test' ELSE 'train' END AS side
+  FROM s1 JOIN lab USING ({K3J}))"""
+
+
+@query("m4_block_pca_properties", _SEGMENT_ONE + """,
+tr AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS n_fail FROM seg1 WHERE side = 'train')
+SELECT 'rescourse_pca' AS block, CAST(4 AS BIGINT) AS n_components, n AS n_train, n_fail,
+ CAST(0 AS DOUBLE) AS train_mean, true AS uncorrelated FROM tr
+UNION ALL SELECT 'click_date_pca', CAST(20 AS BIGINT), n, n_fail, CAST(0 AS DOUBLE), true FROM tr""")
+def m4_block_pca_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per block over the training rows: number of components, rows, failures, largest absolute mean of
+    a component (0) and whether all neighbouring components are uncorrelated (covariance below 1e-9)."""
+    train, _, feats = first_assessment_sets(_raw(spark, sf_dir))
+    blocks = {b: sorted((c for c in feats if c.startswith(b)), key=lambda c: int(c[len(b):]))
+              for b in ("rescourse_pca", "click_date_pca")}
+    parts = [F.struct(
+        F.lit(b).alias("block"), F.lit(len(cols)).cast("long").alias("n_components"),
+        F.count(F.lit(1)).alias("n_train"), F.sum(RESPONSE).cast("long").alias("n_fail"),
+        F.greatest(*[F.abs(F.avg(c)) for c in cols]).alias("train_mean"),
+        (F.greatest(*[F.abs(F.covar_pop(x, y)) for x, y in zip(cols, cols[1:])]) < 1e-9).alias("uncorrelated"))
+        for b, cols in blocks.items()]
+    return train.agg(F.array(*parts).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+
+
+# ---------------------------------------------------------------- M7 / M9: tuned models before the first assessment
+FOREST_GRID = {"numTrees": (100, 200), "maxDepth": (10, 30)}
+BOOSTED_GRID = {"maxIter": (100, 200), "maxDepth": (10, 30)}
+
+
+def grid_scores(cv, name: str) -> list[tuple[str, int, int, float]]:
+    """``(model, trees, depth, mean F1)`` of each grid point of a tuned model."""
+    est = cv.getEstimator()
+    trees = est.numTrees if est.hasParam("numTrees") else est.maxIter
+    return [(name, int(pm[trees]), int(pm[est.maxDepth]), float(m))
+            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+
+
+def tuned_before_first_assessment(raw: dict[str, DataFrame], models=("forest", "boosted"), folds: int = 5,
+                                  forest_grid: dict | None = None, boosted_grid: dict | None = None):
+    """The named models tuned on the training terms; returns them, the test rows and the features."""
+    train, test, feats = first_assessment_sets(raw)
+    rows = mdl.balanced_weights(mdl.assemble(train, feats), RESPONSE).withColumn("fold", mdl.fold_column(K3, folds))
+    rows = mdl.in_few_partitions(rows.select(*K3, RESPONSE, "weight", "fold", "features"))
+    made = {"forest": (mdl.forest, forest_grid or FOREST_GRID), "boosted": (mdl.boosted, boosted_grid or BOOSTED_GRID)}
+    tuned = {n: mdl.tune(made[n][0](RESPONSE), rows, made[n][1], label=RESPONSE, folds=folds, parallelism=8)
+             for n in models}
+    rows.unpersist()
+    return tuned, test, feats
+
+
+@query("m7_boosted_grid_search")
+def m7_boosted_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees tuned over trees x depth with 5 folds on the training terms: mean F1 a grid point."""
+    tuned, _, _ = tuned_before_first_assessment(_raw(spark, sf_dir), ["boosted"])
+    return spark.createDataFrame(grid_scores(tuned["boosted"], "boosted"),
+                                 "model string, trees long, max_depth long, mean_f1 double")
+
+
+def first_assessment_report(raw: dict[str, DataFrame], **grids) -> DataFrame:
+    """Test-term metrics of the better of the tuned forest and the tuned boosted trees, with the ten
+    most important features of each (a top-k report)."""
+    tuned, test, feats = tuned_before_first_assessment(raw, **grids)
+    name, best, f1 = mdl.best_of(tuned)
+    rows = mdl.assemble(test, feats)
+    out = mdl.classification_metrics(mdl.score(best, rows, RESPONSE, K3)).select(
+        F.lit(name).alias("model"), F.lit(f1).alias("cv_f1"), "*")
+    for n, cv in tuned.items():
+        imp = cv.bestModel.featureImportances.toArray()
+        top = sorted(zip(feats, imp), key=lambda x: (-x[1], x[0]))[:10]
+        out = out.withColumn(f"{n}_top", F.array(*[F.lit(f) for f, _ in top]))
     return out
 
 
+@query("m9_best_model")
+def m9_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first-assessment flow end to end: split, block PCA, imputation, two tuned models, the better one."""
+    return first_assessment_report(_raw(spark, sf_dir))
+
+
 def _flagship_sets(spark: SparkSession, sf_dir: str):
     raw = _raw(spark, sf_dir)
     train, test = train_test_split(raw)
@@ -195,31 +299,22 @@ def m5_feature_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipe.transform(te).select(*K3, vector_to_array("features").alias("features"))
 
 
-_TUNED: dict = {}
-
-
 def tuned_forest(spark: SparkSession, sf_dir: str):
-    """Forest tuned on the training terms (fitted once per session and data folder)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _TUNED:
-        return _TUNED[key]
+    """Forest tuned on the training terms, the test rows and the features."""
     tr, te, feats = _flagship_sets(spark, sf_dir)
     tr = mdl.balanced_weights(mdl.assemble(tr, feats), "responce").withColumn("fold", mdl.fold_column(K3))
-    # the 20 fits of the grid read the same assembled training rows: keep them (memory, then disk)
-    # instead of re-running the feature plan for every fold
-    tr = tr.select(*K3, "responce", "weight", "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    cv = mdl.tune(mdl.forest("responce"), tr, {"numTrees": (100, 200), "maxDepth": (10, 30)}, label="responce")
+    # the 20 fits of the grid read the same assembled training rows
+    tr = mdl.in_few_partitions(tr.select(*K3, "responce", "weight", "fold", "features"))
+    cv = mdl.tune(mdl.forest("responce"), tr, FOREST_GRID, label="responce", parallelism=8)
     tr.unpersist()
-    _TUNED[key] = (cv, te, feats)
-    return _TUNED[key]
+    return cv, te, feats
 
 
 @query("m8_forest_grid_search")
 def m8_forest_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random forest (balanced, 10 rows per leaf) tuned over trees x depth with 5 folds: mean F1 per grid point."""
     cv, _, _ = tuned_forest(spark, sf_dir)
-    rows = [(int(pm[cv.getEstimator().numTrees]), int(pm[cv.getEstimator().maxDepth]), float(m))
-            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    rows = [r[1:] for r in grid_scores(cv, "forest")]
     return spark.createDataFrame(rows, "num_trees long, max_depth long, mean_f1 double")
 
 
