@@ -75,14 +75,22 @@ def time_regularity(daily: DataFrame, start: int, end: int,
     unknown = set(metrics) - set(TIME_METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
-    n_days = end - start + 1
-    seq = F.collect_list(F.when(in_window(start, end), F.struct(
-        (F.col("date") - F.lit(start)).alias("t"), F.col("sum_click").cast("double").alias("w"))))
-    aggs = [seq.alias("seq")]
+    aggs = [_day_sequence(start, end)]
     if with_effort:
         inside = F.sum(F.when(in_window(start, end), F.col("sum_click")))
         aggs.append(F.coalesce(inside, F.lit(0)).cast("long").alias("effort"))
-    g = daily.groupBy(*K3).agg(*aggs)
+    return _time_metrics(daily.groupBy(*K3).agg(*aggs), end - start + 1, metrics, prefix).drop("seq")
+
+
+def _day_sequence(start: int, end: int, clicks: str = "sum_click") -> F.Column:
+    """Aggregate: the student's active days inside [start, end] with their clicks."""
+    return F.collect_list(F.when(in_window(start, end) & F.col(clicks).isNotNull(), F.struct(
+        (F.col("date") - F.lit(start)).alias("t"), F.col(clicks).cast("double").alias("w")))).alias("seq")
+
+
+def _time_metrics(g: DataFrame, n_days: int, metrics: Sequence[str], prefix: str) -> DataFrame:
+    """``g`` (one row per student with its day sequence ``seq``) with the time-regularity metrics."""
+    kept = g.columns
     g = g.withColumn("m", F.expr("map_from_entries(transform(seq, x -> struct(x.t, x.w)))"))
     g = g.withColumn("weeks", F.expr("array_sort(array_distinct(transform(seq, x -> x.t div 7)))"))
     g = g.withColumn("n", F.size("weeks"))
@@ -102,8 +110,9 @@ def time_regularity(daily: DataFrame, start: int, end: int,
                 f"pow(aggregate(seq, CAST(0 AS DOUBLE), (s, x) -> s + sin(2 * pi() * x.t / 7)), 2)) "
                 f"/ {float(n_days)!r}D END"),
     }
-    extra = ["effort"] if with_effort else []
-    return g.select(*K3, *[F.expr(exprs[m]).alias(f"{prefix}{m}") for m in metrics], *extra)
+    own = [*K3, "seq"]
+    return g.select(*own, *[F.expr(exprs[m]).alias(f"{prefix}{m}") for m in metrics],
+                    *[c for c in kept if c not in own])
 
 
 def _resolve_end(clicks: DataFrame, assessments: DataFrame | None, using_testing_dates: int,
@@ -128,26 +137,37 @@ def activity_regularity(student_vle: DataFrame, vle: DataFrame, assessments: Dat
     inside, start, end = _resolve_end(clicks, assessments, using_testing_dates, user_defined_range)
     inside = inside.where((F.col("date") >= start) & (F.col("date") <= end) & F.col("activity_type").isin(list(activities)))
     base = inside.groupBy(*K3, "date", "activity_type").agg(F.sum("sum_click").alias("c"))
-    k = len(activities)
-    # one repartition on the student key serves all three windows below
-    base = base.repartition(*K3)
+    return _with_shares(base.repartition(*K3), F.col("c")).groupBy(*K3).agg(*_activity_measures(len(activities)))
+
+
+def _with_shares(base: DataFrame, counted: F.Column) -> DataFrame:
+    """Rows per (student, day, activity) with ``p``, the activity's share of the day, and ``q``, its share
+    of all days; NULL on rows whose ``counted`` clicks are NULL. The windows share one partitioning."""
     stu = Window.partitionBy(*K3)
     day = Window.partitionBy(*K3, "date")
     act = Window.partitionBy(*K3, "activity_type")
-    b = (base.withColumn("T", F.sum("c").over(stu).cast("double"))
-         .withColumn("D", F.sum("c").over(day).cast("double"))
-         .withColumn("Ta", F.sum("c").over(act).cast("double"))
-         .withColumn("p", F.col("c") / F.col("D"))
-         .withColumn("q", F.col("Ta") / F.col("T")))
-    per_day = b.groupBy(*K3, "date").agg(
-        (F.lit(0.5) * F.sum(F.col("p") * F.ln(F.lit(2.0) * F.col("p") / (F.col("p") + F.col("q"))))
-         + F.lit(0.5) * (F.sum(F.col("q") * F.ln(F.lit(2.0) * F.col("q") / (F.col("p") + F.col("q"))))
-                         + F.lit(LN2) * (F.lit(1.0) - F.sum("q")))).alias("jsd"))
-    per_act = b.groupBy(*K3, "activity_type").agg(F.first("q").alias("q"))
-    conc = per_act.groupBy(*K3).agg(
-        (F.lit(1.0) - F.sum(-F.col("q") * F.log2("q")) / F.lit(math.log2(k))).alias("concentration"))
-    cons = per_day.groupBy(*K3).agg((F.lit(1.0) - F.avg("jsd") / F.lit(LN2)).alias("consistency"))
-    return conc.join(cons, K3, "inner")
+    k = F.col("__counted")
+    return (base.withColumn("__counted", counted)
+            .withColumns({"__all": F.sum(k).over(stu), "__day": F.sum(k).over(day), "__act": F.sum(k).over(act)})
+            .withColumns({"p": F.try_divide(k.cast("double"), F.col("__day").cast("double")),
+                          "q": F.when(k.isNotNull(), F.try_divide(F.col("__act").cast("double"),
+                                                                  F.col("__all").cast("double"))),
+                          "__of_act": F.try_divide(k.cast("double"), F.col("__act").cast("double"))}))
+
+
+def _activity_measures(n_activities: int) -> list[F.Column]:
+    """Aggregates over the rows of :func:`_with_shares`, one grouping for both measures.
+
+    An activity's entropy term is spread over its rows by ``__of_act``, which adds up to 1; the day
+    shares ``p`` add up to the number of active days.
+    """
+    p, q = F.col("p"), F.col("q")
+    entropy = -F.sum(F.col("__of_act") * q * F.log2(q))
+    days = F.round(F.sum(p))
+    jsd = F.lit(0.5) * (F.sum(p * F.ln(F.lit(2.0) * p / (p + q)) + q * F.ln(F.lit(2.0) * q / (p + q)) - F.lit(LN2) * q)
+                        + F.lit(LN2) * days)
+    return [(F.lit(1.0) - entropy / F.lit(math.log2(n_activities))).alias("concentration"),
+            (F.lit(1.0) - F.try_divide(jsd, days) / F.lit(LN2)).alias("consistency")]
 
 
 PROCRASTINATION = {
@@ -161,11 +181,41 @@ def procrastination(student_vle: DataFrame, assessments: DataFrame | None = None
                     using_testing_dates: int = 0,
                     user_defined_range: Sequence[int] | None = None) -> DataFrame:
     """Click-weighted means of f(x) per student with a click on or after day 0 (NULL if none <= end)."""
-    daily = student_vle.where(F.col("date") >= 0).groupBy(*K3, "date").agg(F.sum("sum_click").alias("w"))
-    daily, start, end = _resolve_end(daily, assessments, using_testing_dates, user_defined_range)
+    clicks, start, end = _resolve_end(student_vle.where(F.col("date") >= 0), assessments, using_testing_dates,
+                                      user_defined_range)
+    # linear sums: the clicks need no daily total first
+    return clicks.groupBy(*K3).agg(*_procrastination_means(F.col("sum_click"), start, end))
+
+
+def _procrastination_means(clicks: F.Column, start: F.Column, end: F.Column) -> list[F.Column]:
     inside = (F.col("date") >= start) & (F.col("date") <= end)
     x = (F.col("date") - start).cast("double") / (end - start + 1).cast("double")
-    w = F.col("w").cast("double")
-    aggs = [(F.sum(F.when(inside, w * f(x))) / F.sum(F.when(inside, w))).alias(name)
+    w = clicks.cast("double")
+    return [(F.sum(F.when(inside, w * f(x))) / F.sum(F.when(inside, w))).alias(name)
             for name, f in PROCRASTINATION.items()]
-    return daily.groupBy(*K3).agg(*aggs)
+
+
+def all_measures(student_vle: DataFrame, vle: DataFrame, assessments: DataFrame, start: int, end: int,
+                 using_testing_dates: int = 0, activities: Sequence[str] = ACTIVITIES) -> DataFrame:
+    """Time regularity over [start, end], activity regularity and procrastination up to a test date, for
+    the students that have all three, from one scan of the clicks.
+
+    The clicks from day 0 on are reduced to (student, day, activity) and put together by student;
+    there the windows of the shares, the day totals and one grouping give every measure.
+    """
+    if start < 0:
+        raise ValueError("the shared base starts at day 0")
+    clicks = clicks_with_sites(student_vle.where(F.col("date") >= 0), vle, "left")
+    base = clicks.groupBy(*K3, "date", "activity_type").agg(F.sum("sum_click").alias("c")).repartition(*K3)
+    base, first, last = _resolve_end(base, assessments, using_testing_dates, None)
+    counted = F.when((F.col("date") <= last) & F.col("activity_type").isin(list(activities)), F.col("c"))
+    day = Window.partitionBy(*K3, "date")
+    rows = _with_shares(base, counted).withColumns({
+        "__total": F.sum("c").over(day), "__nth": F.row_number().over(day.orderBy("activity_type"))})
+    # each day once in the sequence, with the clicks of all its activities
+    rows = rows.withColumn("__total", F.when(F.col("__nth") == 1, F.col("__total")))
+    g = rows.groupBy(*K3).agg(_day_sequence(start, end, "__total"), F.max("__all").alias("__all"),
+                              *_activity_measures(len(activities)),
+                              *_procrastination_means(F.col("c"), first, last))
+    g = g.where(F.col("__all").isNotNull()).drop("__all")
+    return _time_metrics(g, end - start + 1, TIME_METRICS, "").drop("seq")

@@ -93,6 +93,18 @@ def b14_sample_per_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_per_outcome(si, "final_result", 0.1, seed=7, keys=K3)
 
 
+@query("b14_sample_sizes", """
+SELECT final_result, CAST(round_even(0.1 * count(*), 0) AS BIGINT) AS n, CAST(round_even(0.1 * count(*), 0) AS BIGINT) AS n_students
+FROM student_info GROUP BY final_result HAVING round_even(0.1 * count(*), 0) > 0""")
+def b14_sample_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the 10 % sample per outcome, and how many of them are distinct students of the table."""
+    si = _raw(spark, sf_dir)["student_info"]
+    sample = b14_sample_per_outcome(spark, sf_dir)
+    known = sample.join(si.select(*K3, "final_result"), [*K3, "final_result"], "left_semi").distinct()
+    n = sample.groupBy("final_result").agg(F.count(F.lit(1)).alias("n"))
+    return n.join(known.groupBy("final_result").agg(F.count(F.lit(1)).alias("n_students")), "final_result")
+
+
 @query("b15_subject_numbers", f"""
 SELECT {K3S}, CAST(row_number() OVER (ORDER BY {K3S}) - 1 AS BIGINT) AS subject
 FROM (SELECT DISTINCT {K3S} FROM student_info)""")

@@ -148,6 +148,20 @@ def m3_pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.where(F.col("component") <= 4).withColumn("loading", F.abs("loading"))
 
 
+@query("m3_pca_properties", """
+n AS (SELECT count(DISTINCT activity_type) AS k FROM vle)
+SELECT CAST(k AS BIGINT) AS n_components, CAST(1 AS DOUBLE) AS explained, CAST(1 AS DOUBLE) AS least_norm,
+ CAST(1 AS DOUBLE) AS greatest_norm FROM n""")
+def m3_pca_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All components together explain everything, and each one's loadings have length 1."""
+    eng, acts = _shares_wide(_raw(spark, sf_dir))
+    _, var, load = mdl.pca_fit(eng.na.fill(0.0, subset=acts), acts, len(acts))
+    norms = load.groupBy("component").agg(F.sqrt(F.sum(F.col("loading") * F.col("loading"))).alias("norm"))
+    v = var.join(norms, "component")
+    return v.agg(F.count(F.lit(1)).alias("n_components"), F.sum("explained_variance_ratio").alias("explained"),
+                 F.min("norm").alias("least_norm"), F.max("norm").alias("greatest_norm"))
+
+
 def segment_one_table(raw: dict[str, DataFrame], segment_days: int = 30) -> tuple[DataFrame, list[str], list[str]]:
     """Wide table of segment 1 for the first-assessment flow: clicks before the first assessment,
     demographics x engagement, segments <= 1, registration added (labelled rows)."""
@@ -251,32 +265,26 @@ def tuned_before_first_assessment(raw: dict[str, DataFrame], models=("forest", "
     return tuned, test, feats
 
 
-@query("m7_boosted_grid_search")
-def m7_boosted_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees tuned over trees x depth with 5 folds on the training terms: mean F1 a grid point."""
-    tuned, _, _ = tuned_before_first_assessment(_raw(spark, sf_dir), ["boosted"])
-    return spark.createDataFrame(grid_scores(tuned["boosted"], "boosted"),
-                                 "model string, trees long, max_depth long, mean_f1 double")
-
-
 def first_assessment_report(raw: dict[str, DataFrame], **grids) -> DataFrame:
-    """Test-term metrics of the better of the tuned forest and the tuned boosted trees, with the ten
-    most important features of each (a top-k report)."""
+    """Every grid point of the tuned forest and boosted trees with its mean F1; on the best model's best
+    point also the test-term metrics. ``top`` names the model's ten most important features."""
     tuned, test, feats = tuned_before_first_assessment(raw, **grids)
+    spark = test.sparkSession
     name, best, f1 = mdl.best_of(tuned)
-    rows = mdl.assemble(test, feats)
-    out = mdl.classification_metrics(mdl.score(best, rows, RESPONSE, K3)).select(
-        F.lit(name).alias("model"), F.lit(f1).alias("cv_f1"), "*")
-    for n, cv in tuned.items():
-        imp = cv.bestModel.featureImportances.toArray()
-        top = sorted(zip(feats, imp), key=lambda x: (-x[1], x[0]))[:10]
-        out = out.withColumn(f"{n}_top", F.array(*[F.lit(f) for f, _ in top]))
-    return out
-
-
-@query("m9_best_model")
-def m9_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first-assessment flow end to end: split, block PCA, imputation, two tuned models, the better one."""
+    points = [p for n, cv in tuned.items() for p in grid_scores(cv, n)]
+    chosen = next(i for i, p in enumerate(points) if p[0] == name and p[3] == f1)
+    top = {n: [f for f, _ in sorted(zip(feats, cv.bestModel.featureImportances.toArray()),
+                                    key=lambda x: (-x[1], x[0]))[:10]] for n, cv in tuned.items()}
+    grid = spark.createDataFrame([(*p, i == chosen, top[p[0]]) for i, p in enumerate(points)],
+                                 "model string, trees long, max_depth long, mean_f1 double, best boolean, top array<string>")
+    m = mdl.classification_metrics(mdl.score(best, mdl.assemble(test, feats), RESPONSE, K3))
+    return grid.join(F.broadcast(m.withColumn("best", F.lit(True))), "best", "left")
+
+
+@query("m7_m9_first_assessment_models")
+def m7_m9_first_assessment_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first-assessment flow end to end: split, block PCA, imputation, forest and boosted trees tuned
+    over trees x depth with 5 folds, the better of the two scored on the test term."""
     return first_assessment_report(_raw(spark, sf_dir))
 
 

@@ -121,14 +121,10 @@ METRICS = ["pwd", "ws1", "ws2", "ws3", "fwd", "concentration", "consistency", "p
 
 
 def outcome_metrics(raw: dict[str, DataFrame]) -> DataFrame:
-    """Info INNER time regularity INNER activity regularity INNER procrastination, with the outcome group."""
-    daily = clicks.daily_clicks(raw["student_vle"])
-    time_df = regularity.time_regularity(daily, 0, 32, prefix="")
-    act = regularity.activity_regularity(raw["student_vle"], raw["vle"], raw["assessments"], 0)
-    proc = regularity.procrastination(raw["student_vle"], raw["assessments"], 0)
+    """Info INNER the students' regularity and procrastination measures, with the outcome group."""
+    measures = regularity.all_measures(raw["student_vle"], raw["vle"], raw["assessments"], 0, 32)
     group = F.create_map(*[x for k, v in OUTCOME_GROUP.items() for x in (F.lit(k), F.lit(v))])
-    info = raw["student_info"].select(*K3, "final_result")
-    df = time_df.join(info, K3, "inner").join(act, K3, "inner").join(proc, K3, "inner")
+    df = measures.join(raw["student_info"].select(*K3, "final_result"), K3, "inner")
     return df.withColumn("group", F.try_element_at(group, F.col("final_result")))
 
 

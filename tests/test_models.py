@@ -26,7 +26,9 @@ def test_pca_fit(spark, table):
 
 
 def test_block_pca_columns(spark, table):
-    _, out = mdl.block_pca(table, {"p": (["a", "b"], 1), "q": (["c", "d"], 5)}, ["id", "label"])
+    blocks = {"p": (["a", "b"], 1), "q": (["c", "d"], 5)}
+    src = table.select("id", "label", "a", "b", "c", "d")
+    out = mdl.apply_block_pca(mdl.block_pca(src, blocks), src, blocks)
     assert out.columns == ["id", "label", "p1", "q1", "q2"]
     assert out.count() == 240
 
@@ -50,3 +52,32 @@ def test_feature_pipeline(spark, table):
     pipe = mdl.feature_pipeline(["a", "b", "c", "d"], "label").fit(table)
     out = pipe.transform(table).select("features").first()["features"]
     assert out.size == 4  # 2 components + 2 best features
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_first_assessment_models(spark):
+    """The whole flow with one small grid point a model."""
+    from coursepulse.plans import q_model
+    from coursepulse.sources import fixture_tables
+
+    out = q_model.first_assessment_report(fixture_tables(spark, SF), folds=2,
+                                          forest_grid={"numTrees": (3,), "maxDepth": (2,)},
+                                          boosted_grid={"maxIter": (2,), "maxDepth": (2,)}).collect()
+    assert {r["model"] for r in out} == {"forest", "boosted"}
+    best = [r for r in out if r["best"]]
+    assert len(best) == 1 and best[0]["mean_f1"] == max(r["mean_f1"] for r in out)
+    assert all((r["precision"] is not None) == r["best"] for r in out)
+    assert all(len(r["top"]) == 10 for r in out)
+
+
+def test_components_are_fitted_on_the_training_terms(spark):
+    from coursepulse.plans import q_model
+    from coursepulse.sources import fixture_tables
+
+    train, test, feats = q_model.first_assessment_sets(fixture_tables(spark, SF))
+    means = train.agg(*[F.avg(c).alias(c) for c in feats if "pca" in c]).first()
+    assert all(abs(v) < 1e-9 for v in means)
+    assert train.columns == test.columns
+    assert train.where(" or ".join(f"`{c}` is null" for c in feats)).count() == 0

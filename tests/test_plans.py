@@ -76,3 +76,33 @@ def test_entropy_bounds(spark, raw):
 def test_ws1_in_unit_interval(spark, raw):
     df = regularity.time_regularity(clicks.daily_clicks(raw["student_vle"]), 0, 32, prefix="")
     assert df.where((F.col("ws1") < 0) | (F.col("ws1") > 1)).count() == 0
+
+
+def executed(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name, scans, exchanges", [
+    ("f11_outcome_metrics", 1, 5), ("h8_engagement_30day", 1, 1), ("f10_procrastination", 1, 3),
+    ("c1_split_counts", 1, 3), ("m14_threshold_f1", 0, 2)])
+def test_scans_of_the_click_log_and_shuffles(spark, name, scans, exchanges):
+    from coursepulse.plans.registry import load_all
+
+    p = executed(load_all()[name].fn(spark, SF))
+    assert sum("events.parquet" in line for line in p.splitlines() if "FileScan" in line) == scans
+    assert p.count("Exchange hashpartitioning") <= exchanges
+
+
+def test_tables_are_read_again_in_a_later_call(spark, tmp_path):
+    import shutil
+
+    for t in ("customer", "nation", "part", "lineitem", "orders", "events"):
+        shutil.copy(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    from coursepulse.sources.fixture import fixture_tables as tables
+
+    before = tables(spark, str(tmp_path))["courses"].count()
+    one = spark.read.parquet(f"{SF}/customer.parquet").limit(1).toPandas()
+    one.to_parquet(tmp_path / "customer.parquet")
+    spark.catalog.refreshByPath(str(tmp_path))
+    assert before > 1 and tables(spark, str(tmp_path))["courses"].count() == 1
