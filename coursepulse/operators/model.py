@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import (PCA, Imputer, StandardScaler, UnivariateFeatureSelector,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -117,10 +117,20 @@ def fold_column(keys: Sequence[str], folds: int = 5) -> F.Column:
     return F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int")
 
 
-def f1_evaluator(label: str = "label") -> MulticlassClassificationEvaluator:
-    """F1 of the positive class (label 1)."""
-    return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                             metricName="fMeasureByLabel", metricLabel=1.0)
+class PositiveF1(Evaluator):
+    """F1 of the positive class (label 1); 0 where a fold has neither such a label nor such a prediction."""
+
+    def __init__(self, label: str = "label"):
+        super().__init__()
+        self.label = label
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        y, p = F.col(self.label) == 1, F.col("prediction") == 1
+        hits, labelled, predicted = dataset.agg(F.count_if(y & p), F.count_if(y), F.count_if(p)).first()
+        return 2.0 * hits / (labelled + predicted) if labelled + predicted else 0.0
+
+    def isLargerBetter(self) -> bool:
+        return True
 
 
 def forest(label: str = "label", weight: str | None = "weight", seed: int = 7) -> RandomForestClassifier:
@@ -151,7 +161,7 @@ def tune(estimator, df: DataFrame, grid: dict, label: str = "label", fold_col: s
     b = ParamGridBuilder()
     for p, values in grid.items():
         b = b.addGrid(getattr(estimator, p), list(values))
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=b.build(), evaluator=f1_evaluator(label),
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=b.build(), evaluator=PositiveF1(label),
                         foldCol=fold_col, numFolds=folds, parallelism=parallelism)
     return cv.fit(df)
 
