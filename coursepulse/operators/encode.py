@@ -146,15 +146,14 @@ class OrdinalData:
 def label_index(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Integer label encoding in alphabetical order of the distinct values (0-based).
 
-    The distinct values are few (a category list); they are ranked on one task after the
-    distributed ``distinct`` and joined back with a broadcast.
+    The distinct values are numbered in range-sorted partitions, so their number is not bounded by a
+    task, and joined back (broadcast where their size allows it).
     """
     from coursepulse.functions.dims import bounded_broadcast
-    from pyspark.sql import Window
+    from coursepulse.operators.numbering import number_rows
 
     labels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    labels = labels.withColumn(out or f"{col}_label",
-                               (F.dense_rank().over(Window.orderBy(col)) - 1).cast("long"))
+    labels = number_rows(labels, [col], out or f"{col}_label")
     return df.join(bounded_broadcast(labels, 100_000), col, "left")
 
 
