@@ -56,11 +56,13 @@ class PairTable:
 
 def merge_all(symbols: np.ndarray, offs: np.ndarray, table: PairTable,
               skip: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] | None = None,
+              merged: list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None,
               ) -> tuple[np.ndarray, np.ndarray]:
     """``(symbols, offsets)`` after all merges; negative symbols never merge.
 
     ``skip(left, right, place)`` masks candidates that are not to be merged; ``place`` is the index
-    in the given ``symbols`` of the first symbol that the left one has grown from.
+    in the given ``symbols`` of the first symbol that the left one has grown from. ``merged`` gets
+    the merges that were made, as ``(left, right, place)``.
     """
     full = symbols.astype(np.int32)
     dead = np.zeros(len(full), bool)
@@ -98,6 +100,8 @@ def merge_all(symbols: np.ndarray, offs: np.ndarray, table: PairTable,
         is_best = np.flatnonzero(rank == np.repeat(best, size))
         word = np.searchsorted(np.cumsum(size), is_best, side="right")
         i = is_best[np.diff(word, prepend=-1) > 0]  # the leftmost of each word
+        if merged is not None:
+            merged.append((sym[i], sym[i + 1], place[i]))
         sym[i] = to[i]
         dead[place[i + 1]] = True
         rank[i] = rank[i + 1]  # NEVER where the right symbol was the word's last; looked up anew below

@@ -2,10 +2,11 @@
 
 The pieces and scores come from a public model file. A word's agenda holds its adjacent pieces whose
 concatenation is a piece; the best-scored, leftmost candidate is merged. With dropout every candidate
-(its two pieces at their place in the word) is skipped when a hash keyed by the seed says so, which
-gives other, merge-type segmentations of the same text: seed, document, word and place determine
-them, on any machine and in any partitioning. A document's words are dealt to ``VARIANTS`` keyed
-streams by a hash of seed, document id and word number, so equal words of a stream are encoded once.
+(its two pieces at their place in the word) is skipped when a hash keyed by seed, document id, word
+number and the word's symbols says so, which gives other, merge-type segmentations of the same text:
+each occurrence of a word has its own, the same on any machine and in any partitioning. Each distinct
+word of a slice is merged once without dropout; an occurrence none of whose merges is skipped has that
+result (skipped candidates that lose to a better one change nothing), all others are merged one by one.
 
 Spaces become the word mark and a mark precedes the text; a word mark that a text itself contains
 and every character that is no piece become byte pieces, so any text decodes to itself. With a
@@ -29,9 +30,9 @@ from coursepulse.llm.words import offsets_and_bytes, rows_of, sliced, text_array
 
 DROPOUT = 0.1
 SEED = 20_240_301
-VARIANTS = 4
 MARK = "▁"
 TEXT_SLICE = 4 << 20
+AT_ONCE = 1 << 20  # symbols or hashes in one array step: bounds the memory of a task
 
 _C1, _C2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -132,34 +133,74 @@ class PieceModel:
                 out[first + j] = b
         return out, ends[offs]
 
-    def encode_words(self, words: pa.Array, marks: np.ndarray, variants: np.ndarray, dropout: float,
-                     seed: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, ends)`` of words that follow ``marks`` word marks, in keyed stream ``variants``."""
+    def spread(self, words: pa.Array, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(symbols, ends)`` of words that follow ``marks`` word marks."""
         offs, raw = offsets_and_bytes(words)
         points = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
         chars = np.asarray(pc.utf8_length(words)).astype(np.int64)
-        size = chars + marks
-        ends = np.concatenate([[0], np.cumsum(size)])
+        ends = np.concatenate([[0], np.cumsum(chars + marks)])
         sym = np.full(int(ends[-1]), self.mark, np.int64)
         sym[np.repeat(ends[:-1] + marks - (np.cumsum(chars) - chars), chars) + np.arange(chars.sum())] = self.symbols(points)
-        skip = None
-        if dropout > 0:
-            row = rows_of(ends).astype(np.int32)
-            # a word is known by its symbols, wherever and with whatever others it is encoded
-            place = (np.arange(len(sym)) - ends[row]).astype(np.uint64)
-            part = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(sym.view(np.uint64) * _K[0] + place * _K[1]))])
-            name = keyed(seed, (part[ends[1:]] - part[ends[:-1]]).view(np.int64), variants)
-            limit = np.uint64(min(int(dropout * 2.0 ** 64), 2 ** 64 - 1))
-
-            def skip(left, right, at):
-                pair = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
-                return _mixed(name[row[at]] + place[at] * _K[2] + pair * _K[3]) < limit
-
-        ids, ends = merge_all(sym, ends, self.table, skip)
-        return self.with_bytes(ids, ends)
-
-    def encode(self, a: pa.Array, names: np.ndarray, dropout: float = 0.0, seed: int = SEED,
-               variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
+        return sym, ends
+
+    def encode_words(self, sym: np.ndarray, ends: np.ndarray, back: np.ndarray, names: np.ndarray, numbers: np.ndarray,
+                     dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, ends, back)``: the encoded words, and the one of each occurrence.
+
+        ``sym, ends`` are the distinct words and ``back`` the word of each occurrence, which is known
+        by its document's name and its number there.
+        """
+        merged: list = []
+        ids, upto = self.with_bytes(*merge_all(sym, ends, self.table, None, merged))
+        if dropout <= 0 or not merged:
+            return ids, upto, back
+        row = rows_of(ends)
+        place = (np.arange(len(sym)) - ends[row]).astype(np.uint64)
+        part = np.concatenate([[np.uint64(0)], np.cumsum(_mixed(sym.view(np.uint64) * _K[0] + place * _K[1]))])
+        spelling = (part[ends[1:]] - part[ends[:-1]]).view(np.int64)
+        name = keyed(seed, names, numbers, spelling[back])
+        limit = np.uint64(min(int(dropout * 2.0 ** 64), 2 ** 64 - 1))
+
+        def candidate(left, right, within):
+            return within * _K[2] + ((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)) * _K[3]
+
+        left, right, at = (np.concatenate(x) for x in zip(*merged))
+        order = np.argsort(row[at], kind="stable")
+        made = candidate(left, right, place[at])[order]
+        n_made = np.bincount(row[at], minlength=len(ends) - 1)
+        first = np.cumsum(n_made) - n_made
+        skipped = np.zeros(len(back), bool)
+        for some in self._portions(np.arange(len(back)), n_made[back]):
+            n = n_made[back[some]]
+            of = np.repeat(np.arange(len(some)), n)
+            which = np.repeat(first[back[some]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            skipped[some[of[_mixed(name[some][of] + made[which]) < limit]]] = True
+        pools, sizes, own = [ids], [np.diff(upto)], np.flatnonzero(skipped)
+        for some in self._portions(own, np.diff(ends)[back[own]]):
+            n = np.diff(ends)[back[some]]
+            new_ends = np.concatenate([[0], np.cumsum(n)])
+            of = np.repeat(np.arange(len(some)), n)
+            source = np.repeat(ends[back[some]] - new_ends[:-1], n) + np.arange(n.sum())
+            known, within = name[some], place[source]
+
+            def skip(left, right, at, known=known, of=of, within=within):
+                return _mixed(known[of[at]] + candidate(left, right, within[at])) < limit
+
+            got, new_ends = self.with_bytes(*merge_all(sym[source], new_ends, self.table, skip))
+            pools.append(got)
+            sizes.append(np.diff(new_ends))
+        back = back.copy()
+        back[own] = len(ends) - 1 + np.arange(len(own))
+        return np.concatenate(pools), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), back
+
+    @staticmethod
+    def _portions(items: np.ndarray, sizes: np.ndarray):
+        """Consecutive ``items`` that hold about ``AT_ONCE`` together (one at least)."""
+        if len(items):
+            group = (np.cumsum(sizes) - sizes) // AT_ONCE
+            yield from np.split(items, np.flatnonzero(np.diff(group)) + 1)
+
+    def encode(self, a: pa.Array, names: np.ndarray, dropout: float = 0.0, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of a string array; ``names`` are the documents' numbers."""
         odd = (np.asarray(pc.match_substring(a, "  ")) | np.asarray(pc.starts_with(a, " "))
                | np.asarray(pc.ends_with(a, " ")) | np.asarray(pc.equal(a, "")))
@@ -184,14 +225,11 @@ class PieceModel:
             offs = np.concatenate([[0], np.cumsum(counts)])
             words = pa.array(list(index), pa.string())
         row = rows_of(offs)
-        stream = np.zeros(len(code), np.int64)
-        if dropout > 0 and variants > 1:
-            number = np.arange(len(code)) - offs[row]
-            stream = (keyed(seed, names[row], number) % np.uint64(variants)).astype(np.int64)
+        number = np.arange(len(code)) - offs[row]
         most = int(marks.max(initial=0)) + 1
-        each, back = np.unique((code * most + marks) * max(1, variants) + stream, return_inverse=True)
-        word, mark = each // max(1, variants) // most, each // max(1, variants) % most
-        pool, ends = self.encode_words(text_array(words.take(pa.array(word))), mark, each % max(1, variants), dropout, seed)
+        each, back = np.unique(code * most + marks, return_inverse=True)
+        sym, ends = self.spread(text_array(words.take(pa.array(each // most))), each % most)
+        pool, ends, back = self.encode_words(sym, ends, back, names[row], number, dropout, seed)
         n = np.diff(ends)[back]
         upto = np.concatenate([[0], np.cumsum(n)])
         where = np.repeat(ends[back] - upto[:-1], n) + np.arange(upto[-1])
@@ -219,7 +257,7 @@ def _model(path: str) -> PieceModel:
 
 
 def encode(docs: DataFrame, model_path: str | None = None, dropout: float = DROPOUT, seed: int = SEED,
-           variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_sha256, n_pieces, ids`` (little-endian unsigned 32-bit; the digest is of the text)."""
     path = model_path or default_model()
     text = F.coalesce(docs[text_col], F.lit(""))
@@ -229,7 +267,7 @@ def encode(docs: DataFrame, model_path: str | None = None, dropout: float = DROP
     def run(batches):
         model = _model(path)
         for b in sliced(batches, 1, TEXT_SLICE):
-            ids, offs = model.encode(text_array(b.column(1)), np.asarray(b.column(2)), dropout, seed, variants)
+            ids, offs = model.encode(text_array(b.column(1)), np.asarray(b.column(2)), dropout, seed)
             col = pa.Array.from_buffers(pa.large_binary(), len(offs) - 1, [
                 None, pa.py_buffer((offs * 4).tobytes()), pa.py_buffer(ids.astype("<u4").tobytes())]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(np.diff(offs)), col],

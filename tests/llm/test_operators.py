@@ -23,6 +23,7 @@ from coursepulse.llm import (
     toxicity,
     warc,
 )
+from coursepulse.llm.agenda import NEVER
 from coursepulse.llm.components import components
 from coursepulse.llm.scratch import scratch_path
 from tests.llm.conftest import EDGE
@@ -173,6 +174,67 @@ def test_dropout_follows_a_plain_agenda(spark):
         assert got[ends[i]:ends[i + 1]].tolist() == [s for s, _ in syms]
 
 
+def test_dropout_varies_with_every_occurrence(spark, docs):
+    """A frequent word gets more segmentations the more often it occurs, across and within documents."""
+    def kinds(rows, words):
+        got = pieces.encode(docs([(i, " ".join(["internationalization"] * words)) for i in range(rows)])).collect()
+        model = pieces.PieceModel(pieces.default_model())
+        seen = Counter()
+        for r in got:
+            ids, word = np.frombuffer(r.ids, "<u4").astype(int), ()
+            for k in ids:
+                if model.spelled[model.spelled_ends[k]] == 32 and word:
+                    seen[word], word = seen[word] + 1, ()
+                word += (k,)
+            seen[word] += 1
+        assert sum(seen.values()) == rows * words
+        return len(seen)
+
+    few, more, most = kinds(8, 5), kinds(40, 20), kinds(400, 20)
+    assert 4 < few < more < most
+    assert kinds(1, 800) > few
+
+
+def alone(model, word, marks, name, number, dropout):
+    """The pieces of one occurrence of a word by an agenda run by hand."""
+    sym = model.spread(pa.array([word]), np.array([marks]))[0]
+    spelling = pieces._mixed(sym.view(np.uint64) * pieces._K[0] + np.arange(len(sym)).astype(np.uint64) * pieces._K[1]).sum()
+    key = pieces.keyed(pieces.SEED, np.array([name]), np.array([number]), np.array([spelling]).view(np.int64))
+    limit = min(int(dropout * 2.0 ** 64), 2 ** 64 - 1)
+
+    def rank(left, right, place):
+        got, to = model.table.find(np.array([left]), np.array([right]))
+        pair = np.array([(left << 32) | right]).astype(np.uint64)
+        h = pieces._mixed(key + np.array([place]).astype(np.uint64) * pieces._K[2] + pair * pieces._K[3])
+        return None if got[0] == NEVER or int(h[0]) < limit else (int(got[0]), int(to[0]))
+
+    syms = [(int(s), k) for k, s in enumerate(sym)]
+    while True:
+        found = [(rank(a, b, p), k) for k, ((a, p), (b, _)) in enumerate(zip(syms, syms[1:])) if a >= 0 and b >= 0]
+        best = min(((r[0], k, r[1]) for r, k in found if r), default=None)
+        if best is None:
+            break
+        _, k, to = best
+        syms[k:k + 2] = [(to, syms[k][1])]
+    return model.with_bytes(np.array([s for s, _ in syms]), np.array([0, len(syms)]))[0].tolist()
+
+
+@pytest.mark.parametrize("dropout", [0.05, 0.4, 1.0])
+def test_shared_words_equal_each_occurrence_merged_alone(monkeypatch, dropout):
+    model, r = pieces.PieceModel(pieces.default_model()), random.Random(5)
+    words = ["nation", "internationalization", "a", "the", "Ünïcode", "한국", "mississippi", "tree\nhouse", "x▁y", "there"]
+    texts = [" ".join(r.choice(words) for _ in range(20)) for _ in range(30)] + ["", " the  the ", "the"]
+    names = np.arange(len(texts)) * 7919
+    ids, offs = model.encode(pa.array(texts), names, dropout)
+    for i, text in enumerate(texts):
+        split, marks = pieces._split_runs(text)
+        want = [k for number, (w, m) in enumerate(zip(split, marks)) for k in alone(model, w, m, int(names[i]), number, dropout)]
+        assert ids[offs[i]:offs[i + 1]].tolist() == want
+    monkeypatch.setattr(pieces, "AT_ONCE", 50)  # in many portions
+    again, ends = model.encode(pa.array(texts), names, dropout)
+    assert again.tolist() == ids.tolist() and ends.tolist() == offs.tolist()
+
+
 # --- exact dedup
 
 def test_exact_groups(spark, edge, empty):
