@@ -1,14 +1,16 @@
 """Main text of web pages with a site style tree.
 
 Pages are parsed into trees of block elements; inline elements leave no node. The trees of a host are
-merged: nodes with the same path of tags and classes are one node of the host's style tree. A
-node's importance joins the entropy of its presentation (how its child elements vary over the pages)
-and of its content (how its texts vary): a text that each page has anew is content, one that most
-pages repeat is part of the site. The trees of all hosts are merged into one more, which judges the
-hosts of fewer than ``MIN_PAGES`` pages. Presentation with a fixed meaning is judged beforehand:
+merged: nodes with the same path of tags and classes are one node of the host's style tree, and a
+node's own texts are a leaf below it. A leaf's importance is the entropy of its texts: a text that each
+page has anew is content, one that most pages repeat is part of the site. An inner node's joins the
+entropy of its presentation (how its children vary over the pages) and, bottom-up, the importance of
+its children, weighted by how often each presentation occurs. A node is noise only if it and all nodes
+below it are less important than ``THRESHOLD``. The trees of all hosts are merged into one more, which
+judges the hosts of fewer than ``MIN_PAGES`` pages, and these only. Presentation with a fixed meaning is judged beforehand:
 navigation, forms, asides, adverts, notices, reader comments and the like have importance 0, and what
 is in an ``article`` or ``main`` outside of those has importance 1, however often a site repeats it.
-Branches below ``THRESHOLD`` are removed from each page.
+Noise is removed from each page.
 
 The text is the rest: character references decoded, white space within a block turned into one
 space, blocks in page order with one line end between them.
@@ -25,13 +27,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from hashlib import blake2b
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursepulse.llm.scratch import written
+from coursepulse.llm.scratch import remove, written
 from coursepulse.llm.words import sliced
 
 THRESHOLD = 0.3
@@ -57,6 +60,8 @@ _NOISE_NAME = re.compile(
     r"login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|pager|pagination|popup|promo\w*|recommended|"
     r"related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)$")
 _NAME = re.compile(r"[^a-z0-9]+")
+TEXT = "#text"  # the leaf that holds a node's own texts
+_SEPARATORS = str.maketrans(">,", "__")
 
 
 def host_of(url: str | None) -> str:
@@ -87,7 +92,8 @@ class PageTree(HTMLParser):
             self.parts = []
             if text:
                 top = self.stack[-1]
-                self.blocks.append((top.path, top.prior, text))
+                top.children.append(TEXT)
+                self.blocks.append((f"{top.path}>{TEXT}", top.prior, text))
 
     def _pop(self) -> None:
         node = self.stack.pop()
@@ -115,7 +121,7 @@ class PageTree(HTMLParser):
         top = self.stack[-1]
         given = dict(attrs)
         names = sorted((given.get("class") or "").lower().split())
-        label = ".".join([tag, *names])
+        label = ".".join([tag, *names]).translate(_SEPARATORS)
         top.children.append(label)
         self.stack.append(_Node(tag, f"{top.path}>{label}", self._prior(top, tag, names, given)))
 
@@ -155,7 +161,7 @@ class PageTree(HTMLParser):
         self.feed(page)
         self.close()
         self._flush()
-        while len(self.stack) > 1:
+        while self.stack:
             self._pop()
         return self
 
@@ -173,8 +179,8 @@ def page_text(page: str | None, removed=frozenset()) -> str:
 
 
 def _counts(pages: DataFrame) -> DataFrame:
-    """``host, path, kind, feature, pages``: in how many pages a node (kind n), a presentation (s) or a
-    text (t) of a node occurs."""
+    """``host, path, kind, feature, pages``: in how many pages a node (kind n), a presentation (s, its
+    children's labels) or a text (t, a digest) of a node occurs."""
 
     def run(batches):
         for b in sliced(batches, 1):
@@ -184,12 +190,13 @@ def _counts(pages: DataFrame) -> DataFrame:
                     continue
                 host, tree, seen = host_of(url), PageTree(elements=True).read(page), set()
                 for path, prior, kinds in tree.elements:
-                    if prior is None:  # a prior is the importance already
+                    if prior is None or not path:  # a prior is the importance already
                         seen.add((host, path, "n", ""))
                         seen.add((host, path, "s", kinds))
                 for path, prior, text in tree.blocks:
                     if prior is None:
-                        seen.add((host, path, "t", text))
+                        seen.add((host, path, "n", ""))
+                        seen.add((host, path, "t", blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest()))
                 count.update(seen)
             keys = list(count)
             host, path, kind, feature = zip(*keys) if keys else ((), (), (), ())
@@ -198,46 +205,78 @@ def _counts(pages: DataFrame) -> DataFrame:
                  pa.array(feature, pa.string()), pa.array([count[k] for k in keys], pa.int64())],
                 names=["host", "path", "kind", "feature", "pages"])
 
-    return pages.mapInArrow(run, "host string, path string, kind string, feature string, pages long").select(
-        "host", "path", "kind", F.xxhash64("feature").alias("feature"), "pages")
-
-
-def importance(counts: DataFrame) -> DataFrame:
-    """``host, path, m, importance`` of the nodes of all style trees (host ``*``: all hosts' tree)."""
-    # written, as four steps read it and pages are parsed once
+    return pages.mapInArrow(run, "host string, path string, kind string, feature string, pages long")
+
+
+def _up_the_tree(nodes: DataFrame, rounds: int, add, join) -> DataFrame:
+    """``value`` of each node joined with those of all nodes below it, in steps of doubled length."""
+    before = None
+    for _ in range(rounds):
+        below = nodes.where("up IS NOT NULL").groupBy("host", F.col("up").alias("path")).agg(add.alias("below"))
+        above = nodes.select("host", F.col("path").alias("up"), F.col("up").alias("next"), F.col("w").alias("next_w"))
+        nodes = nodes.join(below, ["host", "path"], "left").join(above, ["host", "up"], "left").select(
+            "host", "path", "m", "importance", F.col("next").alias("up"), (F.col("w") * F.col("next_w")).alias("w"),
+            join(F.col("value"), F.col("below")).alias("value"))
+        nodes, path = written(nodes, "style-tree-round")
+        if before:
+            remove(nodes.sparkSession, before)
+        before = path
+    return nodes
+
+
+def importance(counts: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``host, path, m, importance, highest`` of the nodes of the style trees of hosts with ``min_pages``
+    pages and of all hosts' tree (host ``*``); ``highest`` is the greatest importance of a node and all below it.
+    """
+    # written, as several steps read it and pages are parsed once
     each, _ = written(counts.groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages")), "style-counts")
     each = each.unionByName(each.groupBy("path", "kind", "feature").agg(F.sum("pages").alias("pages")).withColumn("host", F.lit("*")))
-    nodes = each.where("kind = 'n'").select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("pages").alias("m"))
-    f = each.where("kind <> 'n'").join(nodes, (each["host"] == nodes["h"]) & (each["path"] == nodes["p"])).drop("h", "p")
-    share = F.col("pages") / F.col("m")
-    style, text = F.col("kind") == "s", F.col("kind") == "t"
-    log_m = F.log(F.greatest("m", F.lit(2)).cast("double"))
-    got = f.groupBy("host", "path").agg(
-        F.max("m").alias("m"), F.sum(F.when(style, 1)).alias("styles"),
-        F.sum(F.when(style, -share * F.log(share))).alias("style_entropy"),
-        F.avg(F.when(text, F.log(F.col("pages").cast("double")))).alias("text_entropy"))
-    presentation = F.when(F.col("m") == 1, 1.0).otherwise(F.col("style_entropy") / log_m)
-    content = F.when(F.col("m") == 1, 1.0).otherwise(1 - F.col("text_entropy") / log_m)
+    style, text, c = F.col("kind") == "s", F.col("kind") == "t", F.col("pages").cast("double")
+    got = each.groupBy("host", "path").agg(
+        F.max(F.when(F.col("kind") == "n", F.col("pages"))).alias("m"),
+        F.sum(F.when(style, 1)).alias("styles"), F.sum(F.when(style, c)).alias("seen"),
+        F.sum(F.when(style, c * F.log(c))).alias("style_logs"), F.avg(F.when(text, F.log(c))).alias("text_logs"))
+    label = F.split("feature", ",")
+    edges = each.where("kind = 's' AND feature <> ''").select("host", "path", (c / F.size(label)).alias("part"), F.explode(label).alias("label"))
+    edges = edges.groupBy("host", "path", "label").agg(F.sum("part").alias("part")).select(
+        "host", F.concat("path", F.lit(">"), "label").alias("path"), "part")
+    big = got.where((F.col("path") == "") & (F.col("m") >= min_pages)).select("host")
+    got, _ = written(got.join(big, "host", "left_semi"), "style-nodes")
+    parts = edges.join(big, "host", "left_semi")
+    up = F.when(F.col("path") != "", F.regexp_replace("path", ">[^>]*$", ""))
     weight = F.pow(F.lit(DECAY), F.col("styles"))
-    # a node without texts of its own is judged by its presentation and its children's own nodes
-    return got.select("host", "path", "m", F.when(content.isNull(), F.lit(1.0)).otherwise(
-        (1 - weight) * presentation + weight * content).alias("importance"))
+    presentation = F.when(F.col("seen") <= 1, 1.0).otherwise((F.log("seen") - F.col("style_logs") / F.col("seen")) / F.log("seen"))
+    content = F.when(F.col("m") <= 1, 1.0).otherwise(1 - F.col("text_logs") / F.log(F.col("m").cast("double")))
+    own = F.when(F.col("text_logs").isNotNull(), content).otherwise((1 - weight) * presentation)
+    above = got.select("host", F.col("path").alias("up"), (weight / F.col("seen")).alias("share"))
+    nodes = got.select("host", "path", "m", own.alias("importance"), up.alias("up")).join(parts, ["host", "path"], "left").join(
+        above, ["host", "up"], "left").select(
+        "host", "path", "m", "importance", "up", F.coalesce(F.col("part") * F.col("share"), F.lit(0.0)).alias("w"),
+        F.col("importance").alias("value"))
+    nodes, _ = written(nodes, "style-tree-nodes")
+    deepest = nodes.agg(F.max(F.size(F.split("path", ">")))).first()[0] or 1
+    rounds = max(0, (deepest - 1).bit_length())
+    done = _up_the_tree(nodes, rounds, F.sum(F.col("w") * F.col("value")), lambda v, b: v + F.coalesce(b, F.lit(0.0)))
+    links = nodes.select("host", "path", "up", "w")
+    full = done.select("host", "path", "m", F.col("value").alias("importance"), "value").join(links, ["host", "path"])
+    return _up_the_tree(full, rounds, F.max("value"), F.greatest).select("host", "path", "m", "importance", F.col("value").alias("highest"))
 
 
 def extract(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES, max_sent: int = MAX_SENT) -> DataFrame:
     """One row per page: ``page_id, url, text``."""
     src = pages.select("page_id", "url", "html")
-    low = importance(_counts(src.select("url", "html"))).where(
-        (F.col("importance") < threshold) & (F.col("m") >= min_pages)).select("host", "path")
-    low, _ = written(low, "style-tree")
+    tree = importance(_counts(src.select("url", "html")), min_pages)
+    noise = (F.col("highest") < threshold) & (F.col("m") >= min_pages)
+    # the root of a tree says that a host has its own; it stands for no branch
+    low, _ = written(tree.where(noise | (F.col("path") == "")).select("host", F.when(noise, F.col("path")).alias("path")), "style-tree")
     if low.count() <= max_sent:
         by_host: dict[str, list[str]] = {}
         for r in low.collect():
-            by_host.setdefault(r["host"], []).append(r["path"])
+            by_host.setdefault(r["host"], []).extend([r["path"]] if r["path"] is not None else [])
         given = src.withColumn("removed", F.lit(None).cast("array<string>"))
     else:
         paths = low.groupBy("host").agg(F.collect_list("path").alias("removed"))
-        everywhere = [r["path"] for r in low.where("host = '*'").collect()]  # paths of one tree
+        everywhere = [r["path"] for r in low.where("host = '*' AND path IS NOT NULL").collect()]  # paths of one tree
         by_host = {"*": everywhere}
         own = paths.where("host <> '*'").select(F.col("host").alias("h"), "removed")
         host = F.lower(F.regexp_replace(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), "^.*@", ""))
@@ -246,7 +285,7 @@ def extract(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN
     def run(batches):
         for b in sliced(batches, 2):
             urls, pages_, removed = (b.column(i).to_pylist() for i in (1, 2, 3))
-            out = [page_text(p, {*by_host.get("*", ()), *by_host.get(host_of(u), ()), *(r or ())})
+            out = [page_text(p, by_host.get(host_of(u), by_host.get("*", ())) if r is None else r)
                    for u, p, r in zip(urls, pages_, removed)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
 

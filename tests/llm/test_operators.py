@@ -286,6 +286,40 @@ def test_style_tree_removes_what_a_site_repeats(spark):
         assert got == {i: f"Story {i % 100} of host {i // 100} is new" for i, _, _ in rows}
 
 
+def test_large_site_with_many_bodies_keeps_its_stories(spark):
+    """The body's children vary little for the number of pages; its stories still are the content."""
+    def page(i):
+        few = "".join(f"<div class=b{k}></div>" for k in range(30) if k == i % 30)
+        return f"<html><body>{few}<div class=s>Story {i} is new</div><div class=z>Same words</div></body></html>"
+
+    rows = [(i, f"http://big.example/{i}", page(i if i % 10 == 0 else 0)) if i % 10 else (i, f"http://big.example/{i}", page(i))
+            for i in range(20_000)]
+    rows = [(i, u, p.replace("Story 0 ", f"Story {i} ")) for i, u, p in rows]
+    src = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for some in (src, src.where("page_id < 40")):
+        got = {r.page_id: r.text for r in html.extract(some).collect()}
+        assert len(got) == some.count() and all(t == f"Story {i} is new" for i, t in got.items())
+
+
+def test_importance_is_rolled_up_and_all_hosts_tree_is_for_small_hosts(spark):
+    page = lambda i: f"<div class=a><p>Same</p><div class=b><p>New {i}</p></div></div>"
+    src = spark.createDataFrame([(f"http://h/{i}", page(i)) for i in range(64)], "url string, html string")
+    got = {r.path: r for r in html.importance(html._counts(src)).where("host = 'h'").collect()}
+    same, new = got[">div.a>p>#text"], got[">div.a>div.b>p>#text"]
+    assert same.importance == pytest.approx(0) and new.importance == pytest.approx(1)
+    # one presentation each: 0.9 of the mean of the children
+    assert got[">div.a>div.b"].importance == pytest.approx(0.9 ** 2) and got[">div.a>p"].importance == pytest.approx(0)
+    assert got[">div.a"].importance == pytest.approx(0.9 * 0.9 ** 2 / 2) and got[""].highest == pytest.approx(1)
+    assert got[">div.a>p"].highest == pytest.approx(0)
+    # most hosts repeat div.x, one large host has it anew on each page; a small host is judged by all
+    rows = [(1000 * k + i, f"http://s{k}/{i}", "<div class=x>Hello</div>") for k in range(100) for i in range(15)]
+    rows += [(-1 - i, f"http://large/{i}", f"<div class=x>Tale {'A' * (i + 1)}</div>") for i in range(16)]
+    one = spark.createDataFrame(rows + [(-100, "http://s0/x", "<div class=x>Hello</div><p>own</p>")], "page_id long, url string, html string")
+    for most in (100_000, 0):
+        texts = {r.page_id: r.text for r in html.extract(one, threshold=0.99, max_sent=most).collect()}
+        assert all(texts[-1 - i] == f"Tale {'A' * (i + 1)}" for i in range(16)) and texts[1000] == ""
+
+
 # --- WARC
 
 def test_archives_give_back_their_pages(spark):
