@@ -7,9 +7,13 @@ page has anew is content, one that most pages repeat is part of the site. An inn
 entropy of its presentation (how its children vary over the pages) and, bottom-up, the importance of
 its children, weighted by how often each presentation occurs. A node is noise only if it and all nodes
 below it are less important than ``THRESHOLD``. The trees of all hosts are merged into one more, which
-judges the hosts of fewer than ``MIN_PAGES`` pages, and these only. Presentation with a fixed meaning is judged beforehand:
-navigation, forms, asides, adverts, notices, reader comments and the like have importance 0, and what
-is in an ``article`` or ``main`` outside of those has importance 1, however often a site repeats it.
+judges the hosts of fewer than ``MIN_PAGES`` pages, and these only.
+
+Presentation with a fixed meaning is judged beforehand: navigation, footers, forms, asides, adverts, reader comments
+and the like have importance 0. All other branches are counted and judged. Names that content has as well
+(``header``, ``related``, ``share`` ...) halve the importance, not in an ``article`` or ``main``, and rule
+where no tree of ``MIN_PAGES`` pages has the branch. What is in an ``article`` or ``main`` has a bonus, and
+is noise only if something else in that element is not: content that a site repeats as a whole stays.
 Noise is removed from each page.
 
 The text is the rest: character references decoded, white space within a block turned into one
@@ -56,12 +60,22 @@ NOISE_TAGS = frozenset("aside button datalist dialog footer form head iframe men
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 _NOISE_NAME = re.compile(
+    r"^(ads?|advert\w*|adsense|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|footer|gdpr|"
+    r"masthead|nav|navbar|navigation|pager|pagination|popup|replies|respond|sidebar|sponsor\w*)$")
+# Names that content has as well: a weak prior, and none in an article or main.
+_WEAK_NAME = re.compile(
+    r"^(banner|copyright|header|login|menu|modal|newsletter|notice|notification|promo\w*|recommended|related|search|share|sharing|"
+    r"signup|social|subscribe|toolbar|widget)$")
+WEAK = 0.5  # factor of the importance below a weak name; such a branch is noise until the tree has judged it
+BONUS = 0.2  # share of the prior in the importance of what is in an article or main
+_NAME = re.compile(
     r"^(ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|copyright|disqus|footer|gdpr|header|"
     r"login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notification|pager|pagination|popup|promo\w*|recommended|"
     r"related|replies|respond|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widget)$")
 _NAME = re.compile(r"[^a-z0-9]+")
 TEXT = "#text"  # the leaf that holds a node's own texts
-_SEPARATORS = str.maketrans(">,", "__")
+_SEPARATORS = str.maketrans(">,~", "___")
+_CONTENT = r"^(.*?>(article|main)(\.[^>]*)?)>"  # the outermost content element above a path
 
 
 def host_of(url: str | None) -> str:
@@ -122,22 +136,27 @@ class PageTree(HTMLParser):
         given = dict(attrs)
         names = sorted((given.get("class") or "").lower().split())
         label = ".".join([tag, *names]).translate(_SEPARATORS)
+        prior = self._prior(top, tag, names, given)
+        if prior == WEAK and top.prior != WEAK:  # ids are no part of a path, so the mark is
+            label = "~" + label
         top.children.append(label)
-        self.stack.append(_Node(tag, f"{top.path}>{label}", self._prior(top, tag, names, given)))
+        self.stack.append(_Node(tag, f"{top.path}>{label}", prior))
 
     @staticmethod
     def _prior(top: _Node, tag: str, names: list[str], given: dict) -> float | None:
         if top.prior == 0 or tag in NOISE_TAGS or (given.get("role") or "").lower() in NOISE_ROLES:
             return 0.0
-        if tag == "header" and top.prior != 1:  # a page's header; one in an article is the article's
-            return 0.0
         if "hidden" in given or (given.get("aria-hidden") or "").lower() == "true":
             return 0.0
-        if tag not in ("html", "body", *CONTENT_TAGS):
-            for name in (*names, (given.get("id") or "").lower()):
-                if any(_NOISE_NAME.match(x) for x in _NAME.split(name) if x):
-                    return 0.0
-        return 1.0 if tag in CONTENT_TAGS else top.prior
+        if tag in CONTENT_TAGS:
+            return 1.0
+        weak = tag == "header"
+        if tag not in ("html", "body"):
+            words = [x for name in (*names, (given.get("id") or "").lower()) for x in _NAME.split(name) if x]
+            if any(_NOISE_NAME.match(x) for x in words):
+                return 0.0
+            weak = weak or any(_WEAK_NAME.match(x) for x in words)
+        return WEAK if weak and top.prior is None else top.prior
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -166,13 +185,16 @@ class PageTree(HTMLParser):
         return self
 
 
-def page_text(page: str | None, removed=frozenset()) -> str:
-    """The text of a page without the branches that priors or ``removed`` paths rule out."""
+def page_text(page: str | None, verdicts=frozenset()) -> str:
+    """The text of a page without the branches that priors or ``verdicts`` rule out: paths of noise, and
+    after a ``+`` those of important texts below a weak name."""
     if not page:
         return ""
     kept = []
     for path, prior, text in PageTree().read(page).blocks:
-        if prior == 0 or (prior is None and removed and any(path == r or path.startswith(r + ">") for r in removed)):
+        if prior == 0 or (prior == WEAK and "+" + path not in verdicts):
+            continue
+        if prior != WEAK and verdicts and any(path == r or path.startswith(r + ">") for r in verdicts):
             continue
         kept.append(text)
     return "\n".join(kept)
@@ -190,11 +212,11 @@ def _counts(pages: DataFrame) -> DataFrame:
                     continue
                 host, tree, seen = host_of(url), PageTree(elements=True).read(page), set()
                 for path, prior, kinds in tree.elements:
-                    if prior is None or not path:  # a prior is the importance already
+                    if prior != 0:
                         seen.add((host, path, "n", ""))
                         seen.add((host, path, "s", kinds))
                 for path, prior, text in tree.blocks:
-                    if prior is None:
+                    if prior != 0:
                         seen.add((host, path, "n", ""))
                         seen.add((host, path, "t", blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest()))
                 count.update(seen)
@@ -247,6 +269,7 @@ def importance(counts: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     weight = F.pow(F.lit(DECAY), F.col("styles"))
     presentation = F.when(F.col("seen") <= 1, 1.0).otherwise((F.log("seen") - F.col("style_logs") / F.col("seen")) / F.log("seen"))
     content = F.when(F.col("m") <= 1, 1.0).otherwise(1 - F.col("text_logs") / F.log(F.col("m").cast("double")))
+    content = F.when(F.col("path").rlike(_CONTENT), BONUS + (1 - BONUS) * content).when(F.col("path").contains(">~"), WEAK * content).otherwise(content)
     own = F.when(F.col("text_logs").isNotNull(), content).otherwise((1 - weight) * presentation)
     above = got.select("host", F.col("path").alias("up"), (weight / F.col("seen")).alias("share"))
     nodes = got.select("host", "path", "m", own.alias("importance"), up.alias("up")).join(parts, ["host", "path"], "left").join(
@@ -265,10 +288,24 @@ def importance(counts: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 def extract(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES, max_sent: int = MAX_SENT) -> DataFrame:
     """One row per page: ``page_id, url, text``."""
     src = pages.select("page_id", "url", "html")
-    tree = importance(_counts(src.select("url", "html")), min_pages)
-    noise = (F.col("highest") < threshold) & (F.col("m") >= min_pages)
+    tree, _ = written(importance(_counts(src.select("url", "html")), min_pages), "style-importance")
+    # an article that is repeated as a whole is kept: its branches are noise only beside an important one
+    outer = F.when(F.col("path").rlike(_CONTENT), F.regexp_extract("path", _CONTENT, 1))
+    inner = tree.select("host", F.col("path").alias("outer"), F.col("highest").alias("outer_highest"))
+    judged = tree.withColumn("outer", outer)
+    parts = F.split("outer", ">")
+    holders = judged.where("outer IS NOT NULL").select("host", "outer").distinct().select("host", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), ">"))).alias("path")).distinct().withColumn(
+        "holds", F.lit(True))
+    judged = judged.join(inner, ["host", "outer"], "left").join(holders, ["host", "path"], "left")
+    noise = (F.col("highest") < threshold) & F.col("holds").isNull() & (
+        F.col("outer").isNull() | (F.col("outer_highest") >= threshold))
+    weak = F.col("outer").isNull() & F.col("path").contains(">~") & F.col("path").endswith(">" + TEXT) & (F.col("importance") >= threshold)
+    enough = F.col("m") >= min_pages
+    verdict = F.when(enough & weak, F.concat(F.lit("+"), "path")).when(enough & noise, F.col("path"))
     # the root of a tree says that a host has its own; it stands for no branch
-    low, _ = written(tree.where(noise | (F.col("path") == "")).select("host", F.when(noise, F.col("path")).alias("path")), "style-tree")
+    low, _ = written(judged.select("host", "path", verdict.alias("verdict")).where("verdict IS NOT NULL OR path = ''").select(
+        "host", F.col("verdict").alias("path")), "style-tree")
     if low.count() <= max_sent:
         by_host: dict[str, list[str]] = {}
         for r in low.collect():

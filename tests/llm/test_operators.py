@@ -320,6 +320,25 @@ def test_importance_is_rolled_up_and_all_hosts_tree_is_for_small_hosts(spark):
         assert all(texts[-1 - i] == f"Tale {'A' * (i + 1)}" for i in range(16)) and texts[1000] == ""
 
 
+def test_names_are_a_weak_prior_and_articles_are_judged(spark):
+    def page(i):
+        return (f"<nav>go {i}</nav><div class=header>Same head</div><div class=widget>Own words {i}</div><article>"
+                f"<div class='entry-header'><h1>Title {i}</h1></div><section class='related-work'>Others {i}</section>"
+                f"<p>Story {i}</p><div class=box>Read more here</div></article>")
+
+    def want(i, judged):
+        return [*([f"Own words {i}"] if judged else []), f"Title {i}", f"Others {i}", f"Story {i}", *([] if judged else ["Read more here"])]
+
+    assert html.page_text(page(7)).split("\n") == want(7, False)  # no tree: the priors rule
+    rows = [(i, f"http://h/{i}", page(i)) for i in range(40)]
+    copies = [(100 + i, f"http://copies/{i}", page(7)) for i in range(20)]  # repeated as a whole
+    src = spark.createDataFrame(rows + copies, "page_id long, url string, html string")
+    for most in (100_000, 0):
+        got = {r.page_id: r.text.split("\n") for r in html.extract(src, max_sent=most).collect()}
+        assert all(got[i] == want(i, True) for i in range(40))
+        assert all(got[100 + i] == want(7, False) for i in range(20))
+
+
 # --- WARC
 
 def test_archives_give_back_their_pages(spark):
