@@ -289,8 +289,8 @@ def test_style_tree_removes_what_a_site_repeats(spark):
 def test_large_site_with_many_bodies_keeps_its_stories(spark):
     """The body's children vary little for the number of pages; its stories still are the content."""
     def page(i):
-        few = "".join(f"<div class=b{k}></div>" for k in range(30) if k == i % 30)
-        return f"<html><body>{few}<div class=s>Story {i} is new</div><div class=z>Same words</div></body></html>"
+        few = "".join(f"<div class=b{k}></div>" for k in range(30) if k == i // 10 % 30)
+        return f"<html><body>Same top{few}<div class=s>Story {i} is new</div><div class=z>Same words</div></body></html>"
 
     rows = [(i, f"http://big.example/{i}", page(i if i % 10 == 0 else 0)) if i % 10 else (i, f"http://big.example/{i}", page(i))
             for i in range(20_000)]
