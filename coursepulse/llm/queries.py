@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursepulse.llm import chat, exact_dedup, html, jaccard_join, line_dedup, packing, pieces, quality, toxicity, warc
+from coursepulse.llm import (
+    centroids,
+    chat,
+    exact_dedup,
+    html,
+    jaccard_join,
+    line_dedup,
+    packing,
+    pieces,
+    quality,
+    token_files,
+    toxicity,
+    warc,
+    whitening,
+)
 from coursepulse.llm.scratch import scratch_path
 from coursepulse.llm.shipping import ship_package
 
@@ -85,10 +99,48 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds from 16 seeded centroids."""
+    return centroids.cluster(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 16 whitened components of every vector."""
+    return whitening.whiten(_read(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to token files in the shared folder and read back."""
+    path = scratch_path(spark, "tokens")
+    token_files.write_tokens(_read(spark, sf_dir, "documents"), path)
+    return token_files.read_tokens(spark, path)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_best_fit_packing, op3_sentencepiece, op4_exact_dedup, op5_html_extraction,
     op6_warc, op7_line_dedup, op8_chat_formatting,
-    op9_toxicity, op10_jaccard_join)}
+    op9_toxicity, op10_jaccard_join, op11_centroid_clustering, op12_embedding_whitening, op13_token_files)}
+
+
+def _clustering_sql(rounds: int = centroids.ROUNDS, k: int = centroids.K) -> str:
+    """Every round spelled out: nearest centroid of each vector, then the floors of the means."""
+    parts = ["""WITH e AS (SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)) AS f FROM embeddings WHERE len(embedding) = 64),
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(f, lambda c: c::BIGINT) AS x FROM e
+      WHERE len(list_filter(f, lambda c: c IS NOT NULL AND isfinite(c))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c, x FROM v QUALIFY c < %d)""" % k]
+    for i in range(rounds + 1):
+        parts.append(f"""d{i} AS (SELECT v.r, c.c, list_sum(list_transform(list_zip(v.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+      FROM v CROSS JOIN c{i} c),
+a{i} AS MATERIALIZED (SELECT r, c, distance FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c) = 1)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (SELECT a.c, j, sum(v.x[j]) AS s, count(*) AS n FROM a{i} a JOIN v USING (r), range(1, 65) t(j) GROUP BY ALL),
+m{i} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS x FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m.x, o.x) AS x FROM c{i} o LEFT JOIN m{i} m USING (c))""")
+    return ",\n".join(parts) + f"""
+SELECT v.vec_id, a.c::INTEGER AS cluster, a.distance::BIGINT AS distance, (sum(a.distance) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c USING (c)"""
+
 
 ORACLE_SQL = {
     "op1_quality_rules": r"""
@@ -156,4 +208,5 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
 FROM q
 """,
+    "op11_centroid_clustering": _clustering_sql(),
 }
