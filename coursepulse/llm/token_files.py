@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursepulse.llm.words import sliced, text_array
+from coursepulse.llm.words import offsets_and_bytes, sliced, text_array
 
 END_ID = 2
 SHARD_IDS = 8_000_000
@@ -178,59 +178,111 @@ _SPACE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}
 
 
 class Encoder:
-    """Token ids of texts by the library, each distinct word of a slice encoded once.
+    """Token ids of texts by the library, each distinct word encoded once.
 
     No token crosses from a character before a space into that space, and a run of white space
     is cut the same way from its own start on, so a text may be cut before a space unless white space stands on both
     sides of the cut (or the text ends after it). Texts with such a place and those that contain an added
-    token go to the library whole.
+    token go to the library whole. Words without white space at their ends go to it ``JOINED`` at a time, as one text of words
+    with a space before each: a token that starts with a space starts a word. The ids of up to ``KNOWN`` words are kept for the next slices.
     """
 
+    JOINED = 100
+    AT_ONCE = 20_000
+    KNOWN = 1_000_000
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = 2 if max(vocab.values()) < 1 << 16 else 4
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]  # the character that stands for a space
+        self.leads = np.zeros(max(vocab.values()) + 1, bool)
+        self.leads[[i for t, i in vocab.items() if t.startswith(space)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.pool, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ends = np.concatenate([[0], np.cumsum([len(e.ids) for e in got], dtype=np.int64)])
-        return np.array([x for e in got for x in e.ids], np.uint32), ends
+        ids = [e.ids for e in got]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
+        return np.fromiter((x for part in ids for x in part), np.uint32, int(ends[-1])), ends
 
     def encode(self, a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of a string array: ids of all rows one after another."""
         whole = np.asarray(pc.match_substring_regex(a, _SPACE + r" (" + _SPACE + r"|\z)"))
         for t in self.added:
             whole = whole | np.asarray(pc.match_substring(a, t))
-        ids, offs = self._by_words(a.filter(pa.array(~whole)))
         if not whole.any():
+            return self._by_words(a)
+        ids, offs = self._by_words(a.filter(pa.array(~whole)))
+        return _interleaved(~whole, ids, offs, *self._library(a.filter(pa.array(whole)).to_pylist()))
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``" " + word`` for distinct words."""
+        odd = np.asarray(pc.match_substring_regex(words, r"^(" + _SPACE + r"|\z)|" + _SPACE + r"\z"))
+        joined = pc.binary_join_element_wise("", words.filter(pa.array(~odd)), " ")
+        parts = []
+        for at in range(0, len(joined), self.AT_ONCE):
+            some = pa.concat_arrays([joined.slice(at, self.AT_ONCE)])
+            offs, raw = offsets_and_bytes(some)
+            cuts = np.append(offs[:-1:self.JOINED], offs[-1]).astype(np.int32)
+            texts = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.tobytes()), pa.py_buffer(raw.tobytes()))
+            parts.append(self._library(texts.to_pylist())[0])
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        offs = np.append(np.flatnonzero(self.leads[ids]), len(ids))
+        if len(offs) != len(joined) + 1:
+            raise ValueError("the tokenizer does not keep words apart")
+        if not odd.any():
             return ids, offs
-        others, ends = self._library(a.filter(pa.array(whole)).to_pylist())
-        size = np.zeros(len(a), np.int64)
-        size[~whole], size[whole] = np.diff(offs), np.diff(ends)
-        out = np.empty(int(size.sum()), np.uint32)
-        from_words = np.repeat(~whole, size)
-        out[from_words], out[~from_words] = ids, others
-        return out, np.concatenate([[0], np.cumsum(size)])
+        return _interleaved(~odd, ids, offs, *self._library([" " + w for w in words.filter(pa.array(odd)).to_pylist()]))
+
+    def _known_words(self, words: pa.Array) -> np.ndarray:
+        """Places of the words in the pool of known words, which learns the new ones."""
+        at = pc.index_in(words, value_set=self.known)
+        if at.null_count:
+            if len(self.known) + at.null_count > self.KNOWN:
+                self._forget()
+                at = pa.nulls(len(words), pa.int32())
+            new = words.filter(pc.is_null(at))
+            ids, offs = self._words(new)
+            at = np.array(pc.fill_null(at, -1))
+            at[at < 0] = len(self.known) + np.arange(len(new))
+            self.ends = np.concatenate([self.ends, offs[1:] + self.ends[-1]])
+            self.pool, self.known = np.concatenate([self.pool, ids]), pa.concat_arrays([self.known, new])
+        return np.asarray(at)
 
     def _by_words(self, a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.split_pattern(a, " ")
         offs = np.asarray(lists.offsets).astype(np.int64)
         offs = offs - offs[0]
-        first = np.zeros(int(offs[-1]), bool)
-        first[offs[:-1]] = True  # every text has a word, if only an empty one
-        d = lists.flatten().dictionary_encode()
-        word = np.asarray(d.indices).astype(np.int64)
-        n = len(d.dictionary)
-        kinds, kind = np.unique(word + np.where(first, n, 0), return_inverse=True)
-        words = d.dictionary.take(pa.array(kinds % max(n, 1))).to_pylist()
-        pool, ends = self._library([w if k >= n else " " + w for k, w in zip(kinds.tolist(), words)])
-        count = np.diff(ends)[kind]
+        flat = lists.flatten()
+        first = offs[:-1]  # every text has a word, if only an empty one
+        d = flat.dictionary_encode()
+        at = self._known_words(d.dictionary)[np.asarray(d.indices)]
+        heads, head_ends = self._library(flat.take(pa.array(first)).to_pylist())  # no space before these
+        count = np.diff(self.ends)[at]
+        begin = self.ends[at]
+        count[first], begin[first] = np.diff(head_ends), head_ends[:-1] + len(self.pool)
         upto = np.concatenate([[0], np.cumsum(count)])
-        where = np.repeat(ends[kind] - upto[:-1], count) + np.arange(upto[-1])
-        return pool[where], upto[offs]
+        where = np.repeat((begin - upto[:-1]).astype(np.int32), count) + np.arange(upto[-1], dtype=np.int32)
+        return np.concatenate([self.pool, heads])[where], upto[offs]
+
+
+def _interleaved(which: np.ndarray, ids: np.ndarray, offs: np.ndarray, others: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of two ragged arrays in the order that ``which`` (rows of the first) gives."""
+    size = np.zeros(len(which), np.int64)
+    size[which], size[~which] = np.diff(offs), np.diff(ends)
+    out = np.empty(int(size.sum()), np.uint32)
+    from_first = np.repeat(which, size)
+    out[from_first], out[~from_first] = ids, others
+    return out, np.concatenate([[0], np.cumsum(size)])
 
 
 _ENCODERS: dict[str, Encoder] = {}  # one per Python worker and path
