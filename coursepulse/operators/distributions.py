@@ -64,31 +64,53 @@ def entropy_base(student_vle: DataFrame, vle: DataFrame, assessments: DataFrame,
                     F.col("final_result").cast("double").alias("final_result")))
 
 
+def joint_arrays(base: DataFrame, ignore_neg_date: bool = True, activities: Sequence[str] | None = None) -> DataFrame:
+    """Per student: ``d0`` (first day), ``acts`` (activities, sorted), ``tot`` (clicks) and ``cells``, the clicks of
+    every (day, activity) from ``d0`` to int(mean assessment date) in one array, day-major, zeros included.
+
+    The activities are those of the whole ``base``, also of clicks that ``ignore_neg_date`` leaves out (or the given
+    list); they are one row that the plan itself computes. A student's sparse cells are sorted by their place in the array
+    and the zeros before each are filled in: linear in days x activities, without a lookup by key.
+    """
+    src = base.where(F.col("date") >= 0) if ignore_neg_date else base
+    acts = (F.array(*[F.lit(a) for a in activities]) if activities is not None else
+            base.agg(F.array_sort(F.collect_set("activity_type"))).scalar())
+    per = src.groupBy(*K3).agg(
+        F.least(F.lit(0), F.min("date")).alias("d0"), F.avg("date_assessment").cast("long").alias("d1"),
+        F.sum("sum_click").cast("long").alias("tot"),
+        F.collect_list(F.struct(F.col("date"), F.col("activity_type"), F.col("sum_click").cast("long").alias("c"))).alias("raw"))
+    per = per.where(F.col("d1") >= F.col("d0")).withColumn("acts", acts).withColumn("k", F.size("acts"))
+    size = ((F.col("d1") - F.col("d0") + 1) * F.col("k")).cast("int")
+    code = lambda x: F.array_position("acts", x["activity_type"])  # noqa: E731  (1-based, 0 where not listed)
+    placed = F.transform(F.filter("raw", lambda x: (x["date"] <= F.col("d1")) & (code(x) > 0)), lambda x: F.struct(
+        ((x["date"] - F.col("d0")) * F.col("k") + code(x) - 1).cast("int").alias("at"), x["c"].alias("c")))
+    per = per.withColumn("placed", F.array_sort(placed)).withColumn("size", size)
+    before = lambda i: F.when(i > 0, F.get("placed", i - 1)["at"]).otherwise(F.lit(-1))
+    zeros = lambda n: F.array_repeat(F.lit(0).cast("long"), n)
+    filled = F.flatten(F.transform("placed", lambda x, i: F.concat(zeros(x["at"] - before(i) - 1), F.array(x["c"]))))
+    last = F.when(F.size("placed") > 0, F.element_at("placed", -1)["at"]).otherwise(F.lit(-1))
+    return per.select(*K3, "d0", "acts", "tot", F.concat(filled, zeros(F.col("size") - last - 1)).alias("cells"))
+
+
 def joint_distribution(base: DataFrame, ignore_neg_date: bool = True,
                        activities: Sequence[str] | None = None) -> DataFrame:
     """Dense joint distribution of a student's clicks over days x activities (zeros included).
 
     Days run from min(0, first day) to int(mean assessment date); activities are the ones present
-    in ``base`` (or the given list). One row per (K3, date, activity_type) with the cell's clicks
+    in the whole ``base`` (or the given list). One row per (K3, date, activity_type) with the cell's clicks
     (0 for an empty cell), the student's total and the share ``p = clicks / student_clicks``.
     """
-    src = base.where(F.col("date") >= 0) if ignore_neg_date else base
-    acts = list(activities) if activities is not None else sorted(
-        r[0] for r in src.select("activity_type").distinct().collect())
-    per = src.groupBy(*K3).agg(
-        F.least(F.lit(0), F.min("date")).alias("d0"),
-        F.avg("date_assessment").cast("long").alias("d1"),
-        F.sum("sum_click").alias("tot"),
-        F.map_from_entries(F.collect_list(F.struct(
-            F.concat_ws("|", F.col("date").cast("string"), F.col("activity_type")), F.col("sum_click")))).alias("m"))
-    grid = per.select(*K3, "tot", "m", F.explode(F.sequence("d0", F.greatest("d0", "d1"))).alias("date")) \
-        .where(F.col("date") <= F.col("d1"))
-    grid = grid.select(*K3, "tot", "m", F.col("date").cast("long").alias("date"),
-                       F.explode(F.array(*[F.lit(a) for a in acts])).alias("activity_type"))
-    key = F.concat_ws("|", F.col("date").cast("string"), F.col("activity_type"))
-    c = F.coalesce(F.try_element_at("m", key), F.lit(0)).cast("long")
-    return grid.select(*K3, "date", "activity_type", c.alias("clicks"), F.col("tot").cast("long").alias("student_clicks"),
-                       (c / F.col("tot")).alias("p"))
+    cells = joint_arrays(base, ignore_neg_date, activities).select(*K3, "d0", "acts", "tot", F.posexplode("cells").alias("at", "clicks"))
+    k = F.size("acts")
+    return cells.select(*K3, (F.col("d0") + F.floor(F.col("at") / k)).cast("long").alias("date"),
+                        F.get("acts", F.col("at") % k).alias("activity_type"), "clicks", F.col("tot").alias("student_clicks"),
+                        (F.col("clicks") / F.col("tot")).alias("p"))
+
+
+def joint_vectors(base: DataFrame, ignore_neg_date: bool = True, activities: Sequence[str] | None = None) -> DataFrame:
+    """The joint distribution as one day-major vector per student, straight from its array."""
+    return joint_arrays(base, ignore_neg_date, activities).select(
+        *K3, F.transform("cells", lambda c: c / F.col("tot")).alias("vector"))
 
 
 def marginal_by_activity(joint: DataFrame) -> DataFrame:

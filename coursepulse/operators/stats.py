@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import safe_div
 from coursepulse.functions.dims import bounded_broadcast
+from coursepulse.operators.numbering import running_sums
 from coursepulse.schema import K3
 
 
@@ -113,6 +114,86 @@ def mean_daily_curve(dense: DataFrame, info: DataFrame, value: str = "sum_click"
     return out.withColumn("sem", F.col("std") / F.sqrt(F.col("n")))
 
 
+#: 2^32 times the cumulative probabilities of a Poisson variable of mean 1, from its definition.
+POISSON_STEPS = [math.floor(math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) * 2 ** 32) for k in range(12)]
+_DRAWS = 8  # replicate weights from one digest
+
+
+def poisson_weights(keys: Sequence[str], replicates: int, seed: int = 0) -> Column:
+    """Array of ``replicates`` Poisson(1) weights that depend on the key columns and the seed alone.
+
+    Eight hexadecimal digits of sha256(``key|...|seed|block``) are a uniform 32-bit number; its place among the
+    steps of the cumulative distribution is the weight. Null keys count as empty.
+    """
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    blocks = F.transform(F.sequence(F.lit(0), F.lit((replicates - 1) // _DRAWS)),
+                         lambda b: F.sha2(F.concat_ws("|", key, F.lit(str(seed)), b.cast("string")), 256))
+    text = F.array_join(blocks, "")
+
+    def weight(i):
+        u = F.conv(F.substring(text, i * 8 + 1, F.lit(8)), 16, 10).cast("long")
+        return sum((F.when(u >= step, 1).otherwise(0) for step in POISSON_STEPS), F.lit(0))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), weight)
+
+
+def _outcome_days(daily: DataFrame, students: DataFrame, sums: dict[str, Column], totals: dict[str, Column],
+                  start: int, end: int, outcome: str) -> DataFrame:
+    """``sums`` per (outcome, day) next to ``totals`` per outcome, for every day of [start, end].
+
+    Days without clicks add nothing to a sum, so no students x days grid is made: the totals over the
+    students (one row an outcome) carry the days, and the sums are matched to them."""
+    days = daily.join(students, K3, "inner").groupBy(outcome, F.col("date").cast("long").alias("date")).agg(
+        *[c.alias(n) for n, c in sums.items()])
+    per = students.groupBy(outcome).agg(*[c.alias(n) for n, c in totals.items()])
+    grid = per.select("*", F.explode(F.sequence(F.lit(int(start)).cast("long"), F.lit(int(end)).cast("long"))).alias("date"))
+    days = days.withColumnsRenamed({outcome: "__o", "date": "__d"})
+    return grid.join(days, grid[outcome].eqNullSafe(days["__o"]) & (grid["date"] == days["__d"]), "left").drop("__o", "__d")
+
+
+def daily_curve(daily: DataFrame, info: DataFrame, start: int, end: int, value: str = "sum_click",
+                outcome: str = "final_result") -> DataFrame:
+    """Mean, sample std, standard error and number of students of the daily clicks per (outcome, day) over
+    all students with clicks, from sums and sums of squares (0 on days without clicks)."""
+    students = daily.select(*K3).distinct().join(info.select(*K3, outcome), K3, "inner")
+    x = F.col(value)
+    d = _outcome_days(daily, students, {"s": F.sum(x), "q": F.sum((x * x).cast("decimal(38,0)"))}, {"n": F.count(F.lit(1))}, start, end, outcome)
+    s, n = F.coalesce(F.col("s"), F.lit(0)).cast("decimal(38,0)"), F.col("n")
+    q = F.coalesce(F.col("q"), F.lit(0)).cast("decimal(38,0)")
+    spread = (n * q - s * s).cast("double") / n  # an exact difference: no digits cancel
+    std = F.when(n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (n - 1)))
+    return d.select(outcome, "date", (s.cast("double") / n).alias("mean"), std.alias("std"), n.alias("n"),
+                    (std / F.sqrt(n)).alias("sem"))
+
+
+def bootstrap_bands(daily: DataFrame, info: DataFrame, start: int, end: int, replicates: int = 64, level: float = 0.95,
+                    seed: int = 0, value: str = "sum_click", outcome: str = "final_result") -> DataFrame:
+    """Mean daily clicks per (outcome, day) with a bootstrap confidence band over the students.
+
+    A replicate draws every student Poisson(1) times (the limit of drawing with replacement), by weights from a hash
+    of the student's key: the band does not depend on the partitions, and a replicate is one more
+    weighted sum beside the plain one in a single aggregate. The band's ends are the interpolated quantiles
+    of the replicates' means (replicates that draw nobody are left out; NULL where none is left).
+    """
+    students = daily.select(*K3).distinct().join(info.select(*K3, outcome), K3, "inner").withColumn(
+        "w", poisson_weights(K3, replicates, seed))
+    x, each = F.col(value), range(replicates)
+    d = _outcome_days(daily, students, {"s": F.sum(x), **{f"s{b}": F.sum(x * F.col("w")[b]) for b in each}},
+                      {"n": F.count(F.lit(1)), **{f"n{b}": F.sum(F.col("w")[b]) for b in each}}, start, end, outcome)
+    zero = F.lit(0)
+    means = F.array(*[safe_div(F.coalesce(F.col(f"s{b}"), zero).cast("double"), F.col(f"n{b}").cast("double")) for b in each])
+    d = d.select(outcome, "date", (F.coalesce(F.col("s"), zero) / F.col("n")).cast("double").alias("mean"),
+                 F.array_sort(F.filter(means, lambda m: m.isNotNull())).alias("m"))
+
+    def quantile(p: float) -> Column:
+        h = (F.size("m") - 1) * F.lit(p)
+        low = F.floor(h).cast("int")
+        a, b = F.get("m", low), F.get("m", F.least(low + 1, F.size("m") - 1))
+        return F.when(F.size("m") > 0, a + (h - low) * (b - a))
+
+    return d.select(outcome, "date", "mean", quantile((1 - level) / 2).alias("low"), quantile((1 + level) / 2).alias("high"))
+
+
 def activity_date_profile(clicks_sites: DataFrame, info: DataFrame, outcome: str = "final_result") -> DataFrame:
     """Mean clicks per (outcome, activity, day), normalised to sum 1 within each outcome."""
     # mean over click rows = sum / count: both are summed per student first, so the student-key
@@ -148,6 +229,82 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int, by: Sequ
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+# ---------------------------------------------------------------- E30: densities
+def silverman_width(n: int, std: float | None, dims: int = 1) -> float:
+    """Silverman's width of a Gaussian kernel for ``n`` values of the given sample std (0 without spread)."""
+    return (std or 0.0) * (4.0 / ((dims + 2) * n)) ** (1.0 / (dims + 4)) if n else 0.0
+
+
+def _kernel(z: Column, width: float) -> Column:
+    return F.exp(-(z * z) / F.lit(2.0 * width * width)) / F.lit(width * math.sqrt(2 * math.pi))
+
+
+def _on_grid(df: DataFrame, col: str, step: float) -> Column:
+    return F.round(F.col(col).cast("double") / F.lit(float(step))).cast("long")
+
+
+def _spreads(df: DataFrame, cols: Sequence[str], steps: Sequence[float]) -> tuple[DataFrame, list[tuple]]:
+    """Rows with all columns, as grid numbers ``__b0, __b1``; per column (n, std, first, last grid number)."""
+    x = df
+    for c in cols:
+        x = x.where(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")))
+    x = x.select(*[_on_grid(df, c, s).alias(f"__b{i}") for i, (c, s) in enumerate(zip(cols, steps))],
+                 *[F.col(c).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)])
+    aggs = [a for i in range(len(cols)) for a in (F.stddev_samp(f"__x{i}"), F.min(f"__b{i}"), F.max(f"__b{i}"))]
+    row = x.agg(F.count(F.lit(1)), *aggs).first()
+    return x, [(row[0], *row[1 + 3 * i: 4 + 3 * i]) for i in range(len(cols))]
+
+
+def _axis(first: int, last: int, step: float, width: float, cut: float, max_points: int) -> tuple[int, int]:
+    reach = math.ceil(cut * width / step)
+    if last - first + 1 + 2 * reach > max_points:
+        raise ValueError(f"the grid has more than {max_points} points: take a wider step")
+    return first - reach, last + reach
+
+
+def density(df: DataFrame, col: str, step: float, width: float | None = None, cut: float = 3.0,
+            max_points: int = 10_000) -> DataFrame:
+    """Gaussian kernel density ``(x, density)`` of a column on the grid of multiples of ``step``.
+
+    The rows are counted on the grid (NULL and NaN ignored; a value counts at the nearest multiple, exactly where it is one),
+    and the kernel runs over the counts alone: at most ``max_points`` of them, however many rows.
+    ``width`` is Silverman's by default (from one aggregate); the grid ends ``cut`` widths beyond the
+    values. Without values, or without spread and width, the result is empty.
+    """
+    x, ((n, std, first, last),) = _spreads(df, [col], [step])
+    width = silverman_width(n, std) if width is None else width
+    if not n or not width > 0:
+        return df.sparkSession.createDataFrame([], "x double, density double")
+    lo, hi = _axis(first, last, step, width, cut, max_points)
+    counts = x.groupBy("__b0").agg(F.count(F.lit(1)).alias("c"))
+    points = counts.select("c", "__b0", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long"))).alias("g"))
+    near = _kernel((F.col("g") - F.col("__b0")) * F.lit(float(step)), width)
+    return points.groupBy("g").agg((F.sum(F.col("c") * near) / F.lit(float(n))).alias("density")).select(
+        (F.col("g") * F.lit(float(step))).alias("x"), "density")
+
+
+def density2(df: DataFrame, cols: Sequence[str], steps: Sequence[float], widths: Sequence[float] | None = None,
+             cut: float = 3.0, max_points: int = 1_000) -> DataFrame:
+    """Product-kernel density ``(x, y, density)`` of two columns on the grid of multiples of ``steps``.
+
+    Counted on the grid like :func:`density`; the kernel is separable, so the counts are spread along one axis
+    first and the sums of that along the other: cells x points rows twice, not cells x grid.
+    """
+    x, spreads = _spreads(df, cols, steps)
+    n = spreads[0][0]
+    widths = [silverman_width(n, s[1], 2) for s in spreads] if widths is None else list(widths)
+    if not n or not all(w > 0 for w in widths):
+        return df.sparkSession.createDataFrame([], "x double, y double, density double")
+    out = x.groupBy("__b0", "__b1").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    for i, other in ((0, "__b1"), (1, "__g0")):
+        lo, hi = _axis(spreads[i][2], spreads[i][3], steps[i], widths[i], cut, max_points)
+        near = _kernel((F.col(f"__g{i}") - F.col(f"__b{i}")) * F.lit(float(steps[i])), widths[i])
+        out = out.withColumn(f"__g{i}", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi).cast("long")))).groupBy(
+            f"__g{i}", other).agg(F.sum(F.col("c") * near).alias("c"))
+    return out.select((F.col("__g0") * F.lit(float(steps[0]))).alias("x"), (F.col("__g1") * F.lit(float(steps[1]))).alias("y"),
+                      (F.col("c") / F.lit(float(n))).alias("density"))
+
+
 # ---------------------------------------------------------------- E22 / E30: exact quantiles
 _WIDE = 1e6
 
@@ -267,6 +424,38 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
     return df.sparkSession.createDataFrame(rows, ddl)
 
 
+def group_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Exact quantiles ``(by..., q, value)`` with linear interpolation for any number of groups.
+
+    The values are counted per (group, value), put into ranges of that order and numbered by running sums over the
+    ranges, so a group of any size is many partitions; a group's ranks start where its first value does. The
+    number of jobs depends neither on the groups nor on the values. NULL and NaN are ignored.
+    """
+    by = list(by)
+    x = F.col(col).cast("double")
+    counts = df.select(*by, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x")).groupBy(*by, "__x").agg(
+        F.count(F.lit(1)).alias("__n"))
+    ranks = running_sums(counts, [*by, "__x"], ["__n"], prefix="__upto_")
+    ranks = ranks.select(*by, "__x", (F.col("__upto___n") - F.col("__n")).alias("__first"), F.col("__upto___n").alias("__end"))
+    groups = ranks.groupBy(*by).agg(F.min("__first").alias("__base"), F.max("__end").alias("__top")).withColumnsRenamed(
+        {c: f"__g_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & ranks[c].eqNullSafe(groups[f"__g_{c}"])
+    j = ranks.join(groups, same)
+    total = F.col("__top") - F.col("__base")
+    wanted = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q")
+    j = j.select(*[ranks[c] for c in by], "__x", (F.col("__first") - F.col("__base")).alias("__first"),
+                 (F.col("__end") - F.col("__base")).alias("__end"), total.alias("__total"), wanted)
+    h = (F.col("__total") - 1) * F.col("q")
+    low = F.floor(h)
+    high = F.least(low + 1, F.col("__total") - 1)
+    has = lambda k: (F.col("__first") <= k) & (k < F.col("__end"))
+    hit = j.where(has(low) | has(high)).groupBy(*by, "q", (h - low).alias("__frac")).agg(
+        F.max(F.when(has(low), F.col("__x"))).alias("a"), F.max(F.when(has(high), F.col("__x"))).alias("b"))
+    return hit.select(*by, "q", (F.col("a") + F.col("__frac") * (F.col("b") - F.col("a"))).alias("value"))
+
+
 # ---------------------------------------------------------------- M1 / M2
 def anova_groups(df: DataFrame, metrics: Sequence[str], group: str) -> DataFrame:
     """One-way ANOVA F statistic of each metric across the groups (NULLs dropped per metric).

@@ -21,8 +21,12 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'e23_term_shares': ['share'],
     'e25_adjusted_outcome_shares': ['share'],
     'e27_first_days_percent': ['pct'],
+    'e22_student_click_quartiles': ['q', 'value'],
+    'e28_bootstrap_bands': ['mean', 'low', 'high'],
     'e28_mean_daily_curve': ['mean', 'std', 'sem'],
     'e29_activity_date_profile': ['share'],
+    'e30_entropy_density': ['x', 'y', 'density'],
+    'e30_unregistration_density': ['x', 'density'],
     'e30_consistency_quartiles': ['q', 'value'],
     'e8_activity_shares': ['share'],
     'e9_day_shares': ['share'],
@@ -51,6 +55,8 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'h8_engagement': ['forumng', 'homepage', 'oucontent', 'quiz', 'resource', 'url', 'day_1', 'day_2', 'day_3', 'day_4', 'day_5', 'day_6', 'day_7', 'peak', 'variation', 'kurtosis', 'entropy'],
     'h8_engagement_30day': ['forumng', 'homepage', 'oucontent', 'quiz', 'resource', 'url', 'day_1', 'day_2', 'day_3', 'day_4', 'day_5', 'day_6', 'day_7', 'day_8', 'day_9', 'day_10', 'day_11', 'day_12', 'day_13', 'day_14', 'day_15', 'day_16', 'day_17', 'day_18', 'day_19', 'day_20', 'day_21', 'day_22', 'day_23', 'day_24', 'day_25', 'day_26', 'day_27', 'day_28', 'day_29', 'day_30', 'peak', 'variation', 'kurtosis', 'entropy'],
     'h9_merge_and_process': ['responce', 'peak', 'entropy'],
+    'm6_balanced_weights': ['responce', 'weight', 'total_weight'],
+    'm8_m10_forest_properties': ['importance'],
     'm11_classification_metrics': ['precision', 'recall', 'f1', 'auc'],
     'm11_scored_table': ['label', 'score', 'prediction'],
     'm12_roc_points': ['threshold', 'fpr', 'tpr'],

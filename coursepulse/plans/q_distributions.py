@@ -218,7 +218,7 @@ def e17_pre_test_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 _JOINT = _BFT + f""",
 src AS (SELECT * FROM bft WHERE date >= 0),
 per AS (SELECT {K3J}, least(0, min(date)) AS d0, CAST(avg(date_assessment) AS BIGINT) AS d1, sum(sum_click) AS tot FROM src GROUP BY ALL),
-acts AS (SELECT DISTINCT activity_type FROM src),
+acts AS (SELECT DISTINCT activity_type FROM bft),
 grid AS (SELECT per.*, g.date, a.activity_type FROM per
   JOIN (SELECT range AS date FROM range(-400, 400)) g ON g.date BETWEEN per.d0 AND per.d1 CROSS JOIN acts a),
 joint AS (SELECT grid.code_module, grid.code_presentation, grid.id_student, grid.date, grid.activity_type,
@@ -246,7 +246,7 @@ def e19_marginal_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT {K3J}, CAST(row_number() OVER (PARTITION BY {K3J} ORDER BY date, activity_type) - 1 AS BIGINT) AS pos, p FROM joint""")
 def e20_flatten_joint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joint distribution as one day-major vector per student (shown as position, value)."""
-    v = dist.flatten_joint(dist.joint_distribution(_bft(spark, sf_dir)))
+    v = dist.joint_vectors(_bft(spark, sf_dir))
     return v.select(*K3, F.posexplode("vector").alias("pos", "p")).withColumn("pos", F.col("pos").cast("long"))
 
 

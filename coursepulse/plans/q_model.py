@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -246,10 +249,7 @@ BOOSTED_GRID = {"maxIter": (100, 200), "maxDepth": (10, 30)}
 
 def grid_scores(cv, name: str) -> list[tuple[str, int, int, float]]:
     """``(model, trees, depth, mean F1)`` of each grid point of a tuned model."""
-    est = cv.getEstimator()
-    trees = est.numTrees if est.hasParam("numTrees") else est.maxIter
-    return [(name, int(pm[trees]), int(pm[est.maxDepth]), float(m))
-            for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    return [(name, int(p.get("numTrees", p.get("maxIter"))), int(p["maxDepth"]), float(m)) for p, m in cv.points]
 
 
 def tuned_before_first_assessment(raw: dict[str, DataFrame], models=("forest", "boosted"), folds: int = 5,
@@ -258,9 +258,15 @@ def tuned_before_first_assessment(raw: dict[str, DataFrame], models=("forest", "
     train, test, feats = first_assessment_sets(raw)
     rows = mdl.balanced_weights(mdl.assemble(train, feats), RESPONSE).withColumn("fold", mdl.fold_column(K3, folds))
     rows = mdl.in_few_partitions(rows.select(*K3, RESPONSE, "weight", "fold", "features"))
-    made = {"forest": (mdl.forest, forest_grid or FOREST_GRID), "boosted": (mdl.boosted, boosted_grid or BOOSTED_GRID)}
-    tuned = {n: mdl.tune(made[n][0](RESPONSE), rows, made[n][1], label=RESPONSE, folds=folds, parallelism=8)
-             for n in models}
+    made = {"forest": (mdl.forest, forest_grid or FOREST_GRID, None),
+            "boosted": (mdl.boosted, boosted_grid or BOOSTED_GRID, "maxIter")}
+    def search(name: str):
+        make, grid, rounds = made[name]
+        return mdl.tune(make(RESPONSE), rows, grid, label=RESPONSE, folds=folds, parallelism=8, rounds=rounds)
+
+    # boosted rounds follow one another, so the forests' fits fill the cores beside them
+    with ThreadPool(len(models)) as pool:
+        tuned = dict(zip(models, pool.map(inheritable_thread_target(rows.sparkSession)(search), models)))
     rows.unpersist()
     return tuned, test, feats
 
@@ -272,7 +278,7 @@ def first_assessment_report(raw: dict[str, DataFrame], **grids) -> DataFrame:
     spark = test.sparkSession
     name, best, f1 = mdl.best_of(tuned)
     points = [p for n, cv in tuned.items() for p in grid_scores(cv, n)]
-    chosen = next(i for i, p in enumerate(points) if p[0] == name and p[3] == f1)
+    chosen = next(i for i, p in enumerate(points) if p[0] == name and p[3] == f1)  # the first one, as ``Tuned.best``
     top = {n: [f for f, _ in sorted(zip(feats, cv.bestModel.featureImportances.toArray()),
                                     key=lambda x: (-x[1], x[0]))[:10]] for n, cv in tuned.items()}
     grid = spark.createDataFrame([(*p, i == chosen, top[p[0]]) for i, p in enumerate(points)],
@@ -326,6 +332,58 @@ def m8_forest_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "num_trees long, max_depth long, mean_f1 double")
 
 
+_LABELLED = f"""
+lab AS (SELECT {K3J}, CASE WHEN final_result = 'Fail' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS y FROM student_info
+  WHERE final_result IN ('Pass', 'Distinction', 'Fail') AND code_presentation IN ('2013B', '2013J', '2014B'))"""
+
+
+@query("m6_balanced_weights", _LABELLED + """
+SELECT y AS responce, CAST(count(*) AS BIGINT) AS n, sum(count(*)) OVER () / (2.0 * count(*)) AS weight,
+ sum(count(*)) OVER () / CAST(2 AS DOUBLE) AS total_weight FROM lab GROUP BY y""")
+def m6_balanced_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of each class of the training rows: every class weighs the same in total."""
+    tr, _, _ = _flagship_sets(spark, sf_dir)
+    return mdl.balanced_weights(tr, "responce").groupBy("responce").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("weight").alias("weight"), F.sum("weight").alias("total_weight"))
+
+
+@query("m5_feature_pipeline_properties", _LABELLED + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_lengths, true AS half_components, true AS centred,
+ true AS falling_variance FROM lab""")
+def m5_feature_pipeline_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted pipeline over its training rows: vectors of one length, k components and k selected features with
+    k = min(floor(n / 2), 100), components with mean 0 and falling variance."""
+    from pyspark.ml.functions import vector_to_array
+    tr, _, feats = _flagship_sets(spark, sf_dir)
+    k = min(len(feats) // 2, 100)
+    x = mdl.feature_pipeline(feats, "responce").fit(tr).transform(tr).select(vector_to_array("features").alias("v"))
+    size = F.size("v")
+    # moments per component, in long form: k rows a training row, k rows in the end
+    moments = x.select(F.posexplode(F.slice("v", 1, k)).alias("i", "c")).groupBy("i").agg(F.avg("c").alias("m"), F.var_pop("c").alias("s"))
+    ordered = moments.agg(F.max(F.abs("m")).alias("m"), F.array_sort(F.collect_list(F.struct("i", "s"))).alias("s"))
+    falling = ordered.select((F.col("m") < 1e-6).alias("centred"),
+                             F.forall(F.sequence(F.lit(1), F.size("s") - 1),
+                                      lambda i: F.get("s", i - 1)["s"] >= F.get("s", i)["s"] - 1e-9).alias("falling_variance"))
+    return x.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(size).alias("n_lengths"),
+                 (F.max(size) == 2 * k).alias("half_components")).crossJoin(F.broadcast(falling))  # one row each
+
+
+@query("m8_m10_forest_properties", _LABELLED + """
+SELECT CAST(4 AS BIGINT) AS n_points, true AS all_scored, CAST(1 AS DOUBLE) AS importance, true AS all_features_named,
+ true AS trees_as_chosen, CAST(count(*) AS BIGINT) AS n_train FROM lab""")
+def m8_m10_forest_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tuned forest: every grid point has a score in [0, 1], the best one's model has its trees, and the
+    importances of all features add up to 1."""
+    cv, _, feats = tuned_forest(spark, sf_dir)
+    imp = mdl.feature_importance(cv.bestModel, feats, None)
+    scores, best = cv.avgMetrics, cv.points[cv.best][0]
+    tr, _, _ = _flagship_sets(spark, sf_dir)
+    return imp.agg(F.lit(len(scores)).cast("long").alias("n_points"), F.lit(all(0 <= v <= 1 for v in scores)).alias("all_scored"),
+                   F.sum("importance").alias("importance"), (F.count_distinct("feature") == len(feats)).alias("all_features_named"),
+                   F.lit(len(cv.bestModel.trees) == best["numTrees"]).alias("trees_as_chosen"),
+                   F.lit(tr.count()).cast("long").alias("n_train"))
+
+
 @query("m10_feature_importance")
 def m10_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-10 feature importances of the tuned forest (a top-k report)."""

@@ -119,6 +119,12 @@ def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.dense_daily(daily, lo, hi)
 
 
+def _daily_range(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int, int]:
+    raw = _raw(spark, sf_dir)
+    lo, hi = raw["student_vle"].agg(F.min("date"), F.max("date")).first()
+    return clicks.daily_clicks(raw["student_vle"]), raw["student_info"], lo, hi
+
+
 @query("e26_dense_daily", _DENSE + "\nSELECT * FROM dense")
 def e26_dense_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily clicks of every active student over every day of the log, zero-filled (long form)."""
@@ -143,7 +149,36 @@ SELECT i.final_result, dense.date, avg(sum_click) AS mean, stddev_samp(sum_click
 FROM dense JOIN student_info i USING ({K3J}) GROUP BY ALL""")
 def e28_mean_daily_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean daily clicks per outcome and day over the zero-filled grid, with std and standard error."""
-    return stats.mean_daily_curve(_dense(spark, sf_dir), _raw(spark, sf_dir)["student_info"])
+    daily, info, lo, hi = _daily_range(spark, sf_dir)
+    return stats.daily_curve(daily, info, lo, hi)
+
+
+_REPLICATES = 64
+_HEX = f"array_to_string(list_transform(range({_REPLICATES} // 8), lambda b: sha256(k || '|0|' || b)), '')"
+_WEIGHT = " + ".join(f"(u >= {step})::INT" for step in stats.POISSON_STEPS)
+
+
+@query("e28_bootstrap_bands", f"""
+d AS (SELECT {K3J}, date, sum(sum_click) AS c FROM student_vle GROUP BY ALL),
+rng AS (SELECT min(date) AS lo, max(date) AS hi FROM student_vle),
+stu AS (SELECT DISTINCT {K3J}, code_module || '|' || code_presentation || '|' || id_student AS k FROM d),
+hx AS (SELECT stu.*, i.final_result, {_HEX} AS h FROM stu JOIN student_info i USING ({K3J})),
+us AS (SELECT {K3J}, final_result, b, ('0x' || substr(h, 8 * b::INT + 1, 8))::BIGINT AS u FROM hx, range({_REPLICATES}) t(b)),
+ws AS (SELECT {K3J}, final_result, b, {_WEIGHT} AS w FROM us),
+ns AS (SELECT final_result, b, sum(w) AS n FROM ws GROUP BY ALL),
+ss AS (SELECT ws.final_result, ws.b, d.date, sum(ws.w * d.c) AS s FROM ws JOIN d USING ({K3J}) GROUP BY ALL),
+reps AS (SELECT ns.final_result, g.range AS date, coalesce(ss.s, 0)::DOUBLE / ns.n AS m
+  FROM ns CROSS JOIN range((SELECT lo FROM rng), (SELECT hi FROM rng) + 1) g
+  LEFT JOIN ss ON ss.final_result = ns.final_result AND ss.b = ns.b AND ss.date = g.range WHERE ns.n > 0),
+band AS (SELECT final_result, date, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM reps GROUP BY ALL),
+pn AS (SELECT final_result, count(*) AS n FROM hx GROUP BY ALL),
+ps AS (SELECT i.final_result, d.date, sum(d.c) AS s FROM d JOIN student_info i USING ({K3J}) GROUP BY ALL)
+SELECT band.final_result, CAST(band.date AS BIGINT) AS date, coalesce(ps.s, 0)::DOUBLE / pn.n AS mean, low, high
+FROM band JOIN pn USING (final_result) LEFT JOIN ps USING (final_result, date)""")
+def e28_bootstrap_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean daily clicks per outcome and day with the 95 % band of 64 Poisson bootstrap replicates."""
+    daily, info, lo, hi = _daily_range(spark, sf_dir)
+    return stats.bootstrap_bands(daily, info, lo, hi, _REPLICATES)
 
 
 @query("e29_activity_date_profile", f"""
@@ -183,6 +218,40 @@ def e30_consistency_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.exact_quantiles(om, "consistency", [0.0, 0.25, 0.5, 0.75, 1.0], by=["group"])
 
 
+@query("e30_unregistration_density", """
+r AS (SELECT date_unregistration AS x FROM student_registration WHERE date_unregistration IS NOT NULL),
+st AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, stddev_samp(x) * pow(4.0 / (3 * count(*)), 0.2) AS w FROM r),
+g AS (SELECT unnest(range((lo - ceil(3 * w))::BIGINT, (hi + ceil(3 * w))::BIGINT + 1)) AS x FROM st)
+SELECT g.x::DOUBLE AS x, sum(exp(-pow((g.x - r.x) / w, 2) / 2) / (w * sqrt(2 * pi()))) / max(n) AS density
+FROM g, r, st GROUP BY g.x""")
+def e30_unregistration_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kernel density of the unregistration day on whole days (Silverman width)."""
+    return stats.density(_raw(spark, sf_dir)["student_registration"], "date_unregistration", 1.0)
+
+
+@query("e30_entropy_density", _ENT + """,
+r2 AS (SELECT round(entropy_date / 0.25) AS vx, round(entropy_acty / 0.25) AS vy, entropy_date, entropy_acty FROM ent
+  WHERE entropy_date IS NOT NULL AND entropy_acty IS NOT NULL),
+st AS (SELECT count(*) AS n, min(vx) AS lx, max(vx) AS hx, min(vy) AS ly, max(vy) AS hy,
+  stddev_samp(entropy_date) * pow(1.0 / count(*), 1.0 / 6) AS wx, stddev_samp(entropy_acty) * pow(1.0 / count(*), 1.0 / 6) AS wy FROM r2),
+gx AS (SELECT unnest(range((lx - ceil(3 * wx / 0.25))::BIGINT, (hx + ceil(3 * wx / 0.25))::BIGINT + 1)) AS gx FROM st),
+gy AS (SELECT unnest(range((ly - ceil(3 * wy / 0.25))::BIGINT, (hy + ceil(3 * wy / 0.25))::BIGINT + 1)) AS gy FROM st)
+SELECT gx * 0.25 AS x, gy * 0.25 AS y, sum(exp(-pow((gx - vx) * 0.25 / wx, 2) / 2 - pow((gy - vy) * 0.25 / wy, 2) / 2)
+  / (wx * wy * 2 * pi())) / max(n) AS density FROM gx, gy, r2, st GROUP BY gx, gy""")
+def e30_entropy_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joint density of day and activity entropy on a grid of quarters (Silverman widths)."""
+    return stats.density2(_ent(spark, sf_dir), ["entropy_date", "entropy_acty"], [0.25, 0.25])
+
+
+@query("e22_student_click_quartiles", f"""
+d AS (SELECT {K3J}, date, sum(sum_click) AS c FROM student_vle GROUP BY ALL)
+SELECT {K3J}, unnest({_QUART}) AS q, unnest(quantile_cont(c::DOUBLE, {_QUART})) AS value FROM d GROUP BY {K3J}""")
+def e22_student_click_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quartiles of the daily clicks of every student (a group a student)."""
+    daily = clicks.daily_clicks(_raw(spark, sf_dir)["student_vle"])
+    return stats.group_quantiles(daily, "sum_click", [0.0, 0.25, 0.5, 0.75, 1.0], K3)
+
+
 # ---------------------------------------------------------------- M1 / M2
 @query("m1_anova_f", outcome_metrics_sql() + f""",
 long AS ({" UNION ALL ".join(f"SELECT '{m}' AS metric, \"group\" AS g, {m} AS v FROM om WHERE {m} IS NOT NULL AND NOT isnan({m})" for m in METRICS)}),

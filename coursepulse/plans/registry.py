@@ -40,7 +40,7 @@ class Entry:
 
 
 REGISTRY: dict[str, Entry] = {}
-TUNED = ("m8_forest_grid_search", "m10_feature_importance", "m11_forest_test_metrics", "m7_m9_first_assessment_models")
+TUNED = ("m8_forest_grid_search", "m8_m10_forest_properties", "m10_feature_importance", "m11_forest_test_metrics", "m7_m9_first_assessment_models")
 
 
 def query(name: str, sql: str | None = None, rounded: bool = True):

@@ -36,7 +36,7 @@ def test_block_pca_columns(spark, table):
 def test_tune_best_of_importance_and_score(spark, table):
     tr = mdl.balanced_weights(mdl.assemble(table, ["a", "b", "c", "d"]), "label")
     forest = mdl.tune(mdl.forest("label"), tr, {"numTrees": (5, 10), "maxDepth": (2, 4)}, folds=3)
-    boosted = mdl.tune(mdl.boosted("label"), tr, {"maxIter": (2, 3), "maxDepth": (2,)}, folds=3)
+    boosted = mdl.tune(mdl.boosted("label"), tr, {"maxIter": (2, 3), "maxDepth": (2,)}, folds=3, rounds="maxIter")
     name, best, score = mdl.best_of({"forest": forest, "boosted": boosted})
     assert score == max(max(forest.avgMetrics), max(boosted.avgMetrics))
     imp = mdl.feature_importance(forest.bestModel, ["a", "b", "c", "d"], 2).collect()
@@ -48,6 +48,54 @@ def test_tune_best_of_importance_and_score(spark, table):
     assert scored.where(F.col("score").isNull()).count() == 0
 
 
+def trees_of(model):
+    return model.toDebugString.split("\n", 1)[1]
+
+
+def test_boosted_prefix_is_the_separate_fit(spark, table):
+    tr = mdl.in_few_partitions(mdl.assemble(table, ["a", "b", "c"]))
+    g = mdl.boosted("label")
+    long, short = (g.copy({g.maxIter: k, g.maxDepth: 3}).fit(tr) for k in (7, 4))
+    cut = mdl.boosted_prefix(long, 4)
+    assert trees_of(cut) == trees_of(short) and trees_of(cut) != trees_of(long)
+    assert cut.featureImportances == short.featureImportances
+    scored = [{r["id"]: (r["rawPrediction"], r["prediction"]) for r in m.transform(tr).collect()} for m in (cut, short)]
+    assert scored[0] == scored[1]
+
+
+@pytest.mark.parametrize("make,grid,rounds", [
+    (mdl.forest, {"numTrees": (4, 8), "maxDepth": (2, 12, 25)}, None),
+    (mdl.boosted, {"maxIter": (2, 5), "maxDepth": (2, 12, 25)}, "maxIter")])
+def test_shared_fits_give_every_point_its_own_model(spark, table, make, grid, rounds):
+    """Fewer fits than points, and each point's model is the one that its parameters alone give."""
+    tr = mdl.in_few_partitions(mdl.balanced_weights(mdl.assemble(table, ["a", "b", "c", "d"]), "label"))
+    est = make("label")
+    points = [dict(zip(grid, v)) for v in __import__("itertools").product(*grid.values())]
+    models, n = mdl._fit_grid(est, tr, points, rounds)
+    assert n == (2 if rounds else 4)  # depths 12 and 25 share one, depth 2 is reached
+    for p, m in zip(points, models):
+        alone = est.copy({getattr(est, k): v for k, v in p.items()}).fit(tr)
+        assert trees_of(m) == trees_of(alone)
+    scores = mdl._fold_scores(models, tr.where("fold = 1"), "label")
+    f1 = mdl.PositiveF1("label")
+    assert scores == [f1.evaluate(m.transform(tr.where("fold = 1"))) for m in models]
+
+
+def test_rounds_need_whole_rows(spark, table):
+    with pytest.raises(ValueError):
+        mdl.tune(mdl.boosted("label").setSubsamplingRate(0.5), table, {"maxIter": (2, 3)}, rounds="maxIter")
+
+
+#: P(F > f) of the F distribution from its closed forms for these degrees of freedom.
+@pytest.mark.parametrize("f,d1,d2,p", [
+    (1.0, 1, 1, 0.5), (3.0, 1, 1, 1 / 3), (2.0, 2, 2, 1 / 3), (4.0, 2, 4, 1 / 9), (5.0, 2, 10, (1 + 2 * 5.0 / 10) ** -5),
+    (0.5, 2, 200, (1 + 2 * 0.5 / 200) ** -100), (1.0, 7, 7, 0.5), (0.0, 3, 9, 1.0)])
+def test_f_survival_against_closed_forms(f, d1, d2, p):
+    from coursepulse.operators.stats import f_survival
+
+    assert f_survival(f, d1, d2) == pytest.approx(p, rel=1e-12)
+
+
 def test_feature_pipeline(spark, table):
     pipe = mdl.feature_pipeline(["a", "b", "c", "d"], "label").fit(table)
     out = pipe.transform(table).select("features").first()["features"]

@@ -98,7 +98,7 @@ def test_tables_are_read_again_in_a_later_call(spark, tmp_path):
     import shutil
 
     for t in ("customer", "nation", "part", "lineitem", "orders", "events"):
-        shutil.copy(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
     from coursepulse.sources.fixture import fixture_tables as tables
 
     before = tables(spark, str(tmp_path))["courses"].count()
