@@ -7,10 +7,11 @@ interchangeable, so the problem is fully stated by the histogram of lengths, whi
 deals the patterns out to the pieces by their rank within their length.
 
 Bin completion (branch and bound): take the largest remaining piece, enumerate the undominated
-fillings of its bin, apply a filling as often as the counts allow, go on with the rest. Branches
-whose waste is more than the best known solution allows are cut; the best-fit-decreasing solution is
-the first incumbent, and the search ends at the lower bound or after ``max_nodes`` nodes (the
-incumbent is then returned; it is valid and complete, perhaps not minimal).
+fillings of its bin one by one, apply a filling as often as the counts allow or fewer times, go on with the rest. Branches
+whose bins and lower bound of the rest do not beat the best known solution are cut; the best-fit-decreasing solution is
+the first incumbent, and the search ends at the lower bound, when all is enumerated, or after ``STEPS`` steps, the one limit (the
+incumbent is then returned; it is valid and complete, perhaps not minimal). ``Completion`` tells the gap to the bound and
+whether the packing is proven minimal.
 
 Defined results: a null or empty text is the end id alone; rows that repeat an id are packed one by
 one; an empty table gives an empty result; other columns are ignored.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from coursepulse.llm.agenda import PairTable, merge_all
+from coursepulse.llm.agenda import LONG, PairTable, merge_all
 from coursepulse.llm.scratch import written
 from coursepulse.llm.words import offsets_and_bytes, sliced, text_array
 
 CAPACITY = 4096
 END_ID = 1
 TEXT_SLICE = 3 << 20
+STEPS = 200_000  # of the search on the driver, about a second
 CLASS_ROWS = 100_000  # pieces of one length numbered in one group
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), in the order of their places
@@ -98,6 +101,7 @@ class WordTokenizer:
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, ends)`` of distinct words; ``ends`` has one entry more than there are words."""
         plain = np.asarray(pc.match_substring_regex(words, _PLAIN)) & ~np.asarray(pc.match_substring(words, "<|"))
+        plain &= np.asarray(pc.binary_length(words)) <= LONG  # the library merges long words in n log n
         ids, offs = self._plain(words.filter(pa.array(plain)))
         if plain.all():
             return ids, offs
@@ -135,6 +139,10 @@ def default_tokenizer() -> str:
 _TOKENIZERS: dict[str, WordTokenizer] = {}  # one per Python worker and path
 
 
+def _tokenizer(path: str) -> WordTokenizer:
+    return _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, WordTokenizer(path))
+
+
 def tokenise(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces: ``doc_id, piece, start, length, ids`` (ids: little-endian unsigned 32-bit)."""
@@ -142,7 +150,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str | None = None, capacity: int =
     src = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        tok = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, WordTokenizer(path))
+        tok = _tokenizer(path)
         for b in sliced(batches, 1, TEXT_SLICE):
             raw, offs = tok.encode(text_array(b.column(1)))
             n = len(offs) - 1
@@ -201,50 +209,82 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """The larger of the volume bound and Martello and Toth's L2 bound."""
     n = np.zeros(capacity + 2, np.int64)
-    for size, k in counts.items():
-        n[size] = k
-    size = np.arange(capacity + 2)
-    number, volume = np.cumsum(n), np.cumsum(n * size)
-    total, half = int(volume[-1]), capacity // 2
-    best = -(-total // capacity)
-    for k in range(1, half + 1):
-        big = int(number[-1] - number[capacity - k])
-        mid = int(number[capacity - k] - number[half])
-        mid_volume = int(volume[capacity - k] - volume[half])
-        small = int(volume[half] - volume[k - 1])
-        best = max(best, big + mid + max(0, -(-(small - (mid * capacity - mid_volume)) // capacity)))
-    return best
-
-
-def fillings(sizes: np.ndarray, counts: dict[int, int], largest: int, capacity: int, most: int) -> list[Pattern]:
-    """Undominated fillings around one ``largest`` piece, least waste first, ``most`` of them.
-
-    A filling is dominated when another one fills at least as much room with fewer, larger pieces:
-    for every first piece the largest pieces that still fit follow, so what fills no more than the
-    single largest piece that fits, and what repeats another filling's pieces, is left out.
+    n[np.fromiter(counts, np.int64, len(counts))] = np.fromiter(counts.values(), np.int64, len(counts))
+    number, volume = np.cumsum(n), np.cumsum(n * np.arange(capacity + 2))
+    half = capacity // 2
+    k = np.arange(1, half + 1)
+    big = number[-1] - number[capacity - k]
+    mid = number[capacity - k] - number[half]
+    small = volume[half] - volume[k - 1]
+    rest = small - (mid * capacity - (volume[capacity - k] - volume[half]))
+    return max(-(-int(volume[-1]) // capacity), int((big + mid + np.maximum(0, -(-rest // capacity))).max(initial=0)))
+
+
+class Budget:
+    """Steps of the search that are left; one for each piece put into a filling, each filling and each branch."""
+
+    def __init__(self, steps: int):
+        self.left = steps
+
+    def spend(self, steps: int = 1) -> bool:
+        self.left -= steps
+        return self.left >= 0
+
+
+def fillings(counts: dict[int, int], largest: int, capacity: int, budget: Budget) -> Iterator[Pattern]:
+    """Every undominated filling around one ``largest`` piece, found one by one, least waste first.
+
+    The other pieces of the bin are a choice among ``counts`` (without that piece). A choice is dominated where a
+    piece that is left out could take the place of some of its pieces, being as large or larger, and still fit: the
+    bin would hold no less, and what it gave up fits wherever the left-out piece went. Fillings come in passes of
+    waste 0, 1, 2 to 3, 4 to 7 and so on; it ends early only when the budget does.
     """
-    have = dict(counts)
-    have[largest] -= 1
-    avail = np.array([s for s in sizes if have[s] > 0], np.int64)  # descending
     room = capacity - largest
-    firsts = avail[avail <= room]
-    out: dict[tuple, int] = {}
-    single = int(firsts[0]) if len(firsts) else 0
-    for first in firsts[: 4 * most]:
-        free, used = room - int(first), {int(first): 1}
-        while free:
-            fit = avail[np.searchsorted(-avail, -free):]
-            nxt = next((int(s) for s in fit[:8] if have[int(s)] > used.get(int(s), 0)), 0)
-            if not nxt:
+    avail = sorted(((s, k - (s == largest)) for s, k in counts.items() if s <= room and k > (s == largest)), reverse=True)
+    sizes = [s for s, _ in avail]
+    most = [0] * (len(avail) + 1)  # volume of the pieces from a place on
+    for i in range(len(avail) - 1, -1, -1):
+        most[i] = most[i + 1] + sizes[i] * avail[i][1]
+
+    def dominated(used: dict[int, int], free: int) -> bool:
+        sums = 1
+        for size, k in used.items():
+            for _ in range(k):
+                sums |= sums << size
+        for size, k in avail:
+            have = used.get(size, 0)
+            if have == k:
+                continue
+            if size <= free:
+                return True
+            # a choice of the filling's pieces with a sum from size - free to size; the piece itself is no gain
+            low = size - free
+            span = free if have else free + 1
+            if (sums >> low) & ((1 << span) - 1):
+                return True
+        return False
+
+    def extend(i: int, free: int, used: dict[int, int], low: int, high: int) -> Iterator[Pattern]:
+        at = i
+        while at < len(sizes) and sizes[at] > free:
+            at += 1
+        for j in range(at, len(sizes)):
+            if free - most[j] > high:  # all that is left would not fill enough
                 break
-            k = min(free // nxt, have[nxt] - used.get(nxt, 0))
-            used[nxt] = used.get(nxt, 0) + k
-            free -= k * nxt
-        key = tuple(sorted(used.items(), reverse=True))
-        if room - free > single or key == ((single, 1),):
-            out[key] = free
-    best = sorted(out, key=lambda p: (out[p], sum(k for _, k in p), tuple(-s for s, _ in p)))[:most] or [()]
-    return [_plus(p, largest) for p in best]
+            size, k = avail[j]
+            for c in range(min(k, free // size), 0, -1):
+                if not budget.spend():
+                    return
+                used[size] = c
+                yield from extend(j + 1, free - c * size, used, low, high)
+                del used[size]
+        if low <= free <= high and budget.spend(1 + len(avail) // 64) and not dominated(used, free):
+            yield _plus(tuple(used.items()), largest)
+
+    low, high = 0, 0
+    while low <= room and budget.left > 0:
+        yield from extend(0, room, {}, low, high)
+        low, high = high + 1, 2 * high + 1
 
 
 def _plus(pattern, largest: int) -> Pattern:
@@ -253,67 +293,73 @@ def _plus(pattern, largest: int) -> Pattern:
     return ((largest, same + 1), *(x for x in pattern if x[0] != largest))
 
 
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = 20_000,
-                   branching: int = 6) -> tuple[list[tuple[Pattern, int]], int]:
-    """``([(pattern, bins)], lower bound)`` for pieces given as ``{length: how many}``."""
+class Completion(NamedTuple):
+    """``patterns``: ``[(pattern, bins)]``; ``bins`` in all, at least ``bound`` of them are needed; ``proven``: no
+    packing has fewer (the bound is met, or the search ended within its budget)."""
+
+    patterns: list[tuple[Pattern, int]]
+    bins: int
+    bound: int
+    proven: bool
+
+
+def complete(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> Completion:
+    """Bin completion for pieces given as ``{length: how many}``.
+
+    A branch is an undominated filling around the largest piece that is left, put to use as often as the counts allow
+    or fewer times; it is cut where its bins and the lower bound of the rest reach the best packing known.
+    """
     counts = {int(s): int(k) for s, k in counts.items() if k}
     if any(not 0 < s <= capacity for s in counts):
         raise ValueError("a piece must have a length from 1 to the capacity")
     bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     best_bins = sum(k for _, k in best)
-    total = sum(s * k for s, k in counts.items())
-    sizes = np.array(sorted(counts, reverse=True), np.int64)
-    left, chosen, nodes = dict(counts), [], 0
-    top, waste, bins = 0, 0, 0
-    stack: list[list] = []  # [fillings yet to try, top before, applied pattern and number]
-
-    def allowed() -> int:  # waste that a better solution may have
-        return (best_bins - 1) * capacity - total
-
-    while best_bins > bound and nodes < max_nodes:
-        while top < len(sizes) and not left[int(sizes[top])]:
-            top += 1
-        options: list[Pattern] = []
-        if top == len(sizes):
+    left, chosen, bins, budget = dict(counts), [], 0, Budget(steps)
+
+    def branches() -> Iterator[tuple[Pattern, int]]:
+        now = {s: k for s, k in left.items() if k}
+        for pattern in fillings(now, max(now), capacity, budget):
+            for k in range(min(now[s] // c for s, c in pattern), 0, -1):
+                if not budget.spend():
+                    return
+                yield pattern, k
+
+    stack: list[list] = [[branches(), None]] if best_bins > bound else []
+    while stack and best_bins > bound:
+        todo, done = stack[-1]
+        if done:
+            pattern, k = done
+            for s, c in pattern:
+                left[s] += c * k
+            chosen.pop()
+            bins, stack[-1][1] = bins - k, None
+        branch = next(todo, None)
+        if branch is None:
+            stack.pop()
+            continue
+        pattern, k = branch
+        for s, c in pattern:
+            left[s] -= c * k
+        chosen.append(branch)
+        bins, stack[-1][1] = bins + k, branch
+        if not any(left.values()):
             if bins < best_bins:
                 best, best_bins = list(chosen), bins
-        elif waste <= allowed() and bins + 1 < best_bins + 1:
-            options = fillings(sizes[top:], left, int(sizes[top]), capacity, branching)
-        stack.append([options, top, None])
-        while stack:  # take the next branch, going back where none is left
-            options, at, done = stack[-1]
-            if done:
-                pattern, k = done
-                for s, c in pattern:
-                    left[s] += c * k
-                chosen.pop()
-                bins -= k
-                waste -= k * (capacity - sum(s * c for s, c in pattern))
-                stack[-1][2] = None
-            top = at
-            if not options:
-                stack.pop()
-                continue
-            pattern = options.pop(0)
-            k = min(left[s] // c for s, c in pattern)
-            lost = k * (capacity - sum(s * c for s, c in pattern))
-            if waste + lost > allowed():
-                continue
-            for s, c in pattern:
-                left[s] -= c * k
-            chosen.append((pattern, k))
-            bins, waste, nodes = bins + k, waste + lost, nodes + 1
-            stack[-1][2] = (pattern, k)
-            break
-        if not stack:
-            break
-    return best, bound
+        elif bins + lower_bound(left, capacity) < best_bins:
+            stack.append([branches(), None])
+    return Completion(best, best_bins, bound, best_bins == bound or budget.left >= 0)
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[list[tuple[Pattern, int]], int]:
+    """``([(pattern, bins)], lower bound)`` of :func:`complete`."""
+    found = complete(counts, capacity, steps)
+    return found.patterns, found.bound
 
 
 # --- placing ---------------------------------------------------------------------------------
 
-def place(pieces: DataFrame, capacity: int = CAPACITY, max_nodes: int = 20_000) -> DataFrame:
+def place(pieces: DataFrame, capacity: int = CAPACITY, steps: int = STEPS) -> DataFrame:
     """``pieces`` (a written table with ``length``) with ``sequence_id`` and ``offset``.
 
     The driver holds the histogram (at most ``capacity`` rows) and the patterns; a task finds the
@@ -321,7 +367,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, max_nodes: int = 20_000)
     ``CLASS_ROWS``, so a length that very many pieces share is numbered in many tasks.
     """
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    patterns, _ = bin_completion(histogram, capacity, max_nodes)
+    patterns = complete(histogram, capacity, steps).patterns
     # runs: pieces of a length with ranks from `rank` on fill `each` places a bin from `offset` on
     taken: dict[int, int] = {}
     runs, sequence = [], 0

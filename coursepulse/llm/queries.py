@@ -63,9 +63,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, written to WARC archives in the shared folder and read back."""
     path = scratch_path(spark, "warc")
     warc.write_archive(_read(spark, sf_dir, "pages"), path)
+    wrong = F.raise_error(F.concat_ws(" ", F.lit("page"), "page_id", F.lit(":"), "problem"))
     return warc.read_archive(spark, path).select(
-        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        F.col("refers_to").cast("long").alias("refers_to"))
+        F.col("page_id").cast("long").alias("page_id"),
+        F.when(F.col("problem").isNotNull(), wrong.cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

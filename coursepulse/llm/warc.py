@@ -11,11 +11,13 @@ gaps and against the total length, and joined; then the chunked framing is decod
 checked against its digest. A group is one page, so its size is the page's.
 
 Files are written with Spark's text writer, whose line separator is the empty lines that end a
-record, compressed with gzip, and read whole as binary files of at most ``records_per_file`` records;
-both work on any file system that Spark can write to.
+record, compressed with gzip, and read whole as binary files. Long pages are segments, each a record, so a file
+of at most ``records_per_file`` records has at most about ``records_per_file * segment_bytes`` bytes (32 MB) before
+compression. Both work on any file system that Spark can write to.
 
 Defined results: a null html is an empty payload; null urls and ids are written empty and read as
-null; control characters in urls are percent-encoded; rows that repeat the id that a group's
+null; control characters in urls are percent-encoded; a record's id is its page id and the number of its row, so rows
+that repeat an id are records of their own, with equal or other payloads; those that repeat the id that a group's
 response has are responses too; other columns are ignored; an empty table gives empty archives.
 """
 
@@ -40,8 +42,8 @@ _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-di
 
 # --- writing ---------------------------------------------------------------------------------------
 
-def _urn(page_id) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}>"
+def _urn(page_id, row: int = 0) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{row}>"
 
 
 def _base32(digest: str) -> str:
@@ -66,13 +68,13 @@ def _uri(url) -> str:
     return "".join(c if " " < c < "\x7f" or c > "\x9f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url or "")
 
 
-def page_records(page_id, url, payload: bytes, digest: str, refers_to, segment_bytes: int = SEGMENT_BYTES):
+def page_records(page_id, row: int, url, payload: bytes, digest: str, refers_to, refers_row, segment_bytes: int = SEGMENT_BYTES):
     """The records of one page, without the empty lines that end each."""
-    urn, uri = _urn(page_id), _uri(url)
+    urn, uri = _urn(page_id, row), _uri(url)
     common = [("WARC-Target-URI", uri), ("WARC-Payload-Digest", _base32(digest))]
     if refers_to is not None:
         block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-        yield _record("revisit", urn, [*common, ("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", _urn(refers_to)),
+        yield _record("revisit", urn, [*common, ("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", _urn(refers_to, refers_row)),
                                        ("Content-Type", "application/http;msgtype=response")], block)
         return
     block = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -94,19 +96,23 @@ def write_archive(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, s
                   records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write the pages (``page_id, url, html``) as WARC files below ``path``."""
     src = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    src = src.withColumn("digest", F.sha1("html")).withColumn("size", F.octet_length("html"))
-    equal = (src.where(F.col("size") >= min_revisit).groupBy("digest", "size").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select(F.col("digest").alias("d"), F.col("size").alias("z"), "last"))
+    src = (src.withColumn("digest", F.sha1("html")).withColumn("size", F.octet_length("html"))
+           .withColumn("row", F.monotonically_increasing_id()))
+    # of the rows that repeat the largest id, the one with the smallest number is the one referred to
+    best = F.max(F.struct("page_id", (-F.col("row")).alias("less")))
+    equal = (src.where(F.col("size") >= min_revisit).groupBy("digest", "size").agg(best.alias("best"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select(F.col("digest").alias("d"), F.col("size").alias("z"), F.col("best.page_id").alias("last"),
+                                    (-F.col("best.less")).alias("last_row")))
     dealt = src.join(equal, (src["digest"] == equal["d"]) & (src["size"] == equal["z"]), "left").select(
         "page_id", "url", "html", "digest",
-        F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
+        F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"), "row", "last_row")
 
     def run(batches):
         for b in batches:
             out, size = [], 0
-            columns = zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4)), b.column(2))
-            for page_id, url, digest, refers_to, html in columns:
-                for r in page_records(page_id, url, html.as_buffer().to_pybytes(), digest, refers_to, segment_bytes):
+            columns = zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6)), b.column(2))
+            for page_id, url, digest, refers_to, row, refers_row, html in columns:
+                for r in page_records(page_id, row, url, html.as_buffer().to_pybytes(), digest, refers_to, refers_row, segment_bytes):
                     out.append(r)
                     size += len(r)
                 if size > 8 << 20:
@@ -176,7 +182,7 @@ def decode_http(block: bytes) -> tuple[bytes, int | None]:
 
 def _page_of(urn: str | None) -> str | None:
     inner = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-    return inner or None
+    return inner.rpartition(":")[0] or None
 
 
 def _hex(digest: str | None) -> str | None:
@@ -221,11 +227,10 @@ def reassemble(records: DataFrame) -> DataFrame:
     """One row per page: single records, and segments joined; ``problem`` says what is wrong, if anything."""
     single = records.where("segment is null").select(*_names(), "block", F.lit(None).cast("string").alias("problem"))
     parts = (records.where("segment is not null").groupBy("origin")
-             .agg(F.sort_array(F.collect_list(F.struct("segment", "record_type", "url", "payload_digest", "refers_to", "total", "block")))
-                  .alias("s")))
+             .agg(F.sort_array(F.collect_list(F.struct("segment", "record_type", "url", "payload_digest", "refers_to", "total")))
+                  .alias("s"), F.expr("listagg(block, X'') WITHIN GROUP (ORDER BY segment)").alias("block")))
     numbered = F.expr("s.segment = sequence(1L, cast(size(s) as long))")
-    joined = F.expr("aggregate(s, cast('' as binary), (a, x) -> concat(a, x.block))")
-    whole = parts.select("origin", F.expr("s[0]").alias("f"), joined.alias("block"), numbered.alias("numbered"),
+    whole = parts.select("origin", F.expr("s[0]").alias("f"), "block", numbered.alias("numbered"),
                          F.expr("element_at(s, -1).total").alias("total"))
     problem = (F.when(~F.col("numbered"), "segments are missing or repeated").when(F.col("total").isNull(), "no last segment")
                .when(F.col("total") != F.octet_length("block"), "total length differs"))

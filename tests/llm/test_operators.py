@@ -518,3 +518,123 @@ def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.vertex: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
+
+
+# --- repeated ids, long unbroken texts
+
+def test_equal_ids_with_other_texts(spark, docs):
+    a, b = "x" * 80 + "A" * 20, "x" * 80 + "B" * 20  # of one length, different after the first digit only
+    rows = [(1, a), (2, a + " "), (1, b), (3, b), (None, a), (None, b), (1, a)]
+    got = exact_dedup.exact_groups(docs(rows)).collect()
+    sha = {hashlib.sha256(t.encode()).hexdigest(): t for t in (a, b)}
+    assert sorted((str(r.doc_id), sha[r.text_sha256][-1], r.keep_id, r.group_size, r.kept) for r in got) == sorted([
+        ("1", "A", 2, 4, False), ("1", "A", 2, 4, False), ("2", "A", 2, 4, True), ("None", "A", 2, 4, False),
+        ("1", "B", None, 3, False), ("3", "B", None, 3, False), ("None", "B", None, 3, True)])
+    assert sorted((str(r.doc_id), r.text) for r in exact_dedup.keep_one(docs(rows)).collect()) == [("2", a + " "), ("None", b)]
+    late = [(1, "p" * 100 + "A"), (2, "p" * 100 + "A "), (1, "q" * 100 + "A"), (3, "q" * 100 + "A")]
+    assert sorted((r.doc_id, r.text) for r in exact_dedup.keep_one(docs(late)).collect()) == [(1, "q" * 100 + "A"), (2, "p" * 100 + "A ")]
+
+
+def test_pages_that_repeat_an_id_keep_their_rows(spark):
+    long = "a line of html\n" * 2500
+    rows = [(7, "u", long), (7, "u", long), (8, "u", long + "1"), (8, "u", long + "2"), (None, "u", long + "3"), (None, "u", long + "4"),
+            (6, "u", long), (9, "v", "short"), (9, "v", "short")]
+    src = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-again")
+    warc.write_archive(src.repartition(3), path)
+    got = warc.read_archive(spark, path).collect()
+    assert all(r.problem is None for r in got) and len(got) == len(rows)
+    want = sorted((str(i), len(t), "revisit" if i == 6 else "response") for i, _, t in rows)
+    assert sorted((str(r.page_id), r.payload_bytes, r.record_type) for r in got) == want
+    assert {bytes(r.payload).decode() for r in got if r.payload is not None} == {t for _, _, t in rows}
+    assert [r.refers_to for r in got if r.record_type == "revisit"] == ["7"]
+    ids = [r.origin for r in warc.read_records(spark, path).where("segment is null or segment = 1").collect()]
+    assert len(ids) == len(set(ids)) == len(rows)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_long_words_merge_as_one_by_one(monkeypatch, seed):
+    """All safe merges at once against one merge a step, with and without keyed skips."""
+    from coursepulse.llm import agenda
+
+    r = random.Random(seed)
+    words = {c: (c,) for c in range(4)}  # tokens as strings of symbols; ranks in no order of length
+    merges, ranks = [], r.sample(range(400), 400)
+    for _ in range(r.choice([15, 60])):
+        a, b = r.choice(sorted(words)), r.choice(sorted(words))
+        if len(words[a]) + len(words[b]) <= 6 and (a, b) not in {m[:2] for m in merges}:
+            same = next((k for k, v in words.items() if v == words[a] + words[b]), None)
+            new = len(words) if same is None else same
+            words[new] = words[a] + words[b]
+            merges.append((a, b, ranks.pop(), new))
+    table = agenda.PairTable(merges)
+    assert table.longest <= 6
+    drop = lambda a, b, p: (a.astype(int) * 31 + b.astype(int) * 17 + p.astype(int) * 7) % 5 == 0
+    texts = [[r.randint(-1 if r.random() < .02 else 0, 3) for _ in range(n)] for n in (700, 3, 900, 1, 0, 40, 650)]
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    flat = np.array(sum(texts, []))
+    for skip in (None, drop):
+        seen: list = [[], []]
+        got = agenda.merge_all(flat, offs, table, skip, seen[0])
+        monkeypatch.setattr(agenda, "LONG", 10 ** 9)
+        want = agenda.merge_all(flat, offs, table, skip, seen[1])
+        monkeypatch.undo()
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+        made = [sorted(zip(*(np.concatenate(x).tolist() for x in zip(*s)))) for s in seen]
+        assert made[0] == made[1] and len(made[0]) > 100
+
+
+def test_a_text_of_two_megabytes_without_spaces(spark):
+    import time
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    r = random.Random(1)
+    text = "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=2_000_000))
+    start = time.monotonic()
+    ids, _ = packing.WordTokenizer(packing.default_tokenizer()).encode(pa.array([text, "a b"]))
+    model = pieces.PieceModel(pieces.default_model())
+    plain, offs = model.encode(pa.array([text, "a b"]), np.array([1, 2]), 0.0)
+    dropped, _ = model.encode(pa.array([text[:200_000]]), np.array([1]), 0.1)
+    assert time.monotonic() - start < 120
+    assert ids[:-2].tolist() == Tokenizer.from_file(packing.default_tokenizer()).encode(text, add_special_tokens=False).ids
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    assert plain[:offs[1]].tolist() == sp.encode(text) and len(dropped) > 0
+
+
+# --- bin completion against an exact solver
+
+def fewest_bins(pieces_, capacity):
+    """Exact: for every set of pieces the least (bins, load of the last bin), piece by piece."""
+    n = len(pieces_)
+    best = {0: (1, 0)}
+    for mask in range(1, 1 << n):
+        options = []
+        for i in range(n):
+            if mask >> i & 1:
+                bins, load = best[mask & ~(1 << i)]
+                options.append((bins, load + pieces_[i]) if load + pieces_[i] <= capacity else (bins + 1, pieces_[i]))
+        best[mask] = min(options)
+    return best[(1 << n) - 1][0] if n else 0
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_bin_completion_equals_an_exact_solver(seed):
+    r = random.Random(seed)
+    for _ in range(20):
+        cap = r.randint(8, 120)
+        items = [r.randint(1 if r.random() < .5 else cap // 5 + 1, cap if r.random() < .3 else cap // 2) for _ in range(r.randint(0, 10))]
+        found = packing.complete(Counter(items), cap)
+        assert found.proven and found.bins == fewest_bins(items, cap) == sum(k for _, k in found.patterns)
+        assert Counter({s: c for s, c in Counter(s for p, k in found.patterns for s, c in p for _ in range(c * k)).items()}) == Counter(items)
+
+
+def test_bin_completion_finds_fillings_of_no_large_piece():
+    found = packing.complete(Counter([100, 59, 59, 59, 40, 35, 25, 23]), 200)
+    assert (found.bins, found.bound, found.proven) == (2, 2, True)
+    short = packing.complete(Counter([100, 59, 59, 59, 40, 35, 25, 23]), 200, steps=3)
+    assert (short.bins, short.bound, short.proven) == (3, 2, False)
+    tight = packing.complete({50 + i: 1 for i in range(20)} | {30 + i: 2 for i in range(15)}, 130)
+    assert tight.bound <= tight.bins <= sum(k for _, k in packing.best_fit({50 + i: 1 for i in range(20)} | {30 + i: 2 for i in range(15)}, 130))
+    assert packing.complete({}, 10) == ([], 0, 0, True)
