@@ -12,7 +12,8 @@ template or take one apart, and the escaping is undone without loss. The loss ma
 spans (start, length in code points) over the assistant texts.
 
 Defined results: null roles and texts count as empty; null scores as 0; messages whose parent is not
-in the tree are roots; equal ranks go to the smaller leaf; a cycle of replies is an error; other
+in the tree are roots; of rows that repeat a message's tree and node the smallest parent, the largest score and the
+smallest (role, text) count; equal ranks go to the smaller leaf; a cycle of replies is an error; other
 columns are ignored; an empty table gives an empty result. For a table of turns, rows of a
 conversation are chained by turn, then role, then text; null turns come first.
 """
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from coursepulse.llm.scratch import written
+from coursepulse.llm.scratch import remove, written
 
 MAX_ROUNDS = 40  # paths of up to 2^40 messages; more rounds mean a cycle
 
@@ -45,43 +46,56 @@ def chain(turns: DataFrame) -> DataFrame:
 
 
 def paths(messages: DataFrame) -> DataFrame:
-    """``tree, leaf, node, up``: every leaf with itself and its ancestors, ``up`` steps above it."""
+    """``tree, leaf, node, up``: every leaf with itself and its ancestors, ``up`` steps above it.
+
+    A round writes only the pairs that it finds; superseded jumps are deleted."""
+    spark = messages.sparkSession
+    messages = messages.groupBy("tree", "node").agg(F.min("parent").alias("parent"))
     ids = messages.select(F.col("tree").alias("t"), F.col("node").alias("n"))
     inner = messages.where("parent is not null").select("tree", "node", "parent")
     jump = inner.join(ids, inner["tree"].eqNullSafe(ids["t"]) & (inner["parent"] == ids["n"])).select(
         "tree", "node", F.col("parent").alias("to"))
-    jump, _ = written(jump, "chat-jumps")
+    jump, path = written(jump, "chat-jumps")
     parents = jump.select(F.col("tree").alias("t"), F.col("to").alias("n")).distinct()
     leaves = messages.join(parents, messages["tree"].eqNullSafe(parents["t"]) & (messages["node"] == parents["n"]), "left_anti")
     found, _ = written(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "chat-paths")
     for k in range(MAX_ROUNDS + 1):
         if jump.isEmpty():
+            remove(spark, path)
             return found
         step = jump.select(F.col("tree").alias("t"), F.col("node").alias("n"), "to")
         more = found.join(step, found["tree"].eqNullSafe(step["t"]) & (found["node"] == step["n"])).select(
             "tree", "leaf", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up"))
-        found, _ = written(found.unionAll(more), "chat-paths")
+        found = found.unionAll(written(more, "chat-paths")[0])
         far = jump.select("tree", "node", F.col("to").alias("via")).join(
             step, F.col("tree").eqNullSafe(step["t"]) & (F.col("via") == step["n"]))
-        jump, _ = written(far.select("tree", "node", "to"), "chat-jumps")
+        jump, new = written(far.select("tree", "node", "to"), "chat-jumps")
+        remove(spark, path)
+        path = new
     raise ValueError("the replies of a tree form a cycle")
 
 
 def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """``tree, leaf, branch_rank, branch_score, n_turns, formatted, loss_spans`` of each tree's best branches."""
-    src = messages.select("tree", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
-                          F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-    own = src.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text", "score")
+    """``tree, leaf, branch_rank, branch_score, n_turns, formatted, loss_spans`` of each tree's best branches.
+
+    Texts are read once, for the chosen branches; ranks need the scores alone."""
+    src = messages.select("tree", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    own = src.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text")
     found = paths(messages)
-    turns = found.join(own, found["tree"].eqNullSafe(own["t"]) & (found["node"] == own["n"])).drop("t", "n")
-    turns, _ = written(turns, "chat-turns")
-    scored = turns.groupBy("tree", "leaf").agg(F.sum("score").alias("branch_score"))
+    score = messages.groupBy(F.col("tree").alias("t"), F.col("node").alias("n")).agg(
+        F.max(F.coalesce(F.col("score").cast("double"), F.lit(0.0))).alias("score"))
+    scored = found.join(score, found["tree"].eqNullSafe(score["t"]) & (found["node"] == score["n"])).groupBy("tree", "leaf").agg(
+        F.sum("score").alias("branch_score"))
     rank = F.row_number().over(W.partitionBy("tree").orderBy(F.desc("branch_score"), "leaf"))
     chosen = scored.withColumn("branch_rank", rank).where(F.col("branch_rank") <= branches).select(
         F.col("tree").alias("t"), F.col("leaf").alias("l"), "branch_score", "branch_rank")
+    best = found.join(chosen, found["tree"].eqNullSafe(chosen["t"]) & (found["leaf"] == chosen["l"])).drop("t", "l")
+    turns = best.join(own, best["tree"].eqNullSafe(own["t"]) & (best["node"] == own["n"])).drop("t", "n")
+    again = W.partitionBy("tree", "leaf", "up").orderBy("role", "text")
+    turns = turns.withColumn("again", F.row_number().over(again)).where("again = 1").drop("again")
     path = W.partitionBy("tree", "leaf").orderBy(F.desc("up"))
     head, body = F.concat(F.lit("<|"), escaped(F.col("role")), F.lit("|>\n")), escaped(F.col("text"))
-    parts = (turns.join(chosen, turns["tree"].eqNullSafe(chosen["t"]) & (turns["leaf"] == chosen["l"]))
+    parts = (turns
              .select("tree", "leaf", "branch_score", "branch_rank", "up", "role", head.alias("head"), body.alias("body"))
              .withColumn("turn", F.concat("head", "body", F.lit("<|end|>\n")))
              .withColumn("start", F.sum(F.char_length("turn")).over(path) - F.char_length("turn") + F.char_length("head") + 1)

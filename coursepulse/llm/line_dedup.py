@@ -33,7 +33,6 @@ from coursepulse.llm.scratch import remove, written
 
 MIN_WORDS = 50
 _WORD = r"[^\x20\x09-\x0D]+"
-_LINE_BITS = 22
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -43,7 +42,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     return line.select(
         "doc_id", "t", F.col("pos").alias("e"), "col.line_no", F.regexp_count("col.line", F.lit(_WORD)).alias("words"),
         F.xxhash64("col.line").alias("a"), F.xxhash64(F.lit(1), "col.line").alias("b"),
-        (F.shiftleft(F.coalesce("doc_id", F.lit(-(1 << 40))).cast("long"), _LINE_BITS) + F.col("col.line_no")).alias("at"))
+        F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.col("col.line_no").alias("l")).alias("at"))
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
@@ -127,7 +126,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     src = src.withColumn("t", F.xxhash64("text"))
     gone = deleted_lines(src, min_words).select(F.col("doc_id").alias("d"), F.col("t").alias("dt"), "gone")
     both = src.join(gone, src["doc_id"].eqNullSafe(gone["d"]) & (src["t"] == gone["dt"]), "left")
-    left = F.expr(r"array_join(filter(split(text, '\n'), (x, i) -> NOT array_contains(gone, i)), '\n')")
-    return both.select("doc_id", F.expr(r"size(split(text, '\n'))").cast("long").alias("n_lines"),
+    both = both.withColumn("l", F.expr(r"split(text, '\n')"))
+    left = F.expr(r"array_join(transform(array_except(sequence(0, size(l) - 1), gone), i -> l[i]), '\n')")
+    return both.select("doc_id", F.size("l").cast("long").alias("n_lines"),
                        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"),
                        F.when(F.col("gone").isNull(), F.col("text")).otherwise(left).alias("text"))

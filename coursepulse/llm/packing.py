@@ -38,7 +38,7 @@ from coursepulse.llm.words import offsets_and_bytes, sliced, text_array
 CAPACITY = 4096
 END_ID = 1
 TEXT_SLICE = 3 << 20
-STEPS = 200_000  # of the search on the driver, about a second
+STEPS = 200_000  # of the search on the driver, some seconds at most
 CLASS_ROWS = 100_000  # pieces of one length numbered in one group
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), in the order of their places
@@ -278,7 +278,7 @@ def fillings(counts: dict[int, int], largest: int, capacity: int, budget: Budget
                 used[size] = c
                 yield from extend(j + 1, free - c * size, used, low, high)
                 del used[size]
-        if low <= free <= high and budget.spend(1 + len(avail) // 64) and not dominated(used, free):
+        if low <= free <= high and budget.spend(1 + len(avail)) and not dominated(used, free):
             yield _plus(tuple(used.items()), largest)
 
     low, high = 0, 0
@@ -321,7 +321,7 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEP
         now = {s: k for s, k in left.items() if k}
         for pattern in fillings(now, max(now), capacity, budget):
             for k in range(min(now[s] // c for s, c in pattern), 0, -1):
-                if not budget.spend():
+                if not budget.spend(1 + len(now) // 8):
                     return
                 yield pattern, k
 

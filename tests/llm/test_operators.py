@@ -638,3 +638,30 @@ def test_bin_completion_finds_fillings_of_no_large_piece():
     tight = packing.complete({50 + i: 1 for i in range(20)} | {30 + i: 2 for i in range(15)}, 130)
     assert tight.bound <= tight.bins <= sum(k for _, k in packing.best_fit({50 + i: 1 for i in range(20)} | {30 + i: 2 for i in range(15)}, 130))
     assert packing.complete({}, 10) == ([], 0, 0, True)
+
+
+# --- chat edges
+
+def test_chat_ties_repeats_and_long_texts(spark):
+    long = "<|end|> & | é\n" * 60_000
+    rows = [("t", i, i - 1 if i > 1 else None, "assistant" if i % 2 == 0 else "user", f"m{i}", 0.0) for i in range(1, 9)]
+    rows += [rows[3], ("t", 5, 4, "user", "m4b", 0.0)]  # one row repeated, one node with two texts
+    rows += [("tie", 1, None, "user", "q", 1.0), ("tie", 2, 1, "assistant", "a", 1.0), ("tie", 3, 1, "assistant", "b", 1.0),
+             ("long", 1, None, "user", long, None), ("long", 2, 1, "assistant", long, None)]
+    src = spark.createDataFrame([(*r, 1) for r in rows], "tree string, node long, parent long, role string, text string, score double, again long")
+    got = {r.tree: r for r in chat.read_back(chat.format_paths(src.repartition(3))).collect()}
+    assert got["t"].n_turns == 8 and [x.text for x in got["t"].turns] == ["m1", "m2", "m3", "m4", "m4b", "m6", "m7", "m8"]
+    assert got["t"].loss_text == "m2m4m6m8"
+    assert (got["tie"].leaf, got["tie"].loss_text) == (2, "a")  # equal scores: the smaller leaf
+    assert [x.text for x in got["long"].turns] == [long, long] and got["long"].loss_text == long
+    both = chat.chain(spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, None, None), (None, 1, "user", "z")],
+                                            "conv_id long, turn long, role string, text string"))
+    assert {(r.tree, r.n_turns) for r in chat.format_paths(both).collect()} == {(1, 3), (None, 1)}
+
+
+def test_line_numbers_beyond_22_bits_and_many_deleted_lines(spark):
+    """Positions order by document, then line, however many lines a text has."""
+    few = "\n".join(f"line {i} of the passage" for i in range(30))
+    src = spark.createDataFrame([(1, "\n" * 4_200_000 + few), (2, few + "\nown words")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_deleted) for r in line_dedup.dedup_lines(src, 50).collect()}
+    assert got == {1: (4_200_030, 0), 2: (31, 30)}
