@@ -35,3 +35,22 @@ def test_stages(spark):
     for r in rows:
         used[r.sequence_id] += r.length
     assert max(used.values()) <= 4096 and len(used) <= -(-sum(used.values()) // 4096) + 1
+
+
+def test_nulls_repeats_long_texts_clashing_names_and_an_empty_table(spark, edge, tmp_path):
+    from tests.llm.conftest import LONG
+
+    for name, rows in (("some", edge), ("none", edge.limit(0))):
+        rows.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    kept = quality.keep_documents(edge).collect()
+    want = {r.doc_id for r in kept}
+    got = cp.run(spark, f"{tmp_path}/some").collect()
+    ids = {r.doc_id for r in got}
+    assert ids <= want and not ids & {0, 1, 2, 7, 8}  # null, empty, white space, two words
+    texts = {re.sub(r"[\x20\x09-\x0D]", "", r.text) for r in kept}
+    assert ids and len(ids) <= len(texts) and not {3, 10} <= ids  # the long text and its near copy
+    assert (3 in want or 10 in want) == bool({3, 10} & ids) and len(LONG) > 200_000
+    pieces = [(r.doc_id, r.piece) for r in got]
+    assert len(pieces) == len(set(pieces))  # the repeated row left one
+    assert cp.run(spark, f"{tmp_path}/none").collect() == []
