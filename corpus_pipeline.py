@@ -3,6 +3,10 @@
 A stage takes ``(spark, docs, sf_dir)`` and returns a frame; ``run`` writes it as Parquet into the
 shared checkpoint folder and rereads it as the next stage's ``docs``. All stages but the last return
 the columns of ``documents``; the last returns the places of the kept documents' pieces.
+
+Defined results: null, empty and very short texts fail the quality rules; rows that repeat an id and its text
+leave one row; other columns pass through whatever their names; without labels nothing counts as toxic; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
