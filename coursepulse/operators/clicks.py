@@ -20,7 +20,20 @@ from coursepulse.schema import K2, K3
 SITE_KEY = ["code_module", "code_presentation", "id_site"]
 SITE_COLUMNS = {"activity_type", "week_from", "week_to"}
 
-# pandas GroupBy.agg names -> Spark aggregate builders (sample std / var as in pandas).
+
+def _sem(x: Column) -> Column:
+    """Sample standard deviation over the root of the number of values; NULL for one value."""
+    return F.stddev_samp(x) / F.sqrt(F.count(x))
+
+
+def _skew(x: Column) -> Column:
+    """Bias-corrected skewness: NULL below three values, 0 where all values are equal."""
+    n = F.count(x).cast("double")
+    return F.when(n >= 3, F.coalesce(F.skewness(x), F.lit(0.0)) * F.sqrt(n * (n - 1)) / (n - 2))
+
+
+# pandas GroupBy.agg names -> Spark aggregate builders (sample std / var as in pandas). All but median and
+# nunique are combined before the shuffle from a few numbers a group; nunique from a group's distinct values.
 AGGREGATES = {
     "sum": F.sum,
     "mean": F.avg,
@@ -30,7 +43,13 @@ AGGREGATES = {
     "std": F.stddev_samp,
     "var": F.var_samp,
     "median": F.median,
+    "prod": lambda x: F.coalesce(F.product(x), F.lit(1.0)),
+    "sem": _sem,
+    "skew": _skew,
+    "nunique": F.count_distinct,
 }
+# aggregates of the rows' order: the smallest or largest order key that carries the value along
+ORDERED = {"first": F.min, "last": F.max}
 
 
 def _sites(vle: DataFrame) -> DataFrame:
@@ -49,14 +68,18 @@ def clicks_with_sites(student_vle: DataFrame, vle: DataFrame, how: str = "left")
 
 
 def aggregate_clickstream(student_vle: DataFrame, vle: DataFrame | None = None,
-                          by: Sequence[str] = ("date",), agg: str = "sum") -> DataFrame:
+                          by: Sequence[str] = ("date",), agg: str = "sum",
+                          order: Sequence[str] = ("date", "id_site")) -> DataFrame:
     """Clicks aggregated per (K3, *by) with a pandas aggregate name.
 
     The site join is only made when ``by`` names a site column. Rows whose ``by`` value is NULL
-    are dropped, as pandas ``groupby`` does.
+    are dropped, as pandas ``groupby`` does, and NULL clicks are left out of every aggregate.
+    Rows have no position in Spark, so ``first`` and ``last`` follow the columns ``order``: a NULL there
+    comes before all values, and of rows that agree in all of them ``first`` takes the smallest and ``last`` the
+    largest clicks. ``prod`` is a double, 1 where all clicks are NULL.
     """
-    if agg not in AGGREGATES:
-        raise ValueError(f"agg must be one of {sorted(AGGREGATES)}")
+    if agg not in AGGREGATES and agg not in ORDERED:
+        raise ValueError(f"agg must be one of {sorted([*AGGREGATES, *ORDERED])}")
     by = list(by)
     src = student_vle
     if any(c in SITE_COLUMNS for c in by):
@@ -65,7 +88,13 @@ def aggregate_clickstream(student_vle: DataFrame, vle: DataFrame | None = None,
         src = clicks_with_sites(student_vle, vle, "left")
     if by:
         src = src.where(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in by)))
-    return src.groupBy(*K3, *by).agg(AGGREGATES[agg]("sum_click").alias("sum_click"))
+    value = F.col("sum_click")
+    if agg in ORDERED:
+        keyed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], value.alias("value"))
+        out = ORDERED[agg](F.when(value.isNotNull(), keyed))["value"]
+    else:
+        out = AGGREGATES[agg](value)
+    return src.groupBy(*K3, *by).agg(out.alias("sum_click"))
 
 
 def daily_clicks(student_vle: DataFrame) -> DataFrame:
@@ -103,6 +132,10 @@ def effort(daily: DataFrame, start: int, end: int) -> DataFrame:
 
 def test_schedule(assessments: DataFrame, max_n: int = 3) -> DataFrame:
     """First ``max_n`` assessment dates per course, ascending (NULL dates left out)."""
+    bound = row_bound(assessments)
+    if max_n == 1:
+        out = assessments.groupBy(*K2).agg(F.array_compact(F.array(F.min("date"))).alias("dates"))
+        return mark_bounded(out, bound) if bound is not None else out
     # equal dates are counted before the shuffle, and a course's list holds max_n dates at most
     days = assessments.groupBy(*K2, "date").agg(F.count(F.lit(1)).alias("n"))
     earlier = F.sum("n").over(Window.partitionBy(*K2).orderBy(F.asc_nulls_last("date"))) - F.col("n")
@@ -110,7 +143,6 @@ def test_schedule(assessments: DataFrame, max_n: int = 3) -> DataFrame:
         F.col("date"), F.array_repeat("date", F.least("n", F.lit(max_n) - F.col("earlier")).cast("int")).alias("same")))
     firsts = days.withColumn("earlier", earlier).groupBy(*K2).agg(F.array_sort(F.collect_list(kept)).alias("firsts"))
     out = firsts.select(*K2, F.flatten(F.col("firsts.same")).alias("dates"))
-    bound = row_bound(assessments)
     return mark_bounded(out, bound) if bound is not None else out
 
 

@@ -337,22 +337,19 @@ def roc_points(scored: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     """ROC points at the distinct scores (descending thresholds) plus the origin (threshold inf).
 
     ``drop_intermediate`` keeps, as scikit-learn does, only the first and last point and the
-    points where the curve bends (a non-zero second difference of the false or true positives);
-    the neighbours are found by an equi-join on the point's position, not by a global window.
+    points where the curve bends: the next score adds other numbers of false or true positives than
+    this one. The next score's numbers are handed on along the ordered partitions, without a join.
     """
     by = _by_score(scored.select("label", "score")).withColumn("desc_key", -F.col("score"))
-    cum = running_sums(by, ["desc_key"], ["pos", "neg"], count_col="i")
+    cum = running_sums(by, ["desc_key"], ["pos", "neg"], count_col="i", next_of=["pos", "neg"])
     # totals from the checkpointed per-score rows, not from another pass over the scored table
     tot = cum.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
                            F.count(F.lit(1)).alias("M"))).scalar()
-    pts = cum.select("i", F.col("score").alias("threshold"), F.col("cum_neg").alias("fps"), F.col("cum_pos").alias("tps"))
+    pts = cum.select("i", F.col("score").alias("threshold"), F.col("cum_neg").alias("fps"), F.col("cum_pos").alias("tps"),
+                     "pos", "neg", "next_pos", "next_neg")
     if drop_intermediate:
-        prev = pts.select((F.col("i") + 1).alias("i"), F.col("fps").alias("f0"), F.col("tps").alias("t0"))
-        nxt = pts.select((F.col("i") - 1).alias("i"), F.col("fps").alias("f2"), F.col("tps").alias("t2"))
-        j = pts.join(prev, "i", "left").join(nxt, "i", "left")
-        bend = ((F.col("f0") - 2 * F.col("fps") + F.col("f2")) != 0) | ((F.col("t0") - 2 * F.col("tps") + F.col("t2")) != 0)
-        keep = (tot["M"] <= 2) | F.col("f0").isNull() | F.col("f2").isNull() | bend
-        pts = j.where(keep).select("i", "threshold", "fps", "tps")
+        bend = (F.col("next_neg") != F.col("neg")) | (F.col("next_pos") != F.col("pos"))
+        pts = pts.where((tot["M"] <= 2) | (F.col("i") == 0) | F.col("next_pos").isNull() | bend)
     out = pts.select("threshold", safe_div(F.col("fps").cast("double"), tot["N"].cast("double")).alias("fpr"),
                      safe_div(F.col("tps").cast("double"), tot["P"].cast("double")).alias("tpr"))
     origin = scored.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"),

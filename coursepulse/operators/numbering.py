@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,50 +21,81 @@ from coursepulse.session import cut_lineage
 
 def _ranged(df: DataFrame, order: Sequence[Column | str], partitions: int | None) -> DataFrame:
     """Range-partitioned, sorted copy in the checkpoint folder; ``__pid`` stores the range index
-    (a stored value, so it stays right when the frame is later unioned or re-numbered)."""
+    and ``__pos`` grows along the sorted rows (stored values, so they stay right when the frame is later
+    unioned or re-numbered)."""
     # without a given number, adaptive execution merges small ranges
     ranged = df.repartitionByRange(*([partitions] if partitions else []), *order).sortWithinPartitions(*order)
-    return cut_lineage(ranged.withColumn("__pid", F.spark_partition_id()))
+    return cut_lineage(ranged.withColumns({"__pid": F.spark_partition_id(), "__pos": F.monotonically_increasing_id()}))
 
 
 def running_sums(df: DataFrame, order: Sequence[Column | str], values: Sequence[str],
-                 prefix: str = "cum_", count_col: str | None = None, partitions: int | None = None) -> DataFrame:
+                 prefix: str = "cum_", count_col: str | None = None, partitions: int | None = None,
+                 next_of: Sequence[str] = ()) -> DataFrame:
     """Add ``{prefix}{v}`` = sum of ``v`` over all rows up to and including this one in ``order``
-    (and ``count_col`` = 0-based position, when given). Ties keep their sorted-partition order."""
+    (and ``count_col`` = 0-based position, when given). Ties keep their sorted-partition order.
+
+    ``next_of`` names columns of which ``next_{c}`` is the value in the following row, NULL in the last row:
+    each partition hands its first row to the one before it.
+    """
     ranged = _ranged(df, order, partitions)
     aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(v).alias(v) for v in values]
+    aggs += [F.min_by(c, "__pos").alias(f"__next_{c}") for c in next_of]
     totals = ranged.groupBy("__pid").agg(*aggs).collect()
+    totals.sort(key=lambda r: r["__pid"])
     offsets, acc = {}, {"__n": 0, **{v: 0 for v in values}}
-    for r in sorted(totals, key=lambda r: r["__pid"]):
+    for r in totals:
         offsets[r["__pid"]] = dict(acc)
         for k in acc:
             acc[k] += r[k] or 0
-    fields = [f for f in ranged.schema.fields if f.name != "__pid"]
+    following = {a["__pid"]: [b[f"__next_{c}"] for c in next_of] for a, b in zip(totals, totals[1:])}
+    fields = [f for f in ranged.schema.fields if f.name not in ("__pid", "__pos")]
     types = {f.name: f.dataType for f in fields}
-    out_fields = fields + [T.StructField(f"{prefix}{v}", T.DoubleType() if isinstance(types[v], (T.DoubleType, T.FloatType))
-                                         else T.LongType(), True) for v in values]
+    sums = {v: T.DoubleType() if isinstance(types[v], (T.DoubleType, T.FloatType)) else T.LongType() for v in values}
+    out_fields = fields + [T.StructField(f"{prefix}{v}", t) for v, t in sums.items()]
     if count_col:
         out_fields.append(T.StructField(count_col, T.LongType(), False))
+    out_fields += [T.StructField(f"next_{c}", types[c]) for c in next_of]
     schema = T.StructType(out_fields)
 
+    def numbered(batch, state):
+        """The batch's columns and running values; ``state`` moves on."""
+        cols = {f.name: batch.column(f.name) for f in fields}
+        for v, t in sums.items():
+            own = pc.fill_null(cols[v].cast(pa.float64() if isinstance(t, T.DoubleType) else pa.int64()), 0)
+            cum = pc.cumulative_sum_checked(own, start=state[v])
+            cols[f"{prefix}{v}"], state[v] = cum, cum[-1].as_py()
+        if count_col:
+            cols[count_col] = pa.array(range(state["__n"], state["__n"] + batch.num_rows), pa.int64())
+        state["__n"] += batch.num_rows
+        return pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+
+    def with_next(batch, last):
+        """The batch with the next row's values, those after its last row given."""
+        nxt = [pa.concat_arrays([batch.column(c).slice(1), pa.array([v], batch.column(c).type)]) for c, v in zip(next_of, last)]
+        return pa.RecordBatch.from_arrays([*batch.columns, *nxt], [*batch.schema.names, *[f"next_{c}" for c in next_of]])
+
     def add(batches):
-        state = None
-        for pdf in batches:
-            if state is None and len(pdf):
-                state = dict(offsets.get(int(pdf["__pid"].iloc[0]), {"__n": 0, **{v: 0 for v in values}}))
+        state, pid, held = None, None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             if state is None:
+                pid = batch.column("__pid")[0].as_py()
+                state = dict(offsets[pid])
+            out = numbered(batch, state)
+            if not next_of:
+                yield out
                 continue
-            pdf = pdf.drop(columns="__pid")
-            for v in values:
-                cum = pdf[v].fillna(0).cumsum() + state[v]
-                state[v] = cum.iloc[-1] if len(cum) else state[v]
-                pdf[f"{prefix}{v}"] = cum
-            if count_col:
-                pdf[count_col] = pd.Series(range(state["__n"], state["__n"] + len(pdf)), index=pdf.index, dtype="int64")
-            state["__n"] += len(pdf)
-            yield pdf
-
-    return ranged.mapInPandas(add, schema)
+            # the last row of a batch waits for the row after it
+            if held is not None:
+                yield with_next(held, [out.column(c)[0].as_py() for c in next_of])
+            held = out.slice(out.num_rows - 1)
+            if out.num_rows > 1:
+                yield with_next(out.slice(0, out.num_rows - 1), [held.column(c)[0].as_py() for c in next_of])
+        if held is not None:
+            yield with_next(held, following.get(pid, [None] * len(next_of)))
+
+    return ranged.mapInArrow(add, schema)
 
 
 def number_rows(df: DataFrame, order_cols: Sequence[str], out_col: str = "row_number",

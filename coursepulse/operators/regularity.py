@@ -18,17 +18,19 @@ Definitions (the external package that defines them in the reference is not avai
 * Procrastination: click-weighted mean of f(x), x = (date - start) / (end - start + 1), for
   f = x, 1 / (1 - x), log2(1 + x).
 
-Plan: the click log is first reduced to one row per (student, day[, activity]) by partial + final
-aggregation; the per-student step then holds at most one entry per day of the window (times the
-activity list), a bound set by the window, not by the data volume.
+Plan: the click log is first reduced to one row per (student, day) by partial + final aggregation and from
+there by grouping, without a window: ``pwd``, ``ws1``, ``fwd`` and ``concentration`` follow from sums, the others
+from a student's list of weeks or of the activities of its days, a bound set by the window, not by
+the data volume.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursepulse.functions.dims import bounded_broadcast
@@ -39,10 +41,10 @@ LN2 = math.log(2.0)
 LN7 = math.log(7.0)
 
 
-def _pair_mean(term: str) -> str:
-    """SQL: mean of ``term(a, b)`` over pairs i < j of the week vectors in ``mats``."""
+def _pair_mean(term: str, vectors: str) -> str:
+    """SQL: mean of ``term(a, b)`` over pairs i < j of the ``n`` week vectors in ``vectors``."""
     inner = (f"aggregate(sequence(i + 1, n - 1), CAST(0 AS DOUBLE), "
-             f"(acc2, j) -> acc2 + {term.format(a='mats[i]', b='mats[j]')})")
+             f"(acc2, j) -> acc2 + {term.format(a=f'{vectors}[i]', b=f'{vectors}[j]')})")
     return (f"CASE WHEN n < 2 THEN CAST(NULL AS DOUBLE) ELSE "
             f"aggregate(sequence(0, n - 2), CAST(0 AS DOUBLE), (acc, i) -> acc + {inner}) "
             f"/ (n * (n - 1) / 2.0D) END")
@@ -52,11 +54,8 @@ def _vsum(v: str) -> str:
     return f"aggregate({v}, CAST(0 AS DOUBLE), (s, x) -> s + x)"
 
 
-# pairwise terms over two weekday vectors {a}, {b} (raw clicks, 0 = inactive)
-WS1_TERM = ("(CAST(size(filter(zip_with({a}, {b}, (p, q) -> p > 0 AND q > 0), x -> x)) AS DOUBLE) "
-            "/ greatest(size(filter({a}, x -> x > 0)), size(filter({b}, x -> x > 0))))")
-WS2_TERM = ("(1.0D - aggregate(zip_with(transform({a}, x -> x / " + _vsum("{a}") + "), "
-            "transform({b}, x -> x / " + _vsum("{b}") + "), (p, q) -> "
+# pairwise terms over two weeks {a}, {b}: shares of the weekdays (ws2), clicks of the weekdays (ws3; 0 = inactive)
+WS2_TERM = ("(1.0D - aggregate(zip_with({a}, {b}, (p, q) -> "
             "CASE WHEN p > 0 THEN 0.5D * p * ln(2.0D * p / (p + q)) ELSE 0.0D END + "
             "CASE WHEN q > 0 THEN 0.5D * q * ln(2.0D * q / (p + q)) ELSE 0.0D END), "
             f"CAST(0 AS DOUBLE), (s, x) -> s + x) / {LN2!r}D)")
@@ -70,49 +69,83 @@ def time_regularity(daily: DataFrame, start: int, end: int,
                     with_effort: bool = False) -> DataFrame:
     """Time-regularity metrics per student with any click (NULL when no click is in the window).
 
-    ``with_effort`` also returns the clicks inside the window (``effort``) from the same aggregate.
+    ``daily`` has one row per (student, day); days of 0 or NULL clicks are not active. ``with_effort`` also
+    returns the clicks inside the window (``effort``) from the same aggregate.
     """
     unknown = set(metrics) - set(TIME_METRICS)
     if unknown:
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
-    aggs = [_day_sequence(start, end)]
-    if with_effort:
-        inside = F.sum(F.when(in_window(start, end), F.col("sum_click")))
-        aggs.append(F.coalesce(inside, F.lit(0)).cast("long").alias("effort"))
-    return _time_metrics(daily.groupBy(*K3).agg(*aggs), end - start + 1, metrics, prefix).drop("seq")
+    # one exchange by student serves the weeks and the students
+    by_week = daily.repartition(*K3).groupBy(*K3, _week(start, end)).agg(
+        *_week_sums(start, end), F.sum(F.when(in_window(start, end), F.col("sum_click"))).alias("__inside"))
+    g = by_week.groupBy(*K3).agg(*_weekday_counts(), F.coalesce(F.sum("__inside"), F.lit(0)).cast("long").alias("effort"))
+    return _time_metrics(g, end - start + 1, metrics, prefix).select(
+        *K3, *[f"{prefix}{m}" for m in metrics], *(["effort"] if with_effort else []))
 
 
-def _day_sequence(start: int, end: int, clicks: str = "sum_click") -> F.Column:
-    """Aggregate: the student's active days inside [start, end] with their clicks."""
-    return F.collect_list(F.when(in_window(start, end) & F.col(clicks).isNotNull(), F.struct(
-        (F.col("date") - F.lit(start)).alias("t"), F.col(clicks).cast("double").alias("w")))).alias("seq")
+def _active(start: int, end: int) -> F.Column:
+    return in_window(start, end) & (F.col("sum_click") > 0)
+
+
+def _week(start: int, end: int) -> F.Column:
+    """The week of an active day, NULL for all other rows."""
+    return F.when(_active(start, end), F.floor((F.col("date") - F.lit(start)) / 7)).alias("week")
+
+
+def _week_sums(start: int, end: int) -> list[F.Column]:
+    """Aggregates of a student's week: its active weekdays as 7 bits and the clicks of each weekday."""
+    weekday = F.pmod(F.col("date") - F.lit(start), F.lit(7))
+    bit = F.call_function("shiftleft", F.lit(1), weekday.cast("int"))
+    return [F.bit_or(F.when(_active(start, end), bit)).alias("mask"), F.array(*[
+        F.coalesce(F.sum(F.when(_active(start, end) & (weekday == d), F.col("sum_click"))), F.lit(0)).cast("double")
+        for d in range(7)]).alias("clicks")]
+
+
+def _weekday_counts() -> list[F.Column]:
+    """Aggregates of a student over the weeks: how many there are, how many hold weekday d (``n{d}``), how many of k
+    active days do (``n{d}_{k}``), and their click vectors. Those that no metric uses are pruned."""
+    size = F.bit_count("mask")
+    holds = [F.getbit("mask", F.lit(d)).cast("long") for d in range(7)]
+    return [F.count("week").alias("weeks"), *[F.coalesce(F.sum(holds[d]), F.lit(0)).alias(f"n{d}") for d in range(7)],
+            *[F.coalesce(F.sum(F.when(size == k, holds[d])), F.lit(0)).alias(f"n{d}_{k}")
+              for d in range(7) for k in range(1, 8)],
+            F.array_sort(F.collect_list(F.when(F.col("week").isNotNull(), F.struct("week", "clicks")))).alias("vectors")]
+
+
+def _week_overlap() -> F.Column:
+    """Sum over the pairs of a student's weeks of ``|A n B| / max(|A|, |B|)``, without visiting a pair.
+
+    Weekday d adds 1 / k to every pair of weeks that both hold it, k being the larger number of active days: the
+    pairs among the weeks of k days, and those of one such week and one of fewer days.
+    """
+    terms = []
+    for k in range(1, 8):
+        for d in range(7):
+            n = F.col(f"n{d}_{k}")
+            fewer = sum((F.col(f"n{d}_{j}") for j in range(1, k)), F.lit(0))
+            terms.append((n * (n - 1) / 2 + n * fewer) / k)
+    return sum(terms, F.lit(0.0))
 
 
 def _time_metrics(g: DataFrame, n_days: int, metrics: Sequence[str], prefix: str) -> DataFrame:
-    """``g`` (one row per student with its day sequence ``seq``) with the time-regularity metrics."""
-    kept = g.columns
-    g = g.withColumn("m", F.expr("map_from_entries(transform(seq, x -> struct(x.t, x.w)))"))
-    g = g.withColumn("weeks", F.expr("array_sort(array_distinct(transform(seq, x -> x.t div 7)))"))
-    g = g.withColumn("n", F.size("weeks"))
-    g = g.withColumn("mats", F.expr(
-        "transform(weeks, k -> transform(sequence(0, 6), d -> "
-        "coalesce(try_element_at(m, k * 7 + d), CAST(0 AS DOUBLE))))"))
-    counts = "transform(sequence(0, 6), d -> CAST(size(filter(seq, x -> x.t % 7 = d)) AS DOUBLE))"
+    """``g`` (one row per student with the aggregates of ``_weekday_counts``) with the time-regularity metrics."""
+    counts = [F.col(f"n{d}").cast("double") for d in range(7)]
+    active = sum(counts, F.lit(0.0))
+    entropy = -sum((F.when(c > 0, c / active * F.ln(c / active)).otherwise(0.0) for c in counts), F.lit(0.0))
+    wave = [sum((c * wave(2 * math.pi * d / 7) for d, c in enumerate(counts)), F.lit(0.0)) for wave in (math.cos, math.sin)]
+    pairs = F.col("weeks") * (F.col("weeks") - 1) / 2
+    if {"ws2", "ws3"} & set(metrics):
+        g = g.withColumn("mats", F.expr("transform(vectors, x -> x.clicks)")).withColumn("n", F.size("mats"))
+    if "ws2" in metrics:
+        g = g.withColumn("shares", F.expr(f"transform(mats, v -> transform(v, x -> x / {_vsum('v')}))"))
     exprs = {
-        "pwd": (f"CASE WHEN size(seq) = 0 THEN CAST(NULL AS DOUBLE) ELSE "
-                f"({LN7!r}D + aggregate({counts}, CAST(0 AS DOUBLE), (s, c) -> s + CASE WHEN c > 0 "
-                f"THEN (c / size(seq)) * ln(c / size(seq)) ELSE 0.0D END)) * array_max({counts}) END"),
-        "ws1": _pair_mean(WS1_TERM),
-        "ws2": _pair_mean(WS2_TERM),
-        "ws3": _pair_mean(WS3_TERM),
-        "fwd": (f"CASE WHEN size(seq) = 0 THEN CAST(NULL AS DOUBLE) ELSE "
-                f"(pow(aggregate(seq, CAST(0 AS DOUBLE), (s, x) -> s + cos(2 * pi() * x.t / 7)), 2) + "
-                f"pow(aggregate(seq, CAST(0 AS DOUBLE), (s, x) -> s + sin(2 * pi() * x.t / 7)), 2)) "
-                f"/ {float(n_days)!r}D END"),
+        "pwd": lambda: F.when(active > 0, (F.lit(LN7) - entropy) * F.greatest(*counts)),
+        "ws1": lambda: F.when(F.col("weeks") > 1, _week_overlap() / pairs),
+        "ws2": lambda: F.expr(_pair_mean(WS2_TERM, "shares")),
+        "ws3": lambda: F.expr(_pair_mean(WS3_TERM, "mats")),
+        "fwd": lambda: F.when(active > 0, (wave[0] * wave[0] + wave[1] * wave[1]) / float(n_days)),
     }
-    own = [*K3, "seq"]
-    return g.select(*own, *[F.expr(exprs[m]).alias(f"{prefix}{m}") for m in metrics],
-                    *[c for c in kept if c not in own])
+    return g.withColumns({f"{prefix}{m}": exprs[m]() for m in metrics})
 
 
 def _resolve_end(clicks: DataFrame, assessments: DataFrame | None, using_testing_dates: int,
@@ -123,7 +156,7 @@ def _resolve_end(clicks: DataFrame, assessments: DataFrame | None, using_testing
         return clicks, F.lit(int(start)), F.lit(int(end))
     if assessments is None:
         raise ValueError("assessments are needed when no user-defined range is given")
-    sched = bounded_broadcast(test_schedule(assessments, max_n=max(3, using_testing_dates + 1)))
+    sched = bounded_broadcast(test_schedule(assessments, max_n=using_testing_dates + 1))
     out = clicks.join(sched, K2, "left")
     return out, F.lit(0), F.try_element_at(F.col("dates"), F.lit(using_testing_dates + 1))
 
@@ -136,38 +169,47 @@ def activity_regularity(student_vle: DataFrame, vle: DataFrame, assessments: Dat
     # days after the end are cut by the small schedule before anything is shuffled
     inside, start, end = _resolve_end(clicks, assessments, using_testing_dates, user_defined_range)
     inside = inside.where((F.col("date") >= start) & (F.col("date") <= end) & F.col("activity_type").isin(list(activities)))
-    base = inside.groupBy(*K3, "date", "activity_type").agg(F.sum("sum_click").alias("c"))
-    return _with_shares(base.repartition(*K3), F.col("c")).groupBy(*K3).agg(*_activity_measures(len(activities)))
-
-
-def _with_shares(base: DataFrame, counted: F.Column) -> DataFrame:
-    """Rows per (student, day, activity) with ``p``, the activity's share of the day, and ``q``, its share
-    of all days; NULL on rows whose ``counted`` clicks are NULL. The windows share one partitioning."""
-    stu = Window.partitionBy(*K3)
-    day = Window.partitionBy(*K3, "date")
-    act = Window.partitionBy(*K3, "activity_type")
-    k = F.col("__counted")
-    return (base.withColumn("__counted", counted)
-            .withColumns({"__all": F.sum(k).over(stu), "__day": F.sum(k).over(day), "__act": F.sum(k).over(act)})
-            .withColumns({"p": F.try_divide(k.cast("double"), F.col("__day").cast("double")),
-                          "q": F.when(k.isNotNull(), F.try_divide(F.col("__act").cast("double"),
-                                                                  F.col("__all").cast("double"))),
-                          "__of_act": F.try_divide(k.cast("double"), F.col("__act").cast("double"))}))
-
-
-def _activity_measures(n_activities: int) -> list[F.Column]:
-    """Aggregates over the rows of :func:`_with_shares`, one grouping for both measures.
-
-    An activity's entropy term is spread over its rows by ``__of_act``, which adds up to 1; the day
-    shares ``p`` add up to the number of active days.
+    days = inside.groupBy(*K3, "date").agg(*_activity_sums(activities))
+    g = days.groupBy(*K3).agg(*_student_sums(len(activities), F.lit(True)))
+    return _activity_measures(g, len(activities)).select(*K3, "concentration", "consistency")
+
+
+def _activity_sums(activities: Sequence[str]) -> list[F.Column]:
+    """Aggregates of a day: the clicks of each activity, NULL without any."""
+    return [F.sum(F.when(F.col("activity_type") == a, F.col("sum_click"))).alias(f"__a{i}") for i, a in enumerate(activities)]
+
+
+def _student_sums(n_activities: int, counted: F.Column) -> list[F.Column]:
+    """Aggregates over the days that are ``counted``: clicks per activity, days, and the activities of every day
+    with their share of it."""
+    own = [F.col(f"__a{i}") for i in range(n_activities)]
+    total = sum((F.coalesce(c, F.lit(0)) for c in own), F.lit(0))
+    entries = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.try_divide(c.cast("double"), total.cast("double")).alias("p"))
+                                 for i, c in enumerate(own)]), lambda x: x["p"] > 0)
+    return [*[F.sum(F.when(counted, c)).alias(f"__a{i}") for i, c in enumerate(own)],
+            F.count_if(counted & (total > 0)).alias("__days"), F.collect_list(F.when(counted, entries)).alias("__entries")]
+
+
+def _activity_measures(g: DataFrame, n_activities: int) -> DataFrame:
+    """``g`` (one row per student with the aggregates of ``_student_sums``) with both measures, for the students
+    with a counted click.
+
+    A day's divergence from the shares ``q`` of all days needs only the activities it has: each of the
+    others adds ``q ln 2 / 2``, and the shares add up to 1.
     """
-    p, q = F.col("p"), F.col("q")
-    entropy = -F.sum(F.col("__of_act") * q * F.log2(q))
-    days = F.round(F.sum(p))
-    jsd = F.lit(0.5) * (F.sum(p * F.ln(F.lit(2.0) * p / (p + q)) + q * F.ln(F.lit(2.0) * q / (p + q)) - F.lit(LN2) * q)
-                        + F.lit(LN2) * days)
-    return [(F.lit(1.0) - entropy / F.lit(math.log2(n_activities))).alias("concentration"),
-            (F.lit(1.0) - F.try_divide(jsd, days) / F.lit(LN2)).alias("consistency")]
+    own = [F.coalesce(F.col(f"__a{i}"), F.lit(0)).cast("double") for i in range(n_activities)]
+    g = g.withColumn("__all", sum(own, F.lit(0.0))).where(F.col("__all") > 0)
+    g = g.withColumn("__q", F.array(*[c / F.col("__all") for c in own]))
+    entropy = -F.aggregate("__q", F.lit(0.0), lambda s, q: s + F.when(q > 0, q * F.log2(q)).otherwise(0.0))
+
+    def term(s, x):
+        p, q = x["p"], F.col("__q")[x["i"]]
+        return s + p * F.ln(F.lit(2.0) * p / (p + q)) + q * F.ln(F.lit(2.0) * q / (p + q)) - F.lit(LN2) * q
+
+    days = F.col("__days").cast("double")
+    jsd = F.lit(0.5) * (F.aggregate(F.flatten("__entries"), F.lit(0.0), term) + F.lit(LN2) * days)
+    return g.withColumns({"concentration": F.lit(1.0) - entropy / F.lit(math.log2(n_activities)),
+                          "consistency": F.lit(1.0) - jsd / days / F.lit(LN2)})
 
 
 PROCRASTINATION = {
@@ -177,20 +219,45 @@ PROCRASTINATION = {
 }
 
 
+def arrow_measure(f: Callable[[pd.Series], pd.Series]) -> Callable[[F.Column], F.Column]:
+    """A measure for :func:`procrastination` from a function over a pandas series of x (run in Arrow batches)."""
+    def on_batch(x: pd.Series) -> pd.Series:
+        return pd.Series(f(x)).astype("float64")
+
+    return F.pandas_udf(on_batch, "double")
+
+
 def procrastination(student_vle: DataFrame, assessments: DataFrame | None = None,
-                    using_testing_dates: int = 0,
-                    user_defined_range: Sequence[int] | None = None) -> DataFrame:
-    """Click-weighted means of f(x) per student with a click on or after day 0 (NULL if none <= end)."""
+                    using_testing_dates: int = 0, user_defined_range: Sequence[int] | None = None,
+                    measures: Mapping[str, Callable[[F.Column], F.Column]] | None = None) -> DataFrame:
+    """Click-weighted means of f(x) per student with a click on or after day 0 (NULL if none <= end).
+
+    ``measures`` names other functions of x than ``PROCRASTINATION``, built from Column functions or by
+    :func:`arrow_measure`. Days where f(x) is NULL or not a number weigh nothing.
+    """
     clicks, start, end = _resolve_end(student_vle.where(F.col("date") >= 0), assessments, using_testing_dates,
                                       user_defined_range)
-    # linear sums: the clicks need no daily total first
-    return clicks.groupBy(*K3).agg(*_procrastination_means(F.col("sum_click"), start, end))
+    if measures is None:
+        # linear sums: the clicks need no daily total first
+        return clicks.groupBy(*K3).agg(*_procrastination_means(F.col("sum_click"), start, end))
+    inside = (F.col("date") >= start) & (F.col("date") <= end)
+    # a student's day goes through the given functions once
+    days = clicks.groupBy(*K3, "date").agg(F.sum(F.when(inside, F.col("sum_click"))).cast("double").alias("__w"),
+                                           F.any_value(_elapsed(start, end)).alias("__x"))
+    days = days.withColumns({f"__f{i}": F.nanvl(f(F.col("__x")).cast("double"), F.lit(None).cast("double"))
+                             for i, f in enumerate(measures.values())})
+    return days.groupBy(*K3).agg(*[
+        F.try_divide(F.sum(F.col("__w") * F.col(f"__f{i}")), F.sum(F.when(F.col(f"__f{i}").isNotNull(), F.col("__w")))).alias(name)
+        for i, name in enumerate(measures)])
+
+
+def _elapsed(start: F.Column, end: F.Column) -> F.Column:
+    return (F.col("date") - start).cast("double") / (end - start + 1).cast("double")
 
 
 def _procrastination_means(clicks: F.Column, start: F.Column, end: F.Column) -> list[F.Column]:
     inside = (F.col("date") >= start) & (F.col("date") <= end)
-    x = (F.col("date") - start).cast("double") / (end - start + 1).cast("double")
-    w = clicks.cast("double")
+    x, w = _elapsed(start, end), clicks.cast("double")
     return [(F.sum(F.when(inside, w * f(x))) / F.sum(F.when(inside, w))).alias(name)
             for name, f in PROCRASTINATION.items()]
 
@@ -200,22 +267,22 @@ def all_measures(student_vle: DataFrame, vle: DataFrame, assessments: DataFrame,
     """Time regularity over [start, end], activity regularity and procrastination up to a test date, for
     the students that have all three, from one scan of the clicks.
 
-    The clicks from day 0 on are reduced to (student, day, activity) and put together by student;
-    there the windows of the shares, the day totals and one grouping give every measure.
+    The clicks from day 0 on are reduced to one row per (student, day) with the clicks of each activity and put
+    together by student; two groupings there, by week and by student, give every measure.
     """
     if start < 0:
         raise ValueError("the shared base starts at day 0")
     clicks = clicks_with_sites(student_vle.where(F.col("date") >= 0), vle, "left")
-    base = clicks.groupBy(*K3, "date", "activity_type").agg(F.sum("sum_click").alias("c")).repartition(*K3)
-    base, first, last = _resolve_end(base, assessments, using_testing_dates, None)
-    counted = F.when((F.col("date") <= last) & F.col("activity_type").isin(list(activities)), F.col("c"))
-    day = Window.partitionBy(*K3, "date")
-    rows = _with_shares(base, counted).withColumns({
-        "__total": F.sum("c").over(day), "__nth": F.row_number().over(day.orderBy("activity_type"))})
-    # each day once in the sequence, with the clicks of all its activities
-    rows = rows.withColumn("__total", F.when(F.col("__nth") == 1, F.col("__total")))
-    g = rows.groupBy(*K3).agg(_day_sequence(start, end, "__total"), F.max("__all").alias("__all"),
-                              *_activity_measures(len(activities)),
-                              *_procrastination_means(F.col("c"), first, last))
-    g = g.where(F.col("__all").isNotNull()).drop("__all")
-    return _time_metrics(g, end - start + 1, TIME_METRICS, "").drop("seq")
+    days = clicks.groupBy(*K3, "date").agg(F.sum("sum_click").alias("sum_click"), *_activity_sums(activities)).repartition(*K3)
+    days, first, last = _resolve_end(days, assessments, using_testing_dates, None)
+    n = len(activities)
+    inside, x, w = F.col("date") <= last, _elapsed(first, last), F.col("sum_click").cast("double")
+    weeks = days.groupBy(*K3, _week(start, end)).agg(
+        *_week_sums(start, end), *_student_sums(n, inside), F.sum(F.when(inside, w)).alias("__w"),
+        *[F.sum(F.when(inside, w * f(x))).alias(f"__{name}") for name, f in PROCRASTINATION.items()])
+    g = weeks.groupBy(*K3).agg(
+        *_weekday_counts(), *[F.sum(f"__a{i}").alias(f"__a{i}") for i in range(n)], F.sum("__days").alias("__days"),
+        F.flatten(F.collect_list("__entries")).alias("__entries"),
+        *[(F.sum(f"__{name}") / F.sum("__w")).alias(name) for name in PROCRASTINATION])
+    g = _time_metrics(_activity_measures(g, n), end - start + 1, TIME_METRICS, "")
+    return g.select(*K3, *TIME_METRICS, "concentration", "consistency", *PROCRASTINATION)

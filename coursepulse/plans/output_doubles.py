@@ -11,6 +11,9 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'e1_clicks_by_activity_mean': ['sum_click'],
     'e1_clicks_by_date_activity_std': ['sum_click'],
     'e1_clicks_by_site_median': ['sum_click'],
+    'e1_clicks_by_date_prod': ['sum_click'],
+    'e1_clicks_sem': ['sum_click'],
+    'e1_clicks_skew': ['sum_click'],
     'e1_clicks_count_var': ['v'],
     'e20_flatten_joint': ['p'],
     'e21_entropies': ['entropy_joint', 'entropy_date', 'entropy_acty', 'result'],
@@ -34,6 +37,7 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'f10_procrastination_range': ['proc1', 'proc2', 'proc3'],
     'f10_procrastination_third_test': ['proc1', 'proc2', 'proc3'],
     'f11_outcome_metrics': ['pwd', 'ws1', 'ws2', 'ws3', 'fwd', 'concentration', 'consistency', 'proc1', 'proc2', 'proc3'],
+    'f10_procrastination_own_measures': ['quadratic', 'late_share'],
     'f1_time_regularity': ['regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_ws2', 'regularity_indicator_ws3', 'regularity_indicator_fwd'],
     'f1_time_regularity_shifted': ['regularity_indicator_pwd', 'regularity_indicator_ws1', 'regularity_indicator_ws2', 'regularity_indicator_ws3', 'regularity_indicator_fwd'],
     'f7_activity_regularity': ['concentration', 'consistency'],

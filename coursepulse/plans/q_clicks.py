@@ -16,6 +16,7 @@ from coursepulse.plans.sql_parts import K3S
 from coursepulse.schema import K2, K3
 from coursepulse.sources.fixture import fixture_tables
 
+K3J = "code_module, code_presentation, id_student"
 SCHED = f"""sched AS (SELECT code_module, code_presentation,
   list_sort(list(date) FILTER (WHERE date IS NOT NULL))[1:3] AS dates FROM assessments GROUP BY code_module, code_presentation)"""
 FIRST = "fa AS (SELECT code_module, code_presentation, min(date) AS first_assessment_date FROM assessments GROUP BY ALL)"
@@ -261,6 +262,59 @@ def e1_clicks_count_var(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("sum_click").alias("hi"))
 
 
+def _nth_sql(descending: bool) -> str:
+    way = "DESC" if descending else "ASC"
+    return f"""
+r AS (SELECT s.*, v.activity_type, row_number() OVER (PARTITION BY {K3J}, v.activity_type
+  ORDER BY s.date {way}, s.id_site {way}, s.sum_click {way}) AS nth FROM student_vle s JOIN vle v USING (code_module, code_presentation, id_site))
+SELECT {K3S}, activity_type, sum_click FROM r WHERE nth = 1"""
+
+
+@query("e1_first_clicks_by_activity", _nth_sql(False))
+def e1_first_clicks_by_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks of a student's first row of each activity (by day, site, clicks)."""
+    raw = _raw(spark, sf_dir)
+    return clicks.aggregate_clickstream(raw["student_vle"], raw["vle"], ["activity_type"], "first")
+
+
+@query("e1_last_clicks_by_activity", _nth_sql(True))
+def e1_last_clicks_by_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks of a student's last row of each activity (by day, site, clicks)."""
+    raw = _raw(spark, sf_dir)
+    return clicks.aggregate_clickstream(raw["student_vle"], raw["vle"], ["activity_type"], "last")
+
+
+@query("e1_clicks_by_date_prod", f"SELECT {K3S}, date, ln(product(sum_click)) AS sum_click FROM student_vle GROUP BY {K3S}, date")
+def e1_clicks_by_date_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product of a student's clicks per day, as its logarithm (6 decimals of the product itself are beyond a double)."""
+    out = clicks.aggregate_clickstream(_raw(spark, sf_dir)["student_vle"], None, ["date"], "prod")
+    return out.withColumn("sum_click", F.ln("sum_click"))
+
+
+@query("e1_clicks_sem", f"SELECT {K3S}, stddev_samp(sum_click) / sqrt(count(sum_click)) AS sum_click FROM student_vle GROUP BY {K3S}")
+def e1_clicks_sem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standard error of the mean of a student's clicks."""
+    return clicks.aggregate_clickstream(_raw(spark, sf_dir)["student_vle"], None, [], "sem")
+
+
+@query("e1_clicks_skew", f"""
+m AS (SELECT {K3S}, avg(sum_click) AS mean, CAST(count(*) AS DOUBLE) AS n FROM student_vle GROUP BY {K3S}),
+c AS (SELECT {K3S}, max(n) AS n, sum(pow(sum_click - mean, 2)) / max(n) AS m2, sum(pow(sum_click - mean, 3)) / max(n) AS m3
+  FROM student_vle JOIN m USING ({K3J}) GROUP BY {K3S})
+SELECT {K3S}, CASE WHEN n < 3 THEN NULL WHEN m2 = 0 THEN 0.0
+  ELSE m3 / pow(m2, 1.5) * sqrt(n * (n - 1)) / (n - 2) END AS sum_click FROM c""")
+def e1_clicks_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bias-corrected skewness of a student's clicks."""
+    return clicks.aggregate_clickstream(_raw(spark, sf_dir)["student_vle"], None, [], "skew")
+
+
+@query("e1_clicks_by_date_nunique", f"""
+SELECT {K3S}, date, CAST(count(DISTINCT sum_click) AS BIGINT) AS sum_click FROM student_vle GROUP BY {K3S}, date""")
+def e1_clicks_by_date_nunique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of different click counts of a student per day."""
+    return clicks.aggregate_clickstream(_raw(spark, sf_dir)["student_vle"], None, ["date"], "nunique")
+
+
 def _seq_sql(start: int, end: int) -> str:
     return f"""
 d AS (SELECT {K3S}, date, sum(sum_click) AS w FROM student_vle GROUP BY {K3S}, date)

@@ -117,6 +117,19 @@ def f10_procrastination_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regularity.procrastination(raw["student_vle"], user_defined_range=(5, 20))
 
 
+@query("f10_procrastination_own_measures", f"""{SCHED},
+d AS (SELECT {K3J}, date, CAST(sum(sum_click) AS DOUBLE) AS w FROM student_vle WHERE date >= 0 GROUP BY ALL),
+j AS (SELECT d.*, dates[1] AS e, CAST(date AS DOUBLE) / (dates[1] + 1) AS x FROM d LEFT JOIN sched USING (code_module, code_presentation))
+SELECT {K3J}, sum(w * x * x) FILTER (WHERE date <= e) / sum(w) FILTER (WHERE date <= e) AS quadratic,
+ sum(CASE WHEN x >= 0.75 THEN w ELSE 0 END) FILTER (WHERE date <= e) / sum(w) FILTER (WHERE date <= e) AS late_share
+FROM j GROUP BY {K3J}""")
+def f10_procrastination_own_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two measures given by the caller: the mean of x * x, and the share of clicks in the last quarter (an Arrow function)."""
+    raw = _raw(spark, sf_dir)
+    return regularity.procrastination(raw["student_vle"], raw["assessments"], 0, measures={
+        "quadratic": lambda x: x * x, "late_share": regularity.arrow_measure(lambda x: x >= 0.75)})
+
+
 METRICS = ["pwd", "ws1", "ws2", "ws3", "fwd", "concentration", "consistency", "proc1", "proc2", "proc3"]
 
 
