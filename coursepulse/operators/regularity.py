@@ -78,74 +78,89 @@ def time_regularity(daily: DataFrame, start: int, end: int,
     # one exchange by student serves the weeks and the students
     by_week = daily.repartition(*K3).groupBy(*K3, _week(start, end)).agg(
         *_week_sums(start, end), F.sum(F.when(in_window(start, end), F.col("sum_click"))).alias("__inside"))
-    g = by_week.groupBy(*K3).agg(*_weekday_counts(), F.coalesce(F.sum("__inside"), F.lit(0)).cast("long").alias("effort"))
-    return _time_metrics(g, end - start + 1, metrics, prefix).select(
+    effort = [F.expr("CAST(coalesce(sum(__inside), 0) AS LONG) AS effort")] if with_effort else []
+    n_days = end - start + 1
+    g = by_week.groupBy(*K3).agg(*_student_weeks(n_days, metrics), *effort)
+    return _time_metrics(g, n_days, metrics, prefix).select(
         *K3, *[f"{prefix}{m}" for m in metrics], *(["effort"] if with_effort else []))
 
 
-def _active(start: int, end: int) -> F.Column:
-    return in_window(start, end) & (F.col("sum_click") > 0)
-
-
 def _week(start: int, end: int) -> F.Column:
     """The week of an active day, NULL for all other rows."""
-    return F.when(_active(start, end), F.floor((F.col("date") - F.lit(start)) / 7)).alias("week")
+    return F.expr(f"CASE WHEN date BETWEEN {start} AND {end} AND sum_click > 0 THEN (date - {start}) div 7 END").alias("week")
 
 
 def _week_sums(start: int, end: int) -> list[F.Column]:
     """Aggregates of a student's week: its active weekdays as 7 bits and the clicks of each weekday."""
-    weekday = F.pmod(F.col("date") - F.lit(start), F.lit(7))
-    bit = F.call_function("shiftleft", F.lit(1), weekday.cast("int"))
-    return [F.bit_or(F.when(_active(start, end), bit)).alias("mask"), F.array(*[
-        F.coalesce(F.sum(F.when(_active(start, end) & (weekday == d), F.col("sum_click"))), F.lit(0)).cast("double")
-        for d in range(7)]).alias("clicks")]
+    active, weekday = f"date BETWEEN {start} AND {end} AND sum_click > 0", f"pmod(date - {start}, 7)"
+    by_day = ", ".join(f"CAST(coalesce(sum(CASE WHEN {active} AND {weekday} = {d} THEN sum_click END), 0) AS DOUBLE)" for d in range(7))
+    return [F.expr(f"bit_or(CASE WHEN {active} THEN shiftleft(1, CAST({weekday} AS INT)) END) AS mask"),
+            F.expr(f"array({by_day}) AS clicks")]
+
+
+def _field(n_days: int) -> tuple[int, int]:
+    """Bits that hold a number of weeks of the window, and how many such fields a long has."""
+    bits = ((n_days + 6) // 7).bit_length()
+    return bits, 63 // bits
+
+
+def _student_weeks(n_days: int, metrics: Sequence[str]) -> list[F.Column]:
+    """Aggregates of a student over its weeks, those that the metrics need: how many weeks there are (``weeks``), how many
+    weeks of k active days hold weekday d, for 7 x 7 pairs in fields of a few longs (``k{k}_{part}``), and the clicks."""
+    bits, per = _field(n_days)
+    out = ["count(week) AS weeks"]
+    for part in range(-(-7 // per)):
+        spread = " + ".join(f"shiftleft(CAST(getbit(mask, {d}) AS LONG), {bits * (d - part * per)})"
+                            for d in range(part * per, min(7, (part + 1) * per)))
+        out += [f"coalesce(sum(CASE WHEN bit_count(mask) = {k} THEN {spread} END), 0L) AS k{k}_{part}" for k in range(1, 8)]
+    if {"ws2", "ws3"} & set(metrics):
+        out.append("array_sort(collect_list(CASE WHEN week IS NOT NULL THEN struct(week, clicks) END)) AS vectors")
+    return [F.expr(x) for x in out]
 
 
-def _weekday_counts() -> list[F.Column]:
-    """Aggregates of a student over the weeks: how many there are, how many hold weekday d (``n{d}``), how many of k
-    active days do (``n{d}_{k}``), and their click vectors. Those that no metric uses are pruned."""
-    size = F.bit_count("mask")
-    holds = [F.getbit("mask", F.lit(d)).cast("long") for d in range(7)]
-    return [F.count("week").alias("weeks"), *[F.coalesce(F.sum(holds[d]), F.lit(0)).alias(f"n{d}") for d in range(7)],
-            *[F.coalesce(F.sum(F.when(size == k, holds[d])), F.lit(0)).alias(f"n{d}_{k}")
-              for d in range(7) for k in range(1, 8)],
-            F.array_sort(F.collect_list(F.when(F.col("week").isNotNull(), F.struct("week", "clicks")))).alias("vectors")]
+def _weeks_of(k: int, d: int, n_days: int) -> str:
+    """SQL: how many weeks of ``k`` active days hold weekday ``d``."""
+    bits, per = _field(n_days)
+    return f"(shiftright(k{k}_{d // per}, {bits * (d % per)}) & {(1 << bits) - 1})"
 
 
-def _week_overlap() -> F.Column:
-    """Sum over the pairs of a student's weeks of ``|A n B| / max(|A|, |B|)``, without visiting a pair.
+def _week_overlap(n_days: int) -> str:
+    """SQL: sum over the pairs of a student's weeks of ``|A n B| / max(|A|, |B|)``, without visiting a pair.
 
     Weekday d adds 1 / k to every pair of weeks that both hold it, k being the larger number of active days: the
     pairs among the weeks of k days, and those of one such week and one of fewer days.
     """
-    terms = []
+    by_size = []
     for k in range(1, 8):
+        pairs = []
         for d in range(7):
-            n = F.col(f"n{d}_{k}")
-            fewer = sum((F.col(f"n{d}_{j}") for j in range(1, k)), F.lit(0))
-            terms.append((n * (n - 1) / 2 + n * fewer) / k)
-    return sum(terms, F.lit(0.0))
+            fewer = "".join(f" + 2 * {_weeks_of(j, d, n_days)}" for j in range(1, k))
+            n = _weeks_of(k, d, n_days)
+            pairs.append(f"{n} * ({n} - 1{fewer})")
+        by_size.append(f"CAST({' + '.join(pairs)} AS DOUBLE) / {2 * k}")
+    return " + ".join(by_size)
 
 
 def _time_metrics(g: DataFrame, n_days: int, metrics: Sequence[str], prefix: str) -> DataFrame:
-    """``g`` (one row per student with the aggregates of ``_weekday_counts``) with the time-regularity metrics."""
-    counts = [F.col(f"n{d}").cast("double") for d in range(7)]
-    active = sum(counts, F.lit(0.0))
-    entropy = -sum((F.when(c > 0, c / active * F.ln(c / active)).otherwise(0.0) for c in counts), F.lit(0.0))
-    wave = [sum((c * wave(2 * math.pi * d / 7) for d, c in enumerate(counts)), F.lit(0.0)) for wave in (math.cos, math.sin)]
-    pairs = F.col("weeks") * (F.col("weeks") - 1) / 2
+    """``g`` (one row per student with the aggregates of ``_student_weeks``) with the time-regularity metrics."""
+    days = [" + ".join(_weeks_of(k, d, n_days) for k in range(1, 8)) for d in range(7)]
+    if {"pwd", "fwd"} & set(metrics):
+        g = g.withColumn("held", F.expr(f"array({', '.join(f'CAST({n} AS DOUBLE)' for n in days)})"))
     if {"ws2", "ws3"} & set(metrics):
         g = g.withColumn("mats", F.expr("transform(vectors, x -> x.clicks)")).withColumn("n", F.size("mats"))
     if "ws2" in metrics:
         g = g.withColumn("shares", F.expr(f"transform(mats, v -> transform(v, x -> x / {_vsum('v')}))"))
+    total = _vsum("held")
+    wave = [" + ".join(f"held[{d}] * {f(2 * math.pi * d / 7)!r}D" for d in range(7)) for f in (math.cos, math.sin)]
     exprs = {
-        "pwd": lambda: F.when(active > 0, (F.lit(LN7) - entropy) * F.greatest(*counts)),
-        "ws1": lambda: F.when(F.col("weeks") > 1, _week_overlap() / pairs),
-        "ws2": lambda: F.expr(_pair_mean(WS2_TERM, "shares")),
-        "ws3": lambda: F.expr(_pair_mean(WS3_TERM, "mats")),
-        "fwd": lambda: F.when(active > 0, (wave[0] * wave[0] + wave[1] * wave[1]) / float(n_days)),
+        "pwd": lambda: (f"CASE WHEN weeks > 0 THEN ({LN7!r}D + aggregate(held, CAST(0 AS DOUBLE), (s, c) -> s + CASE WHEN c > 0 "
+                        f"THEN c / {total} * ln(c / {total}) ELSE 0.0D END)) * array_max(held) END"),
+        "ws1": lambda: f"CASE WHEN weeks > 1 THEN ({_week_overlap(n_days)}) / (weeks * (weeks - 1) / 2) END",
+        "ws2": lambda: _pair_mean(WS2_TERM, "shares"),
+        "ws3": lambda: _pair_mean(WS3_TERM, "mats"),
+        "fwd": lambda: f"CASE WHEN weeks > 0 THEN (pow({wave[0]}, 2) + pow({wave[1]}, 2)) / {float(n_days)!r}D END",
     }
-    return g.withColumns({f"{prefix}{m}": exprs[m]() for m in metrics})
+    return g.withColumns({f"{prefix}{m}": F.expr(exprs[m]()) for m in metrics})
 
 
 def _resolve_end(clicks: DataFrame, assessments: DataFrame | None, using_testing_dates: int,
@@ -170,7 +185,7 @@ def activity_regularity(student_vle: DataFrame, vle: DataFrame, assessments: Dat
     inside, start, end = _resolve_end(clicks, assessments, using_testing_dates, user_defined_range)
     inside = inside.where((F.col("date") >= start) & (F.col("date") <= end) & F.col("activity_type").isin(list(activities)))
     days = inside.groupBy(*K3, "date").agg(*_activity_sums(activities))
-    g = days.groupBy(*K3).agg(*_student_sums(len(activities), F.lit(True)))
+    g = days.groupBy(*K3).agg(*_student_sums(len(activities), "true"))
     return _activity_measures(g, len(activities)).select(*K3, "concentration", "consistency")
 
 
@@ -179,15 +194,15 @@ def _activity_sums(activities: Sequence[str]) -> list[F.Column]:
     return [F.sum(F.when(F.col("activity_type") == a, F.col("sum_click"))).alias(f"__a{i}") for i, a in enumerate(activities)]
 
 
-def _student_sums(n_activities: int, counted: F.Column) -> list[F.Column]:
-    """Aggregates over the days that are ``counted``: clicks per activity, days, and the activities of every day
-    with their share of it."""
-    own = [F.col(f"__a{i}") for i in range(n_activities)]
-    total = sum((F.coalesce(c, F.lit(0)) for c in own), F.lit(0))
-    entries = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.try_divide(c.cast("double"), total.cast("double")).alias("p"))
-                                 for i, c in enumerate(own)]), lambda x: x["p"] > 0)
-    return [*[F.sum(F.when(counted, c)).alias(f"__a{i}") for i, c in enumerate(own)],
-            F.count_if(counted & (total > 0)).alias("__days"), F.collect_list(F.when(counted, entries)).alias("__entries")]
+def _student_sums(n_activities: int, counted: str) -> list[F.Column]:
+    """Aggregates over the days that are ``counted`` (SQL): clicks per activity, days, and the clicks of the activities
+    of every day with the day's total."""
+    total = " + ".join(f"coalesce(__a{i}, 0)" for i in range(n_activities))
+    entries = ", ".join(f"CASE WHEN __a{i} > 0 THEN struct({i} AS i, CAST(__a{i} AS DOUBLE) AS c) END" for i in range(n_activities))
+    return [F.expr(x) for x in (
+        *[f"sum(CASE WHEN {counted} THEN __a{i} END) AS __a{i}" for i in range(n_activities)],
+        f"count_if({counted} AND {total} > 0) AS __days",
+        f"collect_list(CASE WHEN {counted} THEN struct(CAST({total} AS DOUBLE) AS t, array_compact(array({entries})) AS own) END) AS __entries")]
 
 
 def _activity_measures(g: DataFrame, n_activities: int) -> DataFrame:
@@ -197,19 +212,16 @@ def _activity_measures(g: DataFrame, n_activities: int) -> DataFrame:
     A day's divergence from the shares ``q`` of all days needs only the activities it has: each of the
     others adds ``q ln 2 / 2``, and the shares add up to 1.
     """
-    own = [F.coalesce(F.col(f"__a{i}"), F.lit(0)).cast("double") for i in range(n_activities)]
-    g = g.withColumn("__all", sum(own, F.lit(0.0))).where(F.col("__all") > 0)
-    g = g.withColumn("__q", F.array(*[c / F.col("__all") for c in own]))
-    entropy = -F.aggregate("__q", F.lit(0.0), lambda s, q: s + F.when(q > 0, q * F.log2(q)).otherwise(0.0))
-
-    def term(s, x):
-        p, q = x["p"], F.col("__q")[x["i"]]
-        return s + p * F.ln(F.lit(2.0) * p / (p + q)) + q * F.ln(F.lit(2.0) * q / (p + q)) - F.lit(LN2) * q
-
-    days = F.col("__days").cast("double")
-    jsd = F.lit(0.5) * (F.aggregate(F.flatten("__entries"), F.lit(0.0), term) + F.lit(LN2) * days)
-    return g.withColumns({"concentration": F.lit(1.0) - entropy / F.lit(math.log2(n_activities)),
-                          "consistency": F.lit(1.0) - jsd / days / F.lit(LN2)})
+    sums = ", ".join(f"CAST(coalesce(__a{i}, 0) AS DOUBLE)" for i in range(n_activities))
+    g = g.withColumn("__sums", F.expr(f"array({sums})")).withColumn("__all", F.expr(_vsum("__sums"))).where("__all > 0")
+    g = g.withColumn("__q", F.expr("transform(__sums, x -> x / __all)"))
+    entropy = "aggregate(__q, CAST(0 AS DOUBLE), (s, q) -> s - CASE WHEN q > 0 THEN q * log2(q) ELSE 0.0D END)"
+    term = (f"x.c / d.t * ln(2.0D * x.c / d.t / (x.c / d.t + __q[x.i])) + "
+            f"__q[x.i] * (ln(2.0D * __q[x.i] / (x.c / d.t + __q[x.i])) - {LN2!r}D)")
+    jsd = f"aggregate(__entries, CAST(0 AS DOUBLE), (r, d) -> r + aggregate(d.own, CAST(0 AS DOUBLE), (s, x) -> s + {term}))"
+    return g.withColumns({
+        "concentration": F.expr(f"1.0D - {entropy} / {math.log2(n_activities)!r}D"),
+        "consistency": F.expr(f"1.0D - 0.5D * ({jsd} + {LN2!r}D * __days) / __days / {LN2!r}D")})
 
 
 PROCRASTINATION = {
@@ -276,13 +288,15 @@ def all_measures(student_vle: DataFrame, vle: DataFrame, assessments: DataFrame,
     days = clicks.groupBy(*K3, "date").agg(F.sum("sum_click").alias("sum_click"), *_activity_sums(activities)).repartition(*K3)
     days, first, last = _resolve_end(days, assessments, using_testing_dates, None)
     n = len(activities)
-    inside, x, w = F.col("date") <= last, _elapsed(first, last), F.col("sum_click").cast("double")
+    # without a test date no day is counted
+    days = days.withColumn("__last", last)
+    inside, x, w = F.col("date") <= F.col("__last"), _elapsed(first, F.col("__last")), F.col("sum_click").cast("double")
     weeks = days.groupBy(*K3, _week(start, end)).agg(
-        *_week_sums(start, end), *_student_sums(n, inside), F.sum(F.when(inside, w)).alias("__w"),
+        *_week_sums(start, end), *_student_sums(n, "coalesce(date <= __last, false)"), F.sum(F.when(inside, w)).alias("__w"),
         *[F.sum(F.when(inside, w * f(x))).alias(f"__{name}") for name, f in PROCRASTINATION.items()])
     g = weeks.groupBy(*K3).agg(
-        *_weekday_counts(), *[F.sum(f"__a{i}").alias(f"__a{i}") for i in range(n)], F.sum("__days").alias("__days"),
-        F.flatten(F.collect_list("__entries")).alias("__entries"),
+        *_student_weeks(end - start + 1, TIME_METRICS), *[F.expr(f"sum(__a{i}) AS __a{i}") for i in range(n)],
+        F.sum("__days").alias("__days"), F.flatten(F.collect_list("__entries")).alias("__entries"),
         *[(F.sum(f"__{name}") / F.sum("__w")).alias(name) for name in PROCRASTINATION])
     g = _time_metrics(_activity_measures(g, n), end - start + 1, TIME_METRICS, "")
     return g.select(*K3, *TIME_METRICS, "concentration", "consistency", *PROCRASTINATION)

@@ -121,3 +121,21 @@ def test_rejected_values(spark, tmp_path):
     assert got == {("vle", "id_site", "x2", "not"), ("vle", "week_from", "one", "not"), ("courses", "module_presentation_length", "9.5.1", "not"),
                    ("vle", None, "AAA,2013J,3,quiz", "wrong"), ("vle", None, "AAA,2013J,4,url,1,2,9", "wrong")}
     assert all(r["file"].endswith(f"{r['table']}.csv") for r in rejected.collect())
+
+
+@pytest.mark.parametrize("name", ["f11_outcome_metrics", "f7_activity_regularity", "f10_procrastination"])
+def test_measures_need_no_window(spark, name):
+    from coursepulse.plans.registry import load_all
+
+    assert "Window" not in load_all()[name].fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_week_counts_beyond_one_long(spark):
+    # a window of 20 years: a count takes 11 bits, so the seven weekdays need two longs
+    rows = [(1, 7 * w + d, 1) for w in range(1000) for d in range(w % 7 + 1)]
+    got = regularity.time_regularity(clicks_df(spark, rows), 0, 7299, ["ws1", "pwd"], prefix="").first()
+    sizes = [w % 7 + 1 for w in range(1000)]
+    want = sum(min(a, b) / max(a, b) for a, b in combinations(sizes, 2)) / (1000 * 999 / 2)
+    held = np.array([sum(s > d for s in sizes) for d in range(7)])
+    share = held / held.sum()
+    assert got["ws1"] == pytest.approx(want) and got["pwd"] == pytest.approx((np.log(7) + (share * np.log(share)).sum()) * held.max())
