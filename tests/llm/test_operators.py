@@ -665,3 +665,126 @@ def test_line_numbers_beyond_22_bits_and_many_deleted_lines(spark):
     src = spark.createDataFrame([(1, "\n" * 4_200_000 + few), (2, few + "\nown words")], "doc_id long, text string")
     got = {r.doc_id: (r.n_lines, r.n_deleted) for r in line_dedup.dedup_lines(src, 50).collect()}
     assert got == {1: (4_200_030, 0), 2: (31, 30)}
+
+
+# --- site style trees against a plain one
+
+def plain_importance(rows):
+    """Importance of every node of one host's tree, by recursion over merged trees of the pages."""
+    from collections import Counter
+    from math import log
+
+    pages_of, texts, styles, place = Counter(), {}, {}, {}
+    sums = {}
+    for page in rows:
+        tree = html.PageTree(elements=True).read(page)
+        nodes, leaves, chars, shapes, said = set(), {}, Counter(), set(), set()
+        for node, kinds in tree.elements:
+            if node.kind != html.HIDDEN:
+                nodes.add(node.path)
+                shapes.add((node.path, kinds))
+                chars[node.path] += node.chars
+                place[node.path] = node
+        rival = any(n.outer is not None for n, _ in tree.elements if n.kind != html.HIDDEN)
+        for node, text, linked in tree.blocks:
+            if node.kind == html.HIDDEN:
+                continue
+            leaf = html._below(node.path, html.TEXT)
+            place[leaf] = node
+            nodes.add(leaf)
+            said.add((leaf, text))
+            a, b, _ = leaves.get(leaf, (0, 0, node))
+            leaves[leaf] = (a + len(text), b + linked, node)
+        for leaf, (a, b, node) in leaves.items():
+            held = node
+            while held.tag in html.FLOW and held.up is not None:
+                held = held.up
+            old = sums.get(leaf, (0, 0.0, 0.0))
+            sums[leaf] = (old[0] + rival, old[1] + chars[held.path] / chars[""], old[2] + b / a)
+        pages_of.update(nodes)
+        for leaf, text in said:
+            texts.setdefault(leaf, Counter())[text] += 1
+        for path, kinds in shapes:
+            styles.setdefault(path, Counter())[kinds] += 1
+
+    def value(path):
+        m = pages_of[path]
+        if path in texts:
+            h = 1.0 if m <= 1 else 1 - sum(map(log, texts[path].values())) / len(texts[path]) / log(m)
+            rival, mass, links = (x / m for x in sums[path])
+            kind = place[path].kind
+            if kind == html.CONTENT:
+                return html.BONUS + (1 - html.BONUS) * h * (1 - links / 2)
+            if kind == html.RARELY:
+                return html.NAMED * h * (1 - links) * mass * (1 - rival)
+            return (html.WEAK if kind == html.PERHAPS else 1) * h * (1 - links) * min(1.0, mass / html.FULL_MASS)
+        if path not in styles:
+            return 0.0
+        got = styles[path]
+        n, share = sum(got.values()), html.DECAY ** len(got)
+        own = 1.0 if n <= 1 else (log(n) - sum(c * log(c) for c in got.values()) / n) / log(n)
+        below = sum(c / n * sum(value(html._below(path, k)) for k in kinds.split(",")) / len(kinds.split(","))
+                    for kinds, c in got.items() if kinds)
+        return (1 - share) * own + share * below
+
+    return {path: value(path) for path in pages_of}
+
+
+def random_site(seed):
+    import random
+
+    r = random.Random(seed)
+    word = lambda n: " ".join(r.choice("alpha beta gamma delta omega".split()) for _ in range(n))
+
+    def branch(depth):
+        tag = r.choice(["div", "div class=box", "section id=side", "p", "nav", "article", "footer", "div class=related", "ul"])
+        inner = "".join(branch(depth - 1) for _ in range(r.randrange(3))) if depth else ""
+        link = f"<a href=x>{word(2)}</a>" if r.random() < 0.4 else ""
+        return f"<{tag}>{word(r.randrange(4))}{link}{inner}</{tag.split()[0]}>"
+
+    shapes = [branch(3) + branch(2) for _ in range(3)]
+    return [r.choice(shapes).replace("alpha", r.choice(["alpha", f"new{i}"])) for i in range(30)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_style_tree_equals_a_plain_one(spark, seed):
+    deep = "<div class=one-of-many-wrappers>" * (seed * 10)  # paths that go on from their digests
+    site = [deep + p for p in random_site(seed)]
+    src = spark.createDataFrame([("http://h/", p) for p in site], "url string, html string")
+    got = {r.path: r.importance for r in html.importance(html._counts(src)).where("host = 'h'").collect()}
+    assert got == pytest.approx(plain_importance(site))
+
+
+def test_varying_menus_and_adverts_fall_without_names(spark):
+    """Menus, adverts and footers that differ on each page: judged by links and mass, not by what they are called."""
+    def page(i):
+        links = "".join(f"<li><a href=/{i}{k}>go {i} {k}</a></li>" for k in range(5))
+        return (f"<body><div class=q1><ul>{links}</ul></div><div class=q2>Buy thing {i} now</div><div class=q3><h2>Head {i}</h2>"
+                f"<p>{f'Story {i} is told here. ' * 40}</p></div><div class=q4>No {i} of ours</div></body>")
+
+    src = spark.createDataFrame([(i, f"http://h/{i}", page(i)) for i in range(40)], "page_id long, url string, html string")
+    for names in (True, False):
+        got = {r.page_id: r.text for r in html.extract(src, names=names).collect()}
+        assert got == {i: f"Head {i}\n" + (f"Story {i} is told here. " * 40).strip() for i in range(40)}
+
+
+def test_names_inside_an_article_and_around_a_page(spark):
+    page = ("<article><p class=comment-count>Para</p><div class=popup-story>Told</div><div id=nav-history>Past</div>"
+            "<div class=comments>nice</div></article>")
+    assert html.page_text(page) == "Para\nTold\nPast"
+    rows = [(i, f"http://h/{i}", page.replace("Para", f"Para {i}")) for i in range(3)]
+    rows += [(100 + i, f"http://p/{i}", f"<div class=popup>{f'All of page {i}. ' * 9}</div><div class=comments>yes {i}</div>") for i in range(40)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "Para 1\nTold\nPast"
+    assert all(got[100 + i] == (f"All of page {i}. " * 9).strip() for i in range(40))
+
+
+def test_deep_pages_need_little_memory():
+    import tracemalloc
+
+    page = "<div>" * 100_000 + "deep" + "</x>" * 100_000 + "<li>" * 10
+    tracemalloc.start()
+    tree = html.PageTree(elements=True).read(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tree.blocks[0][1] == "deep" and peak < 300_000_000
