@@ -10,10 +10,11 @@ returned as is and Spark plans a shuffle join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 1_000_000
+FEW_ROWS = 10_000
 MAX_BYTES = 256 * 1024 * 1024
 
 _ATTR = "_coursepulse_row_bound"
@@ -29,6 +30,17 @@ def row_bound(df: DataFrame) -> int | None:
     return getattr(df, _ATTR, None)
 
 
+def few_rows(df: DataFrame, what: str, limit: int = FEW_ROWS) -> list[Row]:
+    """The rows of a frame that is small by its meaning (classes, categories, activities); more are an error.
+
+    At most ``limit + 1`` rows reach the driver.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}")
+    return rows
+
+
 def narrowed(df: DataFrame, *cols: str) -> DataFrame:
     """``df.select(cols)`` with the row bound of ``df``."""
     out, bound = df.select(*cols), row_bound(df)

@@ -77,9 +77,3 @@ def split_completeness(tables: dict[str, DataFrame], train_terms: Sequence[str]
             F.count_if(IN_TEST).alias("n_test")).withColumn("table_name", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
-
-
-def rows_sum_to_one(cols: Sequence[str], tol: float = 1e-9) -> Column:
-    """Predicate: the share columns of a row add up to 1."""
-    total = sum((F.col(f"`{c}`") for c in cols), F.lit(0.0))
-    return F.abs(total - F.lit(1.0)) <= F.lit(tol)

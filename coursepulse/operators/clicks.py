@@ -180,11 +180,6 @@ def clicks_up_to_test(student_vle: DataFrame, assessments: DataFrame, test_index
     return student_vle.join(sched, K2, "left").where(cond).drop("dates")
 
 
-def clicks_in_range(student_vle: DataFrame, start: int, end: int) -> DataFrame:
-    """Keep clicks with ``start <= date <= end`` (user-defined range)."""
-    return student_vle.where(in_window(start, end))
-
-
 def pre_test_clicks(clicks: DataFrame, assessments: DataFrame, registration: DataFrame,
                     unregistered_by: int = 7) -> DataFrame:
     """Clicks up to the first assessment, without students unregistered by day ``unregistered_by``.

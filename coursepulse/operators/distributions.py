@@ -133,29 +133,24 @@ def flatten_joint(joint: DataFrame) -> DataFrame:
 def entropies(base: DataFrame, ignore_neg_date: bool = True) -> DataFrame:
     """Joint, day and activity entropy (base 2) per student and the mean outcome code.
 
-    Zero cells of the dense joint add nothing to an entropy, so the sparse clicks suffice. Two
-    groupings on the student key build each student's day list (at most one entry per day, each
-    with its activity counts); the three entropies are expressions over that bounded list, so
-    there is no join between partial results and, on input already partitioned by the student
-    key (as ``entropy_base`` returns it), no further shuffle.
+    With T the student's clicks, an entropy of counts c is ``log2(T) - sum(c log2 c) / T``, and zero cells of the
+    dense joint add nothing. So each (day, activity) cell is counted once for its day and once for
+    its activity, and sums of ``c log2 c`` over cells, days and activities give all three: two hash
+    aggregates on the student key, no list per student, no join between partial results.
     """
     src = base.where(F.col("date") >= 0) if ignore_neg_date else base
-    src = src.where(F.col("date") <= F.col("date_assessment").cast("long"))
-    per_day = src.groupBy(*K3, "date").agg(
-        F.sum("sum_click").alias("dc"),
-        F.collect_list(F.struct(F.col("activity_type").alias("a"), F.col("sum_click").alias("c"))).alias("acts"),
-        F.max("final_result").alias("fr"))
-    stu = per_day.groupBy(*K3).agg(F.collect_list(F.struct("dc", "acts")).alias("days"), F.max("fr").alias("result"))
-    e = F.expr
-    stu = stu.select(*K3, "days", "result",
-                     e("aggregate(days, CAST(0 AS BIGINT), (s, x) -> s + x.dc)").alias("tot"),
-                     e("flatten(transform(days, x -> x.acts))").alias("flat"))
-    plogp = "CAST({v} AS DOUBLE) / tot * log2(CAST({v} AS DOUBLE) / tot)"
-    act_sum = "aggregate(filter(flat, y -> y.a = a), CAST(0 AS BIGINT), (s2, y) -> s2 + y.c)"
-    return stu.select(
-        *K3,
-        e(f"-aggregate(flat, 0D, (s, y) -> s + {plogp.format(v='y.c')})").alias("entropy_joint"),
-        e(f"-aggregate(days, 0D, (s, x) -> s + {plogp.format(v='x.dc')})").alias("entropy_date"),
-        e(f"-aggregate(array_distinct(transform(flat, y -> y.a)), 0D, (s, a) -> s + {plogp.format(v=act_sum)})")
-        .alias("entropy_acty"),
-        F.col("result").cast("double").alias("result"))
+    src = src.where(F.col("date") <= F.col("date_assessment").cast("long")).withColumn("date", F.col("date").cast("long"))
+    cell = src.groupBy(*K3, "date", "activity_type").agg(F.sum("sum_click").alias("c"), F.max("final_result").alias("result"))
+    by = F.explode(F.array(F.struct(F.col("date"), F.lit(None).cast("string").alias("activity")),
+                           F.struct(F.lit(None).cast("long").alias("date"), F.col("activity_type").alias("activity"))))
+    c_log_c = lambda c: F.when(F.col(c) > 0, F.col(c) * F.log2(F.col(c).cast("double"))).otherwise(0.0)
+    sides = cell.select(*K3, "c", "result", c_log_c("c").alias("x"), by.alias("by")).groupBy(*K3, "by").agg(
+        F.sum("c").alias("c"), F.sum("x").alias("x"), F.max("result").alias("result"))
+    day = F.col("by.date").isNotNull()
+    stu = sides.groupBy(*K3).agg(
+        F.sum(F.when(day, F.col("c"))).alias("tot"), F.sum(F.when(day, F.col("x"))).alias("joint"),
+        F.sum(F.when(day, c_log_c("c"))).alias("date"), F.sum(F.when(~day, c_log_c("c"))).alias("acty"),
+        F.max("result").cast("double").alias("result"))
+    entropy = lambda s: F.greatest(F.lit(0.0), F.log2(F.col("tot").cast("double")) - F.col(s) / F.col("tot"))
+    whole = lambda s: F.when(F.col("tot") > 0, entropy(s)).alias(f"entropy_{s}")
+    return stu.select(*K3, whole("joint"), whole("date"), whole("acty"), "result")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import band_average, safe_div
+from coursepulse.functions.dims import few_rows
 
 
 # ---------------------------------------------------------------- numeric
@@ -78,7 +79,7 @@ def top_categories(df: DataFrame, col: str, n: int | None) -> list[str]:
          .orderBy(F.desc("count"), F.asc(col)))
     if n is not None:
         q = q.limit(n)
-    return [r[0] for r in q.collect()]
+    return [r[0] for r in few_rows(q, f"values of {col}")]
 
 
 def one_hot_columns(col: str, categories: Sequence[str], prefix: str | None = None) -> list[Column]:
@@ -108,12 +109,6 @@ class CategoricalData:
         return one_hot_columns(c, self.params[c])
 
 
-def full_one_hot(df: DataFrame, col: str) -> list[Column]:
-    """One-hot of every value, classes sorted, columns named by the value itself (legacy)."""
-    values = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
-    return one_hot_columns(col, values, prefix="")
-
-
 # ---------------------------------------------------------------- ordinal
 @dataclass
 class OrdinalData:

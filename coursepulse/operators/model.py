@@ -25,6 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from coursepulse.functions.dims import few_rows
 from coursepulse.functions.columns import safe_div
 from coursepulse.operators.numbering import running_sums
 
@@ -104,7 +105,7 @@ def feature_pipeline(features: Sequence[str], label: str, max_features: int = 10
 # ---------------------------------------------------------------- M6-M10
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Class weight n / (n_classes * n_class) per row (scikit-learn's 'balanced')."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    counts = {r[label]: r["count"] for r in few_rows(df.groupBy(label).count(), f"classes of {label}")}
     n, k = sum(counts.values()), len(counts)
     m = F.create_map(*[x for c, v in counts.items() for x in (F.lit(c), F.lit(n / (k * v)))])
     return df.withColumn(out, F.try_element_at(m, F.col(label)))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import safe_div
-from coursepulse.functions.dims import bounded_broadcast
+from coursepulse.functions.dims import bounded_broadcast, few_rows
 from coursepulse.operators.numbering import running_sums
 from coursepulse.schema import K3
 
@@ -35,7 +35,7 @@ def sample_per_outcome(df: DataFrame, col: str, fraction: float, seed: int = 0,
     u = F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed)).bitwiseAND(F.lit((1 << 53) - 1)).cast("double") \
         / F.lit(float(1 << 53))
     x = df.withColumn("__u", u)
-    counts = x.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = few_rows(x.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")), f"classes of {col}")
     targets = [((r[col],), round(fraction * r["n"]) - 1) for r in counts if round(fraction * r["n"]) > 0]
     if not targets:
         return df.limit(0)
@@ -407,7 +407,8 @@ def order_statistics(df: DataFrame, col: str, targets: Sequence[tuple[tuple, int
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Quantiles with linear interpolation (pandas default) per ``by`` group: (by..., q, value)."""
     by = list(by)
-    counts = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).groupBy(*by).agg(F.count(F.lit(1)).alias("n")).collect()
+    present = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
+    counts = few_rows(present.groupBy(*by).agg(F.count(F.lit(1)).alias("n")), "groups; for many groups see group_quantiles")
     targets, plan = [], []
     for r in counts:
         g = tuple(r[c] for c in by)

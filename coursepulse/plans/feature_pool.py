@@ -7,10 +7,12 @@ into one ``select`` and different tables are joined on the key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from coursepulse.operators import checks, clicks, regularity
 from coursepulse.operators.encode import CategoricalData, NumericData, OrdinalData, response_column
@@ -45,6 +47,44 @@ def extract_column(raw: dict[str, DataFrame], table: str, column: str, check_key
     return df.select(*keys, column)
 
 
+def _fits(df: DataFrame, keys: Sequence[str], mine: Sequence[tuple[str, object]], check_keys: bool) -> list[Callable[[], None]]:
+    """The jobs that fit the preprocessors of one table's columns: one pass for key uniqueness and the
+    statistics of every numeric column, one for the top values of the others."""
+    num = [(c, p) for c, p in mine if isinstance(p, NumericData)]
+    cat = [(c, p) for c, p in mine if isinstance(p, CategoricalData)]
+    ordi = [(c, p) for c, p in mine if isinstance(p, OrdinalData)]
+    check = check_keys and not checks.known_unique(df, keys)
+
+    def statistics() -> None:
+        aggs = [F.count(F.lit(1)).alias("__rows"), F.count_distinct(*keys).alias("__keys")] if check else []
+        for c, _ in num:
+            aggs += [F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd")]
+        row = df.agg(*aggs).first()
+        if check:
+            if row["__rows"] != row["__keys"]:
+                raise DuplicateIndex(list(keys))
+            checks.mark_unique(df, keys)
+        for c, p in num:
+            p.params[c] = {"mu": row[f"{c}__mu"], "std": row[f"{c}__sd"]}
+
+    def top_values() -> None:
+        n = max([p.most_common for _, p in cat] + [1])
+        tops = _top_values(df, [c for c, _ in cat + ordi], n, {c: p.order for c, p in ordi})
+        for c, p in cat:
+            p.params[c] = tops[c][: p.most_common]
+        for c, p in ordi:
+            p.params[c] = p.order.index(tops[c][0]) if tops[c] else 0
+
+    return ([statistics] if check or num else []) + ([top_values] if cat or ordi else [])
+
+
+def _side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
+    """Run small jobs at once; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()
+
+
 def get_feature_batch(raw: dict[str, DataFrame], feature_list: Sequence[tuple[str, str]],
                       preprocessors: Sequence, check_keys: bool = True, refit: bool = True) -> FeatureDict:
     """Extract, fit and encode each (table, column); the last preprocessor repeats for the rest.
@@ -53,39 +93,16 @@ def get_feature_batch(raw: dict[str, DataFrame], feature_list: Sequence[tuple[st
     parameters and only encode; a column that one has not seen is an error.
     """
     assigned = [(t, c, preprocessors[min(len(preprocessors) - 1, i)]) for i, (t, c) in enumerate(feature_list)]
+    fits: list[Callable[[], None]] = []
     for table in dict.fromkeys(t for t, _, _ in assigned):
-        df = raw[table]
-        keys = KEYS[table]
         mine = [(c, p) for t, c, p in assigned if t == table]
         if not refit:
             unseen = [c for c, p in mine if c not in p.params]
             if unseen:
                 raise ValueError(f"preprocessors are not fitted for {unseen}")
-        num = [(c, p) for c, p in mine if refit and isinstance(p, NumericData)]
-        check = check_keys and not checks.known_unique(df, keys)
-        # one pass per table: key uniqueness and the statistics of every numeric column
-        aggs = []
-        if check:
-            aggs += [F.count(F.lit(1)).alias("__rows"), F.count_distinct(*keys).alias("__keys")]
-        for c, _ in num:
-            aggs += [F.avg(c).alias(f"{c}__mu"), F.stddev_samp(c).alias(f"{c}__sd")]
-        if aggs:
-            row = df.agg(*aggs).first()
-            if check:
-                if row["__rows"] != row["__keys"]:
-                    raise DuplicateIndex(list(keys))
-                checks.mark_unique(df, keys)
-            for c, p in num:
-                p.params[c] = {"mu": row[f"{c}__mu"], "std": row[f"{c}__sd"]}
-        cat = [(c, p) for c, p in mine if refit and isinstance(p, CategoricalData)]
-        ordi = [(c, p) for c, p in mine if refit and isinstance(p, OrdinalData)]
-        if cat or ordi:
-            n = max([p.most_common for _, p in cat] + [1])
-            tops = _top_values(df, [c for c, _ in cat + ordi], n, {c: p.order for c, p in ordi})
-            for c, p in cat:
-                p.params[c] = tops[c][: p.most_common]
-            for c, p in ordi:
-                p.params[c] = p.order.index(tops[c][0]) if tops[c] else 0
+        fits += _fits(raw[table], KEYS[table], mine if refit else [], check_keys)
+    if fits:
+        _side_by_side(raw[assigned[0][0]].sparkSession, fits)
     out = FeatureDict()
     for table, col, prep in assigned:
         out[col] = Feature(col, keys=KEYS[table], source=raw[table], columns=prep.columns(col))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursepulse.functions.columns import band_average, ln_or_null
-from coursepulse.functions.dims import bounded_broadcast, narrowed
+from coursepulse.functions.dims import bounded_broadcast, few_rows, narrowed
 from coursepulse.operators import checks
 from coursepulse.operators.clicks import SITE_KEY
 from coursepulse.operators.encode import map_outcome
@@ -33,7 +33,7 @@ def demographics(student_info: DataFrame, outcome_map: dict = FAIL_VS_PASS,
     values: dict[str, list[str]] = {}
     long = student_info.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("k"), F.col(c).alias("v")) for c in one_hot])).alias("p")).select("p.*")
-    for r in long.where(F.col("v").isNotNull()).distinct().orderBy("k", "v").collect():
+    for r in few_rows(long.where(F.col("v").isNotNull()).distinct().orderBy("k", "v"), f"values of {', '.join(one_hot)}"):
         values.setdefault(r["k"], []).append(r["v"])
     taken: set[str] = set(student_info.columns)
     groups: dict[str, list[str]] = {}
@@ -72,8 +72,8 @@ def segment_base(student_vle: DataFrame, vle: DataFrame, segment_days: int = 30)
 
 def activity_values(vle: DataFrame) -> list[str]:
     """Activity types of the site table (a small dimension table), sorted."""
-    return sorted(r[0] for r in vle.select("activity_type").where(F.col("activity_type").isNotNull())
-                  .distinct().collect())
+    known = vle.select("activity_type").where(F.col("activity_type").isNotNull()).distinct()
+    return sorted(r[0] for r in few_rows(known, "activity types"))
 
 
 def engagement(student_vle: DataFrame, vle: DataFrame, segment_days: int = 30, max_segment: int = 8,
@@ -176,8 +176,3 @@ def temporal_segment(data: DataFrame, t: int, time_invariant: Sequence[str],
     aggs += [F.first(F.when(F.col(SEG) == s, F.col(f"`{c}`")), ignorenulls=True).alias(f"t{s}_{c}")
              for s in segs for c in varying]
     return src.groupBy(*K3).agg(*aggs)
-
-
-def temporal_feature_names(features: Sequence[str], t: int) -> list[str]:
-    """Names of a feature group in the wide table of segment ``t``."""
-    return [f"t{s}_{f}" for s in range(1, t + 1) for f in features]

@@ -68,5 +68,6 @@ OUTPUT_DOUBLES: dict[str, list[str]] = {
     'm14_best_threshold': ['threshold', 'f1'],
     'm14_threshold_f1': ['threshold', 'f1'],
     'm1_anova_f': ['f_stat'],
+    'm1_anova_pvalue': ['f_stat', 'p_value'],
     'm2_pairwise_corr': ['r'],
 }

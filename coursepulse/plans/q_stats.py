@@ -253,20 +253,25 @@ def e22_student_click_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- M1 / M2
-@query("m1_anova_f", outcome_metrics_sql() + f""",
+_ANOVA = outcome_metrics_sql() + f""",
 long AS ({" UNION ALL ".join(f"SELECT '{m}' AS metric, \"group\" AS g, {m} AS v FROM om WHERE {m} IS NOT NULL AND NOT isnan({m})" for m in METRICS)}),
 gs AS (SELECT metric, g, count(*) AS n, avg(v) AS mean, var_samp(v) AS var FROM long GROUP BY ALL),
-an_tot AS (SELECT metric, sum(n) AS nn, count(*) AS k, sum(n * mean) / sum(n) AS grand FROM gs GROUP BY ALL)
-SELECT gs.metric, (sum(gs.n * pow(gs.mean - an_tot.grand, 2)) / (max(an_tot.k) - 1))
+an_tot AS (SELECT metric, sum(n) AS nn, count(*) AS k, sum(n * mean) / sum(n) AS grand FROM gs GROUP BY ALL),
+an AS (SELECT gs.metric, (sum(gs.n * pow(gs.mean - an_tot.grand, 2)) / (max(an_tot.k) - 1))
   / (sum((gs.n - 1) * COALESCE(gs.var, 0)) / (max(an_tot.nn) - max(an_tot.k))) AS f_stat,
   CAST(max(an_tot.k) - 1 AS BIGINT) AS df_between, CAST(max(an_tot.nn) - max(an_tot.k) AS BIGINT) AS df_within
-FROM gs JOIN an_tot USING (metric) GROUP BY gs.metric""")
+FROM gs JOIN an_tot USING (metric) GROUP BY gs.metric)"""
+
+
+@query("m1_anova_f", _ANOVA + "\nSELECT * FROM an")
 def m1_anova_f(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-way ANOVA F of each metric across Pass / Fail / Withdrawn (NULLs dropped per metric)."""
     return stats.anova_groups(outcome_metrics(_raw(spark, sf_dir)), METRICS, "group")
 
 
-@query("m1_anova_pvalue")
+# three groups: with 2 and d degrees of freedom P(F > f) is (1 + 2 f / d) ^ (-d / 2)
+@query("m1_anova_pvalue", _ANOVA + """
+SELECT metric, f_stat, CASE df_between WHEN 2 THEN pow(1 + 2 * f_stat / df_within, -df_within / 2.0) END AS p_value, df_between, df_within FROM an""")
 def m1_anova_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ANOVA F with its p-value (F-distribution tail from the incomplete beta function)."""
     return stats.anova(outcome_metrics(_raw(spark, sf_dir)), METRICS, "group")

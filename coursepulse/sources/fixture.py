@@ -12,7 +12,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursepulse.functions.dims import bounded_broadcast, mark_bounded, row_bound
+from coursepulse.functions.dims import bounded_broadcast, few_rows, mark_bounded, row_bound
 from coursepulse.operators import checks
 from coursepulse.schema import KEYS
 
@@ -77,7 +77,7 @@ def _embedded(spark: SparkSession, df: DataFrame) -> DataFrame:
     bound = row_bound(df)
     if bound is None or bound > SMALL_ROWS:
         return df
-    rows = df.limit(SMALL_ROWS + 1).collect()
+    rows = few_rows(df, "rows in a table declared to be small", bound)
     return mark_bounded(spark.createDataFrame(rows, df.schema), len(rows))
 
 

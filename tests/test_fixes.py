@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -65,3 +66,38 @@ def test_no_machine_local_checkpoint_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_few_rows_raises_instead_of_cutting(spark):
+    from coursepulse.functions.dims import few_rows
+    from coursepulse.operators.encode import top_categories
+
+    assert len(few_rows(spark.range(5), "rows", 5)) == 5
+    with pytest.raises(ValueError, match="more than 4 rows"):
+        few_rows(spark.range(5), "rows", 4)
+    many = spark.range(10_001).selectExpr("string(id) AS v")
+    assert top_categories(many, "v", 2) == ["0", "1"]
+    with pytest.raises(ValueError, match="values of v"):
+        top_categories(many, "v", None)
+
+
+def test_entropies_of_counts(spark):
+    from coursepulse.operators.distributions import entropies
+
+    rows = [(1, 0, "quiz", 4), (2, 0, "quiz", 1), (2, 0, "page", 1), (2, 3, "quiz", 2), (3, -1, "quiz", 5), (3, 2, "quiz", 1), (3, 99, "page", 7)]
+    src = spark.createDataFrame([("A", "B", i, d, a, 10.5, c, 1.0) for i, d, a, c in rows],
+                                "code_module string, code_presentation string, id_student long, date long, activity_type string, "
+                                "date_assessment double, sum_click long, final_result double")
+    got = {r.id_student: (r.entropy_joint, r.entropy_date, r.entropy_acty, r.result) for r in entropies(src).collect()}
+    assert got[1] == (0, 0, 0, 1) and got[3] == (0, 0, 0, 1)
+    assert got[2] == pytest.approx((1.5, 1.0, -0.75 * np.log2(0.75) + 0.5, 1))
+    plan = entropies(src)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and "collect_list" not in plan
+
+
+def test_f_tail_against_printed_tables():
+    from coursepulse.operators.stats import f_survival
+
+    for f, d1, d2, p in [(4.9646, 1, 10, 0.05), (3.4928, 2, 20, 0.05), (5.6363, 5, 10, 0.01), (2.9223, 3, 30, 0.05), (4.1709, 1, 30, 0.05)]:
+        assert f_survival(f, d1, d2) == pytest.approx(p, abs=2e-5)
+    assert f_survival(3.0, 2, 7) == pytest.approx((1 + 6 / 7) ** -3.5)
