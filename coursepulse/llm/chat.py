@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from coursepulse.llm.scratch import remove, written
 
+END = "<|end|>\n"
 MAX_ROUNDS = 40  # paths of up to 2^40 messages; more rounds mean a cycle
 
 
@@ -91,15 +92,16 @@ def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         F.col("tree").alias("t"), F.col("leaf").alias("l"), "branch_score", "branch_rank")
     best = found.join(chosen, found["tree"].eqNullSafe(chosen["t"]) & (found["leaf"] == chosen["l"])).drop("t", "l")
     turns = best.join(own, best["tree"].eqNullSafe(own["t"]) & (best["node"] == own["n"])).drop("t", "n")
-    again = W.partitionBy("tree", "leaf", "up").orderBy("role", "text")
-    turns = turns.withColumn("again", F.row_number().over(again)).where("again = 1").drop("again")
-    path = W.partitionBy("tree", "leaf").orderBy(F.desc("up"))
+    # one exchange by path serves the repeats, the running lengths and the grouping; texts are widened after it
+    path = W.partitionBy("tree", "leaf").orderBy(F.desc("up"), "role", "text")
+    turns = turns.withColumn("before", F.lag("up").over(path)).where("before IS NULL OR before <> up").drop("before")
+    so_far = W.partitionBy("tree", "leaf").orderBy(F.desc("up")).rowsBetween(W.unboundedPreceding, W.currentRow)
     head, body = F.concat(F.lit("<|"), escaped(F.col("role")), F.lit("|>\n")), escaped(F.col("text"))
+    end = F.sum(F.col("head") + F.col("length") + F.char_length(F.lit(END))).over(so_far)
     parts = (turns
-             .select("tree", "leaf", "branch_score", "branch_rank", "up", "role", head.alias("head"), body.alias("body"))
-             .withColumn("turn", F.concat("head", "body", F.lit("<|end|>\n")))
-             .withColumn("start", F.sum(F.char_length("turn")).over(path) - F.char_length("turn") + F.char_length("head") + 1)
-             .withColumn("length", F.char_length("body").cast("long")))
+             .select("tree", "leaf", "branch_score", "branch_rank", "up", "role", F.concat(head, body, F.lit(END)).alias("turn"),
+                     F.char_length(head).alias("head"), F.char_length(body).cast("long").alias("length"))
+             .withColumn("start", end - F.col("length") - F.char_length(F.lit(END)) + 1))
     ordered = F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("o"), "turn", "role", "start", "length")))
     grouped = parts.groupBy("tree", "leaf", "branch_rank", "branch_score").agg(ordered.alias("turns"))
     return grouped.select(
