@@ -80,6 +80,8 @@ def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """``tree, leaf, branch_rank, branch_score, n_turns, formatted, loss_spans`` of each tree's best branches.
 
     Texts are read once, for the chosen branches; ranks need the scores alone."""
+    # written once: every step reads messages, and a table of turns is chained with its texts
+    messages, _ = written(messages.select("tree", "node", "parent", "role", "text", "score"), "chat-messages")
     src = messages.select("tree", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     own = src.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text")
     found = paths(messages)
