@@ -319,7 +319,7 @@ def tuned_forest(spark: SparkSession, sf_dir: str):
     tr = mdl.balanced_weights(mdl.assemble(tr, feats), "responce").withColumn("fold", mdl.fold_column(K3))
     # the 20 fits of the grid read the same assembled training rows
     tr = mdl.in_few_partitions(tr.select(*K3, "responce", "weight", "fold", "features"))
-    cv = mdl.tune(mdl.forest("responce"), tr, FOREST_GRID, label="responce", parallelism=8)
+    cv = mdl.tune(mdl.forest("responce"), tr, FOREST_GRID, label="responce", parallelism=6)
     tr.unpersist()
     return cv, te, feats
 
