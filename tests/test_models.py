@@ -115,6 +115,19 @@ def test_kept_copies_give_every_core_a_partition():
     assert mdl.kept_copies(of("local[4]", 4), 1) == 1
 
 
+def test_forest_properties_build_the_training_table_once(spark, table, monkeypatch):
+    from coursepulse.plans import q_model
+
+    x = table.withColumns({"code_module": F.lit("AAA"), "code_presentation": F.lit("2013J"), "id_student": F.col("id"),
+                           "responce": F.col("label")}).drop("label", "fold")
+    built = []
+    monkeypatch.setattr(q_model, "_flagship_sets", lambda *a: built.append(a) or (x, x, ["a", "b", "c", "d"]))
+    monkeypatch.setattr(q_model, "FOREST_GRID", {"numTrees": (2, 3), "maxDepth": (2,)})
+    got = q_model.m8_m10_forest_properties(spark, "").first()
+    assert got["n_points"] == 2 and got["n_train"] == 240 and got["trees_as_chosen"] and got["all_features_named"]
+    assert len(built) == 1
+
+
 def test_rounds_need_whole_rows(spark, table):
     with pytest.raises(ValueError):
         mdl.tune(mdl.boosted("label").setSubsamplingRate(0.5), table, {"maxIter": (2, 3)}, rounds="maxIter")
