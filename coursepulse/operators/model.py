@@ -265,7 +265,8 @@ def tune(estimator, df: DataFrame, grid: dict, label: str = "label", fold_col: s
 
     Every point of the grid is scored on every fold. ``rounds`` names the parameter of a boosted estimator that counts its
     rounds (``maxIter``): its values share fits (``_fit_grid``). Points that can share fits follow one another in a fold;
-    the others and the folds run side by side, ``parallelism`` at a time. The best point alone is then fitted on all rows.
+    the others and the folds run side by side, ``parallelism`` at a time. The best point alone is then fitted on all rows;
+    with ``rounds``, which follow one another, all points are fitted on all rows beside the folds instead.
     """
     if rounds and (estimator.getSubsamplingRate() != 1.0 or estimator.isSet("validationIndicatorCol")):
         raise ValueError("rounds share fits only without row sampling and validation rows")
@@ -275,19 +276,24 @@ def tune(estimator, df: DataFrame, grid: dict, label: str = "label", fold_col: s
     for i, p in enumerate(points):
         groups.setdefault(tuple(v for k, v in p.items() if k not in ("maxDepth", rounds)), []).append(i)
     # the longest fits first: short ones fill the cores at the end
-    work = [(fold, g) for key, g in sorted(groups.items(), key=lambda x: x[0], reverse=True) for fold in range(folds)]
+    work = [(fold, g) for _, g in sorted(groups.items(), reverse=True) for fold in ([None] if rounds else []) + [*range(folds)]]
 
-    def scored(unit: tuple[int, list[int]]) -> tuple[list[float], int]:
+    def fitted(unit: tuple[int | None, list[int]]) -> tuple[list, int]:
         fold, group = unit
-        models, n = _fit_grid(estimator, df.where(F.col(fold_col) != fold), [points[i] for i in group], rounds)
-        return _fold_scores(models, df.where(F.col(fold_col) == fold), label), n
+        rows = df if fold is None else df.where(F.col(fold_col) != fold)
+        models, n = _fit_grid(estimator, rows, [points[i] for i in group], rounds)
+        return (models if fold is None else _fold_scores(models, df.where(F.col(fold_col) == fold), label)), n
 
     with ThreadPool(parallelism) as pool:
-        done = pool.map(inheritable_thread_target(df.sparkSession)(scored), work, chunksize=1)
-    by_fold = {(i, fold): f1 for (fold, group), (scores, _) in zip(work, done) for i, f1 in zip(group, scores)}
-    means = [sum(by_fold[i, fold] for fold in range(folds)) / folds for i in range(len(points))]
-    out = Tuned(list(zip(points, means)), None, sum(n for _, n in done) + 1)
-    out.bestModel = estimator.copy({getattr(estimator, k): v for k, v in points[out.best].items()}).fit(df)
+        done = pool.map(inheritable_thread_target(df.sparkSession)(fitted), work, chunksize=1)
+    of = {(i, fold): x for (fold, group), (got, _) in zip(work, done) for i, x in zip(group, got)}
+    means = [sum(of[i, fold] for fold in range(folds)) / folds for i in range(len(points))]
+    out = Tuned(list(zip(points, means)), None, sum(n for _, n in done))
+    if rounds:
+        out.bestModel = of[out.best, None]
+    else:
+        out.bestModel = estimator.copy({getattr(estimator, k): v for k, v in points[out.best].items()}).fit(df)
+        out.fits += 1
     return out
 
 

@@ -105,6 +105,16 @@ def test_only_the_best_forest_is_fitted_on_all_rows(spark, table):
         assert mean == sum(scores) / 3
 
 
+def test_boosted_points_are_fitted_on_all_rows_beside_the_folds(spark, table):
+    """Rounds follow one another, so no whole fit is left to the end; the best model is the separate fit's."""
+    tr = mdl.in_few_partitions(mdl.assemble(table, ["a", "b", "c"]))
+    out = mdl.tune(mdl.boosted("label"), tr, {"maxIter": (2, 4), "maxDepth": (2, 3)}, folds=3, rounds="maxIter")
+    assert out.fits == (3 + 1) * 2
+    est, best = mdl.boosted("label"), out.points[out.best][0]
+    alone = est.copy({getattr(est, k): v for k, v in best.items()}).fit(tr)
+    assert trees_of(out.bestModel) == trees_of(alone)
+
+
 def test_kept_copies_give_every_core_a_partition():
     from types import SimpleNamespace as Of
 
