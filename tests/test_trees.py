@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from coursepulse.operators import model as mdl
@@ -178,3 +179,21 @@ def test_what_is_left_to_the_library(spark, table):
     assert of(est, table.withColumn("weight", F.col("weight") + F.col("id") % 2)) is None
     assert of(est, table.withColumn("label", F.when(F.col("id") > 5, F.col("label")))) is None
     assert of(est, table.withColumn("fold", F.when(F.col("id") > 5, F.col("fold")))) is None
+
+
+@pytest.fixture
+def flagship(spark, table, monkeypatch):
+    """The queries of the tuned forest over ``table``, with a small grid and without fits by the library."""
+    from coursepulse.plans import q_model
+
+    x = table.select(F.lit("AAA").alias("code_module"), F.lit("2013J").alias("code_presentation"), F.col("id").alias("id_student"),
+                     F.col("label").alias("responce"), *[F.get(vector_to_array("features"), F.lit(i)).alias(c) for i, c in enumerate("abcd")])
+    monkeypatch.setattr(q_model, "_flagship_sets", lambda *a: (x, x, list("abcd")))
+    monkeypatch.setattr(q_model, "FOREST_GRID", GRID)
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda *a: pytest.fail("fitted level by level"))
+    return q_model
+
+
+def test_query_of_the_test_metrics(spark, flagship):
+    m = flagship.m11_forest_test_metrics(spark, "").collect()
+    assert len(m) == 1 and m[0]["f1"] > 0.8 and m[0]["auc"] > 0.9
