@@ -197,3 +197,9 @@ def flagship(spark, table, monkeypatch):
 def test_query_of_the_test_metrics(spark, flagship):
     m = flagship.m11_forest_test_metrics(spark, "").collect()
     assert len(m) == 1 and m[0]["f1"] > 0.8 and m[0]["auc"] > 0.9
+
+
+def test_query_of_the_grid(spark, flagship):
+    rows = flagship.m8_forest_grid_search(spark, "").collect()
+    assert [(r["num_trees"], r["max_depth"]) for r in rows] == [(4, 3), (4, 12), (8, 3), (8, 12)]
+    assert all(0.7 < r["mean_f1"] <= 1 for r in rows)
