@@ -203,3 +203,9 @@ def test_query_of_the_grid(spark, flagship):
     rows = flagship.m8_forest_grid_search(spark, "").collect()
     assert [(r["num_trees"], r["max_depth"]) for r in rows] == [(4, 3), (4, 12), (8, 3), (8, 12)]
     assert all(0.7 < r["mean_f1"] <= 1 for r in rows)
+
+
+def test_query_of_the_properties(spark, flagship):
+    r = flagship.m8_m10_forest_properties(spark, "").first()
+    assert r["n_points"] == 4 and r["all_scored"] and r["importance"] == pytest.approx(1.0)
+    assert r["all_features_named"] and r["trees_as_chosen"] and r["n_train"] == 6000
