@@ -52,7 +52,9 @@ def table(spark):
     df = spark.createDataFrame([(i, *map(float, v), float(c)) for i, (v, c) in enumerate(zip(x, y))],
                                "id long, a double, b double, c double, d double, label double")
     df = mdl.assemble(df, ["a", "b", "c", "d"]).withColumn("fold", mdl.fold_column(["id"], 3))
-    return mdl.in_few_partitions(df.select("id", "label", "fold", "features"))
+    df = mdl.in_few_partitions(df.select("id", "label", "fold", "features"))
+    yield df
+    df.unpersist()
 
 
 GRID = {"maxIter": (3, 6), "maxDepth": (2, 9)}

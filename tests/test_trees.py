@@ -107,7 +107,9 @@ def table(spark):
     df = spark.createDataFrame([(i, *map(float, v), float(c)) for i, (v, c) in enumerate(zip(x, y))],
                                "id long, a double, b double, c double, d double, label double")
     df = mdl.balanced_weights(mdl.assemble(df, ["a", "b", "c", "d"]), "label").withColumn("fold", mdl.fold_column(["id"], 3))
-    return df.select("id", "label", "weight", "fold", "features").persist()
+    df = df.select("id", "label", "weight", "fold", "features").persist()
+    yield df
+    df.unpersist()
 
 
 GRID = {"numTrees": (4, 8), "maxDepth": (3, 12)}
